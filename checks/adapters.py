@@ -228,5 +228,5 @@ def listing(spark: SparkSession, sf: str) -> DataFrame:
         "category",
         "good AS sub_cat_dir",
         "CASE id % 3 WHEN 0 THEN '.parquet' WHEN 1 THEN '.geojson' ELSE '.db' END AS extension",
-        "user_id * 20 AS bytes",
+        "user_id * 20 + id % 1500 AS bytes",
     )

@@ -29,10 +29,15 @@ NESTING = 3
 _NUMBER = r"[-+]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][-+]?[0-9]+)?"
 _PAIR = rf"({_NUMBER}) ({_NUMBER})"
 
-# What a list of points never contains: nothing at all, a foreign character
-# (wrong nesting, text, true/null leaves, a missing ordinate), an empty list,
-# or a blank ordinate.
-_NOT_POINTS = r"^$|[^-+0-9.eE ,()]|\(\)|(?:^|[,( ]) | (?:$|[,)])"
+# A point in JSON: two values, and what may follow them up to the bracket.
+_JSON_POINT = r"\[([^\[\],]+),([^\[\],]+)(?:,[^\[\]]*+)?\]"
+
+# WKT once the borders between rings and between polygons are commas.
+_POINTS = r"\([-+0-9.eE][-+0-9.eE ,]*+\)"
+_FLAT_WKT = (
+    rf"^(?:(?:POINT|LINESTRING) {_POINTS}|(?:POLYGON|MULTILINESTRING) \({_POINTS}\)"
+    rf"|MULTIPOLYGON \(\({_POINTS}\)\))$"
+)
 
 
 def geometry_schema(nesting: int = NESTING) -> str:
@@ -48,45 +53,42 @@ def only_if(value: Column, test) -> Column:
     return F.get(F.filter(F.array(value), test), F.lit(0))
 
 
-def _points_text(coordinates: Column, depth: int) -> Column:
-    """Coordinates nested ``depth`` deep as "x y,x y", inner lists in brackets."""
-    leaf = "array<" * depth + "string" + ">" * depth
+def _simple_wkt_sql(geometry: str) -> str:
+    """Text of a geometry that is no collection, null unless it is WKT.
 
-    def render(part: Column, level: int) -> Column:
-        if level == 1:
-            return F.concat(F.get(part, F.lit(0)), F.lit(" "), F.get(part, F.lit(1)))
+    Brackets of lists become brackets of WKT once each point is "x y". The
+    coordinates were written by the JSON parser, so they hold no blanks.
+    """
+    names = " ".join(f"WHEN '{name}' THEN '{wkt} '" for name, (_, wkt) in GEOMETRY_TYPES.items())
+    points = f"""regexp_replace(replace({geometry}.coordinates, '"', ''), r'{_JSON_POINT}', '$1 $2')"""
+    text = f"""concat(CASE {geometry}.type {names} END, CASE {geometry}.type
+        WHEN 'Point' THEN concat('(', {points}, ')')
+        ELSE replace(replace({points}, '[', '('), ']', ')') END)"""
+    return f"""get(filter(array({text}), t -> rlike(
+        replace(replace(t, ')),((', ','), '),(', ','), r'{_FLAT_WKT}')), 0)"""
 
-        def one(p: Column) -> Column:
-            inner = render(p, level - 1)
-            return inner if level == 2 else F.concat(F.lit("("), inner, F.lit(")"))
 
-        # "?" stands for a point that has no text, so that it cannot vanish
-        return F.array_join(F.transform(part, one), ",", "?")
+def _wkt_sql(geometry: str, nesting: int) -> str:
+    if nesting:
+        member = f"g{nesting}"
+        members = f"transform({geometry}.geometries, {member} -> {_wkt_sql(member, nesting - 1)})"
+        collection = f"""concat('{COLLECTION_WKT} (', get(filter(
+            array(array_join(filter({members}, m -> m IS NOT NULL), ',')),
+            t -> t <> '' AND NOT contains(t, '?')), 0), ')')"""
+    else:
+        # a collection nested too deeply: its whole feature is rejected
+        collection = "'?'"
+    return f"""CASE {geometry}.type WHEN '{COLLECTION}' THEN {collection}
+        ELSE {_simple_wkt_sql(geometry)} END"""
 
-    text = render(F.from_json(coordinates, leaf), depth)
-    return only_if(text, lambda t: ~F.rlike(t, F.lit(_NOT_POINTS)))
 
+def geojson_to_wkt(geometry: str, nesting: int = NESTING) -> Column:
+    """WKT of the GeoJSON geometry struct in a column; null if it does not convert.
 
-def geojson_to_wkt(geometry: Column, nesting: int = NESTING) -> Column:
-    """WKT of a GeoJSON geometry struct; null when it does not convert."""
-    kind = geometry["type"]
-    out = F.lit(None).cast("string")
-    for name, (depth, wkt) in GEOMETRY_TYPES.items():
-        text = F.concat(
-            F.lit(f"{wkt} ("), _points_text(geometry["coordinates"], depth), F.lit(")")
-        )
-        out = F.when(kind == name, text).otherwise(out)
-    if nesting:
-        members = F.transform(geometry["geometries"], lambda g: geojson_to_wkt(g, nesting - 1))
-        listed = F.array_join(F.filter(members, lambda m: m.isNotNull()), ",")
-        collection = F.concat(
-            F.lit(f"{COLLECTION_WKT} ("),
-            only_if(listed, lambda t: (t != "") & ~F.contains(t, F.lit("?"))),
-            F.lit(")"),
-        )
-    else:
-        collection = F.lit("?")
-    return F.when(kind == COLLECTION, collection).otherwise(out)
+    Lists that are no points make the text null; members of a collection that
+    do not convert are left out of it.
+    """
+    return F.expr(_wkt_sql(geometry, nesting))
 
 
 def object_type(geometry_type: Column) -> Column:

@@ -8,7 +8,7 @@ from terrafold.schema import ELEMENTS
 
 # Row layouts of the XML form; attributes carry a leading underscore.
 _XML_EDIT = (
-    "_id bigint, _version int, _timestamp timestamp, _user string, _changeset bigint, "
+    "_id bigint, _version int, _timestamp string, _user string, _changeset bigint, "
     "tag array<struct<_k: string, _v: string>>"
 )
 _XML_LAYOUT = {
@@ -45,7 +45,7 @@ def _read_xml(spark: SparkSession, path: str, kind: str) -> DataFrame:
         *_xml_body(kind),
         tags.alias("tags"),
         F.col("_version").alias("version"),
-        F.col("_timestamp").alias("timestamp"),
+        F.try_to_timestamp("_timestamp").alias("timestamp"),
         F.col("_user").alias("user"),
         F.col("_changeset").alias("changeset"),
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -69,8 +70,8 @@ def mentions_keys(line: Column, keys: Sequence[str]) -> Column:
 
     A key may also be written with JSON escapes, so lines holding one pass.
     """
-    names = "|".join(f"\\Q{k}\\E" for k in keys)
-    return F.rlike(line, F.lit(rf'"(?:{names})"|\\u'))
+    names = "|".join(re.escape(k) for k in keys)
+    return F.rlike(line, F.lit(f'"(?:{names})"')) | F.contains(line, F.lit("\\u"))
 
 
 def _parsed(lines: DataFrame) -> DataFrame:
@@ -103,7 +104,7 @@ def with_wkt(features: DataFrame) -> DataFrame:
 
     ``explode`` of at most one value drops the row and computes the text once.
     """
-    one = F.filter(F.array(geojson_to_wkt(F.col("geometry"))), lambda w: w.isNotNull())
+    one = F.filter(F.array(geojson_to_wkt("geometry")), lambda w: w.isNotNull())
     kept = features.select("*", F.explode(one).alias("geometry_wkt"))
     return kept.withColumn("geometry_type", F.col("geometry.type")).drop("geometry")
 
@@ -115,7 +116,7 @@ def parse_features(lines: DataFrame) -> DataFrame:
 
 def rejected_lines(lines: DataFrame) -> DataFrame:
     """Lines :func:`parse_features` leaves out, with the reason."""
-    wkt = F.explode(F.array(geojson_to_wkt(F.col("feature.geometry"))))
+    wkt = F.explode(F.array(geojson_to_wkt("feature.geometry")))
     return (
         _parsed(lines)
         .select("*", wkt.alias("geometry_wkt"))

@@ -31,4 +31,5 @@ def existing_ids(
 ) -> DataFrame:
     """Key columns of earlier Parquet output; nothing else is read."""
     paths = [path] if isinstance(path, str) else list(path)
-    return spark.read.schema(T.StructType([STAGED[k] for k in keys])).parquet(*paths)
+    schema = T.StructType([STAGED[k] for k in keys])
+    return spark.read.schema(schema).parquet(*paths).select(*keys)
