@@ -202,8 +202,9 @@ def wkt_to_geojson(wkt: Column) -> Column:
     listed = F.regexp_replace(
         listed, rf"{COLLECTION_WKT} \(", f'{{"type":"{COLLECTION}","geometries":<'
     )
-    # the brackets left over: "<" opened a collection, a ")" after "}" closes it
-    listed = F.translate(F.regexp_replace(listed, r"(?<=\})\)", ">"), "()", "[]")
+    # the brackets left over: "<" opened a collection, those after "}" close one
+    listed = F.regexp_replace(listed, rf"(?<=\}}\){{0,{NESTING}}})\)", ">")
+    listed = F.translate(listed, "()", "[]")
     listed = F.replace(F.replace(listed, F.lit("<"), F.lit("[")), F.lit(">"), F.lit("]}"))
     return F.when(kind == COLLECTION_WKT, listed).otherwise(out)
 

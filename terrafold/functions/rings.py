@@ -59,72 +59,122 @@ def signed_area(ring: np.ndarray) -> float:
     return float(np.dot(x[:-1], y[1:]) - np.dot(x[1:], y[:-1])) / 2
 
 
-def _crosses(ring: np.ndarray) -> bool:
-    """Whether two edges of the ring properly cross, by a sweep along x."""
-    a, b = ring[:-1], ring[1:]
-    order = np.argsort(np.minimum(a[:, 0], b[:, 0]), kind="stable")
-    a, b = a[order], b[order]
+def _crossed(points: np.ndarray, ring: np.ndarray) -> np.ndarray:
+    """Rings (by number) in which two edges properly cross.
+
+    ``points`` are the corners of all rings in a row, ``ring`` the number of
+    the ring each belongs to. One sweep along x serves all rings: every edge
+    meets the next ones of its ring until they start right of its end.
+    """
+    inner = ring[:-1] == ring[1:]
+    a, b, owner = points[:-1][inner], points[1:][inner], ring[:-1][inner]
+    order = np.lexsort((np.minimum(a[:, 0], b[:, 0]), owner))
+    a, b, owner = a[order], b[order], owner[order]
     low, high = np.minimum(a, b), np.maximum(a, b)
-    # edges after i that start before edge i ends
-    reach = np.searchsorted(low[:, 0], high[:, 0], side="right")
-    i, step = np.arange(len(a)), 1
-    side = lambda p, q, r: np.sign(
-        (q[:, 0] - p[:, 0]) * (r[:, 1] - p[:, 1]) - (q[:, 1] - p[:, 1]) * (r[:, 0] - p[:, 0])
-    )
-    while True:
-        i = i[i + step < reach[i]]
-        if not len(i):
-            return False
+
+    def side(p, q, r):
+        return np.sign(
+            (q[:, 0] - p[:, 0]) * (r[:, 1] - p[:, 1]) - (q[:, 1] - p[:, 1]) * (r[:, 0] - p[:, 0])
+        )
+
+    crossed, i, step = [], np.arange(len(a)), 1
+    while len(i := i[i + step < len(a)]):
+        j = i + step
+        i = i[(owner[i] == owner[j]) & (low[j, 0] <= high[i, 0])]
         j = i + step
         near = (low[i, 1] <= high[j, 1]) & (low[j, 1] <= high[i, 1])
-        p, q, r, s = a[i[near]], b[i[near]], a[j[near]], b[j[near]]
-        if np.any((side(p, q, r) * side(p, q, s) < 0) & (side(r, s, p) * side(r, s, q) < 0)):
-            return True
+        i_near, j_near = i[near], j[near]
+        p, q, r, s = a[i_near], b[i_near], a[j_near], b[j_near]
+        cross = (side(p, q, r) * side(p, q, s) < 0) & (side(r, s, p) * side(r, s, q) < 0)
+        crossed.append(owner[i_near[cross]])
         step += 1
+    return np.unique(np.concatenate(crossed)) if crossed else np.array([], dtype=int)
 
 
-def contains_point(ring: np.ndarray, point: np.ndarray) -> bool:
-    """Even-odd test; a point on the border counts as inside."""
-    x, y = point
+def inside(ring: np.ndarray, points: np.ndarray) -> bool:
+    """Whether all points lie in the ring (even-odd rule) or on its border."""
     a, b = ring[:-1], ring[1:]
-    turn = (b[:, 0] - a[:, 0]) * (y - a[:, 1]) - (b[:, 1] - a[:, 1]) * (x - a[:, 0])
     low, high = np.minimum(a, b), np.maximum(a, b)
-    if np.any((turn == 0) & np.all(low <= point, axis=1) & np.all(point <= high, axis=1)):
-        return True
-    rising = (a[:, 1] <= y) & (b[:, 1] > y) & (turn > 0)
-    falling = (a[:, 1] > y) & (b[:, 1] <= y) & (turn < 0)
-    return bool((np.count_nonzero(rising) + np.count_nonzero(falling)) % 2)
-
-
-def _issue(wkt: str) -> str:
-    try:
-        parts = [p for kind, group in _simple_parts(wkt) for p in [(kind, g) for g in group]]
-    except ValueError:
-        return "nonfinite"
-    lines = [g[0] for kind, g in parts if "LINE" in kind]
-    rings = [r for kind, g in parts if "POLYGON" in kind for r in g]
-    every = lines + rings + [g[0] for kind, g in parts if kind == "POINT"]
-    if not every or not all(len(a) for a in every):
-        return "empty"
-    if not all(np.isfinite(a).all() for a in every):
-        return "nonfinite"
-    if any(len(a) < 2 or (a == a[0]).all() for a in lines) or any(len(r) < 4 for r in rings):
-        return "short"
-    if any((r[0] != r[-1]).any() for r in rings):
-        return "open_ring"
-    if any(_crosses(r) for r in rings):
-        return "self_cross"
-    if any(signed_area(r) == 0 for r in rings):
-        return "zero_area"
-    polygons = [g for kind, g in parts if "POLYGON" in kind]
-    if not all(contains_point(g[0], p) for g in polygons for hole in g[1:] for p in hole):
-        return "hole_outside"
-    return "ok"
-
-
+    per_step = max(1, 1_000_000 // len(ring))
+    for start in range(0, len(points), per_step):
+        x, y = points[start : start + per_step].T[:, :, None]
+        turn = (b[:, 0] - a[:, 0]) * (y - a[:, 1]) - (b[:, 1] - a[:, 1]) * (x - a[:, 0])
+        boxed = (low[:, 0] <= x) & (x <= high[:, 0]) & (low[:, 1] <= y) & (y <= high[:, 1])
+        on_border = ((turn == 0) & boxed).any(axis=1)
+        rising = (a[:, 1] <= y) & (b[:, 1] > y) & (turn > 0)
+        falling = (a[:, 1] > y) & (b[:, 1] <= y) & (turn < 0)
+        odd = (rising | falling).sum(axis=1) % 2 == 1
+        if not (on_border | odd).all():
+            return False
+    return True
+
+
+def _issues(wkts: list[str | None]) -> list[str | None]:
+    """First defect of each geometry; all lists of points are judged at once."""
+    found = ["ok" if w else None for w in wkts]
+    flat, sizes, owner, is_line, is_ring, shell = [], [], [], [], [], []
+    for n, wkt in enumerate(wkts):
+        if not wkt:
+            continue
+        try:
+            parts = list(_simple_parts(wkt))
+        except ValueError:
+            found[n] = "nonfinite"
+            continue
+        lists = [a for _, group in parts for polygon in group for a in polygon]
+        if not lists or not all(len(a) for a in lists):
+            found[n] = "empty"
+            continue
+        for kind, group in parts:
+            for polygon in group:
+                shell += [len(sizes)] * len(polygon)
+                flat += polygon
+                sizes += [len(a) for a in polygon]
+                owner += [n] * len(polygon)
+                is_line += ["LINE" in kind] * len(polygon)
+                is_ring += ["POLYGON" in kind] * len(polygon)
+    if not flat:
+        return found
+
+    points, size = np.concatenate(flat), np.array(sizes)
+    first = np.concatenate([[0], np.cumsum(size)[:-1]])
+    last, number = first + size - 1, np.repeat(np.arange(len(size)), size)
+    line, ring = np.array(is_line), np.array(is_ring)
+    infinite = ~np.logical_and.reduceat(np.isfinite(points).all(axis=1), first)
+    points = np.where(np.isfinite(points), points, 0.0)
+    spread = np.logical_or.reduceat((points != points[first][number]).any(axis=1), first)
+    local = points - points[first][number]
+    turns = np.zeros(len(points))
+    turns[:-1] = local[:-1, 0] * local[1:, 1] - local[1:, 0] * local[:-1, 1]
+    turns[last] = 0
+    crossed = np.zeros(len(size), dtype=bool)
+    in_ring = ring[number]
+    crossed[_crossed(points[in_ring], number[in_ring])] = True
+    defects = {
+        "nonfinite": infinite,
+        "short": (line & ~spread) | (ring & (size < 4)),
+        "open_ring": ring & (points[first] != points[last]).any(axis=1),
+        "self_cross": crossed,
+        "zero_area": ring & (np.add.reduceat(turns, first) == 0),
+    }
+    for issue, bad in defects.items():
+        for n in {owner[r] for r in np.flatnonzero(bad)}:
+            if found[n] == "ok":
+                found[n] = issue
+    for r in np.flatnonzero(ring & (np.array(shell) != np.arange(len(size)))):
+        if found[owner[r]] == "ok" and not inside(flat[shell[r]], flat[r]):
+            found[owner[r]] = "hole_outside"
+    return found
+
+
+# Called non-deterministic so that Spark leaves a validity filter where the plan
+# puts it, behind the joins that thin out the rows, instead of moving it below.
 @F.pandas_udf(T.StringType())
 def _issue_udf(wkt: pd.Series) -> pd.Series:
-    return wkt.map(_issue, na_action="ignore")
+    return pd.Series(_issues(wkt.tolist()), dtype=object)
+
+
+_issue_udf = _issue_udf.asNondeterministic()
 
 
 def geometry_issue(wkt: Column) -> Column:
@@ -296,9 +346,7 @@ def _nesting(rings: list[np.ndarray]) -> tuple[np.ndarray, list[int]]:
     depth, parent = np.zeros(len(rings), dtype=int), [-1] * len(rings)
     for n, ring in enumerate(rings):
         boxes = (low <= low[n]).all(axis=1) & (high >= high[n]).all(axis=1) & (area > area[n])
-        holders = [
-            m for m in np.flatnonzero(boxes) if all(contains_point(rings[m], p) for p in ring[:2])
-        ]
+        holders = [m for m in np.flatnonzero(boxes) if inside(rings[m], ring[:2])]
         depth[n] = len(holders)
         if holders:
             parent[n] = min(holders, key=lambda m: area[m])

@@ -99,6 +99,7 @@ def way_coords(ways: DataFrame, nodes: DataFrame, unique_ids: bool = False) -> D
     point = F.struct("pos", "lon", "lat")
     gathered = (
         refs.join(_located(nodes, unique_ids), "ref")
+        .repartition("id")  # lists shrink nothing, so they are built after the shuffle
         .groupBy("id")
         .agg(
             F.array_sort(F.collect_list(point)).alias("points"),
@@ -196,6 +197,7 @@ def relation_areas(
     ).select(F.col("id").alias("ref"), "xs", "ys")
     gathered = (
         members.join(lines, "ref")
+        .repartition("id")
         .groupBy("id")
         .agg(
             F.array_sort(F.collect_list(F.struct("pos", "xs", "ys"))).alias("lines"),

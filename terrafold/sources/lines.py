@@ -23,11 +23,13 @@ def line_reader(reader, max_bytes: int = MAX_LINE_BYTES):
     return reader.format("text").option("lineSep", "\n").option(_LENGTH_OPTION, max_bytes + 2)
 
 
-def clean_lines(raw: DataFrame) -> DataFrame:
-    """Lines without framing characters, blank ones left out."""
+def clean_lines(raw: DataFrame, max_bytes: int = MAX_LINE_BYTES) -> DataFrame:
+    """Valid text without framing characters, blank and too long lines left out."""
+    # the reader lets one byte more pass in a last line without line end
     return (
-        raw.select(
-            F.trim(F.col("value"), F.lit(_FRAME)).alias("value"),
+        raw.filter(F.octet_length("value") <= max_bytes)
+        .select(
+            F.trim(F.make_valid_utf8(F.col("value")), F.lit(_FRAME)).alias("value"),
             source_label(F.col("_metadata.file_name")).alias("source"),
         )
         .filter(F.col("value") != "")
@@ -49,7 +51,7 @@ def read_feature_lines(
     raw = line_reader(spark.read, max_bytes).load(paths)
     if min_file_bytes:
         raw = raw.filter(F.col("_metadata.file_size") >= min_file_bytes)
-    return clean_lines(raw)
+    return clean_lines(raw, max_bytes)
 
 
 def oversize_report(

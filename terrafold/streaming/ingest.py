@@ -30,7 +30,7 @@ def stream_lines(
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if max_bytes_per_trigger:
         reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
-    return clean_lines(reader.load(path))
+    return clean_lines(reader.load(path), max_bytes)
 
 
 def stream_features(
