@@ -26,6 +26,11 @@ def sanitize_name(text: Column) -> Column:
     return F.substring(F.regexp_replace(strip(text), r"(?U)[^-\w.]", "_"), 1, 40)
 
 
+def unescaped(path: Column) -> Column:
+    """File path or name without the escapes of a URI; a plus sign stays."""
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+
+
 def source_label(file_name: Column) -> Column:
     """Safe label of an input file, without its map-file ending."""
     bare = F.replace(file_name, F.lit(".pbf"), F.lit(""))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from terrafold.functions.text import unescaped
 from terrafold.schema import MIN_INPUT_BYTES
 
 
@@ -26,9 +27,7 @@ def list_outputs(spark: SparkSession, path: str) -> DataFrame:
     Reads ``category=…/sub_cat_dir=…`` from the path, whatever lies between
     them and the file.
     """
-    part = lambda key: F.url_decode(
-        F.regexp_replace(F.regexp_extract("path", rf"/{key}=([^/]*)/", 1), r"\+", "%2B")
-    )
+    part = lambda key: unescaped(F.regexp_extract("path", rf"/{key}=([^/]*)/", 1))
     return list_files(spark, path).select(
         part("category").alias("category"),
         part("sub_cat_dir").alias("sub_cat_dir"),

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from terrafold.functions.geometry import geojson_to_wkt, geometry_schema
-from terrafold.functions.text import last_wins, source_label
+from terrafold.functions.text import last_wins, source_label, unescaped
 from terrafold.schema import MAX_LINE_BYTES
 
 # Characters around a line that do not belong to it: record separator, return, blank.
@@ -18,6 +18,10 @@ _FRAME = "\x1e\r "
 _LENGTH_OPTION = "mapreduce.input.linerecordreader.line.maxlength"
 
 
+def _source() -> Column:
+    return source_label(unescaped(F.col("_metadata.file_name"))).alias("source")
+
+
 def line_reader(reader, max_bytes: int = MAX_LINE_BYTES):
     """Text options of a batch or stream reader; long lines never leave it."""
     return reader.format("text").option("lineSep", "\n").option(_LENGTH_OPTION, max_bytes + 2)
@@ -30,7 +34,7 @@ def clean_lines(raw: DataFrame, max_bytes: int = MAX_LINE_BYTES) -> DataFrame:
         raw.filter(F.octet_length("value") <= max_bytes)
         .select(
             F.trim(F.make_valid_utf8(F.col("value")), F.lit(_FRAME)).alias("value"),
-            source_label(F.col("_metadata.file_name")).alias("source"),
+            _source(),
         )
         .filter(F.col("value") != "")
     )
@@ -62,7 +66,7 @@ def oversize_report(
     raw = spark.read.format("text").option("lineSep", "\n").load(paths)
     return (
         raw.filter(F.octet_length("value") > max_bytes)
-        .groupBy(source_label(F.col("_metadata.file_name")).alias("source"))
+        .groupBy(_source())
         .agg(F.count("*").alias("oversize_lines"))
     )
 
