@@ -736,7 +736,9 @@ def write_geojson(spark, sf):
 @query
 def write_short(spark, sf):
     path = scratch_path(spark, "short")
-    records = _records(spark, sf).select("osm_id", "category", "admin_level", "changeset", "geometry_wkt")
+    records = _records(spark, sf).select(
+        "osm_id", "category", "sub_cat", "admin_level", "changeset", "geometry_wkt"
+    )
     writers.write_short(records, path, fmt="csv")
     back = spark.read.option("header", "true").csv(path)
     return back.select(

@@ -20,7 +20,7 @@ from terrafold.sources.lines import (
     read_properties,
     with_wkt,
 )
-from terrafold.sources.parts import existing_ids
+from terrafold.sources.parts import existing_ids, written_ids
 
 
 def feature_records(
@@ -64,9 +64,19 @@ def _if_present(read) -> DataFrame | None:
         raise
 
 
-def earlier_output(spark: SparkSession, output: str) -> DataFrame | None:
-    """Keys of what a former run wrote, if any."""
-    return _if_present(lambda: existing_ids(spark, f"{output}/parquet", MERGE_KEYS))
+def earlier_output(
+    spark: SparkSession, output: str, formats: Sequence[str] = ("parquet",)
+) -> DataFrame | None:
+    """Keys of what a former run wrote, if any.
+
+    Parquet is asked first, then the other formats of this run.
+    """
+    for name in dict.fromkeys(["parquet", *formats]):
+        read = written_ids if name == "geojson" else existing_ids
+        found = _if_present(lambda: read(spark, f"{output}/{name}", MERGE_KEYS))
+        if found is not None:
+            return found
+    return None
 
 
 def remaining_values(
@@ -108,7 +118,7 @@ def run(
     )
     records = merge(
         feature_records(lines, list(wanted), wanted=wanted),
-        earlier_output(spark, output),
+        earlier_output(spark, output, config.formats),
         keep_unidentified=config.keep_unidentified,
     )
     return write_all(records, output, config.formats, config.table)

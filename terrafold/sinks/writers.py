@@ -56,7 +56,9 @@ def write_table(
     records: DataFrame, name: str = "features", path: str | None = None, mode: str = "append"
 ) -> None:
     """Catalog table with the geometry as WKT; made when it does not exist."""
-    writer = records.drop("geom_group").write.mode(mode).format("parquet")
+    folders = FOLDERS[:2]
+    rows = _in_folders(records.drop("geom_group"), folders)
+    writer = rows.write.mode(mode).format("parquet").partitionBy(*folders)
     if path:
         writer = writer.option("path", path)
     writer.saveAsTable(name)
@@ -99,11 +101,17 @@ def write_short(
     fmt: str = "parquet",
 ) -> None:
     """Columns with names of ten characters at most, in files of bounded length."""
-    rows = short_names(records)
+    folders = FOLDERS[:2]
+    rows = with_folders(records)
+    # folder names are no columns of a file
+    named = short_names(rows.drop(*folders)).columns
+    rows = rows.select(*[c for c in rows.columns if c not in folders], *folders).toDF(*named, *folders)
     (
-        rows.write.mode(mode)
+        rows.hint("rebalance", *[F.col(c) for c in folders])
+        .write.mode(mode)
         .option("maxRecordsPerFile", max_rows_per_file)
         .option("header", "true")
+        .partitionBy(*folders)
         .format(fmt)
         .save(path)
     )
@@ -112,7 +120,7 @@ def write_short(
 def _sinks(path: str, table: str | None) -> dict[str, Callable[[DataFrame], None]]:
     return {
         "parquet": lambda rows: write_parquet(rows, f"{path}/parquet"),
-        "table": lambda rows: write_table(rows, table or "features"),
+        "table": lambda rows: write_table(rows, table or "features", f"{path}/table"),
         "geojson": lambda rows: write_geojson_lines(rows, f"{path}/geojson"),
         "short": lambda rows: write_short(rows, f"{path}/short"),
     }

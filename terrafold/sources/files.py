@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from terrafold.functions.text import unescaped
-from terrafold.schema import MIN_INPUT_BYTES
+from terrafold.schema import FORMAT_EXTENSIONS, MIN_INPUT_BYTES
 
 
 def list_files(spark: SparkSession, path: str) -> DataFrame:
@@ -24,14 +24,17 @@ def list_files(spark: SparkSession, path: str) -> DataFrame:
 def list_outputs(spark: SparkSession, path: str) -> DataFrame:
     """(category, sub_cat_dir, extension, bytes) of written output files.
 
-    Reads ``category=…/sub_cat_dir=…`` from the path, whatever lies between
-    them and the file.
+    Reads ``{format}/category=…/sub_cat_dir=…`` from the path, whatever lies
+    between them and the file. The extension is the one that stands for the
+    format, whatever ending Spark gave to the file.
     """
     part = lambda key: unescaped(F.regexp_extract("path", rf"/{key}=([^/]*)/", 1))
+    written = F.regexp_extract("path", "/([^/]+)/category=", 1)
+    extension = F.create_map(*[F.lit(v) for pair in FORMAT_EXTENSIONS.items() for v in pair])
     return list_files(spark, path).select(
         part("category").alias("category"),
         part("sub_cat_dir").alias("sub_cat_dir"),
-        F.regexp_extract("name", r"(\.[^.]*)$", 1).alias("extension"),
+        extension[written].alias("extension"),
         "bytes",
     )
 

@@ -33,3 +33,9 @@ def existing_ids(
     paths = [path] if isinstance(path, str) else list(path)
     schema = T.StructType([STAGED[k] for k in keys])
     return spark.read.schema(schema).parquet(*paths).select(*keys)
+
+
+def written_ids(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
+    """Key columns of features written as GeoJSON lines."""
+    schema = T.StructType([T.StructField("properties", T.StructType([STAGED[k] for k in keys]))])
+    return spark.read.schema(schema).json(path).select("properties.*")

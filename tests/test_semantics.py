@@ -386,8 +386,25 @@ def test_run_skips_finished_keys(spark, tmp_path):
     assert spark.read.parquet(f"{out}/parquet").count() == 300
 
 
+@pytest.mark.parametrize("fmt", ["parquet", "table", "geojson", "short"])
+def test_each_format_is_found_again(spark, tmp_path, fmt):
+    rows = [_line(**{"power": "tower", "@id": i, "name": f"long name {i * 7919}"}) for i in range(200)]
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    _lines(spark, *rows).select("value").write.text(source)
+    config = RunConfig(tags=["power"], formats=[fmt], skip_mode="detailed", table=f"again_{fmt}")
+    assert run(spark, source, out, config) == [(fmt, "ok", "")]
+    assert "tower" not in remaining_values(spark, out, config)["power"]
+    config.subtags = ["tower"]
+    assert run(spark, source, out, config) == [(fmt, "ok", "")]
+    back = {
+        "table": lambda: spark.table(f"again_{fmt}"),
+        "geojson": lambda: spark.read.text(f"{out}/geojson"),
+    }.get(fmt, lambda: spark.read.parquet(f"{out}/{fmt}"))()
+    assert back.count() == 200
+
+
 def test_listing_reads_folder_names(spark, tmp_path):
     records = _records(spark, _line(**{"power": "ä+b c", "@id": 1}), subtags=[])
-    writers.write_parquet(records, str(tmp_path))
+    writers.write_parquet(records, str(tmp_path / "parquet"))
     row = files.list_outputs(spark, str(tmp_path)).filter("extension = '.parquet'").first()
     assert (row["category"], row["sub_cat_dir"]) == ("power", "ä_b_c") and row["bytes"] > 1000
