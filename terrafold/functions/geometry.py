@@ -53,42 +53,42 @@ def only_if(value: Column, test) -> Column:
     return F.get(F.filter(F.array(value), test), F.lit(0))
 
 
-def _simple_wkt_sql(geometry: str) -> str:
+def _simple_wkt(geometry: Column) -> Column:
     """Text of a geometry that is no collection, null unless it is WKT.
 
     Brackets of lists become brackets of WKT once each point is "x y". The
     coordinates were written by the JSON parser, so they hold no blanks.
     """
-    names = " ".join(f"WHEN '{name}' THEN '{wkt} '" for name, (_, wkt) in GEOMETRY_TYPES.items())
-    points = f"""regexp_replace(replace({geometry}.coordinates, '"', ''), r'{_JSON_POINT}', '$1 $2')"""
-    text = f"""concat(CASE {geometry}.type {names} END, CASE {geometry}.type
-        WHEN 'Point' THEN concat('(', {points}, ')')
-        ELSE replace(replace({points}, '[', '('), ']', ')') END)"""
-    return f"""get(filter(array({text}), t -> rlike(
-        replace(replace(t, ')),((', ','), '),(', ','), r'{_FLAT_WKT}')), 0)"""
+    kind, coordinates = geometry["type"], geometry["coordinates"]
+    points = F.regexp_replace(F.replace(coordinates, F.lit('"'), F.lit("")), _JSON_POINT, "$1 $2")
+    lists = F.replace(F.replace(points, F.lit("["), F.lit("(")), F.lit("]"), F.lit(")"))
+    name = F.lit(None).cast("string")
+    for geojson, (_, wkt) in GEOMETRY_TYPES.items():
+        name = F.when(kind == geojson, f"{wkt} ").otherwise(name)
+    body = F.when(kind == "Point", F.concat(F.lit("("), points, F.lit(")"))).otherwise(lists)
 
+    def is_wkt(text: Column) -> Column:
+        flat = F.replace(text, F.lit(")),(("), F.lit(","))
+        return F.rlike(F.replace(flat, F.lit("),("), F.lit(",")), F.lit(_FLAT_WKT))
 
-def _wkt_sql(geometry: str, nesting: int) -> str:
-    if nesting:
-        member = f"g{nesting}"
-        members = f"transform({geometry}.geometries, {member} -> {_wkt_sql(member, nesting - 1)})"
-        collection = f"""concat('{COLLECTION_WKT} (', get(filter(
-            array(array_join(filter({members}, m -> m IS NOT NULL), ',')),
-            t -> t <> '' AND NOT contains(t, '?')), 0), ')')"""
-    else:
-        # a collection nested too deeply: its whole feature is rejected
-        collection = "'?'"
-    return f"""CASE {geometry}.type WHEN '{COLLECTION}' THEN {collection}
-        ELSE {_simple_wkt_sql(geometry)} END"""
+    return only_if(F.concat(name, body), is_wkt)
 
 
-def geojson_to_wkt(geometry: str, nesting: int = NESTING) -> Column:
-    """WKT of the GeoJSON geometry struct in a column; null if it does not convert.
+def geojson_to_wkt(geometry: Column, nesting: int = NESTING) -> Column:
+    """WKT of a GeoJSON geometry struct; null if it does not convert.
 
     Lists that are no points make the text null; members of a collection that
     do not convert are left out of it.
     """
-    return F.expr(_wkt_sql(geometry, nesting))
+    if nesting:
+        members = F.transform(geometry["geometries"], lambda g: geojson_to_wkt(g, nesting - 1))
+        listed = F.array_join(F.filter(members, lambda m: m.isNotNull()), ",")
+        kept = only_if(listed, lambda t: (t != "") & ~F.contains(t, F.lit("?")))
+        collection = F.concat(F.lit(f"{COLLECTION_WKT} ("), kept, F.lit(")"))
+    else:
+        # a collection nested too deeply: its whole feature is rejected
+        collection = F.lit("?")
+    return F.when(geometry["type"] == COLLECTION, collection).otherwise(_simple_wkt(geometry))
 
 
 def object_type(geometry_type: Column) -> Column:

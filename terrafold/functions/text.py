@@ -10,10 +10,15 @@ from pyspark.sql import Column, functions as F
 _SPACE = r"[\s\x1c-\x1f]"
 _EDGE_SPACE = rf"(?U)^{_SPACE}+|{_SPACE}+$"
 
+# Most values are plain ASCII; these cheap tests spare them the Unicode patterns.
+_MAY_HAVE_EDGE_SPACE = r"^[^!-~]|[^!-~]$"
+_MAY_BE_UNSAFE = r"[^-A-Za-z0-9_.]"
+
 
 def strip(text: Column) -> Column:
     """Remove all white space at both ends, not only blanks."""
-    return F.regexp_replace(text, _EDGE_SPACE, "")
+    bare = F.regexp_replace(text, _EDGE_SPACE, "")
+    return F.when(F.rlike(text, F.lit(_MAY_HAVE_EDGE_SPACE)), bare).otherwise(text)
 
 
 def norm_value(text: Column) -> Column:
@@ -23,12 +28,16 @@ def norm_value(text: Column) -> Column:
 
 def sanitize_name(text: Column) -> Column:
     """Name that is safe as a folder or file name."""
-    return F.substring(F.regexp_replace(strip(text), r"(?U)[^-\w.]", "_"), 1, 40)
+    safe = F.regexp_replace(strip(text), r"(?U)[^-\w.]", "_")
+    return F.substring(
+        F.when(F.rlike(text, F.lit(_MAY_BE_UNSAFE)), safe).otherwise(text), 1, 40
+    )
 
 
 def unescaped(path: Column) -> Column:
     """File path or name without the escapes of a URI; a plus sign stays."""
-    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    decoded = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    return F.when(F.contains(path, F.lit("%")), decoded).otherwise(path)
 
 
 def source_label(file_name: Column) -> Column:

@@ -45,6 +45,15 @@ def value_test(category: Column, sub_cat: Column, wanted: Mapping[str, Sequence[
     return test
 
 
+def chosen_values(props: Column, wanted: Mapping[str, Sequence[str]]) -> Column:
+    """Map of the wanted keys a feature carries to their normalised values."""
+    named = F.map_filter(props, lambda k, v: k.isin(*wanted) & v.isNotNull())
+    normal = F.transform_values(named, lambda k, v: norm_value(v))
+    if not any(wanted.values()):
+        return normal
+    return F.map_filter(normal, lambda k, v: value_test(k, v, wanted))
+
+
 def filter_subtags(
     features: DataFrame, tag: str, subtags: Sequence[str] | None = None
 ) -> DataFrame:

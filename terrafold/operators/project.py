@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from terrafold.functions.geometry import geom_group, object_type
-from terrafold.functions.text import first_present, norm_value, parse_id, sanitize_name, tags_json
+from terrafold.operators.filters import chosen_values
+from terrafold.functions.text import first_present, parse_id, sanitize_name, tags_json
 from terrafold.schema import FEATURE_COLUMNS, LINEAGE_COLUMNS, PLAIN_ATTRIBUTES, SHORT_NAMES
 
 
@@ -16,10 +17,8 @@ def fan_out(features: DataFrame, tags: Sequence[str]) -> DataFrame:
 
     One pass serves all keys; a feature gives at most ``len(tags)`` rows.
     """
-    wanted = F.map_filter("props", lambda k, v: k.isin(*tags) & v.isNotNull())
-    return features.select("*", F.explode(wanted).alias("category", "_value")).select(
-        *features.columns, "category", norm_value(F.col("_value")).alias("sub_cat")
-    )
+    pairs = chosen_values(F.col("props"), {tag: [] for tag in tags})
+    return features.select("*", F.explode(pairs).alias("category", "sub_cat"))
 
 
 def _edit_metadata(props: Column) -> list[Column]:

@@ -12,11 +12,10 @@ from terrafold.operators.assemble import (
     relation_areas,
     way_geometries,
 )
-from terrafold.operators.filters import value_test, wanted_values
-from terrafold.operators.project import fan_out, project_features
+from terrafold.operators.filters import chosen_values, wanted_values
+from terrafold.operators.project import project_features
 from terrafold.operators.relational import union_parts
 from terrafold.plans.merge import merge
-from terrafold.functions.text import norm_value
 
 # --- Fixed values -----------------------------------------------------------
 # Edit metadata of an element that lacks it.
@@ -44,10 +43,7 @@ def _props(kind: str) -> Column:
 
 def wanted_elements(elements: DataFrame, wanted: Mapping[str, Sequence[str]]) -> DataFrame:
     """Elements with at least one wanted key and value."""
-    chosen = F.map_filter(
-        "tags", lambda k, v: v.isNotNull() & value_test(k, norm_value(v), wanted)
-    )
-    return elements.filter(F.size(chosen) > 0)
+    return elements.filter(F.size(chosen_values(F.col("tags"), wanted)) > 0)
 
 
 def element_records(
@@ -84,9 +80,10 @@ def element_records(
             for kind, shape in shapes.items()
         ]
     )
-    pairs = fan_out(features, list(wanted))
-    chosen = pairs.filter(value_test(F.col("category"), F.col("sub_cat"), wanted))
-    return project_features(chosen)
+    chosen = chosen_values(F.col("props"), wanted)
+    return project_features(
+        features.select("*", F.explode(chosen).alias("category", "sub_cat"))
+    )
 
 
 def extract_elements(

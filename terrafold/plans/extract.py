@@ -7,21 +7,20 @@ from collections.abc import Mapping, Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from terrafold.operators.filters import value_test, wanted_values
+from terrafold.operators.filters import chosen_values, wanted_values
 from terrafold.operators.planning import expected_outputs, manifest, plan_run
-from terrafold.operators.project import fan_out, project_features
+from terrafold.operators.project import project_features
 from terrafold.plans.merge import MERGE_KEYS, merge
 from terrafold.plans.profiles import RunConfig
 from terrafold.sinks.writers import write_all
 from terrafold.sources.files import list_outputs
-from terrafold.sources.lines import (
-    mentions_keys,
-    read_feature_lines,
-    read_properties,
-    with_wkt,
-)
+from terrafold.sources.lines import choose_features, mentions_keys, read_feature_lines
 from terrafold.sources.parts import existing_ids, written_ids
 
+#: Up to so many keys, looking for them in the text costs less than it saves:
+#: many keys are found in most lines, and each takes a pass over the text.
+FEW_KEYS = 8
+
 
 def feature_records(
     lines: DataFrame,
@@ -31,14 +30,16 @@ def feature_records(
 ) -> DataFrame:
     """Records of every (feature, key) pair that is wanted.
 
-    Cheap tests come first: the text must mention a key before it is parsed,
-    and the value must be wanted before its geometry is converted. No shuffle.
+    Cheap tests come first: the value must be wanted before its geometry is
+    converted and, where few keys are asked for, the text must mention one
+    before it is parsed. No shuffle.
     """
     wanted = wanted if wanted is not None else wanted_values(tags, subtags)
-    mentioned = lines.filter(mentions_keys(F.col("value"), list(wanted)))
-    pairs = fan_out(read_properties(mentioned), list(wanted))
-    chosen = pairs.filter(value_test(F.col("category"), F.col("sub_cat"), wanted))
-    return project_features(with_wkt(chosen))
+    if len(wanted) <= FEW_KEYS:
+        lines = lines.filter(mentions_keys(F.col("value"), list(wanted)))
+    features = choose_features(lines, lambda props: chosen_values(props, wanted))
+    pairs = features.select("*", F.explode("chosen").alias("category", "sub_cat"))
+    return project_features(pairs.drop("chosen"))
 
 
 def extract(

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -76,63 +77,101 @@ def mentions_keys(line: Column, keys: Sequence[str]) -> Column:
 
     A key may also be written with JSON escapes, so lines holding one pass.
     """
-    names = "|".join(re.escape(k) for k in keys)
-    return F.rlike(line, F.lit(f'"(?:{names})"')) | F.contains(line, F.lit("\\u"))
+    found = [F.contains(line, F.lit(f'"{key}"')) for key in keys]
+    return reduce(or_, found, F.contains(line, F.lit("\\")))
 
 
-def _parsed(lines: DataFrame) -> DataFrame:
-    """Adds ``feature``; null for lines that are not one JSON object.
+def _from_lines(lines: DataFrame, *steps: Callable[[Column], Column]) -> DataFrame:
+    """Columns made from each feature by ``steps``, beside the lines' own.
 
     The line is parsed as a member of a wrapping object, so that text after
-    the feature makes it malformed. ``inline`` keeps the parse single: filters
-    on its output are not pushed below it.
+    the feature makes it malformed. Each step maps the array of at most one
+    struct that the step before gave; an empty array drops the line. All of it
+    is one expression below ``inline``: nothing is computed twice, because
+    filters are not pushed below a generator, and rows are copied once.
     """
     schema = f"feature struct<geometry: {geometry_schema()}, properties: map<string,string>>"
     wrapped = F.concat(F.lit('{"feature":'), F.col("value"), F.lit("}"))
-    return lines.select("*", F.inline(F.array(F.from_json(wrapped, schema))))
+    rows = F.transform(F.array(F.from_json(wrapped, schema)), lambda r: r["feature"])
+    for step in steps:
+        rows = step(rows)
+    return lines.select("*", F.inline(rows))
+
+
+def _with_props(rows: Column) -> Column:
+    """Features that have properties: (props, geometry)."""
+    kept = F.filter(rows, lambda f: f["properties"].isNotNull())
+    return F.transform(
+        kept,
+        lambda f: F.struct(
+            last_wins(f["properties"]).alias("props"), f["geometry"].alias("geometry")
+        ),
+    )
+
+
+def _with_wkt(rows: Column, carried: Sequence[str] = ("props",)) -> Column:
+    """Features whose geometry converts; type and text replace the geometry."""
+    converted = F.transform(
+        rows,
+        lambda f: F.struct(
+            *[f[c].alias(c) for c in carried],
+            f["geometry"]["type"].alias("geometry_type"),
+            geojson_to_wkt(f["geometry"]).alias("geometry_wkt"),
+        ),
+    )
+    return F.filter(converted, lambda f: f["geometry_wkt"].isNotNull())
+
+
+def _with_chosen(choose: Callable[[Column], Column]) -> Callable[[Column], Column]:
+    """Adds ``chosen``, a map made from the properties; features without any go."""
+
+    def step(rows: Column) -> Column:
+        marked = F.transform(
+            rows,
+            lambda f: F.struct(
+                f["props"].alias("props"),
+                f["geometry"].alias("geometry"),
+                choose(f["props"]).alias("chosen"),
+            ),
+        )
+        return F.filter(marked, lambda f: F.size(f["chosen"]) > 0)
+
+    return step
 
 
 def read_properties(lines: DataFrame) -> DataFrame:
     """(source, props, geometry) of well-formed lines that have properties."""
-    return (
-        _parsed(lines)
-        .filter(F.col("feature.properties").isNotNull())
-        .select(
-            "source",
-            F.explode(F.array(last_wins(F.col("feature.properties")))).alias("props"),
-            F.col("feature.geometry").alias("geometry"),
-        )
-    )
+    return _from_lines(lines, _with_props).select("source", "props", "geometry")
 
 
-def with_wkt(features: DataFrame) -> DataFrame:
-    """Replace ``geometry`` by type and WKT; rows that do not convert go.
+def choose_features(lines: DataFrame, choose: Callable[[Column], Column]) -> DataFrame:
+    """(source, props, chosen, geometry_type, geometry_wkt) of chosen features.
 
-    ``explode`` of at most one value drops the row and computes the text once.
+    ``choose`` maps the properties to the (key, value) pairs that are wanted.
+    Only features with such a pair have their geometry converted.
     """
-    one = F.filter(F.array(geojson_to_wkt("geometry")), lambda w: w.isNotNull())
-    kept = features.select("*", F.explode(one).alias("geometry_wkt"))
-    return kept.withColumn("geometry_type", F.col("geometry.type")).drop("geometry")
+    converted = lambda rows: _with_wkt(rows, ("props", "chosen"))
+    return _from_lines(lines, _with_props, _with_chosen(choose), converted).drop("value")
 
 
 def parse_features(lines: DataFrame) -> DataFrame:
     """(source, props, geometry_type, geometry_wkt) of usable feature lines."""
-    return with_wkt(read_properties(lines))
+    return _from_lines(lines, _with_props, _with_wkt).drop("value")
 
 
 def rejected_lines(lines: DataFrame) -> DataFrame:
     """Lines :func:`parse_features` leaves out, with the reason."""
-    wkt = F.explode(F.array(geojson_to_wkt("feature.geometry")))
-    return (
-        _parsed(lines)
-        .select("*", wkt.alias("geometry_wkt"))
-        .withColumn(
-            "reason",
-            F.when(F.col("feature").isNull(), "malformed")
-            .when(F.col("feature.properties").isNull(), "no_properties")
-            .when(F.col("feature.geometry").isNull(), "no_geometry")
-            .when(F.col("geometry_wkt").isNull(), "unconvertible"),
+
+    def judged(rows: Column) -> Column:
+        return F.transform(
+            rows, lambda f: F.struct(f.alias("f"), geojson_to_wkt(f["geometry"]).alias("wkt"))
         )
-        .filter(F.col("reason").isNotNull())
-        .select("source", "value", "reason")
+
+    reason = (
+        F.when(F.col("f").isNull(), "malformed")
+        .when(F.col("f.properties").isNull(), "no_properties")
+        .when(F.col("f.geometry").isNull(), "no_geometry")
+        .when(F.col("wkt").isNull(), "unconvertible")
     )
+    found = _from_lines(lines, judged).withColumn("reason", reason)
+    return found.filter(F.col("reason").isNotNull()).select("source", "value", "reason")

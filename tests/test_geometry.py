@@ -142,7 +142,7 @@ def test_wkt_to_geojson_reads_back(spark):
     texts = df.select("w", geometry.wkt_to_geojson(F.col("w")).alias("g"))
     assert all(json.loads(r["g"]) for r in texts.collect())
     parsed = texts.withColumn("geometry", F.from_json("g", geometry_schema()))
-    back = parsed.select("w", geometry.geojson_to_wkt("geometry").alias("b")).collect()
+    back = parsed.select("w", geometry.geojson_to_wkt(F.col("geometry")).alias("b")).collect()
     assert all(_same(r["w"], r["b"]) for r in back)
 
 
