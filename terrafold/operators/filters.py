@@ -36,18 +36,29 @@ def wanted_values(
     return {tag: list(subtags) for tag in tags}
 
 
+def _value_lists(wanted: Mapping[str, Sequence[str]]) -> Column:
+    """Constant map from key to the list of its values."""
+
+    def quoted(text: str) -> str:
+        return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+    entries = [
+        f"{quoted(tag)}, CAST(array({', '.join(map(quoted, values))}) AS array<string>)"
+        for tag, values in wanted.items()
+    ]
+    return F.expr(f"map({', '.join(entries)})")
+
+
 def value_test(category: Column, sub_cat: Column, wanted: Mapping[str, Sequence[str]]) -> Column:
     """Whether a normalised value is wanted for its key."""
-    test = F.lit(False)
-    for tag, values in wanted.items():
-        match = category == tag
-        test = test | ((match & sub_cat.isin(*values)) if values else match)
-    return test
+    values = F.try_element_at(_value_lists(wanted), category)
+    return F.coalesce((F.size(values) == 0) | F.array_contains(values, sub_cat), F.lit(False))
 
 
 def chosen_values(props: Column, wanted: Mapping[str, Sequence[str]]) -> Column:
     """Map of the wanted keys a feature carries to their normalised values."""
-    named = F.map_filter(props, lambda k, v: k.isin(*wanted) & v.isNotNull())
+    lists = _value_lists(wanted)
+    named = F.map_filter(props, lambda k, v: F.map_contains_key(lists, k) & v.isNotNull())
     normal = F.transform_values(named, lambda k, v: norm_value(v))
     if not any(wanted.values()):
         return normal

@@ -16,6 +16,7 @@ def local_session(cpus: int | str = "*", memory: str = "20g", **conf: str) -> Sp
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.sql.session.timeZone": "UTC",
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **conf,
     }
     builder = SparkSession.builder.master(f"local[{cpus}]").appName("terrafold")

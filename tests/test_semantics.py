@@ -117,6 +117,12 @@ def test_unknown_key_accepts_all_values(spark):
     assert _records(spark, _line(cuisine="thai"), tags=["cuisine"]).count() == 1
 
 
+def test_values_with_quotes(spark):
+    rows = [_line(power="it's"), _line(power="a\\b"), _line(power="tower")]
+    kept = _records(spark, *rows, subtags=["it's", "a\\b"]).collect()
+    assert {r["sub_cat"] for r in kept} == {"it's", "a\\b"}
+
+
 def test_null_value_is_no_tag_but_hides_a_fallback(spark):
     assert _records(spark, _line(power=None)).count() == 0
     value = _line(**{"power": "tower", "name": None, "name:en": "x", "plant:source": None,
