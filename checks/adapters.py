@@ -183,7 +183,7 @@ def area_nodes(spark: SparkSession, sf: str) -> DataFrame:
             "s * 10 + k AS id",
             "double(s % 30 * 10 - 150 + dx) AS lon",
             "double(s % 15 * 10 - 75 + dy) AS lat",
-            "map() AS tags",
+            "CAST(map() AS map<string,string>) AS tags",
             *_EDIT,
         )
     )
@@ -201,7 +201,7 @@ def area_ways(spark: SparkSession, sf: str) -> DataFrame:
         .selectExpr(
             "s * 10 + w AS id",
             "transform(corners, k -> s * 10 + k) AS node_refs",
-            "map() AS tags",
+            "CAST(map() AS map<string,string>) AS tags",
             *_EDIT,
         )
     )

@@ -375,13 +375,24 @@ def _multipolygon(lines: list[np.ndarray]) -> str | None:
 
 @F.pandas_udf(T.StringType())
 def assemble_multipolygon(xs: pd.Series, ys: pd.Series, lengths: pd.Series) -> pd.Series:
-    """WKT of the area whose border lines lie end to end in ``xs`` and ``ys``."""
+    """WKT of the area whose border lines lie end to end in ``xs`` and ``ys``.
+
+    Null where the columns are null or the lines do not close.
+    """
     out = []
     for x, y, sizes in zip(xs, ys, lengths):
+        if x is None:
+            out.append(None)
+            continue
         points = np.column_stack([x, y])
         out.append(_multipolygon(np.split(points, np.cumsum(sizes)[:-1])))
     return pd.Series(out, dtype=object)
 
 
+# Likewise: a test of the result for null must not be moved below and chain
+# the lines a second time.
+assemble_multipolygon = assemble_multipolygon.asNondeterministic()
+
+
 # Executors need no copy of the package: the functions travel with the query.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -82,35 +82,43 @@ def _located(nodes: DataFrame, unique_ids: bool) -> DataFrame:
     )
 
 
-def way_coords(ways: DataFrame, nodes: DataFrame, unique_ids: bool = False) -> DataFrame:
-    """Ways with ``xs`` and ``ys``, the ordinates of their nodes in order.
+def locate(
+    features: DataFrame, nodes: DataFrame, keys: Sequence[str] = ("id",), unique_ids: bool = False
+) -> DataFrame:
+    """Features with ``xs`` and ``ys``, the ordinates of their ``node_refs`` in order.
 
-    Ways with an unresolved reference are left out. The other columns of a way
-    travel on its first reference only, so they move once and need no join of
-    their own afterwards. ``unique_ids`` skips the choice of the latest version.
+    ``features`` holds one row per key. Those with an unresolved reference are
+    left out. The other columns travel on the first reference only, so they
+    move once and need no join of their own afterwards.
     """
-    ways = ways if unique_ids else latest(ways)
-    rest = [c for c in ways.columns if c != "id"]
-    on_first = F.when(F.col("pos") == 0, F.struct(*rest)).alias("way")
-    refs = (
-        ways.select("*", F.posexplode("node_refs").alias("pos", "ref"))
-        .select("id", "pos", "ref", on_first)
+    keys = list(keys)
+    rest = [c for c in features.columns if c not in keys]
+    on_first = F.when(F.col("pos") == 0, F.struct(*rest)).alias("feature")
+    refs = features.select("*", F.posexplode("node_refs").alias("pos", "ref")).select(
+        *keys, "pos", "ref", on_first
     )
-    point = F.struct("pos", "lon", "lat")
     gathered = (
         refs.join(_located(nodes, unique_ids), "ref")
-        .repartition("id")  # lists shrink nothing, so they are built after the shuffle
-        .groupBy("id")
+        .repartition(*keys)  # lists shrink nothing, so they are built after the shuffle
+        .groupBy(*keys)
         .agg(
-            F.array_sort(F.collect_list(point)).alias("points"),
-            F.first("way", ignorenulls=True).alias("way"),
+            F.array_sort(F.collect_list(F.struct("pos", "lon", "lat"))).alias("points"),
+            F.first("feature", ignorenulls=True).alias("feature"),
         )
     )
-    return gathered.filter(F.size("points") == F.size("way.node_refs")).select(
-        "id", "way.*", F.col("points.lon").alias("xs"), F.col("points.lat").alias("ys")
+    return gathered.filter(F.size("points") == F.size("feature.node_refs")).select(
+        *keys, "feature.*", F.col("points.lon").alias("xs"), F.col("points.lat").alias("ys")
     )
 
 
+def way_coords(ways: DataFrame, nodes: DataFrame, unique_ids: bool = False) -> DataFrame:
+    """The latest version of each way with its ordinates, see :func:`locate`.
+
+    ``unique_ids`` skips the choice of the latest version of ways and nodes.
+    """
+    return locate(ways if unique_ids else latest(ways), nodes, unique_ids=unique_ids)
+
+
 def _pairs_text() -> Column:
     pair = lambda x, y: F.concat(x.cast("string"), F.lit(" "), y.cast("string"))
     return F.array_join(F.zip_with("xs", "ys", pair), ",")
@@ -135,31 +143,40 @@ def way_areas(
     return coords.withColumn("geometry_wkt", plain_numbers(ring)).drop("xs", "ys")
 
 
-def way_geometries(
-    ways: DataFrame, nodes: DataFrame, line_keys: Sequence[str] = (), unique_ids: bool = False
-) -> DataFrame:
-    """Lines and areas of :func:`way_lines` and :func:`way_areas` in one join.
-
-    Adds ``osm_type`` ("way" or "area").
-    """
-    usable = min_vertices(ways)
+def _drawable_ways(ways: DataFrame, line_keys: Sequence[str]) -> DataFrame:
+    """Ways that give a line or an area, marked by ``is_area``."""
     is_area = F.coalesce(is_closed(F.col("node_refs")), F.lit(False))
     too_short = is_area & (F.size("node_refs") < MIN_RING_REFS)
     for key in line_keys:
         keyed = F.coalesce(F.map_contains_key("tags", key), F.lit(False))
         is_area, too_short = is_area & ~keyed, too_short & ~keyed
-    coords = way_coords(
-        usable.filter(~too_short).withColumn("_area", is_area), nodes, unique_ids
-    )
-    text = F.concat(
-        F.when(F.col("_area"), "MULTIPOLYGON (((").otherwise("LINESTRING ("),
+    return min_vertices(ways).filter(~too_short).withColumn("is_area", is_area)
+
+
+def _way_text() -> Column:
+    return F.concat(
+        F.when(F.col("is_area"), "MULTIPOLYGON (((").otherwise("LINESTRING ("),
         _pairs_text(),
-        F.when(F.col("_area"), ")))").otherwise(")"),
+        F.when(F.col("is_area"), ")))").otherwise(")"),
     )
+
+
+def _way_type() -> Column:
+    return F.when(F.col("is_area"), "area").otherwise("way")
+
+
+def way_geometries(
+    ways: DataFrame, nodes: DataFrame, line_keys: Sequence[str] = (), unique_ids: bool = False
+) -> DataFrame:
+    """Lines and areas of :func:`way_lines` and :func:`way_areas` in one join.
+
+    Adds ``osm_type`` ("way" or "area").
+    """
+    coords = way_coords(_drawable_ways(ways, line_keys), nodes, unique_ids)
     return (
-        coords.withColumn("geometry_wkt", plain_numbers(text))
-        .withColumn("osm_type", F.when(F.col("_area"), "area").otherwise("way"))
-        .drop("xs", "ys", "_area")
+        coords.withColumn("geometry_wkt", plain_numbers(_way_text()))
+        .withColumn("osm_type", _way_type())
+        .drop("xs", "ys", "is_area")
     )
 
 
@@ -168,50 +185,93 @@ def area_relations(relations: DataFrame) -> DataFrame:
     return relations.filter(F.col("tags")["type"].isin(*AREA_RELATIONS))
 
 
-def relation_areas(
-    relations: DataFrame, ways: DataFrame, nodes: DataFrame, unique_ids: bool = False
-) -> DataFrame:
-    """Area relations with the multipolygon their member ways enclose.
+def relation_refs(relations: DataFrame, ways: DataFrame, unique_ids: bool = False) -> DataFrame:
+    """Area relations with the references of their member ways, one after another.
 
-    Members are chained into rings; a ring inside an odd number of others is a
-    hole. Every ring starts at its smallest corner, shells run counter-clockwise
-    and holes clockwise. A relation with an unresolved member or an open ring
-    is left out. One group is one relation, so it is as large as one geometry.
+    ``node_refs`` holds them all and ``sizes`` how many come from each way.
+    Relations with an unknown member way, or without any, are left out. One
+    group is one relation, so it is as large as one geometry.
     """
     relations = area_relations(relations)
     relations = relations if unique_ids else latest(relations)
     rest = [c for c in relations.columns if c != "id"]
-    way_members = F.filter("members", lambda m: m["type"].isin("way", "w"))
     on_first = F.when(F.col("pos") == 0, F.struct(*rest, F.size("_ways").alias("_n")))
     members = (
-        relations.withColumn("_ways", way_members)
+        relations.withColumn("_ways", F.filter("members", lambda m: m["type"].isin("way", "w")))
         .select("*", F.posexplode("_ways").alias("pos", "member"))
         .select("id", "pos", F.col("member.ref").alias("ref"), on_first.alias("relation"))
     )
-    used = unique_keys(members.select(F.col("ref").alias("id")), ["id"])
-    lines = way_coords(
-        min_vertices(ways.select("id", "node_refs", *[c for c in _EDIT if c in ways.columns]))
-        .join(used, "id", "left_semi"),
-        nodes,
-        unique_ids,
-    ).select(F.col("id").alias("ref"), "xs", "ys")
+    narrow = min_vertices(ways.select("id", "node_refs", *[c for c in _EDIT if c in ways.columns]))
+    known = (narrow if unique_ids else latest(narrow)).select(F.col("id").alias("ref"), "node_refs")
     gathered = (
-        members.join(lines, "ref")
+        members.join(known, "ref")
         .repartition("id")
         .groupBy("id")
         .agg(
-            F.array_sort(F.collect_list(F.struct("pos", "xs", "ys"))).alias("lines"),
+            F.array_sort(F.collect_list(F.struct("pos", "node_refs"))).alias("lines"),
             F.first("relation", ignorenulls=True).alias("relation"),
         )
         .filter(F.size("lines") == F.col("relation._n"))
     )
-    area = assemble_multipolygon(
-        F.flatten("lines.xs"), F.flatten("lines.ys"), F.transform("lines.xs", lambda a: F.size(a))
+    return gathered.select(
+        "id",
+        "relation.*",
+        F.flatten("lines.node_refs").alias("node_refs"),
+        F.transform("lines.node_refs", lambda refs: F.size(refs)).alias("sizes"),
+    ).drop("_n")
+
+
+def relation_areas(
+    relations: DataFrame, ways: DataFrame, nodes: DataFrame, unique_ids: bool = False
+) -> DataFrame:
+    """Area relations with the multipolygon their member ways enclose.
+
+    Members are chained into rings; a ring inside an odd number of others is a
+    hole. Every ring starts at its smallest corner, shells run counter-clockwise
+    and holes clockwise. A relation with an unresolved member or an open ring
+    is left out.
+    """
+    coords = locate(relation_refs(relations, ways, unique_ids), nodes, unique_ids=unique_ids)
+    area = assemble_multipolygon("xs", "ys", "sizes")
+    return (
+        coords.withColumn("geometry_wkt", area)
+        .filter(F.col("geometry_wkt").isNotNull())
+        .drop("xs", "ys", "sizes", "node_refs")
+    )
+
+
+def line_and_area_features(
+    tagged_ways: DataFrame,
+    tagged_relations: DataFrame,
+    ways: DataFrame,
+    nodes: DataFrame,
+    line_keys: Sequence[str] = (),
+    unique_ids: bool = False,
+) -> DataFrame:
+    """Geometries of ways and of area relations, with one pass over the nodes.
+
+    The same rows as :func:`way_geometries` and :func:`relation_areas`, which
+    would each move the node table. ``ways`` are all ways a relation may refer
+    to. Adds ``src_type`` and ``osm_type``.
+    """
+    lines = _drawable_ways(tagged_ways, line_keys)
+    lines = lines if unique_ids else latest(lines)
+    shared = ["id", "node_refs", "tags", "version", "timestamp", "user", "changeset"]
+    one_line = F.array(F.size("node_refs")).alias("sizes")
+    features = lines.select(*shared, one_line, "is_area", F.lit("way").alias("src_type")).unionByName(
+        relation_refs(tagged_relations, ways, unique_ids).select(
+            *shared, "sizes", F.lit(True).alias("is_area"), F.lit("relation").alias("src_type")
+        )
     )
+    coords = locate(features, nodes, ["src_type", "id"], unique_ids)
+    relation = F.col("src_type") == "relation"
+    area = assemble_multipolygon(*[F.when(relation, F.col(c)) for c in ("xs", "ys", "sizes")])
+    text = F.when(relation, area).otherwise(plain_numbers(_way_text()))
     return (
-        gathered.select("id", "relation.*", area.alias("geometry_wkt"))
+        coords.withColumn("geometry_wkt", text)
+        .withColumn("osm_type", _way_type())
         .filter(F.col("geometry_wkt").isNotNull())
-        .drop("_n")
+        .drop("xs", "ys", "sizes", "is_area", "node_refs")
     )
 
 

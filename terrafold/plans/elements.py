@@ -8,9 +8,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from terrafold.operators.assemble import (
     latest,
+    line_and_area_features,
     node_points,
-    relation_areas,
-    way_geometries,
 )
 from terrafold.operators.filters import chosen_values, wanted_values
 from terrafold.operators.project import project_features
@@ -23,11 +22,11 @@ NO_VERSION, NO_TIMESTAMP, NO_USER, NO_CHANGESET = "0", "", "unknown", "0"
 # --- End of fixed values ----------------------------------------------------
 
 
-def _props(kind: str) -> Column:
+def _props() -> Column:
     """Tags and edit metadata of an element, as the properties of a feature."""
     metadata = {
         "@id": F.col("id").cast("string"),
-        "@type": F.lit(kind),
+        "@type": F.col("src_type"),
         "@version": F.coalesce(F.col("version").cast("string"), F.lit(NO_VERSION)),
         "@timestamp": F.coalesce(
             F.date_format("timestamp", "yyyy-MM-dd HH:mm:ssxxx"), F.lit(NO_TIMESTAMP)
@@ -58,27 +57,25 @@ def element_records(
 ) -> DataFrame:
     """Records of every wanted (element, key) pair, geometry assembled.
 
-    Only elements with a wanted value enter the joins; the node table is read
-    for coordinates alone.
+    Only elements with a wanted value enter the joins; the node table is moved
+    once, for coordinates alone.
     """
     wanted = wanted_values(tags, subtags)
     tagged_nodes = wanted_elements(nodes, wanted)
-    shapes = {
-        "node": node_points(tagged_nodes if unique_ids else latest(tagged_nodes)).withColumn(
-            "osm_type", F.lit("node")
-        ),
-        "way": way_geometries(wanted_elements(ways, wanted), nodes, line_keys, unique_ids),
-        "relation": relation_areas(
-            wanted_elements(relations, wanted), ways, nodes, unique_ids
-        ).withColumn("osm_type", F.lit("area")),
-    }
-    features = union_parts(
-        *[
-            shape.select(
-                _props(kind).alias("props"), "geometry_wkt", "osm_type", F.lit(source).alias("source")
-            )
-            for kind, shape in shapes.items()
-        ]
+    node = F.lit("node")
+    points = node_points(tagged_nodes if unique_ids else latest(tagged_nodes)).select(
+        "*", node.alias("osm_type"), node.alias("src_type")
+    )
+    shapes = line_and_area_features(
+        wanted_elements(ways, wanted),
+        wanted_elements(relations, wanted),
+        ways,
+        nodes,
+        line_keys,
+        unique_ids,
+    )
+    features = union_parts(points.drop("lon", "lat"), shapes).select(
+        _props().alias("props"), "geometry_wkt", "osm_type", F.lit(source).alias("source")
     )
     chosen = chosen_values(F.col("props"), wanted)
     return project_features(

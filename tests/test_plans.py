@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from checks import adapters as A
 from terrafold.operators import assemble, relational
+from terrafold.plans.elements import element_records
 from terrafold.plans.extract import extract, feature_records
 from terrafold.plans.merge import MERGE_KEYS, merge
 from terrafold.schema import ALL_TAGS
@@ -185,3 +186,16 @@ def test_copies_of_one_way_and_node(spark):
     built = assemble.way_lines(copies, twice).select("id", "geometry_wkt")
     once = assemble.way_lines(ways, nodes, unique_ids=True).select("id", "geometry_wkt")
     assert sorted(map(tuple, built.collect())) == sorted(map(tuple, once.collect()))
+
+
+def test_element_job_moves_nodes_once_and_chains_rings_once(spark, sf, tmp_path):
+    for name, table in [
+        ("nodes", A.nodes(spark, sf)), ("ways", A.ways(spark, sf)),
+        ("relations", A.area_relations(spark, sf)),
+    ]:
+        table.write.parquet(str(tmp_path / name))
+    read = lambda name: spark.read.parquet(str(tmp_path / name))
+    shown = plan(element_records(read("nodes"), read("ways"), read("relations"), ["power", "landuse"]))
+    scans = re.findall(r"ReadSchema: .*", shown)
+    assert len([s for s in scans if "lon" in s and "tags" not in s]) == 1
+    assert shown.count("assemble_multipolygon(") == 1 and shown.count("ArrowEvalPython") == 1
