@@ -80,8 +80,9 @@ def event_lines(spark: SparkSession, sf: str, where: str = "true") -> DataFrame:
               x, ',', y + 2, '],[', x, ',', y, ']]') AS ring""",
         )
         .selectExpr(
-            f"""concat('{{"type":"Feature","geometry":', {_GEOMETRY},
-              ',"properties":{{', {_PROPERTIES}, '}}}}') AS value""",
+            # below a generator, so that filters on the line do not build it again
+            f"""explode(array(concat('{{"type":"Feature","geometry":', {_GEOMETRY},
+              ',"properties":{{', {_PROPERTIES}, '}}}}'))) AS value""",
             "'a' AS source",
         )
     )
