@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from terrafold.llm import bpe, packing
+from terrafold.llm import bpe, packing, quality, simhash, topk, warc
 from terrafold.llm.tokens import default_path
+from terrafold.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -42,3 +43,45 @@ def op6_bpe(spark: SparkSession, sf: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op5_topk(spark: SparkSession, sf: str) -> DataFrame:
+    """The 20 highest inner products of every 20th vector with all others."""
+    vectors = spark.read.parquet(f"{sf}/embeddings.parquet")
+    return topk.top_k(vectors, F.col("id") % 20 == 0, k=20, scale=64)
+
+
+@query
+def op7_simhash(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document's fingerprint and the component of documents it belongs to."""
+    found = simhash.near_duplicates(_documents(spark, sf), shingle=3, distance=2)
+    return found.withColumn("fingerprint", simhash.as_hex(F.col("fingerprint")))
+
+
+@query
+def op8_warc(spark: SparkSession, sf: str) -> DataFrame:
+    """Every page written to archives and read back, chunk by chunk."""
+    pages = spark.read.parquet(f"{sf}/pages.parquet")
+    path = scratch_path(spark, "warc")
+    warc.write_archives(pages.select(F.col("page_id").alias("record_id"), F.col("url").alias("uri"), F.col("html").alias("payload")), path)
+    records = warc.read_chunks(spark, path, keep_blocks=False).where("last")
+    return records.select(
+        F.col("record_id").try_cast("long").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        F.col("refers_to").try_cast("long").alias("refers_to"),
+        "sound",
+    )
+
+
+@query
+def op10_quality(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document's quality score, learnt without the held-out fifth."""
+    docs = _documents(spark, sf)
+    trees = quality.fit(docs, spark.read.parquet(f"{sf}/labels.parquet"))
+    scored = quality.score(docs.select("doc_id", "text"), trees)
+    return scored.select(
+        "doc_id", quality.held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )
