@@ -7,3 +7,35 @@ _ORACLES: dict[str, str] = {}
 
 def all_oracles() -> dict[str, str]:
     return dict(_ORACLES)
+
+_ORACLES["op5_topk"] = """
+WITH vectors AS (
+  SELECT vec_id, list_transform(embedding, x -> CAST(floor(CAST(x AS DOUBLE) * 64) AS BIGINT)) AS e
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+), scores AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+    CAST(list_sum(list_transform(list_zip(q.e, c.e), p -> p[1] * p[2])) AS BIGINT) AS score
+  FROM vectors q JOIN vectors c ON q.vec_id <> c.vec_id
+  WHERE q.vec_id % 20 = 0
+), ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS "rank"
+  FROM scores
+)
+SELECT query_id, vec_id, score, "rank" FROM ranked WHERE "rank" <= 20
+"""
+
+_ORACLES["op8_warc"] = """
+WITH payloads AS (
+  SELECT page_id, coalesce(html, '') AS payload FROM pages
+), originals AS (
+  SELECT payload, max(page_id) AS original FROM payloads GROUP BY payload
+), joined AS (
+  SELECT page_id, payload, octet_length(encode(payload)) AS n, original FROM payloads JOIN originals USING (payload)
+)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, sha1(payload) AS payload_digest,
+  CASE WHEN n >= 1000 AND page_id <> original THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN n >= 1000 AND page_id <> original THEN original END AS refers_to,
+  true AS sound
+FROM joined
+"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from terrafold.llm import bpe, packing, quality, simhash, topk, warc
+from terrafold.llm import bpe, fingerprint, packing, pii, quality, secret_scan, simhash, topk, warc
 from terrafold.llm.tokens import default_path
 from terrafold.session import scratch_path
 
@@ -85,3 +85,30 @@ def op10_quality(spark: SparkSession, sf: str) -> DataFrame:
     return scored.select(
         "doc_id", quality.held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
     )
+
+
+@query
+def op1_pii(spark: SparkSession, sf: str) -> DataFrame:
+    """Personal data in every document: counts and digest of the base kinds, all spans."""
+    return pii.digest(pii.find(_documents(spark, sf)), pii.BASE)
+
+
+@query
+def op2_fingerprint(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document's fingerprint beside its edited text's and the next document's."""
+    rows = fingerprint.with_edits(_documents(spark, sf))
+    return rows.select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        fingerprint.as_text(F.col("sketch")).alias("fingerprint"),
+        fingerprint.as_text(F.col("edited_sketch")).alias("edited_fingerprint"),
+        fingerprint.resemblance(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
+        fingerprint.resemblance(F.col("sketch"), F.col("next_sketch")).alias("near_next"),
+    )
+
+
+@query
+def op9_secrets(spark: SparkSession, sf: str) -> DataFrame:
+    """Secrets in every document: counts and digest of the base kinds, all spans."""
+    return pii.digest(secret_scan.find(_documents(spark, sf)), secret_scan.BASE)
