@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from terrafold.llm import bpe, fingerprint, packing, pii, quality, secret_scan, simhash, topk, warc
+from terrafold.llm import bpe, fingerprint, packing, pii, quality, repeats, secret_scan, simhash, topk, warc
+from terrafold.llm.common import text_or_empty
 from terrafold.llm.tokens import default_path
 from terrafold.session import scratch_path
 
@@ -112,3 +113,16 @@ def op2_fingerprint(spark: SparkSession, sf: str) -> DataFrame:
 def op9_secrets(spark: SparkSession, sf: str) -> DataFrame:
     """Secrets in every document: counts and digest of the base kinds, all spans."""
     return pii.digest(secret_scan.find(_documents(spark, sf)), secret_scan.BASE)
+
+
+@query
+def op4_repeats(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document without the 50-byte strings of earlier documents, as a digest."""
+    found = repeats.remove_repeats(_documents(spark, sf).select("doc_id", "text"), length=50)
+    return found.select(
+        "doc_id",
+        F.octet_length(text_or_empty()).cast("long").alias("n_bytes"),
+        repeats.n_removed(F.col("removed")).alias("n_removed"),
+        F.floor(F.size("removed") / 2).alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
