@@ -84,7 +84,28 @@ def find(docs: DataFrame) -> DataFrame:
     repeated rows get equal rows; an empty table gives none. Other columns are
     left behind, whatever their names.
     """
-    rows = docs.select(F.col("doc_id").alias("doc_id"), text_or_empty().alias("text"))
+    return _located(docs.select("doc_id", "text")).select("row.doc_id", "spans")
+
+
+def spans_of(docs: DataFrame, name: str) -> DataFrame:
+    """The documents with a column of their secrets' (start, end), apart and in order."""
+    found = _located(docs)
+    none = F.array().cast("array<struct<start:bigint,end:bigint>>")
+
+    def add(merged: Column, s: Column) -> Column:
+        last = F.get(merged, F.size(merged) - 1)
+        own = F.array(F.struct(s["start"].alias("start"), s["end"].alias("end")))
+        wider = F.array(F.struct(last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end")))
+        overlaps = (F.size(merged) > 0) & (last["end"] > s["start"])
+        return F.when(overlaps, F.concat(F.slice(merged, F.lit(1), F.size(merged) - 1), wider)).otherwise(F.concat(merged, own))
+
+    merged = F.aggregate("spans", none, add)
+    return found.select("row.*", merged.alias(name))
+
+
+def _located(docs: DataFrame) -> DataFrame:
+    """(row, spans) of documents: a struct of all their columns, and their secrets."""
+    rows = docs.select(F.struct(*(F.col(f"`{n}`") for n in docs.columns)).alias("row"), text_or_empty().alias("text"))
     rows = with_places(rows, BASE | {"entropy": CANDIDATE})
     long_enough = lambda s: F.length(F.regexp_extract(s["value"], BASE["assign"], 2)) >= 6
     rows = rows.withColumn("assign", F.filter("assign", long_enough))
@@ -96,4 +117,4 @@ def find(docs: DataFrame) -> DataFrame:
     touched = lambda s, b: (b["start"] < s["end"]) & (s["start"] < b["end"])
     rows = rows.withColumn("entropy", F.filter(added, lambda s: s["score"] * F.log2(F.lit(most)) >= limit(s)))
     alone = F.filter("entropy", lambda s: ~F.exists("base", lambda b: touched(s, b)))
-    return rows.select("doc_id", F.array_sort(F.concat("base", alone)).alias("spans"))
+    return rows.select("row", F.array_sort(F.concat("base", alone)).alias("spans"))

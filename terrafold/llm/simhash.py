@@ -24,6 +24,8 @@ from terrafold.llm.common import checkpointed, text_or_empty
 from terrafold.llm.components import components
 
 BITS, PARTS = 64, 4
+#: Pairs that a group holds before they are cut to their forest.
+HELD = 1 << 20
 
 #: The bits of each byte.
 _BYTE_BITS = (np.arange(256)[:, None] >> np.arange(8)) & 1
@@ -121,9 +123,10 @@ def _balls(width: int, radius: int):
 def candidate_costs(rows: DataFrame, groups: list[list[int]], distance: int) -> list[list[float]]:
     """Estimated work of each partition at thresholds -1, 0, 1, …, distance.
 
-    From the exact number of fingerprints for each value of a partition, a
-    table of at most 2**16 counts per partition.
+    From the exact number of fingerprints for each value of a partition's first
+    16 bits: a table of at most 2**16 counts per partition.
     """
+    groups, widths = [g[:16] for g in groups], [len(g) for g in groups]
     def run(batches):
         import pandas as pd
 
@@ -146,7 +149,8 @@ def candidate_costs(rows: DataFrame, groups: list[list[int]], distance: int) ->
             masks = _balls(len(bits), min(reach, 2))
             near = sum(table[(values ^ m).astype(np.int64)] for m in masks)
             pairs = float((table * near).sum()) * (8.0 ** max(0, reach - 2))
-            line.append(pairs + 4 * n * len(_balls(len(bits), (t + 1) // 2)))
+            pairs /= 2.0 ** (widths[i] - len(bits))
+            line.append(pairs + 4 * n * len(_balls(widths[i], min((t + 1) // 2, 2))) * 9.0 ** max(0, (t + 1) // 2 - 2))
         costs.append(line)
     return costs
 
@@ -165,24 +169,32 @@ def thresholds(costs: list[list[float]], distance: int) -> list[int]:
     return best[distance + 1][1]
 
 
-def _forest(a, b, n: int):
-    """Edges of a spanning forest of pairs (a, b) among n rows: each row's least reachable."""
-    label = np.arange(n)
-    while True:
-        least = np.minimum(label[a], label[b])
-        before = label.copy()
-        np.minimum.at(label, a, least)
-        np.minimum.at(label, b, least)
-        label = label[label]
-        if np.array_equal(label, before):
-            return label
+def forest(a, b, weight, n: int):
+    """Numbers of the pairs (a, b) that make a spanning forest of least weight among n rows."""
+    label, chosen = np.arange(n), []
+    order = np.argsort(weight, kind="stable")
+    cuts = np.flatnonzero(np.diff(weight[order])) + 1
+    for level in np.split(order, cuts):
+        while len(level):
+            left, right = label[a[level]], label[b[level]]
+            level, left, right = (x[left != right] for x in (level, left, right))
+            if not len(level):
+                break
+            # each component hooks to one of a lesser label, so no circle closes
+            upper, first = np.unique(np.maximum(left, right), return_index=True)
+            chosen.append(level[first])
+            label[upper] = np.minimum(left, right)[first]
+            while not np.array_equal(label, label[label]):
+                label = label[label]
+    return np.concatenate(chosen) if chosen else np.zeros(0, np.int64)
 
 
 def links(rows: DataFrame, distance: int, parts: int = PARTS) -> DataFrame:
     """(a, b): edges that connect ids whose fingerprints are within the distance.
 
-    rows: (id, fingerprint), a row per distinct fingerprint. Ids in a group of
-    candidates that are connected get one edge each to the group's least.
+    rows: (id, fingerprint). The edges of each group of candidates are a
+    spanning forest of its links, the links of fewest bits first, so ids that
+    links within some number of bits connect are connected by edges within it.
     """
     groups = grouped_bits(rows, parts)
     chosen = thresholds(candidate_costs(rows, groups, distance), distance)
@@ -214,31 +226,26 @@ def links(rows: DataFrame, distance: int, parts: int = PARTS) -> DataFrame:
         def found(spot, ids, prints):
             order = np.lexsort((ids, spot))
             spot, ids, prints = spot[order], ids[order], prints[order]
-            label, step, at = np.arange(len(spot)), 1, np.arange(len(spot))
-            left, right = [], []
-            held = 0
+            pairs, step, at = [], 1, np.arange(len(spot))
 
-            def settle(label):
-                pairs = (np.concatenate([*left, label]), np.concatenate([*right, np.arange(len(label))]))
-                return _forest(*pairs, len(label))
+            def settled():
+                a, b, bits = (np.concatenate([p[i] for p in pairs]) for i in range(3))
+                kept = forest(a, b, bits, len(spot))
+                return [(a[kept], b[kept], bits[kept])]
 
             while True:
                 at = at[at + step < len(spot)]
                 at = at[spot[at] == spot[at + step]]
                 if not len(at):
                     break
-                near = np.bitwise_count(prints[at] ^ prints[at + step]) <= distance
-                left.append(at[near])
-                right.append(at[near] + step)
-                held += int(near.sum())
-                if held > 1_000_000:
-                    label, held = settle(label), 0
-                    left.clear()
-                    right.clear()
+                bits = np.bitwise_count(prints[at] ^ prints[at + step])
+                near = bits <= distance
+                pairs.append((at[near], at[near] + step, bits[near]))
+                if step % 64 == 0 and sum(len(p[0]) for p in pairs) > HELD:
+                    pairs = settled()
                 step += 1
-            label = settle(label)
-            linked = label != np.arange(len(label))
-            return pa.RecordBatch.from_arrays([pa.array(ids[label[linked]]), pa.array(ids[linked])], ["a", "b"])
+            pairs = settled() if pairs else [(at, at, at)]
+            return pa.RecordBatch.from_arrays([pa.array(ids[pairs[0][0]]), pa.array(ids[pairs[0][1]])], ["a", "b"])
 
         kept = None
         for batch in batches:
@@ -274,5 +281,81 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 2) -> Dat
     return prints.join(named, F.col("fingerprint") == F.col("of")).select("doc_id", "fingerprint", "component_id")
 
 
+def _shingle_set(text: bytes, shingle: int) -> bytes:
+    """The distinct hashes of a text's shingles, ascending."""
+    import xxhash
+
+    words = text.lower().split()
+    if not words:
+        return b""
+    parts = (b" ".join(words[i : i + shingle]) for i in range(max(1, len(words) - shingle + 1)))
+    return np.unique(np.array([xxhash.xxh64_intdigest(p) for p in parts], "<u8")).tobytes()
+
+
+def near_copies(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, distance: int = 8, parts: int = 3) -> DataFrame:
+    """doc_id, component_id: documents connected by copies and near copies.
+
+    Candidates are texts whose fingerprints of distinct words differ in at most
+    ``distance`` bits; an edge stands if the sets of the two texts' shingles are
+    at least ``similarity`` alike (shared over all). Equal texts are linked; no
+    text without words is like one with words. Rows without id are left out;
+    rows of one id count as one document.
+    """
+
+    def prints(batches):
+        import pyarrow as pa
+        import xxhash
+
+        for batch in batches:
+            texts = batch.column(1).to_pylist()
+            keys = pa.array([xxhash.xxh3_128_digest(t) for t in texts], pa.binary())
+            found = np.array([fingerprint_of(t, 1, distinct=True) for t in texts], np.uint64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), keys, pa.array(found.view(np.int64))], ["doc_id", "same", "fingerprint"])
+
+    def sets(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            found = [_shingle_set(t, shingle) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["id", "shingles"])
+
+    def verify(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            good = []
+            for x, y in zip(batch.column("of_a").to_pylist(), batch.column("of_b").to_pylist()):
+                x, y = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
+                shared = len(np.intersect1d(x, y, assume_unique=True))
+                good.append(shared >= similarity * (len(x) + len(y) - shared))
+            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().cast("binary").alias("text"))
+    rows = rows.where(F.col("doc_id").isNotNull())
+    known = checkpointed(rows.mapInArrow(prints, "doc_id long, same binary, fingerprint long"))
+    texts = known.groupBy("same", "fingerprint").agg(F.min("doc_id").alias("id"))
+    edges = checkpointed(links(texts, distance, parts).distinct())
+    on_edges = edges.select(F.explode(F.array("a", "b")).alias("of")).distinct()
+    held = rows.join(on_edges, F.col("doc_id") == F.col("of"), "left_semi").dropDuplicates(["doc_id"])
+    held = held.mapInArrow(sets, "id long, shingles binary")
+    both = (
+        edges.join(held.select(F.col("id").alias("a"), F.col("shingles").alias("of_a")), "a")
+        .join(held.select(F.col("id").alias("b"), F.col("shingles").alias("of_b")), "b")
+        .mapInArrow(verify, "a long, b long")
+    )
+    # a document of several texts connects them
+    least = known.groupBy("doc_id").agg(F.min("same").alias("one"), F.max("same").alias("other")).where("one != other")
+    named = texts.select(F.col("same").alias("of"), F.col("id"))
+    joined = known.join(least.select("doc_id"), "doc_id", "left_semi").join(named, F.col("same") == F.col("of"))
+    own = joined.select(F.col("doc_id").alias("a"), F.col("id").alias("b"))
+    found = components(both.unionByName(own))
+    by_text = known.join(named, F.col("same") == F.col("of")).select("doc_id", "id")
+    return (
+        by_text.join(found, F.col("id") == F.col("node"), "left")
+        .groupBy("doc_id")
+        .agg(F.min(F.coalesce("component", "id")).alias("component_id"))
+    )
+
+
 def as_hex(fingerprint: Column) -> Column:
     return F.lower(F.lpad(F.hex(fingerprint), 16, "0"))
