@@ -23,8 +23,10 @@ COLLECTION = "GeometryCollection"
 COLLECTION_WKT = "GEOMETRYCOLLECTION"
 # --- End of fixed values ----------------------------------------------------
 
-#: Collections inside collections that are followed; deeper ones are rejected.
+#: Collections inside collections that Spark's own functions follow; geometries
+#: that go deeper are marked and converted by ``collections.deep_wkt``.
 NESTING = 3
+DEEPER = "?"
 
 _NUMBER = r"[-+]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][-+]?[0-9]+)?"
 _PAIR = rf"({_NUMBER}) ({_NUMBER})"
@@ -78,16 +80,21 @@ def geojson_to_wkt(geometry: Column, nesting: int = NESTING) -> Column:
     """WKT of a GeoJSON geometry struct; null if it does not convert.
 
     Lists that are no points make the text null; members of a collection that
-    do not convert are left out of it.
+    do not convert are left out of it. A geometry that nests deeper than
+    ``nesting`` collections gives DEEPER.
     """
     if nesting:
         members = F.transform(geometry["geometries"], lambda g: geojson_to_wkt(g, nesting - 1))
         listed = F.array_join(F.filter(members, lambda m: m.isNotNull()), ",")
-        kept = only_if(listed, lambda t: (t != "") & ~F.contains(t, F.lit("?")))
-        collection = F.concat(F.lit(f"{COLLECTION_WKT} ("), kept, F.lit(")"))
+        kept = only_if(listed, lambda t: t != "")
+        collection = only_if(
+            F.when(F.exists(members, lambda m: m == DEEPER), DEEPER).otherwise(
+                F.concat(F.lit(f"{COLLECTION_WKT} ("), kept, F.lit(")"))
+            ),
+            lambda t: t.isNotNull(),
+        )
     else:
-        # a collection nested too deeply: its whole feature is rejected
-        collection = F.lit("?")
+        collection = F.lit(DEEPER)
     return F.when(geometry["type"] == COLLECTION, collection).otherwise(_simple_wkt(geometry))
 
 
@@ -202,8 +209,9 @@ def wkt_to_geojson(wkt: Column) -> Column:
     listed = F.regexp_replace(
         listed, rf"{COLLECTION_WKT} \(", f'{{"type":"{COLLECTION}","geometries":<'
     )
-    # the brackets left over: "<" opened a collection, those after "}" close one
-    listed = F.regexp_replace(listed, rf"(?<=\}}\){{0,{NESTING}}})\)", ">")
+    # the brackets left over: "<" opened a collection; one after "}", or after
+    # the last such one, closes it
+    listed = F.regexp_replace(listed, r"(?:(?<=\})|(?!^)\G)\)", ">")
     listed = F.translate(listed, "()", "[]")
     listed = F.replace(F.replace(listed, F.lit("<"), F.lit("[")), F.lit(">"), F.lit("]}"))
     return F.when(kind == COLLECTION_WKT, listed).otherwise(out)

@@ -59,36 +59,136 @@ def signed_area(ring: np.ndarray) -> float:
     return float(np.dot(x[:-1], y[1:]) - np.dot(x[1:], y[:-1])) / 2
 
 
-def _crossed(points: np.ndarray, ring: np.ndarray) -> np.ndarray:
-    """Rings (by number) in which two edges properly cross.
+def _edges(points: np.ndarray, ring: np.ndarray):
+    """Edges of rings that lie in a row: (start, end, ring, place in it, edges of the ring).
 
-    ``points`` are the corners of all rings in a row, ``ring`` the number of
-    the ring each belongs to. One sweep along x serves all rings: every edge
-    meets the next ones of its ring until they start right of its end.
+    Corners repeated one after another make no edge.
     """
-    inner = ring[:-1] == ring[1:]
-    a, b, owner = points[:-1][inner], points[1:][inner], ring[:-1][inner]
-    order = np.lexsort((np.minimum(a[:, 0], b[:, 0]), owner))
-    a, b, owner = a[order], b[order], owner[order]
-    low, high = np.minimum(a, b), np.maximum(a, b)
+    inner = (ring[:-1] == ring[1:]) & (points[:-1] != points[1:]).any(axis=1)
+    owner = ring[:-1][inner]
+    first = np.searchsorted(owner, owner, "left")
+    count = np.searchsorted(owner, owner, "right") - first
+    return points[:-1][inner], points[1:][inner], owner, np.arange(len(owner)) - first, count
 
-    def side(p, q, r):
-        return np.sign(
-            (q[:, 0] - p[:, 0]) * (r[:, 1] - p[:, 1]) - (q[:, 1] - p[:, 1]) * (r[:, 0] - p[:, 0])
-        )
 
-    crossed, i, step = [], np.arange(len(a)), 1
-    while len(i := i[i + step < len(a)]):
+def _meeting(a: np.ndarray, b: np.ndarray, group: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of edges of one group whose boxes meet.
+
+    One sweep serves all groups; each runs along the axis on which its edges
+    are shorter, as a part of the group's own extent.
+    """
+    low, high = np.minimum(a, b), np.maximum(a, b)
+    starts = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
+    extent = np.maximum.reduceat(high, starts) - np.minimum.reduceat(low, starts)
+    covered = np.add.reduceat(high - low, starts) / np.where(extent > 0, extent, 1)
+    turn = (covered[:, 1] < covered[:, 0])[np.cumsum(np.append(False, group[1:] != group[:-1]))]
+    low, high = (np.where(turn[:, None], x[:, ::-1], x) for x in (low, high))
+    order = np.lexsort((low[:, 0], group))
+    low, high, owner = low[order], high[order], group[order]
+    i, step = np.arange(len(order)), 1
+    while len(i := i[i + step < len(order)]):
         j = i + step
         i = i[(owner[i] == owner[j]) & (low[j, 0] <= high[i, 0])]
         j = i + step
         near = (low[i, 1] <= high[j, 1]) & (low[j, 1] <= high[i, 1])
-        i_near, j_near = i[near], j[near]
-        p, q, r, s = a[i_near], b[i_near], a[j_near], b[j_near]
-        cross = (side(p, q, r) * side(p, q, s) < 0) & (side(r, s, p) * side(r, s, q) < 0)
-        crossed.append(owner[i_near[cross]])
+        if near.any():
+            yield order[i[near]], order[j[near]]
         step += 1
-    return np.unique(np.concatenate(crossed)) if crossed else np.array([], dtype=int)
+
+
+def _side(p, q, r):
+    return np.sign((q[:, 0] - p[:, 0]) * (r[:, 1] - p[:, 1]) - (q[:, 1] - p[:, 1]) * (r[:, 0] - p[:, 0]))
+
+
+def _meetings(a, b, i, j):
+    """How pairs of edges meet: (properly crossing, sharing a stretch, touching, where they touch)."""
+    p, q, r, s = a[i], b[i], a[j], b[j]
+    sides = [_side(p, q, r), _side(p, q, s), _side(r, s, p), _side(r, s, q)]
+    cross = (sides[0] * sides[1] < 0) & (sides[2] * sides[3] < 0)
+    axis = np.abs(q - p).argmax(axis=1)
+    along = lambda x: x[np.arange(len(x)), axis]
+    start = np.maximum(np.minimum(along(p), along(q)), np.minimum(along(r), along(s)))
+    stop = np.minimum(np.maximum(along(p), along(q)), np.maximum(along(r), along(s)))
+    flat = (sides[0] == 0) & (sides[1] == 0) & (start < stop)
+    touch, where = np.zeros(len(i), bool), p.copy()
+    for side, u, v, point in zip(sides, (p, p, r, r), (q, q, s, s), (r, s, p, q)):
+        on = (side == 0) & ((np.minimum(u, v) <= point) & (point <= np.maximum(u, v))).all(axis=1)
+        where[on & ~touch] = point[on & ~touch]
+        touch |= on
+    return cross, flat, touch & ~cross, where
+
+
+def _ring_faults(points, ring, polygon, geometry) -> tuple[set[int], set[int], set[int]]:
+    """(rings that cross themselves, that touch themselves, geometries whose rings cross or part the inside).
+
+    points: corners of rings in a row; ring: the ring of each; polygon and
+    geometry: by ring. Rings of a polygon may touch in one point, polygons in
+    any number of points; no two rings may cross or share a stretch.
+    """
+    crossed, touched, between, touches = set(), set(), set(), []
+    if len(points) < 2:
+        return crossed, touched, between
+    a, b, owner, place, count = _edges(points, ring)
+    if not len(a):
+        return crossed, touched, between
+    for i, j in _meeting(a, b, geometry[owner]):
+        cross, flat, touch, where = _meetings(a, b, i, j)
+        same = owner[i] == owner[j]
+        step = np.abs(place[i] - place[j])
+        neighbours = same & ((step == 1) | (step == count[i] - 1))
+        crossed.update(owner[i[same & cross]].tolist())
+        touched.update(owner[i[same & (flat | (touch & ~neighbours))]].tolist())
+        between.update(geometry[owner[i[~same & (cross | flat)]]].tolist())
+        meet = ~same & touch & (polygon[owner[i]] == polygon[owner[j]])
+        pair = np.sort(np.stack([owner[i[meet]], owner[j[meet]]], axis=1), axis=1)
+        touches.append(np.column_stack([pair, where[meet]]))
+    if touches:
+        spots = np.unique(np.concatenate(touches), axis=0)
+        pairs, times = np.unique(spots[:, :2], axis=0, return_counts=True)
+        between.update(geometry[pairs[times > 1, 0].astype(int)].tolist())
+    return crossed, touched, between
+
+
+def inner_point(ring: np.ndarray) -> np.ndarray:
+    """A point strictly inside a ring of some area."""
+    levels = np.unique(ring[:, 1])
+    y = (levels[0] + levels[1]) / 2
+    a, b = ring[:-1], ring[1:]
+    over = (a[:, 1] > y) != (b[:, 1] > y)
+    a, b = a[over], b[over]
+    xs = np.sort(a[:, 0] + (y - a[:, 1]) * (b[:, 0] - a[:, 0]) / (b[:, 1] - a[:, 1]))
+    widest = 2 * np.argmax(xs[1::2] - xs[::2])
+    return np.array([(xs[widest] + xs[widest + 1]) / 2, y])
+
+
+def _misplaced(polygons: list[list[np.ndarray]]) -> str | None:
+    """What is wrong with where the rings of one geometry lie; they do not cross."""
+    boxes = [[(r.min(axis=0), r.max(axis=0)) for r in polygon] for polygon in polygons]
+    within = lambda box, other: (other[0] <= box[0]).all() and (box[1] <= other[1]).all()
+    spots = [[inner_point(r) for r in polygon] for polygon in polygons]
+    for polygon, box, spot in zip(polygons, boxes, spots):
+        for n in range(1, len(polygon)):
+            if not (within(box[n], box[0]) and inside(polygon[0], spot[n][None])):
+                return "hole_outside"
+        for n, m in _box_pairs(box[1:]):
+            for inner, outer in ((n + 1, m + 1), (m + 1, n + 1)):
+                if within(box[inner], box[outer]) and inside(polygon[outer], spot[inner][None]):
+                    return "holes_overlap"
+    for n, m in _box_pairs([box[0] for box in boxes]):
+        for inner, outer in ((n, m), (m, n)):
+            if within(boxes[inner][0], boxes[outer][0]) and inside(polygons[outer][0], spots[inner][0][None]):
+                holes = zip(polygons[outer][1:], boxes[outer][1:])
+                if not any(within(boxes[inner][0], box) and inside(hole, spots[inner][0][None]) for hole, box in holes):
+                    return "shells_overlap"
+    return None
+
+
+def _box_pairs(boxes) -> Iterator[tuple[int, int]]:
+    """Pairs of boxes that meet, by a sweep."""
+    if len(boxes) > 1:
+        low, high = (np.array([b[k] for b in boxes]) for k in (0, 1))
+        for i, j in _meeting(low, high, np.zeros(len(boxes), int)):
+            yield from zip(i.tolist(), j.tolist())
 
 
 def inside(ring: np.ndarray, points: np.ndarray) -> bool:
@@ -147,23 +247,34 @@ def _issues(wkts: list[str | None]) -> list[str | None]:
     turns = np.zeros(len(points))
     turns[:-1] = local[:-1, 0] * local[1:, 1] - local[1:, 0] * local[:-1, 1]
     turns[last] = 0
-    crossed = np.zeros(len(size), dtype=bool)
     in_ring = ring[number]
-    crossed[_crossed(points[in_ring], number[in_ring])] = True
+    crossed, touched, between = _ring_faults(points[in_ring], number[in_ring], np.array(shell), np.array(owner))
+    marked = lambda rings: np.isin(np.arange(len(size)), list(rings))
     defects = {
         "nonfinite": infinite,
         "short": (line & ~spread) | (ring & (size < 4)),
         "open_ring": ring & (points[first] != points[last]).any(axis=1),
-        "self_cross": crossed,
+        "self_cross": marked(crossed),
         "zero_area": ring & (np.add.reduceat(turns, first) == 0),
+        "self_touch": marked(touched),
     }
     for issue, bad in defects.items():
         for n in {owner[r] for r in np.flatnonzero(bad)}:
             if found[n] == "ok":
                 found[n] = issue
     for r in np.flatnonzero(ring & (np.array(shell) != np.arange(len(size)))):
-        if found[owner[r]] == "ok" and not inside(flat[shell[r]], flat[r]):
+        if owner[r] in between and found[owner[r]] == "ok" and not inside(flat[shell[r]], flat[r]):
             found[owner[r]] = "hole_outside"
+    for n in between:
+        if found[n] == "ok":
+            found[n] = "rings_cross"
+    rings_of: dict[int, dict[int, list[np.ndarray]]] = {}
+    for r in np.flatnonzero(ring):
+        if found[owner[r]] == "ok":
+            rings_of.setdefault(owner[r], {}).setdefault(shell[r], []).append(flat[r])
+    for n, polygons in rings_of.items():
+        if len(polygons) > 1 or any(len(p) > 1 for p in polygons.values()):
+            found[n] = _misplaced(list(polygons.values())) or "ok"
     return found
 
 
@@ -325,6 +436,27 @@ def _close_up(lines: list[np.ndarray]) -> list[np.ndarray] | None:
             chain.append(a[1:])
             end = tuple(a[-1])
         rings.append(np.concatenate(chain))
+    return [part for ring in rings for part in _apart(ring)]
+
+
+def _apart(ring: np.ndarray) -> list[np.ndarray]:
+    """Rings that pass no corner twice, from one that may."""
+    keep = np.append(True, (ring[1:] != ring[:-1]).any(axis=1))
+    ring = ring[keep]
+    if len(np.unique(ring[:-1], axis=0)) == len(ring) - 1:
+        return [ring]
+    rings, path, place = [], [], {}
+    for corner in map(tuple, ring):
+        if corner in place:
+            start = place[corner]
+            loop = path[start:]
+            rings.append(np.array([*loop, corner]))
+            for gone in loop[1:]:
+                del place[gone]
+            del path[start + 1 :]
+        else:
+            place[corner] = len(path)
+            path.append(corner)
     return rings
 
 
@@ -346,7 +478,8 @@ def _nesting(rings: list[np.ndarray]) -> tuple[np.ndarray, list[int]]:
     depth, parent = np.zeros(len(rings), dtype=int), [-1] * len(rings)
     for n, ring in enumerate(rings):
         boxes = (low <= low[n]).all(axis=1) & (high >= high[n]).all(axis=1) & (area > area[n])
-        holders = [m for m in np.flatnonzero(boxes) if inside(rings[m], ring[:2])]
+        spot = inner_point(ring)[None]  # the rings may touch, so no corner will do
+        holders = [m for m in np.flatnonzero(boxes) if inside(rings[m], spot)]
         depth[n] = len(holders)
         if holders:
             parent[n] = min(holders, key=lambda m: area[m])

@@ -17,10 +17,6 @@ from terrafold.sources.files import list_outputs
 from terrafold.sources.lines import choose_features, mentions_keys, read_feature_lines
 from terrafold.sources.parts import existing_ids, written_ids
 
-#: Up to so many keys, looking for them in the text costs less than it saves:
-#: many keys are found in most lines, and each takes a pass over the text.
-FEW_KEYS = 8
-
 
 def feature_records(
     lines: DataFrame,
@@ -30,13 +26,11 @@ def feature_records(
 ) -> DataFrame:
     """Records of every (feature, key) pair that is wanted.
 
-    Cheap tests come first: the value must be wanted before its geometry is
-    converted and, where few keys are asked for, the text must mention one
-    before it is parsed. No shuffle.
+    Cheap tests come first: the text must mention a key before it is parsed,
+    and a value must be wanted before its geometry is converted. No shuffle.
     """
     wanted = wanted if wanted is not None else wanted_values(tags, subtags)
-    if len(wanted) <= FEW_KEYS:
-        lines = lines.filter(mentions_keys(F.col("value"), list(wanted)))
+    lines = lines.filter(mentions_keys(F.col("value"), list(wanted)))
     features = choose_features(lines, lambda props: chosen_values(props, wanted))
     pairs = features.select("*", F.explode("chosen").alias("category", "sub_cat"))
     return project_features(pairs.drop("chosen"))

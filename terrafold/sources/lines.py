@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from terrafold.functions.geometry import geojson_to_wkt, geometry_schema
+from terrafold.functions.collections import deep_wkt
+from terrafold.functions.geometry import DEEPER, geojson_to_wkt, geometry_schema
 from terrafold.functions.text import last_wins, source_label, unescaped
 from terrafold.schema import MAX_LINE_BYTES
 
@@ -76,9 +76,10 @@ def mentions_keys(line: Column, keys: Sequence[str]) -> Column:
     """Cheap test that can only fail when no key stands in the line.
 
     A key may also be written with JSON escapes, so lines holding one pass.
+    Single quotes are no JSON, here as in the parser.
     """
-    found = [F.contains(line, F.lit(f'"{key}"')) for key in keys]
-    return reduce(or_, found, F.contains(line, F.lit("\\")))
+    listed = "|".join(re.escape(key) for key in keys)
+    return F.rlike(line, F.lit(rf'"(?:{listed})"|\\'))
 
 
 def _from_lines(lines: DataFrame, *steps: Callable[[Column], Column]) -> DataFrame:
@@ -92,7 +93,7 @@ def _from_lines(lines: DataFrame, *steps: Callable[[Column], Column]) -> DataFra
     """
     schema = f"feature struct<geometry: {geometry_schema()}, properties: map<string,string>>"
     wrapped = F.concat(F.lit('{"feature":'), F.col("value"), F.lit("}"))
-    rows = F.transform(F.array(F.from_json(wrapped, schema)), lambda r: r["feature"])
+    rows = F.transform(F.array(F.from_json(wrapped, schema, {"allowSingleQuotes": "false"})), lambda r: r["feature"])
     for step in steps:
         rows = step(rows)
     return lines.select("*", F.inline(rows))
@@ -139,6 +140,14 @@ def _with_chosen(choose: Callable[[Column], Column]) -> Callable[[Column], Colum
     return step
 
 
+def _with_deep(features: DataFrame, column: str = "geometry_wkt") -> DataFrame:
+    """Marked geometries converted from their line."""
+    marked = F.col(column) == DEEPER
+    return features.withColumn(
+        column, F.when(marked, deep_wkt(F.when(marked, F.col("value")))).otherwise(F.col(column))
+    )
+
+
 def read_properties(lines: DataFrame) -> DataFrame:
     """(source, props, geometry) of well-formed lines that have properties."""
     return _from_lines(lines, _with_props).select("source", "props", "geometry")
@@ -151,12 +160,14 @@ def choose_features(lines: DataFrame, choose: Callable[[Column], Column]) -> Dat
     Only features with such a pair have their geometry converted.
     """
     converted = lambda rows: _with_wkt(rows, ("props", "chosen"))
-    return _from_lines(lines, _with_props, _with_chosen(choose), converted).drop("value")
+    found = _with_deep(_from_lines(lines, _with_props, _with_chosen(choose), converted))
+    return found.filter(F.col("geometry_wkt").isNotNull()).drop("value")
 
 
 def parse_features(lines: DataFrame) -> DataFrame:
     """(source, props, geometry_type, geometry_wkt) of usable feature lines."""
-    return _from_lines(lines, _with_props, _with_wkt).drop("value")
+    found = _with_deep(_from_lines(lines, _with_props, _with_wkt))
+    return found.filter(F.col("geometry_wkt").isNotNull()).drop("value")
 
 
 def rejected_lines(lines: DataFrame) -> DataFrame:
@@ -173,5 +184,5 @@ def rejected_lines(lines: DataFrame) -> DataFrame:
         .when(F.col("f.geometry").isNull(), "no_geometry")
         .when(F.col("wkt").isNull(), "unconvertible")
     )
-    found = _from_lines(lines, judged).withColumn("reason", reason)
+    found = _with_deep(_from_lines(lines, judged), "wkt").withColumn("reason", reason)
     return found.filter(F.col("reason").isNotNull()).select("source", "value", "reason")

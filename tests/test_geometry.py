@@ -52,11 +52,51 @@ def test_geojson_to_wkt_by_type(spark):
     assert _converted(spark, list(cases.values())) == list(cases)
 
 
+def _nested(depth, inner, *beside):
+    for _ in range(depth):
+        inner = {"type": "GeometryCollection", "geometries": [*beside, inner]}
+    return inner
+
+
+def test_collections_of_any_depth(spark):
+    point, other = {"type": "Point", "coordinates": [1, 2]}, {"type": "Point", "coordinates": [3, 4.5]}
+    bad = {"type": "Point", "coordinates": [1]}
+    shapes, texts = [], []
+    for depth in (1, 2, 3, 4, 5, 6, 40):
+        shapes += [_nested(depth, point), _nested(depth, point, other), _nested(depth, point, bad, other)]
+        plain, mixed = "POINT (1 2)", "POINT (1 2)"
+        for _ in range(depth):
+            plain = f"GEOMETRYCOLLECTION ({plain})"
+            mixed = f"GEOMETRYCOLLECTION (POINT (3 4.5),{mixed})"
+        texts += [plain, mixed, mixed]
+    assert _converted(spark, shapes) == texts
+    assert rejected_lines(_lines(spark, shapes)).count() == 0
+    # the text form is read back whatever the depth
+    df = spark.createDataFrame([(t,) for t in texts], "w string")
+    for row, shape in zip(df.select(geometry.wkt_to_geojson(F.col("w")).alias("g")).collect()[::3], shapes[::3]):
+        assert json.loads(row["g"]) == shape
+
+
+def test_numbers_in_deep_collections_print_alike(spark):
+    values = [0, -7, 1.0, 1.50, 0.001, 0.00099, 1e-5, 1234567.5, 12345678.5, 1e21, -1e-300, 9007199254740993, 0.1]
+    shallow = [{"type": "GeometryCollection", "geometries": [{"type": "Point", "coordinates": [v, 1]}]} for v in values]
+    deep = [_nested(4, s) for s in shallow]
+    found = _converted(spark, shallow + deep)
+    for plain, nested in zip(found[: len(values)], found[len(values) :]):
+        assert nested == "GEOMETRYCOLLECTION (" * 4 + plain + ")" * 4
+
+
+def test_single_quotes_are_no_json(spark):
+    from terrafold.plans.extract import feature_records
+    from terrafold.schema import ALL_TAGS
+
+    line = "{'geometry':{'type':'Point','coordinates':[1,2]},'properties':{'power':'tower','@id':5}}"
+    lines = spark.createDataFrame([(line, "a"), (line.replace("'", '"'), "a")], "value string, source string")
+    assert [feature_records(lines, keys).count() for keys in (["power"], ALL_TAGS)] == [1, 1]
+    assert [r["reason"] for r in rejected_lines(lines).collect()] == ["malformed"]
+
+
 def test_geometries_that_do_not_convert(spark):
-    point = {"type": "Point", "coordinates": [1, 2]}
-    nested = point
-    for _ in range(5):
-        nested = {"type": "GeometryCollection", "geometries": [nested]}
     bad = [
         None,
         {},
@@ -79,7 +119,7 @@ def test_geometries_that_do_not_convert(spark):
         {"type": "MultiPoint", "coordinates": [[1, 2]]},
         {"type": "GeometryCollection", "geometries": []},
         {"type": "GeometryCollection", "geometries": [{"type": "Point", "coordinates": [1]}]},
-        nested,
+        _nested(5, {"type": "Point", "coordinates": [1]}),
     ]
     assert _converted(spark, bad) == [None] * len(bad)
     reasons = {r["reason"] for r in rejected_lines(_lines(spark, bad)).collect()}
@@ -177,6 +217,20 @@ ISSUES = {
     "MULTIPOLYGON (((0 0,2 0,2 2,0 0)),((5 5,7 7,7 5,5 7,5 5)))": "self_cross",
     "GEOMETRYCOLLECTION (POINT (1 1),POLYGON ((0 0,2 0,2 2,0 2)))": "open_ring",
     "GEOMETRYCOLLECTION (POINT (1 1),LINESTRING (1 1,2 2))": "ok",
+    "POLYGON ((0 0,4 0,2 0,2 2,0 0))": "self_touch",
+    "POLYGON ((0 0,4 0,2 2,4 4,0 4,2 2,0 0))": "self_touch",
+    "POLYGON ((0 0,4 0,4 0,4 4,0 4,0 0))": "ok",
+    "POLYGON ((0 0,9 0,9 9,0 9,0 0),(1 1,1 4,4 4,4 1,1 1),(2 2,2 6,6 6,6 2,2 2))": "rings_cross",
+    "POLYGON ((0 0,9 0,9 9,5 9,5 3,4 3,4 9,0 9,0 0),(3 5,3 6,6 6,6 5,3 5))": "rings_cross",
+    "POLYGON ((0 0,4 0,4 4,0 4,0 0),(0 0,4 0,4 4,0 4,0 0))": "rings_cross",
+    "POLYGON ((0 0,9 0,9 9,0 9,0 0),(0 4,4 0,5 5,0 4))": "rings_cross",
+    "POLYGON ((0 0,9 0,9 9,0 9,0 0),(0 4,2 3,2 5,0 4))": "ok",
+    "POLYGON ((0 0,9 0,9 9,0 9,0 0),(1 1,1 8,8 8,8 1,1 1),(2 2,2 3,3 3,3 2,2 2))": "holes_overlap",
+    "MULTIPOLYGON (((0 0,4 0,4 4,0 4,0 0)),((2 2,6 2,6 6,2 6,2 2)))": "rings_cross",
+    "MULTIPOLYGON (((0 0,4 0,4 4,0 4,0 0)),((4 0,8 0,8 4,4 4,4 0)))": "rings_cross",
+    "MULTIPOLYGON (((0 0,4 0,4 4,0 4,0 0)),((4 4,8 4,8 8,4 8,4 4)))": "ok",
+    "MULTIPOLYGON (((0 0,9 0,9 9,0 9,0 0)),((2 2,6 2,6 6,2 6,2 2)))": "shells_overlap",
+    "MULTIPOLYGON (((0 0,9 0,9 9,0 9,0 0),(1 1,1 8,8 8,8 1,1 1)),((2 2,6 2,6 6,2 6,2 2)))": "ok",
 }
 
 
@@ -204,7 +258,37 @@ def test_crossings_equal_all_pairs(shapes):
         edges = list(zip(r[:-1], r[1:]))
         if any(_proper(*e, *f) for i, e in enumerate(edges) for f in edges[i + 1 :]):
             expected.append(n)
-    assert rings._crossed(np.concatenate(loops), number).tolist() == expected
+    each = np.arange(len(loops))
+    crossed, _, _ = rings._ring_faults(np.concatenate(loops), number, each, each)
+    assert sorted(crossed) == expected
+
+
+def test_a_long_ring_either_way_takes_seconds():
+    import time
+
+    x = np.linspace(0, 1000, 50_000)
+    y = np.sin(50 * x) / 1000
+    ring = np.vstack([np.column_stack([x, y]), np.column_stack([x[::-1], y[::-1] + 1]), [[x[0], y[0]]]])
+    start = time.perf_counter()
+    for points in (ring, ring[:, ::-1]):
+        text = ",".join(f"{a} {b}" for a, b in points.tolist())
+        assert rings._issues([f"POLYGON (({text}))"]) == ["ok"]
+    assert time.perf_counter() - start < 20
+
+
+def test_rings_part_where_they_touch():
+    line = lambda *p: np.array(p, dtype=float)
+    squares = [line((0, 0), (1, 0), (1, 1)), line((1, 1), (0, 1), (0, 0)), line((1, 1), (2, 1), (2, 2)), line((2, 2), (1, 2), (1, 1))]
+    wanted = "MULTIPOLYGON (((0 0,1 0,1 1,0 1,0 0)),((1 1,2 1,2 2,1 2,1 1)))"
+    assert rings._multipolygon(squares) == rings._multipolygon(squares[::-1]) == wanted
+    assert rings._multipolygon([squares[1], squares[3], squares[0], squares[2]]) == wanted
+    notch = line((0, 0), (3, 0), (3, 3), (2, 3), (2, 1), (1, 1), (1, 3), (0, 3), (0, 0))
+    plug = line((1, 3), (1.5, 2), (2, 3), (1, 3))
+    assert rings._multipolygon([notch, plug]) == (
+        "MULTIPOLYGON (((0 0,3 0,3 3,2 3,2 1,1 1,1 3,0 3,0 0)),((1 3,1.5 2,2 3,1 3)))"
+    )
+    figure_eight = line((0, 0), (2, 2), (4, 0), (4, 4), (2, 2), (0, 4), (0, 0))
+    assert rings._multipolygon([figure_eight]) == "MULTIPOLYGON (((0 0,2 2,0 4,0 0)),((2 2,4 0,4 4,2 2)))"
 
 
 @settings(max_examples=200, deadline=None)
