@@ -190,32 +190,75 @@ area AS (
   FROM sq
 )"""
 
+# --- Fixed values: the whitelist, as (category, value) -----------------------
 _WHITELIST = """
-wl(category, items) AS (VALUES
-  ('industrial', 'oil_well gas_well oil well refinery mine biogas_plant chemical works petroleum'),
-  ('power', 'plant generator substation line minor_line cable transformer tower switch insulator storage_batteries converter'),
-  ('military', 'base airfield barracks bunker checkpoint danger_area range training_area naval_base trench radar intelligence security_post nuclear_weapons_facility'),
-  ('telecom', 'data_center exchange connection_point line tower mast satellite_station antenna wireless'),
-  ('man_made', 'communications_tower mast water_tower storage_tank gasometer pipeline bunker radar monitoring_station submarine_cable_landing petroleum_refinery shipyard mineshaft hydrogen_tank antenna satellite_dish water_works wastewater_plant'),
-  ('amenity', 'police prison courthouse embassy fire_station hospital townhall bank university fuel charging_station consulate customs'),
-  ('office', 'government diplomatic telecommunication energy ngo lawyer security intelligence'),
-  ('landuse', 'residential industrial commercial military institutional cemetery reservoir forest quarry port logistics'),
-  ('building', 'government hospital industrial train_station bunker ruins warehouse data_center diplomatic security'),
-  ('boundary', 'administrative maritime political disputed protected_area national_park'),
-  ('place', 'city town village hamlet suburb neighbourhood island islet'),
-  ('highway', 'motorway trunk primary secondary tertiary unclassified track construction'),
-  ('aeroway', 'aerodrome helipad heliport runway taxiway apron hangar navigationaid'),
-  ('railway', 'station yard junction rail subway tram light_rail'),
-  ('waterway', 'river stream canal drain ditch dam lock waterfall'),
-  ('natural', 'water coastline bay beach spring peak volcano cliff ridge glacier'),
-  ('harbour', 'port terminal quay marina dock yes'),
-  ('barrier', 'border_control city_wall fence military_checkpoint toll_booth block security_fence'),
-  ('emergency', 'ambulance_station siren bunker disaster_response water_rescue control_centre'),
-  ('route', 'pipeline power'),
-  ('shop', 'supermarket mall pharmacy electronics hardware convenience'),
-  ('tourism', 'hotel museum viewpoint attraction information gallery'),
-  ('leisure', 'park stadium sports_centre swimming_pool marina garden')),
-allowed AS (SELECT category, unnest(string_split(items, ' ')) AS sub_cat FROM wl)"""
+allowed(category, sub_cat) AS (VALUES
+  ('industrial', 'oil_well'), ('industrial', 'gas_well'), ('industrial', 'oil'), ('industrial', 'well'),
+  ('industrial', 'refinery'), ('industrial', 'mine'), ('industrial', 'biogas_plant'),
+  ('industrial', 'chemical'), ('industrial', 'works'), ('industrial', 'petroleum'),
+  ('power', 'plant'), ('power', 'generator'), ('power', 'substation'), ('power', 'line'),
+  ('power', 'minor_line'), ('power', 'cable'), ('power', 'transformer'), ('power', 'tower'),
+  ('power', 'switch'), ('power', 'insulator'), ('power', 'storage_batteries'), ('power', 'converter'),
+  ('military', 'base'), ('military', 'airfield'), ('military', 'barracks'), ('military', 'bunker'),
+  ('military', 'checkpoint'), ('military', 'danger_area'), ('military', 'range'),
+  ('military', 'training_area'), ('military', 'naval_base'), ('military', 'trench'),
+  ('military', 'radar'), ('military', 'intelligence'), ('military', 'security_post'),
+  ('military', 'nuclear_weapons_facility'),
+  ('telecom', 'data_center'), ('telecom', 'exchange'), ('telecom', 'connection_point'),
+  ('telecom', 'line'), ('telecom', 'tower'), ('telecom', 'mast'), ('telecom', 'satellite_station'),
+  ('telecom', 'antenna'), ('telecom', 'wireless'),
+  ('man_made', 'communications_tower'), ('man_made', 'mast'), ('man_made', 'water_tower'),
+  ('man_made', 'storage_tank'), ('man_made', 'gasometer'), ('man_made', 'pipeline'),
+  ('man_made', 'bunker'), ('man_made', 'radar'), ('man_made', 'monitoring_station'),
+  ('man_made', 'submarine_cable_landing'), ('man_made', 'petroleum_refinery'), ('man_made', 'shipyard'),
+  ('man_made', 'mineshaft'), ('man_made', 'hydrogen_tank'), ('man_made', 'antenna'),
+  ('man_made', 'satellite_dish'), ('man_made', 'water_works'), ('man_made', 'wastewater_plant'),
+  ('amenity', 'police'), ('amenity', 'prison'), ('amenity', 'courthouse'), ('amenity', 'embassy'),
+  ('amenity', 'fire_station'), ('amenity', 'hospital'), ('amenity', 'townhall'), ('amenity', 'bank'),
+  ('amenity', 'university'), ('amenity', 'fuel'), ('amenity', 'charging_station'),
+  ('amenity', 'consulate'), ('amenity', 'customs'),
+  ('office', 'government'), ('office', 'diplomatic'), ('office', 'telecommunication'),
+  ('office', 'energy'), ('office', 'ngo'), ('office', 'lawyer'), ('office', 'security'),
+  ('office', 'intelligence'),
+  ('landuse', 'residential'), ('landuse', 'industrial'), ('landuse', 'commercial'),
+  ('landuse', 'military'), ('landuse', 'institutional'), ('landuse', 'cemetery'),
+  ('landuse', 'reservoir'), ('landuse', 'forest'), ('landuse', 'quarry'), ('landuse', 'port'),
+  ('landuse', 'logistics'),
+  ('building', 'government'), ('building', 'hospital'), ('building', 'industrial'),
+  ('building', 'train_station'), ('building', 'bunker'), ('building', 'ruins'),
+  ('building', 'warehouse'), ('building', 'data_center'), ('building', 'diplomatic'),
+  ('building', 'security'),
+  ('boundary', 'administrative'), ('boundary', 'maritime'), ('boundary', 'political'),
+  ('boundary', 'disputed'), ('boundary', 'protected_area'), ('boundary', 'national_park'),
+  ('place', 'city'), ('place', 'town'), ('place', 'village'), ('place', 'hamlet'), ('place', 'suburb'),
+  ('place', 'neighbourhood'), ('place', 'island'), ('place', 'islet'),
+  ('highway', 'motorway'), ('highway', 'trunk'), ('highway', 'primary'), ('highway', 'secondary'),
+  ('highway', 'tertiary'), ('highway', 'unclassified'), ('highway', 'track'),
+  ('highway', 'construction'),
+  ('aeroway', 'aerodrome'), ('aeroway', 'helipad'), ('aeroway', 'heliport'), ('aeroway', 'runway'),
+  ('aeroway', 'taxiway'), ('aeroway', 'apron'), ('aeroway', 'hangar'), ('aeroway', 'navigationaid'),
+  ('railway', 'station'), ('railway', 'yard'), ('railway', 'junction'), ('railway', 'rail'),
+  ('railway', 'subway'), ('railway', 'tram'), ('railway', 'light_rail'),
+  ('waterway', 'river'), ('waterway', 'stream'), ('waterway', 'canal'), ('waterway', 'drain'),
+  ('waterway', 'ditch'), ('waterway', 'dam'), ('waterway', 'lock'), ('waterway', 'waterfall'),
+  ('natural', 'water'), ('natural', 'coastline'), ('natural', 'bay'), ('natural', 'beach'),
+  ('natural', 'spring'), ('natural', 'peak'), ('natural', 'volcano'), ('natural', 'cliff'),
+  ('natural', 'ridge'), ('natural', 'glacier'),
+  ('harbour', 'port'), ('harbour', 'terminal'), ('harbour', 'quay'), ('harbour', 'marina'),
+  ('harbour', 'dock'), ('harbour', 'yes'),
+  ('barrier', 'border_control'), ('barrier', 'city_wall'), ('barrier', 'fence'),
+  ('barrier', 'military_checkpoint'), ('barrier', 'toll_booth'), ('barrier', 'block'),
+  ('barrier', 'security_fence'),
+  ('emergency', 'ambulance_station'), ('emergency', 'siren'), ('emergency', 'bunker'),
+  ('emergency', 'disaster_response'), ('emergency', 'water_rescue'), ('emergency', 'control_centre'),
+  ('route', 'pipeline'), ('route', 'power'),
+  ('shop', 'supermarket'), ('shop', 'mall'), ('shop', 'pharmacy'), ('shop', 'electronics'),
+  ('shop', 'hardware'), ('shop', 'convenience'),
+  ('tourism', 'hotel'), ('tourism', 'museum'), ('tourism', 'viewpoint'), ('tourism', 'attraction'),
+  ('tourism', 'information'), ('tourism', 'gallery'),
+  ('leisure', 'park'), ('leisure', 'stadium'), ('leisure', 'sports_centre'),
+  ('leisure', 'swimming_pool'), ('leisure', 'marina'), ('leisure', 'garden'))"""
+# --- End of fixed values ------------------------------------------------------
 
 _LISTING = (
     _EV
@@ -615,6 +658,93 @@ def all_oracles() -> dict[str, str]:
             UNION ALL
             SELECT id, 'area', 'landuse', 'forest', 'R' || id, geometry_wkt, 'relation' FROM area""",
         ),
+        "geojson_to_wkt_nested": _from(
+            _EV,
+            """SELECT id AS osm_id, repeat('GEOMETRYCOLLECTION (POINT (3 4),', id % 7) ||
+              'POINT (' || x || ' ' || y || ')' || repeat(')', id % 7) AS geometry_wkt FROM ev""",
+        ),
+        "extract_key_count_invariant": _from(
+            _FEAT,
+            f"""SELECT {_KEY}, k AS keys FROM rec, (VALUES ('one'), ('all')) AS t(k)
+            WHERE category = 'power'""",
+        ),
+        "validate_lines_deep": _from(
+            _LINES,
+            """SELECT reason, count(*)::BIGINT AS lines FROM (
+              SELECT CASE kind WHEN 6 THEN 'unconvertible' ELSE 'no_geometry' END AS reason FROM line WHERE kind >= 6
+              UNION ALL SELECT 'malformed' FROM noise WHERE value <> '') GROUP BY 1""",
+        ),
+        "element_records_of_copies": _from(
+            _WAY,
+            """, gone AS (SELECT id FROM nd WHERE id % 501 = 0),
+            opened AS (
+              SELECT item.id, count(*) AS n, string_agg(nd.lon || ' ' || nd.lat, ',' ORDER BY pos) AS body,
+                arg_min(ref, pos) = arg_max(ref, pos) AS closed
+              FROM item JOIN nd ON nd.id = item.ref GROUP BY item.id
+            ),
+            latest AS (
+              SELECT id, n, body, closed FROM tagged WHERE road <> 'zzz' AND id % 10 NOT IN (1, 2, 4)
+              UNION ALL
+              SELECT opened.* FROM opened JOIN road USING (id) WHERE road <> 'zzz' AND id % 10 = 4
+            )
+            SELECT id AS osm_id, CASE WHEN closed THEN 'area' ELSE 'way' END AS osm_type,
+              CASE WHEN closed THEN 'MULTIPOLYGON (((' || body || ')))' ELSE 'LINESTRING (' || body || ')' END
+                AS geometry_wkt
+            FROM latest WHERE n >= CASE WHEN closed THEN 4 ELSE 2 END
+              AND id NOT IN (SELECT id FROM item WHERE ref IN (SELECT id FROM gone))
+            UNION ALL
+            SELECT id, 'node', 'POINT (' || lon || ' ' || lat || ')' FROM nd WHERE id % 5 = 0 AND id % 501 <> 0""",
+        ),
+        "relation_areas_touching": """
+            WITH sq AS (
+              SELECT s_suppkey AS id, s_suppkey % 30 * 10 - 150 AS x, s_suppkey % 15 * 10 - 75 AS y FROM supplier
+            ), corner AS (
+              SELECT * FROM (VALUES
+                (0, 1, 1, 1, 0, 0), (0, 1, 1, 2, 4, 0), (0, 1, 1, 3, 4, 4), (0, 1, 1, 4, 0, 4), (0, 1, 1, 5, 0, 0),
+                (0, 2, 1, 1, 4, 4), (0, 2, 1, 2, 8, 4), (0, 2, 1, 3, 8, 8), (0, 2, 1, 4, 4, 8), (0, 2, 1, 5, 4, 4),
+                (1, 1, 1, 1, 0, 0), (1, 1, 1, 2, 6, 0), (1, 1, 1, 3, 6, 6), (1, 1, 1, 4, 4, 6), (1, 1, 1, 5, 4, 2),
+                (1, 1, 1, 6, 2, 2), (1, 1, 1, 7, 2, 6), (1, 1, 1, 8, 0, 6), (1, 1, 1, 9, 0, 0),
+                (1, 2, 1, 1, 2, 6), (1, 2, 1, 2, 3, 4), (1, 2, 1, 3, 4, 6), (1, 2, 1, 4, 2, 6),
+                (2, 1, 1, 1, 0, 0), (2, 1, 1, 2, 8, 0), (2, 1, 1, 3, 8, 8), (2, 1, 1, 4, 0, 8), (2, 1, 1, 5, 0, 0),
+                (2, 1, 2, 1, 2, 2), (2, 1, 2, 2, 2, 6), (2, 1, 2, 3, 6, 6), (2, 1, 2, 4, 6, 2), (2, 1, 2, 5, 2, 2),
+                (2, 2, 1, 1, 3, 3), (2, 2, 1, 2, 5, 3), (2, 2, 1, 3, 5, 5), (2, 2, 1, 4, 3, 5), (2, 2, 1, 5, 3, 3)
+              ) AS t(shape, polygon, ring, k, dx, dy)
+            ), ring AS (
+              SELECT id, polygon, ring,
+                '(' || string_agg((x + dx) || ' ' || (y + dy), ',' ORDER BY k) || ')' AS body
+              FROM sq JOIN corner ON shape = id % 3 GROUP BY ALL
+            ), polygons AS (
+              SELECT id, polygon, '(' || string_agg(body, ',' ORDER BY ring) || ')' AS body FROM ring GROUP BY ALL
+            )
+            SELECT id, 'MULTIPOLYGON (' || string_agg(body, ',' ORDER BY polygon) || ')' AS geometry_wkt
+            FROM polygons GROUP BY id""",
+        "filter_elements_nested": """
+            WITH s AS (SELECT s_suppkey AS id FROM supplier WHERE s_suppkey % 10 < 5)
+            SELECT 'relation' AS kind, id FROM s
+            UNION ALL SELECT 'way', id * 10 FROM s
+            UNION ALL SELECT 'node', id * 10 + k FROM s, (VALUES (0), (1), (2)) AS t(k)""",
+        "second_format_later": _from(
+            _FEAT, f"SELECT {_KEY}, f AS format FROM uniq, (VALUES ('parquet'), ('geojson')) AS t(f)"
+        ),
+        "unidentified_two_runs": _from(
+            _FEAT,
+            """SELECT category, geometry_wkt, count(*)::BIGINT AS n FROM (
+              SELECT DISTINCT category, osm_type, geometry_wkt, tags FROM rec WHERE osm_id = 0
+            ) GROUP BY 1, 2""",
+        ),
+        "incremental_run": _from(_FEAT, f"SELECT {_KEY} FROM uniq"),
+        "run_element_job": _from(
+            _WAY + "," + _AREA,
+            """SELECT id + 10000000 AS osm_id, 'node' AS osm_type, 'power' AS category,
+              'tower' AS sub_cat, 'N' || id AS name, 'node' AS src_type FROM nd WHERE id % 5 = 0
+            UNION ALL
+            SELECT id, 'area', 'landuse', 'forest', 'R' || id, 'relation' FROM area""",
+        ),
+        "staged_summary": _from(
+            _FEAT,
+            """SELECT DISTINCT val || '_' || geom_group || '_a' AS prefix FROM rec WHERE category <> 'man_made'
+            UNION SELECT DISTINCT 'mast_' || geom_group || '_a' FROM rec WHERE category = 'man_made'""",
+        ),
         "feature_counts": _from(
             _FEAT,
             """SELECT category, sub_cat, geom_group, count(*)::BIGINT AS records FROM uniq

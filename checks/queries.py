@@ -15,10 +15,10 @@ from checks import adapters as A
 from terrafold.functions import geometry, rings, text
 from terrafold.operators import assemble, filters, planning, project, quality, relational
 from terrafold.plans import elements as element_plan
-from terrafold.plans.extract import extract, feature_records, run
+from terrafold.plans.extract import extract, feature_records, run, run_elements
 from terrafold.plans.merge import merge
 from terrafold.plans.profiles import RunConfig, profile_tags
-from terrafold.schema import FEATURE_COLUMNS
+from terrafold.schema import ALL_TAGS, FEATURE_COLUMNS, MIN_INPUT_BYTES
 from terrafold.session import scratch_path
 from terrafold.sinks import writers
 from terrafold.sources import elements, files, lines, parts
@@ -190,7 +190,7 @@ def select_inputs(spark, sf):
         )
         .agg((F.sum("id") * 7 % 200_000).alias("bytes"))
     )
-    return files.select_inputs(sizes)
+    return files.select_inputs(sizes, MIN_INPUT_BYTES)
 
 
 # --- filters -------------------------------------------------------------------
@@ -938,3 +938,174 @@ def feature_counts(spark, sf):
     """Features of two keys, once each, counted per output folder."""
     records = feature_records(A.lines_with_copies(spark, sf), ["power", "military"])
     return quality.run_report(relational.dedupe(records, ["category", "osm_id", "osm_type"]))
+
+
+# --- cases that earlier queries did not reach --------------------------------------
+
+
+@query
+def geojson_to_wkt_nested(spark, sf):
+    """A point in collections up to six deep, beside another one in each."""
+    depth = F.col("id") % 7
+    line = F.concat(
+        F.lit('{"geometry":'),
+        F.expr("""repeat('{"type":"GeometryCollection","geometries":[{"type":"Point","coordinates":[3,4]},', id % 7)"""),
+        F.lit('{"type":"Point","coordinates":['), F.col("x"), F.lit(","), F.col("y"), F.lit("]}"),
+        F.expr("repeat(']}', id % 7)"),
+        F.lit(',"properties":{"@id":'), F.col("id"), F.lit("}}"),
+    )
+    rows = A.events(spark, sf).select(line.alias("value"), F.lit("a").alias("source"), depth.alias("depth"))
+    features = lines.parse_features(rows.drop("depth"))
+    return features.select(_id(features), "geometry_wkt")
+
+
+@query
+def extract_key_count_invariant(spark, sf):
+    """Records of one key, asked for alone and among all, on lines of which some are no JSON."""
+    good = A.event_lines(spark, sf)
+    quoted = good.select(F.translate("value", '"', "'").alias("value"), "source")
+    both = good.unionByName(quoted)
+    return relational.union_parts(
+        *[
+            feature_records(both, keys).filter("category = 'power'").select(*_KEY, F.lit(name).alias("keys"))
+            for name, keys in (("one", ["power"]), ("all", ALL_TAGS))
+        ]
+    )
+
+
+@query
+def validate_lines_deep(spark, sf):
+    """Lines that give no feature, counted by reason."""
+    counts = quality.rejected_counts(A.lines_with_noise(spark, sf).filter("value <> ''"))
+    return counts.groupBy("reason").agg(F.sum("lines").alias("lines"))
+
+
+@query
+def element_records_of_copies(spark, sf):
+    """Newer versions that lost their tags, their references, their ring or their place."""
+    ways, nodes = A.ways(spark, sf), A.nodes(spark, sf)
+    edit = ["int(3) AS version", "timestamp", "user", "changeset"]
+    newer = relational.union_parts(
+        ways.filter("id % 10 = 1").selectExpr("id", "node_refs", "CAST(map() AS map<string,string>) AS tags", *edit),
+        ways.filter("id % 10 = 2").selectExpr("id", "slice(node_refs, 1, 1) AS node_refs", "tags", *edit),
+        ways.filter("id % 10 = 4").selectExpr(
+            "id", "if(id % 4 = 0, slice(node_refs, 1, size(node_refs) - 1), node_refs) AS node_refs", "tags", *edit
+        ),
+    )
+    old = nodes.selectExpr("id", "lon + 1 AS lon", "lat", "map('power', 'tower') AS tags", "int(0) AS version", "timestamp", "user", "changeset")
+    gone = nodes.filter("id % 501 = 0").selectExpr(
+        "id", "double(NULL) AS lon", "double(NULL) AS lat", "tags", "int(2) AS version", "timestamp", "user", "changeset"
+    )
+    return element_plan.element_records(
+        nodes.unionByName(old).unionByName(gone),
+        ways.unionByName(newer),
+        A.area_relations(spark, sf).limit(0),
+        ["power", "highway"],
+    ).select("osm_id", "osm_type", "geometry_wkt")
+
+
+@query
+def relation_areas_touching(spark, sf):
+    """Squares that touch, a filled notch, an island in a hole; members in pieces, in any order."""
+    suppliers = A.table(spark, sf, "supplier").selectExpr("s_suppkey AS s", "s_suppkey % 3 AS shape")
+    points = {
+        0: [(0, 0), (4, 0), (4, 4), (0, 4), (8, 4), (8, 8), (4, 8)],
+        1: [(0, 0), (6, 0), (6, 6), (4, 6), (4, 2), (2, 2), (2, 6), (0, 6), (3, 4)],
+        2: [(0, 0), (8, 0), (8, 8), (0, 8), (2, 2), (6, 2), (6, 6), (2, 6), (3, 3), (5, 3), (5, 5), (3, 5)],
+    }
+    members = {
+        0: [[0, 1, 2], [2, 4, 5], [2, 6, 5], [0, 3, 2]],
+        1: [[6, 8, 3, 6], [0, 1, 2, 3, 4, 5, 6, 7, 0]],
+        2: [[8, 9, 10], [4, 5, 6, 7, 4], [0, 1], [10, 11, 8], [3, 2, 1], [0, 3]],
+    }
+    listed = lambda rows: ", ".join(rows)
+    case = lambda made: "CASE shape " + " ".join(f"WHEN {k} THEN array({v})" for k, v in made.items()) + " END"
+    corners = case({k: listed(f"named_struct('k', {i}, 'dx', {x}, 'dy', {y})" for i, (x, y) in enumerate(v)) for k, v in points.items()})
+    edit = ["int(1) AS version", "timestamp '2024-03-01 00:00:00' AS timestamp", "'m' AS user", "bigint(9) AS changeset"]
+    none = "CAST(map() AS map<string,string>) AS tags"
+    nodes = suppliers.selectExpr("s", f"inline({corners})").selectExpr(
+        "s * 100 + k AS id", "double(s % 30 * 10 - 150 + dx) AS lon", "double(s % 15 * 10 - 75 + dy) AS lat", none, *edit
+    )
+    refs = case({k: listed(f"array({listed(map(str, w))})" for w in v) for k, v in members.items()})
+    ways = suppliers.selectExpr("s", f"posexplode({refs}) AS (w, corners)").selectExpr(
+        "s * 100 + w AS id", "transform(corners, k -> s * 100 + k) AS node_refs", none, *edit
+    )
+    relations = ways.groupBy(F.expr("id div 100").alias("id")).agg(
+        F.sort_array(F.collect_list(F.struct(F.lit("way").alias("type"), F.col("id").alias("ref"), F.lit("").alias("role")))).alias("members")
+    ).selectExpr("id", "members", "map('type', 'multipolygon') AS tags", *edit)
+    return assemble.relation_areas(relations, ways, nodes).select("id", "geometry_wkt")
+
+
+@query
+def filter_elements_nested(spark, sf):
+    """Relations of relations, in chains and circles, above ways and nodes without tags."""
+    relations = A.table(spark, sf, "supplier").selectExpr(
+        "s_suppkey AS id",
+        """array(
+          named_struct('type', 'relation', 'ref', if(s_suppkey % 5 = 4, s_suppkey - 4, s_suppkey + 1), 'role', ''),
+          named_struct('type', 'way', 'ref', s_suppkey * 10, 'role', '')) AS members""",
+        "if(s_suppkey % 10 = 0, map('power', 'plant'), CAST(map() AS map<string,string>)) AS tags",
+        "int(1) AS version", "timestamp '2024-03-01 00:00:00' AS timestamp", "'m' AS user", "bigint(9) AS changeset",
+    )
+    kept = assemble.filter_elements(A.area_nodes(spark, sf), A.area_ways(spark, sf), relations, ["power"])
+    kinds = ["node", "way", "relation"]
+    return relational.union_parts(*[d.select(F.lit(k).alias("kind"), "id") for k, d in zip(kinds, kept)])
+
+
+@query
+def second_format_later(spark, sf):
+    """A run in one format, then one in two: both hold every record once."""
+    path, out = scratch_path(spark, "lines"), scratch_path(spark, "out")
+    A.event_lines(spark, sf).select("value").write.text(path)
+    values = ["tower", "base", "bank", "trunk", "forest", "mast"]
+    run(spark, path, out, RunConfig(tags=A.EVENT_TAGS, subtags=values))
+    run(spark, path, out, RunConfig(tags=A.EVENT_TAGS, subtags=values, formats=["parquet", "geojson"]))
+    return relational.union_parts(
+        spark.read.parquet(f"{out}/parquet").select(*_KEY, F.lit("parquet").alias("format")),
+        parts.written_ids(spark, f"{out}/geojson", _KEY).select(*_KEY, F.lit("geojson").alias("format")),
+    )
+
+
+@query
+def unidentified_two_runs(spark, sf):
+    """Features without id in two inputs that overlap: each content once."""
+    path, out = scratch_path(spark, "lines"), scratch_path(spark, "out")
+    config = RunConfig(
+        tags=A.EVENT_TAGS, subtags=["tower", "base", "bank", "trunk", "forest", "mast"], keep_unidentified=True
+    )
+    for name, where in (("some", "id % 97 = 0 AND id % 2 = 0"), ("all", "id % 97 = 0")):
+        A.event_lines(spark, sf, where).select("value").write.text(f"{path}/{name}")
+        run(spark, f"{path}/{name}", out, config)
+    written = spark.read.parquet(f"{out}/parquet")
+    text = written.select("category", rings.from_wkb(F.col("geometry")).alias("geometry_wkt"))
+    return text.groupBy("category", "geometry_wkt").agg(F.count("*").alias("n"))
+
+
+@query
+def incremental_run(spark, sf):
+    """New lines for values that have output already."""
+    path, out = scratch_path(spark, "lines"), scratch_path(spark, "out")
+    config = RunConfig(tags=A.EVENT_TAGS, skip_mode="incremental")
+    for name, where in (("some", "id % 3 = 0"), ("all", "true")):
+        A.event_lines(spark, sf, where).select("value").write.text(f"{path}/{name}")
+        run(spark, f"{path}/{name}", out, config)
+    return spark.read.parquet(f"{out}/parquet").select(*_KEY)
+
+
+@query
+def run_element_job(spark, sf):
+    """The element job to files, twice: the second run adds nothing."""
+    nodes = A.area_nodes(spark, sf).unionByName(A.nodes(spark, sf).withColumn("id", F.col("id") + 10_000_000))
+    out = scratch_path(spark, "out")
+    config = RunConfig(tags=["power", "landuse"], skip_mode="incremental")
+    for _ in range(2):
+        run_elements(nodes, A.area_ways(spark, sf), A.area_relations(spark, sf), out, config)
+    return spark.read.parquet(f"{out}/parquet").select(*_KEY, "name", "src_type")
+
+
+@query
+def staged_summary(spark, sf):
+    """Merge groups found in the paths of staged parts."""
+    path = scratch_path(spark, "parts")
+    writers.write_parts(_records(spark, sf), path)
+    return planning.staged_summary(files.list_files(spark, path)).filter("parts > 0").select("prefix")

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from terrafold.functions.geometry import plain_numbers
 from terrafold.functions.rings import assemble_multipolygon
 from terrafold.operators.relational import unique_keys
+from terrafold.session import shared_folder
 
 # --- Fixed values -----------------------------------------------------------
 # Values of a relation's "type" tag that make it an area.
@@ -42,6 +43,16 @@ def latest(elements: DataFrame) -> DataFrame:
     return ranked.filter(F.col("_rank") == 1).drop("_rank")
 
 
+def latest_where(elements: DataFrame, condition: Column) -> DataFrame:
+    """Elements whose latest version meets the condition.
+
+    Ids of which some version meets it are asked for first, so that only their
+    versions are compared.
+    """
+    asked = unique_keys(elements.filter(condition).select("id"), ["id"])
+    return latest(elements.join(asked, "id", "left_semi")).filter(condition)
+
+
 def is_closed(refs: Column) -> Column:
     """Whether a way ends where it starts."""
     return (F.size(refs) >= 1) & (F.try_element_at(refs, F.lit(1)) == F.try_element_at(refs, F.lit(-1)))
@@ -112,11 +123,11 @@ def locate(
 
 
 def way_coords(ways: DataFrame, nodes: DataFrame, unique_ids: bool = False) -> DataFrame:
-    """The latest version of each way with its ordinates, see :func:`locate`.
+    """Ways, one row per id, with their ordinates, see :func:`locate`.
 
-    ``unique_ids`` skips the choice of the latest version of ways and nodes.
+    ``unique_ids`` skips the choice of the latest version of nodes.
     """
-    return locate(ways if unique_ids else latest(ways), nodes, unique_ids=unique_ids)
+    return locate(ways, nodes, unique_ids=unique_ids)
 
 
 def _pairs_text() -> Column:
@@ -129,7 +140,8 @@ def way_lines(
 ) -> DataFrame:
     """Ways with their line geometry."""
     line = F.concat(F.lit("LINESTRING ("), _pairs_text(), F.lit(")"))
-    coords = way_coords(min_vertices(ways, least), nodes, unique_ids)
+    current = ways if unique_ids else latest(ways)
+    coords = way_coords(min_vertices(current, least), nodes, unique_ids)
     return coords.withColumn("geometry_wkt", plain_numbers(line)).drop("xs", "ys")
 
 
@@ -138,7 +150,7 @@ def way_areas(
 ) -> DataFrame:
     """Closed ways as areas of one ring."""
     ring = F.concat(F.lit("MULTIPOLYGON ((("), _pairs_text(), F.lit(")))"))
-    _, closed = split_closed(ways, line_keys)
+    _, closed = split_closed(ways if unique_ids else latest(ways), line_keys)
     coords = way_coords(closed, nodes, unique_ids)
     return coords.withColumn("geometry_wkt", plain_numbers(ring)).drop("xs", "ys")
 
@@ -172,7 +184,8 @@ def way_geometries(
 
     Adds ``osm_type`` ("way" or "area").
     """
-    coords = way_coords(_drawable_ways(ways, line_keys), nodes, unique_ids)
+    current = ways if unique_ids else latest(ways)
+    coords = way_coords(_drawable_ways(current, line_keys), nodes, unique_ids)
     return (
         coords.withColumn("geometry_wkt", plain_numbers(_way_text()))
         .withColumn("osm_type", _way_type())
@@ -185,15 +198,18 @@ def area_relations(relations: DataFrame) -> DataFrame:
     return relations.filter(F.col("tags")["type"].isin(*AREA_RELATIONS))
 
 
-def relation_refs(relations: DataFrame, ways: DataFrame, unique_ids: bool = False) -> DataFrame:
+def relation_refs(
+    relations: DataFrame, ways: DataFrame, unique_ids: bool = False, unique_relations: bool | None = None
+) -> DataFrame:
     """Area relations with the references of their member ways, one after another.
 
     ``node_refs`` holds them all and ``sizes`` how many come from each way.
     Relations with an unknown member way, or without any, are left out. One
-    group is one relation, so it is as large as one geometry.
+    group is one relation, so it is as large as one geometry. ``unique_ids``
+    skips the choice of latest versions, ``unique_relations`` that of relations.
     """
-    relations = area_relations(relations)
-    relations = relations if unique_ids else latest(relations)
+    single = unique_ids if unique_relations is None else unique_relations
+    relations = area_relations(relations if single else latest(relations))
     rest = [c for c in relations.columns if c != "id"]
     on_first = F.when(F.col("pos") == 0, F.struct(*rest, F.size("_ways").alias("_n")))
     members = (
@@ -201,8 +217,8 @@ def relation_refs(relations: DataFrame, ways: DataFrame, unique_ids: bool = Fals
         .select("*", F.posexplode("_ways").alias("pos", "member"))
         .select("id", "pos", F.col("member.ref").alias("ref"), on_first.alias("relation"))
     )
-    narrow = min_vertices(ways.select("id", "node_refs", *[c for c in _EDIT if c in ways.columns]))
-    known = (narrow if unique_ids else latest(narrow)).select(F.col("id").alias("ref"), "node_refs")
+    narrow = ways.select("id", "node_refs", *[c for c in _EDIT if c in ways.columns])
+    known = min_vertices(narrow if unique_ids else latest(narrow)).select(F.col("id").alias("ref"), "node_refs")
     gathered = (
         members.join(known, "ref")
         .repartition("id")
@@ -251,15 +267,15 @@ def line_and_area_features(
     """Geometries of ways and of area relations, with one pass over the nodes.
 
     The same rows as :func:`way_geometries` and :func:`relation_areas`, which
-    would each move the node table. ``ways`` are all ways a relation may refer
-    to. Adds ``src_type`` and ``osm_type``.
+    would each move the node table. ``tagged_ways`` and ``tagged_relations``
+    hold one row per id; ``ways`` are all versions of all ways a relation may
+    refer to. Adds ``src_type`` and ``osm_type``.
     """
     lines = _drawable_ways(tagged_ways, line_keys)
-    lines = lines if unique_ids else latest(lines)
     shared = ["id", "node_refs", "tags", "version", "timestamp", "user", "changeset"]
     one_line = F.array(F.size("node_refs")).alias("sizes")
     features = lines.select(*shared, one_line, "is_area", F.lit("way").alias("src_type")).unionByName(
-        relation_refs(tagged_relations, ways, unique_ids).select(
+        relation_refs(tagged_relations, ways, unique_ids, unique_relations=True).select(
             *shared, "sizes", F.lit(True).alias("is_area"), F.lit("relation").alias("src_type")
         )
     )
@@ -276,37 +292,67 @@ def line_and_area_features(
 
 
 def unresolved_refs(ways: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(id, pos, ref) of way references without a located node."""
-    refs = ways.select("id", F.posexplode("node_refs").alias("pos", "ref"))
-    located = nodes.filter(F.col("lon").isNotNull() & F.col("lat").isNotNull())
-    known = unique_keys(located.select(F.col("id").alias("ref")), ["ref"])
+    """(id, pos, ref) of way references without a located node, latest versions of both."""
+    refs = latest(ways).select("id", F.posexplode("node_refs").alias("pos", "ref"))
+    known = _located(nodes, unique_ids=False).select("ref")
     return refs.join(known, "ref", "left_anti").select("id", "pos", "ref")
 
 
+def _tagged(keys: Sequence[str]) -> Column:
+    wanted = F.array(*[F.lit(k) for k in keys])
+    return F.coalesce(F.arrays_overlap(F.map_keys("tags"), wanted), F.lit(False))
+
+
+def _with_members(relations: DataFrame, chosen: DataFrame) -> DataFrame:
+    """Ids of chosen relations and of all relations below them, however deep.
+
+    Each round follows the members found in the round before; a relation seen
+    once is not followed again, so circles end.
+    """
+    below = relations.select("id", F.explode("members").alias("member"))
+    below = below.filter(F.col("member.type").isin("relation", "r")).select("id", F.col("member.ref").alias("below"))
+    below = _kept(below.distinct())
+    seen = _kept(unique_keys(chosen.select("id"), ["id"]))
+    fresh = seen
+    while True:
+        found = fresh.join(below, "id").select(F.col("below").alias("id")).distinct()
+        fresh = _kept(found.join(seen, "id", "left_anti"))
+        if fresh.isEmpty():
+            return seen
+        seen = _kept(seen.unionByName(fresh))
+
+
+def _kept(rows: DataFrame) -> DataFrame:
+    """Rows cut from their lineage, in the shared folder."""
+    context = rows.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(shared_folder(rows.sparkSession))
+    return rows.checkpoint()
+
+
 def filter_elements(
     nodes: DataFrame, ways: DataFrame, relations: DataFrame, keys: Sequence[str]
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Objects that carry one of the keys, and the objects they refer to.
+    """Objects that carry one of the keys, and all objects they refer to.
 
-    Members of matching relations and nodes of kept ways come along, so the
-    geometry of every match can still be built.
+    Members of matching relations, members of those in turn to any depth, and
+    nodes of kept ways come along, so the geometry of every match can still be
+    built. Tables may hold several versions of an object; all of a kept one stay.
     """
-    wanted = F.array(*[F.lit(k) for k in keys])
-    tagged = F.coalesce(F.arrays_overlap(F.map_keys("tags"), wanted), F.lit(False))
-    members = relations.filter(tagged).select(F.explode("members").alias("member"))
-
-    def referred(*types: str) -> DataFrame:
-        return members.filter(F.col("member.type").isin(*types)).select(
-            F.col("member.ref").alias("id")
-        )
+    tagged = _tagged(keys)
 
     def keep(elements: DataFrame, refs: DataFrame) -> DataFrame:
-        # a left join with a flag keeps tagged and referred rows in one pass
-        marked = unique_keys(refs, ["id"]).withColumn("_used", F.lit(True))
-        joined = elements.join(marked, "id", "left")
-        return joined.filter(tagged | F.col("_used")).select(*elements.columns)
+        # tagged rows need no join; the others are looked up, older versions of tagged ones too
+        asked = refs.unionByName(elements.filter(tagged).select("id"))
+        referred = elements.filter(~tagged).join(unique_keys(asked, ["id"]), "id", "left_semi")
+        return elements.filter(tagged).unionByName(referred.select(*elements.columns))
+
+    kept_relations = keep(relations, _with_members(relations, relations.filter(tagged)))
+    members = kept_relations.select(F.explode("members").alias("member"))
+
+    def referred(*types: str) -> DataFrame:
+        return members.filter(F.col("member.type").isin(*types)).select(F.col("member.ref").alias("id"))
 
-    kept_relations = keep(relations, referred("relation", "r"))
     kept_ways = keep(ways, referred("way", "w"))
     way_nodes = kept_ways.select(F.explode("node_refs").alias("id"))
     kept_nodes = keep(nodes, referred("node", "n").unionByName(way_nodes))

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from terrafold.functions.text import sanitize_name
+from terrafold.functions.text import sanitize_name, unescaped
 from terrafold.schema import FORMAT_EXTENSIONS, MIN_OUTPUT_BYTES, WHITELIST
 
 
@@ -81,6 +81,17 @@ def part_summary(files: DataFrame) -> DataFrame:
     )
 
 
+def staged_summary(files: DataFrame) -> DataFrame:
+    """(prefix, parts): staged files per merge group, from the paths that ``write_parts`` gives.
+
+    The prefix names value, geometry group and source, as in :func:`part_summary`.
+    """
+    part = lambda key: unescaped(F.regexp_extract("path", rf"/{key}=([^/]*)/", 1))
+    staged = files.filter(F.col("path").rlike("/sub_cat_dir=[^/]*/geom_group=[^/]*/source=[^/]*/[^/_.]"))
+    prefix = F.concat_ws("_", part("sub_cat_dir"), part("geom_group"), part("source"))
+    return staged.groupBy(prefix.alias("prefix")).agg(F.count("*").alias("parts"))
+
+
 def slice_id(lon: Column, slices: Column) -> Column:
     """Longitude slice of a point; slices are half open, the last one closed."""
     raw = F.floor((lon + 180.0) / (F.lit(360.0) / slices))

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Observation, functions as F
 
 from terrafold.functions.rings import geometry_issue
 from terrafold.schema import MIN_OUTPUT_BYTES
+from terrafold.sources.lines import rejected_lines
 
 
 def run_report(records: DataFrame) -> DataFrame:
@@ -16,6 +17,11 @@ def run_report(records: DataFrame) -> DataFrame:
     return records.groupBy("category", "sub_cat", "geom_group").agg(F.count("*").alias("records"))
 
 
+def rejected_counts(lines: DataFrame) -> DataFrame:
+    """(source, reason, lines): feature lines that give no feature, and why."""
+    return rejected_lines(lines).groupBy("source", "reason").agg(F.count("*").alias("lines"))
+
+
 def observed(records: DataFrame, name: str = "records") -> tuple[DataFrame, Observation]:
     """The same rows, counted while some later action reads them."""
     watch = Observation(name)

@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from terrafold.functions.text import sanitize_name
+from terrafold.functions.rings import to_wkb
 from terrafold.schema import FEATURE, FEATURE_COLUMNS
 
 
@@ -61,15 +61,31 @@ def new_only(
     existing: DataFrame,
     keys: Sequence[str] = ("osm_id", "osm_type"),
     unique: bool = False,
+    keep_unidentified: bool = False,
 ) -> DataFrame:
     """Records whose key is not among the existing ones.
 
     Say ``unique`` when :func:`dedupe` on the same keys came before: its
     partitioning is then used again and only the existing keys move.
+    ``keep_unidentified`` tells rows with id 0 apart by their content, as
+    :func:`dedupe` does; they pass where ``existing`` has no ``content`` column.
     """
     keys = list(keys)
     known = existing.select(*keys).distinct() if unique else unique_keys(existing, keys)
-    return records.join(known, keys, "left_anti")
+    if not keep_unidentified:
+        return records.join(known, keys, "left_anti")
+    new = records.filter(F.col("osm_id") != 0).join(known, keys, "left_anti")
+    unknown = records.filter(F.col("osm_id") == 0)
+    if "content" in existing.columns:
+        written = unique_keys(existing.filter(F.col("osm_id") == 0), [*keys, "content"])
+        marked = unknown.withColumn("content", content_hash(to_wkb(F.col("geometry_wkt")), F.col("tags")))
+        unknown = marked.join(written, [*keys, "content"], "left_anti").select(*records.columns)
+    return new.unionByName(unknown)
+
+
+def content_hash(wkb: Column, tags: Column) -> Column:
+    """What tells two features without id apart: geometry and tags."""
+    return F.xxhash64(wkb, tags)
 
 
 def record_order(columns: Sequence[str]) -> list[Column]:
@@ -109,14 +125,14 @@ def dedupe(
 
 
 def drop_stale(parts: DataFrame, subtags: Sequence[str] | None) -> DataFrame:
-    """Staged rows whose folder belongs to the requested values.
+    """Staged rows of the requested values.
 
-    No list, or an empty one, keeps everything.
+    No list, or an empty one, keeps everything. The value itself decides, not
+    its folder, whose name may stand for several values.
     """
     if not subtags:
         return parts
-    wanted = [sanitize_name(F.lit(s)) for s in subtags]
-    return parts.filter(F.col("sub_cat_dir").isin(*wanted))
+    return parts.filter(F.col("sub_cat").isin(*[s.strip().lower() for s in subtags]))
 
 
 def routing_keys(records: DataFrame) -> DataFrame:

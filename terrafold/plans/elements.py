@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from terrafold.operators.assemble import (
-    latest,
+    latest_where,
     line_and_area_features,
     node_points,
 )
@@ -40,9 +40,12 @@ def _props() -> Column:
     )
 
 
-def wanted_elements(elements: DataFrame, wanted: Mapping[str, Sequence[str]]) -> DataFrame:
-    """Elements with at least one wanted key and value."""
-    return elements.filter(F.size(chosen_values(F.col("tags"), wanted)) > 0)
+def wanted_elements(
+    elements: DataFrame, wanted: Mapping[str, Sequence[str]], unique_ids: bool = False
+) -> DataFrame:
+    """Elements whose latest version has at least one wanted key and value."""
+    condition = F.size(chosen_values(F.col("tags"), wanted)) > 0
+    return elements.filter(condition) if unique_ids else latest_where(elements, condition)
 
 
 def element_records(
@@ -54,21 +57,21 @@ def element_records(
     source: str = "elements",
     line_keys: Sequence[str] = (),
     unique_ids: bool = False,
+    wanted: Mapping[str, Sequence[str]] | None = None,
 ) -> DataFrame:
     """Records of every wanted (element, key) pair, geometry assembled.
 
-    Only elements with a wanted value enter the joins; the node table is moved
-    once, for coordinates alone.
+    Only elements whose latest version has a wanted value enter the joins; the
+    coordinates of nodes serve ways and relations together.
     """
-    wanted = wanted_values(tags, subtags)
-    tagged_nodes = wanted_elements(nodes, wanted)
+    wanted = wanted if wanted is not None else wanted_values(tags, subtags)
     node = F.lit("node")
-    points = node_points(tagged_nodes if unique_ids else latest(tagged_nodes)).select(
+    points = node_points(wanted_elements(nodes, wanted, unique_ids)).select(
         "*", node.alias("osm_type"), node.alias("src_type")
     )
     shapes = line_and_area_features(
-        wanted_elements(ways, wanted),
-        wanted_elements(relations, wanted),
+        wanted_elements(ways, wanted, unique_ids),
+        wanted_elements(relations, wanted, unique_ids),
         ways,
         nodes,
         line_keys,

@@ -10,12 +10,18 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from terrafold.operators.filters import chosen_values, wanted_values
 from terrafold.operators.planning import expected_outputs, manifest, plan_run
 from terrafold.operators.project import project_features
+from terrafold.operators.quality import rejected_counts
+from terrafold.operators.relational import drop_stale, new_only, unique_keys
+from terrafold.plans.elements import element_records
 from terrafold.plans.merge import MERGE_KEYS, merge
 from terrafold.plans.profiles import RunConfig
 from terrafold.sinks.writers import write_all
 from terrafold.sources.files import list_outputs
-from terrafold.sources.lines import choose_features, mentions_keys, read_feature_lines
-from terrafold.sources.parts import existing_ids, written_ids
+from terrafold.sources.lines import choose_features, mentions_keys, oversize_report, read_feature_lines
+from terrafold.sources.parts import existing_contents, existing_ids, read_parts, written_ids
+
+#: Message of a run whose values all have output already.
+NOT_READ = "input not read: every value has output"
 
 
 def feature_records(
@@ -74,14 +80,57 @@ def earlier_output(
     return None
 
 
+def outputs_by_format(
+    spark: SparkSession, output: str, config: RunConfig
+) -> dict[str, DataFrame | None]:
+    """Keys that each format of this run already holds; None where it has no output."""
+
+    def read(name: str):
+        path = f"{output}/{name}"
+        if name == "geojson":
+            return written_ids(spark, path, MERGE_KEYS)
+        if name == "parquet" and config.keep_unidentified:
+            return existing_contents(spark, path, MERGE_KEYS)
+        return existing_ids(spark, path, MERGE_KEYS)
+
+    return {name: _if_present(lambda: read(name)) for name in config.formats}
+
+
+def write_new(
+    records: DataFrame, output: str, config: RunConfig
+) -> list[tuple[str, str, str]]:
+    """Merge records and write to each format what that format does not hold yet.
+
+    What every format holds is left out before geometries are judged; the rest
+    is compared with each format on its own, so one that was added later, or
+    that failed, is filled up.
+    """
+    earlier = outputs_by_format(records.sparkSession, output, config)
+    everywhere = None
+    if earlier and all(found is not None for found in earlier.values()):
+        first, *others = earlier.values()
+        everywhere = first
+        for found in others:
+            everywhere = everywhere.join(unique_keys(found, MERGE_KEYS), MERGE_KEYS, "left_semi")
+    merged = merge(records, everywhere, keep_unidentified=config.keep_unidentified)
+
+    def new_for(name: str, rows: DataFrame) -> DataFrame:
+        if earlier[name] is None or len(earlier) == 1:
+            return rows
+        return new_only(rows, earlier[name], MERGE_KEYS, keep_unidentified=config.keep_unidentified)
+
+    return write_all(merged, output, config.formats, config.table, new_for)
+
+
 def remaining_values(
     spark: SparkSession, output: str, config: RunConfig
 ) -> dict[str, list[str]]:
     """Values still to extract for each key, in the form of ``wanted_values``.
 
     Named values are always extracted; otherwise the skip mode decides.
+    "incremental" extracts all: rows written before are left out one by one.
     """
-    if config.subtags is not None:
+    if config.subtags is not None or config.skip_mode == "incremental":
         return wanted_values(config.tags, config.subtags)
     listing = _if_present(lambda: list_outputs(spark, output))
     if listing is None:
@@ -102,18 +151,42 @@ def run(
 ) -> list[tuple[str, str, str]]:
     """Extract ``source`` into ``output``; (format, status, message) per format.
 
-    Keys whose output exists are skipped, and rows already written by an
-    earlier run are not written again.
+    Values whose output exists are skipped but in the incremental mode: their
+    status is "skipped", or the message counts them, and new input for them is
+    not read. Rows that a format already holds are not written to it again.
     """
     wanted = remaining_values(spark, output, config)
     if not wanted:
-        return [(name, "skipped", "") for name in config.formats]
+        return [(name, "skipped", NOT_READ) for name in config.formats]
     lines = read_feature_lines(
         spark, source, max_bytes=config.max_line_bytes, min_file_bytes=config.min_file_bytes
     )
-    records = merge(
-        feature_records(lines, list(wanted), wanted=wanted),
-        earlier_output(spark, output, config.formats),
-        keep_unidentified=config.keep_unidentified,
+    return write_new(feature_records(lines, list(wanted), wanted=wanted), output, config)
+
+
+def run_elements(
+    nodes: DataFrame, ways: DataFrame, relations: DataFrame, output: str, config: RunConfig, **options
+) -> list[tuple[str, str, str]]:
+    """Extract element tables into ``output``, as :func:`run` does feature lines."""
+    wanted = remaining_values(nodes.sparkSession, output, config)
+    if not wanted:
+        return [(name, "skipped", NOT_READ) for name in config.formats]
+    records = element_records(nodes, ways, relations, list(wanted), wanted=wanted, **options)
+    return write_new(records, output, config)
+
+
+def run_staged(
+    spark: SparkSession, parts_path: str, output: str, config: RunConfig
+) -> list[tuple[str, str, str]]:
+    """Merge staged parts into ``output``; parts of values not asked for stay behind."""
+    staged = drop_stale(read_parts(spark, json_path=parts_path), config.subtags)
+    return write_new(staged.filter(F.col("category").isin(*config.tags)), output, config)
+
+
+def input_counts(spark: SparkSession, source: str | Sequence[str], config: RunConfig) -> DataFrame:
+    """(source, reason, lines): lines that a run over ``source`` leaves out, and why."""
+    lines = read_feature_lines(spark, source, config.max_line_bytes, config.min_file_bytes)
+    long = oversize_report(spark, source, config.max_line_bytes)
+    return rejected_counts(lines).unionByName(
+        long.select("source", F.lit("oversize").alias("reason"), F.col("oversize_lines").alias("lines"))
     )
-    return write_all(records, output, config.formats, config.table)

@@ -30,5 +30,5 @@ def merge(
     records = dedupe(parts, keys, keep_unidentified=keep_unidentified)
     if existing is not None:
         known = [k for k in keys if k in existing.columns]
-        records = new_only(records, existing, known, unique=True)
+        records = new_only(records, existing, known, True, keep_unidentified)
     return valid_geometry(records)

@@ -127,13 +127,18 @@ def _sinks(path: str, table: str | None) -> dict[str, Callable[[DataFrame], None
 
 
 def write_all(
-    records: DataFrame, path: str, formats: Sequence[str], table: str | None = None
+    records: DataFrame,
+    path: str,
+    formats: Sequence[str],
+    table: str | None = None,
+    new_for: Callable[[str, DataFrame], DataFrame] = lambda name, rows: rows,
 ) -> list[tuple[str, str, str]]:
     """Write one result in several formats: (format, status, message) each.
 
     More than one format reads from a table written once in the shared folder:
     nothing is computed twice, and a lost executor costs a read only. A format
-    that fails does not stop the others.
+    that fails does not stop the others. ``new_for`` leaves out what a format
+    already holds.
     """
     sinks = _sinks(path, table)
     if len(formats) > 1:
@@ -144,8 +149,8 @@ def write_all(
     outcome = []
     for name in formats:
         try:
-            sinks[name](records)
+            sinks[name](new_for(name, records))
             outcome.append((name, "ok", ""))
         except Exception as error:  # reported, so that the caller can decide
-            outcome.append((name, "failed", f"{type(error).__name__}: {error}"[:500]))
+            outcome.append((name, "failed", f"{type(error).__name__}: {error}"))
     return outcome

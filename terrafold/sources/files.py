@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from terrafold.functions.text import unescaped
-from terrafold.schema import FORMAT_EXTENSIONS, MIN_INPUT_BYTES
+from terrafold.schema import FORMAT_EXTENSIONS
 
 
 def list_files(spark: SparkSession, path: str) -> DataFrame:
@@ -39,11 +39,12 @@ def list_outputs(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def select_inputs(files: DataFrame, min_bytes: int = MIN_INPUT_BYTES) -> DataFrame:
+def select_inputs(files: DataFrame, min_bytes: int = 1) -> DataFrame:
     """Inputs to read, from (category, part, bytes).
 
-    ``part`` is null for the base file of a category. Small files count as
-    empty; a category with usable parts leaves its base file out.
+    ``part`` is null for the base file of a category. Files below ``min_bytes``
+    count as empty (by default only those that are); a category with usable
+    parts leaves its base file out. See :func:`left_out_inputs`.
     """
     usable = files.filter(F.col("bytes") >= min_bytes)
     parts = usable.filter(F.col("part").isNotNull())
@@ -51,3 +52,12 @@ def select_inputs(files: DataFrame, min_bytes: int = MIN_INPUT_BYTES) -> DataFra
         parts.select("category").distinct(), "category", "left_anti"
     )
     return parts.unionByName(bases)
+
+
+def left_out_inputs(files: DataFrame, min_bytes: int = 1) -> DataFrame:
+    """(category, part, bytes, reason) of what :func:`select_inputs` leaves out."""
+    small = files.filter(F.col("bytes") < min_bytes).withColumn("reason", F.lit("small"))
+    usable = files.filter(F.col("bytes") >= min_bytes)
+    parted = usable.filter(F.col("part").isNotNull()).select("category").distinct()
+    bases = usable.filter(F.col("part").isNull()).join(parted, "category", "left_semi")
+    return small.unionByName(bases.select(*files.columns, F.lit("has_parts").alias("reason")))

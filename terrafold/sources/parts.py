@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from terrafold.operators.relational import conform, union_parts
+from terrafold.operators.relational import conform, content_hash, union_parts
 from terrafold.schema import STAGED
 
 
@@ -35,6 +35,13 @@ def existing_ids(
     return spark.read.schema(schema).parquet(*paths).select(*keys)
 
 
+def existing_contents(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
+    """Key columns of earlier Parquet output with ``content``, geometry and tags as one hash."""
+    schema = T.StructType([*(STAGED[k] for k in keys), T.StructField("geometry", T.BinaryType()), STAGED["tags"]])
+    rows = spark.read.schema(schema).parquet(path)
+    return rows.select(*keys, content_hash(F.col("geometry"), F.col("tags")).alias("content"))
+
+
 def written_ids(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
     """Key columns of features written as GeoJSON lines."""
     schema = T.StructType([T.StructField("properties", T.StructType([STAGED[k] for k in keys]))])
