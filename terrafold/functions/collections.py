@@ -80,5 +80,9 @@ def deep_wkt(line: pd.Series) -> pd.Series:
     return line.map(_line_wkt, na_action="ignore")
 
 
+# Called non-deterministic so that a filter on the result does not compute it twice.
+deep_wkt = deep_wkt.asNondeterministic()
+
+
 # Executors need no copy of the package: the functions travel with the query.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])

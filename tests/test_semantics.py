@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from terrafold.functions import text
 from terrafold.operators import assemble, filters, planning, project, quality, relational
 from terrafold.plans.elements import extract_elements
-from terrafold.plans.extract import extract, feature_records, remaining_values, run
+from terrafold.plans.extract import NOT_READ, extract, feature_records, remaining_values, run
 from terrafold.plans.merge import merge
 from terrafold.plans.profiles import RunConfig, profile_tags
 from terrafold.schema import ALL_TAGS, ELEMENTS, FEATURE_COLUMNS, WHITELIST
@@ -385,7 +385,7 @@ def test_run_skips_finished_keys(spark, tmp_path):
     config = RunConfig(tags=["power"], formats=["parquet"])
     assert run(spark, source, out, config) == [("parquet", "ok", "")]
     assert remaining_values(spark, out, config) == {}
-    assert run(spark, source, out, config) == [("parquet", "skipped", "")]
+    assert run(spark, source, out, config) == [("parquet", "skipped", NOT_READ)]
     detailed = RunConfig(tags=["power"], formats=["parquet"], skip_mode="detailed")
     assert set(remaining_values(spark, out, detailed)["power"]) == set(WHITELIST["power"]) - {"tower"}
     run(spark, source, out, RunConfig(tags=["power"], subtags=[]))
