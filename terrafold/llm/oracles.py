@@ -10,12 +10,12 @@ def all_oracles() -> dict[str, str]:
 
 _ORACLES["op5_topk"] = """
 WITH vectors AS (
-  SELECT vec_id, list_transform(embedding, x -> CAST(floor(CAST(x AS DOUBLE) * 64) AS BIGINT)) AS e
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 64) AS BIGINT)) AS e
   FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), scores AS (
   SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
-    CAST(list_sum(list_transform(list_zip(q.e, c.e), p -> p[1] * p[2])) AS BIGINT) AS score
+    CAST(list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2])) AS BIGINT) AS score
   FROM vectors q JOIN vectors c ON q.vec_id <> c.vec_id
   WHERE q.vec_id % 20 = 0
 ), ranked AS (
@@ -39,3 +39,31 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, sha1(payload) AS payload_dig
   true AS sound
 FROM joined
 """
+
+_ORACLES["op4_repeats"] = """
+WITH docs AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents
+), windows AS (
+  SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS s FROM docs, unnest(generate_series(0, n - 50)) AS t(i) WHERE n >= 50
+), least AS (
+  SELECT s, min(doc_id) AS first FROM windows GROUP BY s
+), hits AS (
+  SELECT windows.doc_id, i FROM windows JOIN least USING (s) WHERE first < windows.doc_id
+), marked AS (
+  SELECT *, coalesce(i > lag(i) OVER w + 50, true) AS fresh FROM hits WINDOW w AS (PARTITION BY doc_id ORDER BY i)
+), numbered AS (
+  SELECT *, sum(CASE WHEN fresh THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM marked
+), runs AS (
+  SELECT doc_id, run, min(i) AS a, max(i) + 50 AS b FROM numbered GROUP BY ALL
+), cuts AS (
+  SELECT *, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM runs
+), kept AS (
+  SELECT doc_id, count(*) AS n_spans, sum(b - a) AS n_removed, max(b) AS last,
+    string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS front
+  FROM cuts JOIN docs USING (doc_id) GROUP BY doc_id
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+  CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+  sha256(unhex(coalesce(front, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM docs LEFT JOIN kept USING (doc_id)
+"""
