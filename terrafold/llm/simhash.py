@@ -282,14 +282,14 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 2) -> Dat
 
 
 def _shingle_set(text: bytes, shingle: int) -> bytes:
-    """The distinct hashes of a text's shingles, ascending."""
+    """The distinct hashes of a text's shingles, ascending, 32 bits each."""
     import xxhash
 
     words = text.lower().split()
     if not words:
         return b""
     parts = (b" ".join(words[i : i + shingle]) for i in range(max(1, len(words) - shingle + 1)))
-    return np.unique(np.array([xxhash.xxh64_intdigest(p) for p in parts], "<u8")).tobytes()
+    return np.unique(np.array([xxhash.xxh32_intdigest(p) for p in parts], "<u4")).tobytes()
 
 
 def near_copies(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, distance: int = 8, parts: int = 3) -> DataFrame:
@@ -325,7 +325,7 @@ def near_copies(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, dist
         for batch in batches:
             good = []
             for x, y in zip(batch.column("of_a").to_pylist(), batch.column("of_b").to_pylist()):
-                x, y = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
+                x, y = np.frombuffer(x, "<u4"), np.frombuffer(y, "<u4")
                 shared = len(np.intersect1d(x, y, assume_unique=True))
                 good.append(shared >= similarity * (len(x) + len(y) - shared))
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
@@ -336,8 +336,8 @@ def near_copies(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, dist
     texts = known.groupBy("same", "fingerprint").agg(F.min("doc_id").alias("id"))
     edges = checkpointed(links(texts, distance, parts).distinct())
     on_edges = edges.select(F.explode(F.array("a", "b")).alias("of")).distinct()
-    held = rows.join(on_edges, F.col("doc_id") == F.col("of"), "left_semi").dropDuplicates(["doc_id"])
-    held = held.mapInArrow(sets, "id long, shingles binary")
+    held = rows.join(on_edges, F.col("doc_id") == F.col("of"), "left_semi").mapInArrow(sets, "id long, shingles binary")
+    held = checkpointed(held.groupBy("id").agg(F.min("shingles").alias("shingles")))
     both = (
         edges.join(held.select(F.col("id").alias("a"), F.col("shingles").alias("of_a")), "a")
         .join(held.select(F.col("id").alias("b"), F.col("shingles").alias("of_b")), "b")
