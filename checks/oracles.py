@@ -745,6 +745,23 @@ def all_oracles() -> dict[str, str]:
             """SELECT DISTINCT val || '_' || geom_group || '_a' AS prefix FROM rec WHERE category <> 'man_made'
             UNION SELECT DISTINCT 'mast_' || geom_group || '_a' FROM rec WHERE category = 'man_made'""",
         ),
+        "scan_element_kinds": _from(
+            _WAY,
+            """SELECT kind, format, id, body, name, version FROM (
+              SELECT 'node' AS kind, id, lon || ' ' || lat AS body,
+                CASE WHEN id % 5 = 0 THEN 'N' || id ELSE '' END AS name, 1 AS version FROM nd
+              UNION ALL
+              SELECT 'relation', s_suppkey, CASE WHEN s_suppkey % 3 = 0 THEN 'way:' || (s_suppkey * 10 + 2) || ':inner '
+                ELSE '' END || 'way:' || (s_suppkey * 10 + 1) || ':outer way:' || (s_suppkey * 10) || ':outer node:' ||
+                (s_suppkey * 10) || ':label', 'R' || s_suppkey, 1 FROM supplier
+            ), (VALUES ('parquet'), ('json'), ('xml')) AS t(format)""",
+        ),
+        "filter_bbox_stored": _from(
+            _FEAT,
+            """SELECT osm_id, geometry_wkt FROM (SELECT *, CASE WHEN kind = 0 THEN 0
+              WHEN kind IN (2, 4) THEN 2 ELSE 1 END AS d FROM feat)
+            WHERE x + d >= -20 AND x <= 40.5 AND y + d >= -45 AND y <= 20""",
+        ),
         "feature_counts": _from(
             _FEAT,
             """SELECT category, sub_cat, geom_group, count(*)::BIGINT AS records FROM uniq

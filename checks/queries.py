@@ -1109,3 +1109,51 @@ def staged_summary(spark, sf):
     path = scratch_path(spark, "parts")
     writers.write_parts(_records(spark, sf), path)
     return planning.staged_summary(files.list_files(spark, path)).filter("parts > 0").select("prefix")
+
+
+@query
+def filter_bbox_stored(spark, sf):
+    """Extents stored beside the geometries and compared in the scan."""
+    path = scratch_path(spark, "boxed")
+    features = _features(spark, sf)
+    filters.with_box(features.select(_id(features), "geometry_wkt")).write.parquet(path)
+    return filters.bbox_filter(spark.read.parquet(path), -20, -45, 40.5, 20).select("osm_id", "geometry_wkt")
+
+
+@query
+def scan_element_kinds(spark, sf):
+    """Nodes and relations in every form, read back."""
+    edit = [
+        F.col("id").alias("_id"),
+        F.col("version").alias("_version"),
+        F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("_timestamp"),
+        F.transform(
+            F.map_entries("tags"), lambda t: F.struct(t["key"].alias("_k"), t["value"].alias("_v"))
+        ).alias("tag"),
+    ]
+    member = F.transform(
+        "members", lambda m: F.struct(m["type"].alias("_type"), m["ref"].alias("_ref"), m["role"].alias("_role"))
+    )
+    body = {"node": [F.col("lon").alias("_lon"), F.col("lat").alias("_lat")], "relation": [member.alias("member")]}
+    shown = {
+        "node": F.concat_ws(" ", F.col("lon").cast("int"), F.col("lat").cast("int")),
+        "relation": F.array_join(
+            F.transform("members", lambda m: F.concat_ws(":", m["type"], m["ref"].cast("string"), m["role"])), " "
+        ),
+    }
+    read = []
+    for kind, table in (("node", A.nodes(spark, sf)), ("relation", A.area_relations(spark, sf))):
+        for fmt in ("parquet", "json", "xml"):
+            path = scratch_path(spark, f"{kind}-{fmt}")
+            if fmt == "xml":
+                table.select(*edit, *body[kind]).write.option("rowTag", kind).option("rootTag", "osm").xml(path)
+            else:
+                table.write.format(fmt).save(path)
+            found = elements.read_elements(spark, path, kind, fmt)
+            read.append(
+                found.select(
+                    F.lit(kind).alias("kind"), F.lit(fmt).alias("format"), "id", shown[kind].alias("body"),
+                    F.coalesce(F.col("tags")["name"], F.lit("")).alias("name"), "version",
+                )
+            )
+    return relational.union_parts(*read)

@@ -74,18 +74,32 @@ def filter_subtags(
     return with_tag(features, tag).filter(test)
 
 
+BOX = ["min_lon", "min_lat", "max_lon", "max_lat"]
+
+
+def with_box(features: DataFrame) -> DataFrame:
+    """Adds the extent as plain columns, to be stored beside the geometry."""
+    box = features.select("*", F.explode(F.array(bounds(F.col("geometry_wkt")))).alias("_box"))
+    return box.select(*features.columns, *[F.col(f"_box.{c}").alias(c) for c in BOX])
+
+
 def bbox_filter(
     features: DataFrame, min_lon: float, min_lat: float, max_lon: float, max_lat: float
 ) -> DataFrame:
-    """Features whose extent meets the box."""
-    box = features.select("*", F.explode(F.array(bounds(F.col("geometry_wkt")))).alias("_box"))
-    b = F.col("_box")
-    return box.filter(
-        (b["max_lon"] >= min_lon)
-        & (b["min_lon"] <= max_lon)
-        & (b["max_lat"] >= min_lat)
-        & (b["min_lat"] <= max_lat)
-    ).drop("_box")
+    """Features whose extent meets the box.
+
+    Stored extents (see :func:`with_box`) are compared as they are, so that a
+    Parquet scan skips row groups by them; otherwise the text is read.
+    """
+    stored = set(BOX) <= set(features.columns)
+    boxed = features if stored else with_box(features)
+    kept = boxed.filter(
+        (F.col("max_lon") >= min_lon)
+        & (F.col("min_lon") <= max_lon)
+        & (F.col("max_lat") >= min_lat)
+        & (F.col("min_lat") <= max_lat)
+    )
+    return kept if stored else kept.drop(*BOX)
 
 
 def with_issue(features: DataFrame) -> DataFrame:

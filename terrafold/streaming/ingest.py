@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from terrafold.plans.extract import earlier_output, feature_records
@@ -61,13 +61,18 @@ def stream_upsert(
 ) -> StreamingQuery:
     """Append what is new to Parquet output, then stop when caught up.
 
-    Every micro-batch is merged against the stored keys, so a batch that runs
-    again after a failure, or a full replay, adds nothing twice. A later start
-    with the same checkpoint goes on after the last finished batch.
+    Every micro-batch is merged against the stored keys of its categories, whose
+    folders alone are read, so a batch that runs again after a failure, or a full
+    replay, adds nothing twice. Stored rows are not replaced. A later start with
+    the same checkpoint goes on after the last finished batch.
     """
 
     def append(batch: DataFrame, batch_id: int) -> None:
         stored = earlier_output(batch.sparkSession, output)
+        if stored is not None:
+            # as many categories as there are tag keys
+            held = [row["category"] for row in batch.select("category").distinct().collect()]
+            stored = stored.filter(F.col("category").isin(*held))
         write_parquet(merge(batch, stored, keys), f"{output}/parquet")
 
     return (

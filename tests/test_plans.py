@@ -201,3 +201,13 @@ def test_element_job_moves_nodes_once_and_chains_rings_once(spark, sf, tmp_path)
     scans = re.findall(r"ReadSchema: .*", shown)
     assert len([s for s in scans if "lon" in s and "tags" not in s]) == 1
     assert shown.count("assemble_multipolygon(") == 1 and shown.count("ArrowEvalPython") == 1
+
+
+def test_stored_extents_are_compared_in_the_scan(spark, tmp_path):
+    from terrafold.operators import filters
+
+    rows = spark.range(100).selectExpr("id", "concat('POINT (', id, ' ', id % 10, ')') AS geometry_wkt")
+    filters.with_box(rows).write.parquet(str(tmp_path / "boxed"))
+    kept = filters.bbox_filter(spark.read.parquet(str(tmp_path / "boxed")), 10, 0, 20, 5)
+    assert re.search(r"PushedFilters: \[IsNotNull\(max_lon\)", plan(kept))
+    assert sorted(r["id"] for r in kept.collect()) == [i for i in range(10, 21) if i % 10 <= 5]
