@@ -119,9 +119,8 @@ class _Chunk:
     """A chunk's documents in a fixed order, and their segments by shard."""
 
     def __init__(self, table, length: int, shards: int):
-        row = table.column("row").combine_chunks()
-        ids = row.field("doc_id").to_pylist()
-        texts = [t or b"" for t in row.field("bytes").to_pylist()]
+        ids = table.column("doc_id").to_pylist()
+        texts = [t or b"" for t in table.column("bytes").to_pylist()]
         self.order = sorted(range(len(ids)), key=lambda i: (ids[i] is None, ids[i] or 0, texts[i], i))
         self.ids = [ids[i] for i in self.order]
         self.texts = [texts[i] for i in self.order]
@@ -312,7 +311,7 @@ def _judge(length: int):
     return run
 
 
-def _remove(length: int, shards: int, kept_names: list[str]):
+def _remove(length: int, shards: int):
     def run(left, right, shared):
         import pyarrow as pa
 
@@ -345,10 +344,9 @@ def _remove(length: int, shards: int, kept_names: list[str]):
             edges = np.flatnonzero(np.diff(np.concatenate([[0], own.astype(np.int8), [0]])))
             spans.append(edges.tolist())
             kept.append(np.frombuffer(text, np.uint8)[~own].tobytes())
-        row = left.column("row").combine_chunks().take(pa.array(chunk.order))
-        columns = {n: row.field(n) for n in kept_names}
-        columns |= {"removed": pa.array(spans, pa.list_(pa.int64())), "kept": pa.array(kept, pa.binary())}
-        return pa.table(columns)
+        found = left.select(["rest", "doc_id", "bytes"]).take(pa.array(chunk.order))
+        found = found.append_column("removed", pa.array(spans, pa.list_(pa.int64())))
+        return found.append_column("kept", pa.array(kept, pa.binary()))
 
     return run
 
@@ -369,14 +367,12 @@ def remove_repeats(docs: DataFrame, length: int = 50) -> DataFrame:
     rest = docs.drop("removed", "kept")
     size = rest.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     chunks = max(1, math.ceil(math.sqrt(size) * CHUNKS_PER_ROOT))
-    names = rest.columns
+    others = [n for n in rest.columns if n not in ("doc_id", "text")]
     rows = rest.select(
         F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(chunks)).alias("chunk"),
-        F.struct(
-            F.col("doc_id").cast("long").alias("doc_id"),
-            F.col("text").cast("binary").alias("bytes"),
-            *(F.col(f"`{n}`") for n in names if n not in ("doc_id", "text")),
-        ).alias("row"),
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.col("text").cast("binary").alias("bytes"),
+        F.struct(F.lit(None).cast("int").alias("none"), *(F.col(f"`{n}`") for n in others)).alias("rest"),
     )
     by_chunk = rows.groupBy("chunk")
     keys = by_chunk.applyInArrow(_report_keys(length, chunks), KEYS)
@@ -388,8 +384,7 @@ def remove_repeats(docs: DataFrame, length: int = 50) -> DataFrame:
     replies = replies.unionByName(
         verdicts.select("chunk", "shard", F.lit(None).cast("binary").alias("shared"), "runs")
     )
-    kept_names = [n for n in names if n != "text"]
-    remove = _remove(length, chunks, ["bytes", *kept_names])
+    remove = _remove(length, chunks)
 
     def finish(left, right):
         import pyarrow.compute as pc
@@ -398,11 +393,11 @@ def remove_repeats(docs: DataFrame, length: int = 50) -> DataFrame:
         told = dict(zip(told.column("shard").to_pylist(), told.column("shared").to_pylist()))
         return remove(left, right.filter(pc.is_valid(right.column("runs"))), told)
 
-    fields = [StructField("bytes", BinaryType())]
-    fields += [StructField(n, LongType() if n == "doc_id" else rest.schema[n].dataType) for n in kept_names]
+    fields = [rows.schema["rest"], StructField("doc_id", LongType()), StructField("bytes", BinaryType())]
     fields += [StructField("removed", ArrayType(LongType())), StructField("kept", BinaryType())]
     found = by_chunk.cogroup(replies.groupBy("chunk")).applyInArrow(finish, StructType(fields))
-    return found.select(*("doc_id" if n == "doc_id" else F.col("bytes").cast("string").alias("text") if n == "text" else F.col(f"`{n}`") for n in names), "removed", "kept")
+    own = {"doc_id": F.col("doc_id"), "text": F.col("bytes").cast("string").alias("text")}
+    return found.select(*(own[n] if n in own else F.col(f"rest.`{n}`") for n in rest.columns), "removed", "kept")
 
 
 def n_removed(removed: Column) -> Column:

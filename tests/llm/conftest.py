@@ -33,9 +33,9 @@ def make_docs(spark):
     def make(rows):
         schema = T.StructType(
             [T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType())]
-            + [T.StructField(n, T.StringType()) for n in ("id", "score", "n", "part", "ids", "block", "key", "hash")]
+            + [T.StructField(n, T.StringType()) for n in ("id", "score", "n", "part", "ids", "block", "key", "hash", "bytes", "rest", "row")]
         )
-        return spark.createDataFrame([(d, t, *["x"] * 8) for d, t in rows], schema).repartition(3)
+        return spark.createDataFrame([(d, t, *["x"] * 11) for d, t in rows], schema).repartition(3)
 
     return make
 
