@@ -9,14 +9,15 @@ one key meet in a shard; the shard's suffix array and permuted common prefixes
 group its equal windows, and each group's least document goes back to the
 chunks, which then remove what an earlier document has.
 
-Chunks and shards both number about the square root of the bytes, so that a key
-that every document holds comes once from each chunk, and no step holds more
-than one chunk or one shard. Documents move once.
+Chunks number about the square root of the bytes, so that a key that every
+document holds comes once from each chunk; shards of segments grow with the
+bytes. No step holds more than one chunk or one shard. Documents move once.
 """
 
 from __future__ import annotations
 
 import math
+import zlib
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
@@ -26,8 +27,9 @@ from terrafold.llm.common import worker_store
 from terrafold.llm.suffix import permuted_common_prefixes, suffix_array
 
 #: Bytes of the strings whose hashes make a window's key; windows in a segment;
-#: bytes that are hashed at a time; the number of chunks for a root of bytes.
-PART, RUN, STRIP, CHUNKS_PER_ROOT = 24, 256, 1 << 17, 1 / 32
+#: bytes that are hashed at a time; the number of chunks for a root of bytes;
+#: chunks for one shard of segments, and the most bytes of documents for one.
+PART, RUN, STRIP, CHUNKS_PER_ROOT, CHUNKS_PER_SHARD, SHARD_BYTES = 24, 256, 1 << 17, 1 / 32, 4, 1 << 23
 
 _STEP = 0x9E3779B97F4A7C15
 _NO_DOC = np.iinfo(np.int64).max
@@ -118,7 +120,7 @@ def _strip_windows(texts: list[bytes], length: int):
 class _Chunk:
     """A chunk's documents in a fixed order, and their segments by shard."""
 
-    def __init__(self, table, length: int, shards: int):
+    def __init__(self, table, length: int, shards: int, slots: int = 1):
         ids = table.column("doc_id").to_pylist()
         texts = [t or b"" for t in table.column("bytes").to_pylist()]
         self.order = sorted(range(len(ids)), key=lambda i: (ids[i] is None, ids[i] or 0, texts[i], i))
@@ -133,6 +135,7 @@ class _Chunk:
         rest = key & np.uint64((1 << 40) - 1)
         by = np.lexsort((rest, shard))
         self.shard, self.rest, self.start, self.wide = shard[by], rest[by], start[by], wide[by]
+        self.slot = ((key[by] >> np.uint64(17)) % np.uint64(slots)).astype(np.int64)
         doc = np.array([d if d is not None else _NO_DOC for d in self.ids], np.int64)
         self.doc = doc[number[by]]
         change = np.ones(len(by), bool)
@@ -148,28 +151,29 @@ class _Chunk:
             yield int(held[a]), int(a), int(b)
 
     def shared(self, replies: dict[int, bytes]):
-        """Numbers of the segments whose key another document has too."""
+        """Whether another document has the key of each segment, too."""
         found = np.zeros(len(self.head), bool)
         for shard, a, b in self.shards():
             if shard in replies:
                 found[a:b] = np.unpackbits(np.frombuffer(replies[shard], np.uint8))[: b - a]
-        return np.flatnonzero(found[self.group]) if len(found) else np.zeros(0, np.int64)
+        return found[self.group]
 
-    def distinct(self, numbers):
-        """Per shard: (shard, segment texts, least and highest document of each, (segment numbers, their text))."""
-        held = self.shard[numbers]
+    def slots(self):
+        """(slot, numbers of its segments): where segments meet those of other chunks."""
+        order = np.argsort(self.slot, kind="stable")
+        held = self.slot[order]
         cuts = np.flatnonzero(np.append(True, held[1:] != held[:-1])) if len(held) else np.zeros(0, np.int64)
         for a, b in zip(cuts, np.append(cuts[1:], len(held))):
-            own = numbers[a:b]
-            starts, ends = self.start[own].tolist(), (self.start[own] + self.wide[own]).tolist()
-            known: dict[bytes, int] = {}
-            which = np.fromiter(
-                (known.setdefault(self.data[s:e], len(known)) for s, e in zip(starts, ends)), np.int64, len(own)
-            )
-            least, most = np.full(len(known), _NO_DOC), np.full(len(known), -_NO_DOC)
-            np.minimum.at(least, which, self.doc[own])
-            np.maximum.at(most, which, self.doc[own])
-            yield int(held[a]), list(known), least, most, own, which
+            yield int(held[a]), order[a:b]
+
+    def distinct(self, own):
+        """Distinct texts of segments, and the text of each."""
+        starts, ends = self.start[own].tolist(), (self.start[own] + self.wide[own]).tolist()
+        known: dict[bytes, int] = {}
+        which = np.fromiter(
+            (known.setdefault(self.data[s:e], len(known)) for s, e in zip(starts, ends)), np.int64, len(own)
+        )
+        return list(known), which
 
 
 def _packed_40(values) -> bytes:
@@ -184,8 +188,8 @@ def _unpacked_40(data: bytes):
 
 KEYS = "shard long, chunk long, keys binary, twice binary"
 SHARED = "chunk long, shard long, shared binary"
-SEGMENTS = "shard long, chunk long, texts binary, widths binary, least binary, most binary"
-VERDICTS = "chunk long, shard long, runs binary"
+SEGMENTS = "slot long, chunk long, used binary, n long, packed binary"
+VERDICTS = "chunk long, slot long, used binary, runs binary"
 _RUN = np.dtype([("text", "<i4"), ("start", "<i4"), ("end", "<i4"), ("doc", "<i8")])
 
 
@@ -229,22 +233,39 @@ def _find_shared(table):
     return _table(SHARED, out)
 
 
-def _send_segments(length: int, shards: int):
+def _send_segments(length: int, shards: int, slots: int):
     def run(left, right):
         if not left.num_rows or not right.num_rows:
             return _table(SEGMENTS, [])
-        chunk = _Chunk(left, length, shards)
+        chunk = _Chunk(left, length, shards, slots)
         number = left.column("chunk")[0].as_py()
-        numbers = chunk.shared(dict(zip(right.column("shard").to_pylist(), right.column("shared").to_pylist())))
+        shared = chunk.shared(dict(zip(right.column("shard").to_pylist(), right.column("shared").to_pylist())))
         out = []
-        for shard, texts, least, most, _, _ in chunk.distinct(numbers):
+        for slot, numbers in chunk.slots():
+            used = shared[numbers]
+            if not used.any():
+                continue
+            own = numbers[used]
+            texts, which = chunk.distinct(own)
+            least, most = np.full(len(texts), _NO_DOC), np.full(len(texts), -_NO_DOC)
+            np.minimum.at(least, which, chunk.doc[own])
+            np.maximum.at(most, which, chunk.doc[own])
             widths = np.fromiter(map(len, texts), "<i4", len(texts))
-            out.append((shard, number, b"".join(texts), widths.tobytes(), least.tobytes(), most.tobytes()))
+            packed = zlib.compress(b"".join([least.tobytes(), most.tobytes(), widths.tobytes(), *texts]), 1)
+            out.append((slot, number, np.packbits(used).tobytes(), len(texts), packed))
         return _table(SEGMENTS, out)
 
     return run
 
 
+def _unpacked(n: int, packed: bytes):
+    """(least documents, highest documents, texts) of one chunk's segments."""
+    data = zlib.decompress(packed)
+    least, most = np.frombuffer(data, np.int64, n), np.frombuffer(data, np.int64, n, 8 * n)
+    ends = (np.cumsum(np.frombuffer(data, "<i4", n, 16 * n)) + 20 * n).tolist()
+    return least, most, [data[s:e] for s, e in zip([20 * n, *ends[:-1]], ends)]
+
+
 def least_documents(texts: list[bytes], docs, length: int):
     """For each window of distinct texts, in turn: the least document that holds an equal one.
 
@@ -276,14 +297,12 @@ def _judge(length: int):
         known: dict[bytes, int] = {}
         places = []
         for r in rows:
-            widths = np.frombuffer(r["widths"], "<i4")
-            ends = np.cumsum(widths).tolist()
-            starts = [0, *ends[:-1]]
-            data = r["texts"]
-            places.append(np.fromiter((known.setdefault(data[s:e], len(known)) for s, e in zip(starts, ends)), np.int64, len(ends)))
+            own_least, own_most, texts = _unpacked(r["n"], r.pop("packed"))
+            which = np.fromiter((known.setdefault(t, len(known)) for t in texts), np.int64, len(texts))
+            places.append((which, own_least, own_most))
         docs = np.full(len(known), _NO_DOC)
-        for r, which in zip(rows, places):
-            np.minimum.at(docs, which, np.frombuffer(r["least"], np.int64))
+        for which, own_least, _ in places:
+            np.minimum.at(docs, which, own_least)
         least, first = least_documents(list(known), docs, length)
         # runs of neighbouring windows with one least document, per distinct text
         head = np.ones(len(least), bool)
@@ -295,8 +314,7 @@ def _judge(length: int):
         doc = least[at]
         run_first = np.searchsorted(owner, np.arange(len(known) + 1))
         out = []
-        for r, which in zip(rows, places):
-            most = np.frombuffer(r["most"], np.int64)
+        for r, (which, _, most) in zip(rows, places):
             times = run_first[which + 1] - run_first[which]
             text = np.repeat(np.arange(len(which)), times)
             index = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times) + np.repeat(run_first[which], times)
@@ -305,33 +323,34 @@ def _judge(length: int):
             if len(index):
                 runs = np.empty(len(index), _RUN)
                 runs["text"], runs["start"], runs["end"], runs["doc"] = text, begin[index], stop[index], doc[index]
-                out.append((r["chunk"], r["shard"], runs.tobytes()))
+                out.append((r["chunk"], r["slot"], r["used"], zlib.compress(runs.tobytes(), 1)))
         return _table(VERDICTS, out)
 
     return run
 
 
-def _remove(length: int, shards: int):
-    def run(left, right, shared):
+def _remove(length: int, shards: int, slots: int):
+    def run(left, right):
         import pyarrow as pa
 
-        chunk = _Chunk(left, length, shards)
+        chunk = _Chunk(left, length, shards, slots)
         cover = np.zeros(len(chunk.data) + 1, np.int32)
-        if right.num_rows:
-            verdicts = dict(zip(right.column("shard").to_pylist(), right.column("runs").to_pylist()))
-            numbers = chunk.shared(shared)
-            for shard, _, _, _, own, which in chunk.distinct(numbers):
-                if shard not in verdicts:
-                    continue
-                runs = np.frombuffer(verdicts[shard], _RUN)
-                first = np.searchsorted(runs["text"], which, "left")
-                times = np.searchsorted(runs["text"], which, "right") - first
-                segment = np.repeat(own, times)
-                index = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times) + np.repeat(first, times)
-                earlier = runs["doc"][index] < chunk.doc[segment]
-                segment, index = segment[earlier], index[earlier]
-                np.add.at(cover, chunk.start[segment] + runs["start"][index], 1)
-                np.add.at(cover, chunk.start[segment] + runs["end"][index] + length - 1, -1)
+        verdicts = {r["slot"]: r for r in right.to_pylist()}
+        for slot, numbers in chunk.slots() if verdicts else ():
+            if slot not in verdicts:
+                continue
+            used = np.unpackbits(np.frombuffer(verdicts[slot]["used"], np.uint8))[: len(numbers)].astype(bool)
+            own = numbers[used]
+            _, which = chunk.distinct(own)
+            runs = np.frombuffer(zlib.decompress(verdicts[slot]["runs"]), _RUN)
+            first = np.searchsorted(runs["text"], which, "left")
+            times = np.searchsorted(runs["text"], which, "right") - first
+            segment = np.repeat(own, times)
+            index = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times) + np.repeat(first, times)
+            earlier = runs["doc"][index] < chunk.doc[segment]
+            segment, index = segment[earlier], index[earlier]
+            np.add.at(cover, chunk.start[segment] + runs["start"][index], 1)
+            np.add.at(cover, chunk.start[segment] + runs["end"][index] + length - 1, -1)
         gone = np.cumsum(cover[:-1]) > 0
         begins = np.append(0, chunk.ends[:-1])
         spans, kept = [], []
@@ -375,27 +394,15 @@ def remove_repeats(docs: DataFrame, length: int = 50) -> DataFrame:
         F.struct(F.lit(None).cast("int").alias("none"), *(F.col(f"`{n}`") for n in others)).alias("rest"),
     )
     by_chunk = rows.groupBy("chunk")
+    slots = max(1, chunks // CHUNKS_PER_SHARD, size // SHARD_BYTES)
     keys = by_chunk.applyInArrow(_report_keys(length, chunks), KEYS)
     shared = keys.groupBy("shard").applyInArrow(_find_shared, SHARED)
-    segments = by_chunk.cogroup(shared.groupBy("chunk")).applyInArrow(_send_segments(length, chunks), SEGMENTS)
-    verdicts = segments.groupBy("shard").applyInArrow(_judge(length), VERDICTS)
-    # what a chunk shares and the verdicts on it come back together
-    replies = shared.select("chunk", "shard", F.col("shared").alias("shared"), F.lit(None).cast("binary").alias("runs"))
-    replies = replies.unionByName(
-        verdicts.select("chunk", "shard", F.lit(None).cast("binary").alias("shared"), "runs")
-    )
-    remove = _remove(length, chunks)
-
-    def finish(left, right):
-        import pyarrow.compute as pc
-
-        told = right.filter(pc.is_valid(right.column("shared")))
-        told = dict(zip(told.column("shard").to_pylist(), told.column("shared").to_pylist()))
-        return remove(left, right.filter(pc.is_valid(right.column("runs"))), told)
-
+    segments = by_chunk.cogroup(shared.groupBy("chunk")).applyInArrow(_send_segments(length, chunks, slots), SEGMENTS)
+    verdicts = segments.groupBy("slot").applyInArrow(_judge(length), VERDICTS)
     fields = [rows.schema["rest"], StructField("doc_id", LongType()), StructField("bytes", BinaryType())]
     fields += [StructField("removed", ArrayType(LongType())), StructField("kept", BinaryType())]
-    found = by_chunk.cogroup(replies.groupBy("chunk")).applyInArrow(finish, StructType(fields))
+    remove = _remove(length, chunks, slots)
+    found = by_chunk.cogroup(verdicts.groupBy("chunk")).applyInArrow(remove, StructType(fields))
     own = {"doc_id": F.col("doc_id"), "text": F.col("bytes").cast("string").alias("text")}
     return found.select(*(own[n] if n in own else F.col(f"rest.`{n}`") for n in rest.columns), "removed", "kept")
 
