@@ -15,7 +15,7 @@ import unicodedata
 from terrafold.llm.common import worker_store
 
 #: Words kept by a worker, and the longest that is kept (bytes).
-WORDS, WORD_BYTES = 400_000, 48
+WORDS, WORD_BYTES = 250_000, 48
 
 _STOP_AFTER_SYMBOL = re.compile(rb"[^a-z0-9 \n][.,][ \n]")
 _STOP = re.compile(rb"(?<=[a-z0-9])([.,])(?=[ \n])")
