@@ -18,7 +18,7 @@ from __future__ import annotations
 from itertools import combinations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from terrafold.llm.common import checkpointed, text_or_empty
 from terrafold.llm.components import components
@@ -292,25 +292,65 @@ def _shingle_set(text: bytes, shingle: int) -> bytes:
     return np.unique(np.array([xxhash.xxh32_intdigest(p) for p in parts], "<u4")).tobytes()
 
 
-def near_copies(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, distance: int = 8, parts: int = 3) -> DataFrame:
-    """doc_id, component_id: documents connected by copies and near copies.
+#: Odd factors of a shingle's words, in turn.
+_FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], np.uint64)
+#: Least hashes of a text for the first pass.
+MINIMA = 6
+#: Documents that the order of shingles is learned from, at least, and its longest list.
+SAMPLE, COMMON = 20_000, 1 << 18
 
-    Candidates are texts whose fingerprints of distinct words differ in at most
-    ``distance`` bits; an edge stands if the sets of the two texts' shingles are
-    at least ``similarity`` alike (shared over all). Equal texts are linked; no
-    text without words is like one with words. Rows without id are left out;
-    rows of one id count as one document.
+
+def _shingles(text: bytes, shingle: int):
+    """The distinct 64-bit hashes of a text's shingles, ascending; a text without words has one of its own."""
+    import xxhash
+
+    words = text.lower().split()
+    if len(words) <= shingle or shingle > len(_FACTORS):
+        parts = (b" ".join(words[i : i + shingle]) for i in range(max(1, len(words) - shingle + 1)))
+        return np.unique(np.array([xxhash.xxh64_intdigest(p, 7) for p in parts], np.uint64))
+    hashes = np.array([xxhash.xxh64_intdigest(w, 7) for w in words], np.uint64)
+    last = len(words) - shingle + 1
+    mixed = sum(hashes[i : i + last] * _FACTORS[i] for i in range(shingle))
+    return np.unique((mixed ^ (mixed >> np.uint64(32))) * _FACTORS[4])
+
+
+def _prefix(shingles, similarity: float, common, ranks):
+    """The shingles of which any set at least ``similarity`` alike has one in its own prefix.
+
+    Both sets in one order, the rarest first: what is beyond the prefix is too
+    little for the similarity.
     """
+    place = np.minimum(np.searchsorted(common, shingles), max(len(common) - 1, 0))
+    rank = np.where(common[place] == shingles, ranks[place], -1) if len(common) else np.full(len(shingles), -1)
+    n = len(shingles)
+    return shingles[np.lexsort((shingles, rank))][: n - int(np.ceil(similarity * n - 1e-9)) + 1]
+
 
-    def prints(batches):
+def _common_shingles(rows: DataFrame, shingle: int):
+    """Shingles that many texts of a sample hold, ascending, and their rank by that number.
+
+    The sample only sets an order: any order finds all pairs, a good one meets few.
+    """
+    n = rows.count()
+    share = max(1 / 16, min(1.0, SAMPLE / max(n, 1)))
+
+    def run(batches):
         import pyarrow as pa
-        import xxhash
 
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            keys = pa.array([xxhash.xxh3_128_digest(t) for t in texts], pa.binary())
-            found = np.array([fingerprint_of(t, 1, distinct=True) for t in texts], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), keys, pa.array(found.view(np.int64))], ["doc_id", "same", "fingerprint"])
+            found = [_shingles(t.as_py(), shingle) for t in batch.column(0)]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64))], ["token"])
+
+    sample = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20))).select("text")
+    counted = sample.mapInArrow(run, "token long").groupBy("token").count().where("count > 3")
+    found = counted.orderBy(F.desc("count"), "token").limit(COMMON).toPandas()
+    tokens, times = found["token"].to_numpy(np.int64).view(np.uint64), found["count"].to_numpy(np.int64)
+    order = np.argsort(tokens)
+    return tokens[order], times[order]
+
+
+def _alike(rows: DataFrame, edges: DataFrame, similarity: float, shingle: int) -> DataFrame:
+    """The edges (a, b) between documents that hold texts at least ``similarity`` alike."""
 
     def sets(batches):
         import pyarrow as pa
@@ -327,26 +367,95 @@ def near_copies(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, dist
             for x, y in zip(batch.column("of_a").to_pylist(), batch.column("of_b").to_pylist()):
                 x, y = np.frombuffer(x, "<u4"), np.frombuffer(y, "<u4")
                 shared = len(np.intersect1d(x, y, assume_unique=True))
-                good.append(shared >= similarity * (len(x) + len(y) - shared))
+                good.append(shared >= similarity * (len(x) + len(y) - shared) - 1e-9)
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().cast("binary").alias("text"))
-    rows = rows.where(F.col("doc_id").isNotNull())
-    known = checkpointed(rows.mapInArrow(prints, "doc_id long, same binary, fingerprint long"))
-    texts = known.groupBy("same", "fingerprint").agg(F.min("doc_id").alias("id"))
-    edges = checkpointed(links(texts, distance, parts).distinct())
     on_edges = edges.select(F.explode(F.array("a", "b")).alias("of")).distinct()
     held = rows.join(on_edges, F.col("doc_id") == F.col("of"), "left_semi").mapInArrow(sets, "id long, shingles binary")
-    held = checkpointed(held.groupBy("id").agg(F.min("shingles").alias("shingles")))
-    both = (
+    held = checkpointed(held.distinct())
+    return (
         edges.join(held.select(F.col("id").alias("a"), F.col("shingles").alias("of_a")), "a")
         .join(held.select(F.col("id").alias("b"), F.col("shingles").alias("of_b")), "b")
         .mapInArrow(verify, "a long, b long")
     )
+
+
+def near_copies(docs: DataFrame, similarity: float = 0.8, shingle: int = 5) -> DataFrame:
+    """doc_id, component_id: documents connected by copies and near copies.
+
+    Two texts are linked if the sets of their shingles are at least
+    ``similarity`` alike (shared over all); every such link counts. A first pass
+    verifies neighbours among texts that share a least hash, which connects
+    large groups without all their pairs. The second finds what is left: texts of
+    different groups that share a shingle of their prefixes, which no linked
+    pair lacks. Only verified edges make groups. Equal texts are linked; no
+    text without words is like one with words. Rows without id are left out;
+    rows of one id count as one document.
+    """
+
+    def run(batches):
+        import pyarrow as pa
+        import xxhash
+
+        factors = _FACTORS[0] * (2 * np.arange(1, MINIMA + 1, dtype=np.uint64) + np.uint64(1))
+        for batch in batches:
+            same, sizes, least, prefixes = [], [], [], []
+            for t in batch.column(1):
+                t = t.as_py()
+                found = _shingles(t, shingle)
+                same.append(xxhash.xxh3_128_digest(t))
+                sizes.append(len(found))
+                least.append(((found[:, None] * factors) ^ (found[:, None] >> np.uint64(29))).min(0).view(np.int64).tolist())
+                prefixes.append(_prefix(found, similarity, common, ranks).tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(same, pa.binary()), pa.array(sizes, pa.int32()), pa.array(least, pa.list_(pa.int64())), pa.array(prefixes, pa.binary())],
+                ["doc_id", "same", "size", "least", "prefix"],
+            )
+
+    def unfold(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            found = [np.frombuffer(p.as_py(), np.int64) for p in batch.column(2)]
+            times = [len(f) for f in found]
+            if found:
+                at = np.concatenate([np.arange(n, dtype=np.int32) for n in times])
+                of = pa.array(np.repeat(np.arange(len(found)), times))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(found)), pa.array(at), batch.column(0).take(of), batch.column(1).take(of), batch.column(3).take(of)],
+                    ["token", "at", "id", "size", "now"],
+                )
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().cast("binary").alias("text"))
+    rows = rows.where(F.col("doc_id").isNotNull())
+    common, ranks = _common_shingles(rows, shingle)
+    known = checkpointed(rows.mapInArrow(run, "doc_id long, same binary, size int, least array<long>, prefix binary"))
+    texts = checkpointed(known.groupBy("same").agg(F.min("doc_id").alias("id"), *(F.first(n).alias(n) for n in ("size", "least", "prefix"))))
+    # first pass: each text and the next under a least hash, in an order of that hash's own
+    least = texts.select("id", F.posexplode("least").alias("turn", "value"))
+    after = Window.partitionBy("turn", "value").orderBy(F.xxhash64("turn", "id"), "id")
+    chain = least.select(F.col("id").alias("a"), F.lead("id").over(after).alias("b")).where("a != b")
+    ordered = (F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    near = checkpointed(_alike(rows, checkpointed(chain.select(*ordered).distinct()), similarity, shingle).distinct())
+    first = components(near)
+    # second pass: prefixes that two groups share
+    whole = texts.join(first, F.col("id") == F.col("node"), "left").select("id", "size", "prefix", F.coalesce("component", "id").alias("now"))
+    of_token = Window.partitionBy("token")
+    shared = whole.mapInArrow(unfold, "token long, at int, id long, size int, now long")
+    shared = shared.select("*", F.min("now").over(of_token).alias("lo"), F.max("now").over(of_token).alias("hi"))
+    shared = checkpointed(shared.where("lo < hi").drop("lo", "hi"))
+    x, y = shared.alias("x"), shared.alias("y")
+    most = F.expr("least(x.size - x.at, y.size - y.at)")
+    enough = most * (1 + similarity) >= similarity * F.expr("x.size + y.size") - 1e-9
+    sizes = F.expr("least(x.size, y.size)") >= similarity * F.expr("greatest(x.size, y.size)") - 1e-9
+    pairs = x.join(y, F.expr("x.token = y.token AND x.now < y.now") & sizes & enough)
+    pairs = checkpointed(pairs.select(F.expr("x.id").alias("a"), F.expr("y.id").alias("b")).select(*ordered).distinct())
+    both = near.unionByName(_alike(rows, pairs, similarity, shingle))
     # a document of several texts connects them
-    least = known.groupBy("doc_id").agg(F.min("same").alias("one"), F.max("same").alias("other")).where("one != other")
+    several = known.groupBy("doc_id").agg(F.min("same").alias("one"), F.max("same").alias("other")).where("one != other")
     named = texts.select(F.col("same").alias("of"), F.col("id"))
-    joined = known.join(least.select("doc_id"), "doc_id", "left_semi").join(named, F.col("same") == F.col("of"))
+    known = known.select("doc_id", "same")
+    joined = known.join(several.select("doc_id"), "doc_id", "left_semi").join(named, F.col("same") == F.col("of"))
     own = joined.select(F.col("doc_id").alias("a"), F.col("id").alias("b"))
     found = components(both.unionByName(own))
     by_text = known.join(named, F.col("same") == F.col("of")).select("doc_id", "id")

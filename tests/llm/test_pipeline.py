@@ -1,6 +1,7 @@
 """Each stage of the pipeline against brute force, on its own input."""
 
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -77,6 +78,65 @@ def test_a_large_group_of_near_copies_leaves_one(spark):
     assert read(pipeline.drop_near_copies(spark, frame(spark, docs), "")) == [(0, docs[0][1])]
 
 
+def edited_docs():
+    """(kind of edit, two documents) whose edit leaves them about 0.8 alike, and documents in other word order."""
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randint(3, 9)))
+    pairs = []
+    for n in (14, 30, 50, 300):
+        for _ in range(12):
+            base = [word() for _ in range(n)]
+            one = list(base)
+            one[rng.randrange(n)] = word()
+            pairs.append(("substitute" if n == 300 else "short", base, one))
+            for part in (0.05, 0.1, 0.15, 0.18):
+                pairs.append(("truncate", base := [word() for _ in range(n)], base[: n - int(part * n)]))
+            for part in (0.1, 0.2):
+                pairs.append(("append", base := [word() for _ in range(n)], base + [word() for _ in range(int(part * n))]))
+    return [(kind, " ".join(a), " ".join(b)) for kind, a, b in pairs]
+
+
+def groups_of(docs):
+    """doc_id -> the least doc_id that links of 0.8 reach, by all pairs."""
+    label = {d: d for d, _ in docs}
+    sets = {d: shingles(t) for d, t in docs}
+    for d in label:
+        for e in label:
+            x, y = sets[d], sets[e]
+            if d < e and len(x & y) * 5 >= 4 * len(x | y) and label[d] != label[e]:
+                lo, hi = sorted((label[d], label[e]))
+                label.update({k: lo for k, v in label.items() if v == hi})
+    return label
+
+
+def test_no_link_is_lost_by_kind_of_edit(spark):
+    edits = edited_docs()
+    docs = [(2 * i + k, t) for i, (_, *two) in enumerate(edits) for k, t in enumerate(two)]
+    found = {r.doc_id: r.component_id for r in simhash.near_copies(frame(spark, docs)).collect()}
+    assert found == groups_of(docs)
+    true = Counter(kind for kind, a, b in edits if alike(a, b) >= 0.8)
+    linked = Counter(kind for i, (kind, a, b) in enumerate(edits) if alike(a, b) >= 0.8 and found[2 * i] == found[2 * i + 1])
+    assert linked == true and set(true) == {"substitute", "short", "truncate", "append"}
+
+
+def test_other_word_order_hides_no_link(spark):
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(100)]
+    a, b = list(words), list(words)
+    rng.shuffle(a), rng.shuffle(b)
+    moved = lambda w: w[:-2] + w[:-3:-1]
+    docs = list(enumerate(" ".join(w) for w in (a, b, moved(a), moved(b))))
+    found = {r.doc_id: r.component_id for r in simhash.near_copies(frame(spark, docs)).collect()}
+    assert found == {0: 0, 1: 1, 2: 0, 3: 1}
+
+
+def test_texts_of_one_id_all_count(spark):
+    text = lambda name: " ".join(f"{name}{i}" for i in range(60))
+    docs = [(1, text("a")), (1, text("b")), (2, text("a") + " x"), (3, text("b") + " x"), (4, text("c"))]
+    found = {r.doc_id: r.component_id for r in simhash.near_copies(frame(spark, docs)).collect()}
+    assert found == {1: 1, 2: 1, 3: 1, 4: 4}
+
+
 def test_repeats_leave_whole_characters(spark, texts):
     passage = "é€🙂 the shared passage of many words and signs, longer than fifty bytes 🙂€é"
     docs = [(d, (t or "")[:5000] if t else t) for d, t in texts]
