@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from terrafold.llm.common import text_or_empty
-from terrafold.llm.spans import scored, with_places
+from terrafold.llm.spans import SPAN, scored, with_places
 
 #: The base patterns; repeats of one class are possessive, and
 #: least lengths stand in the pattern where that finds the same matches.
@@ -26,10 +26,14 @@ WINDOW = 20
 #: Bits of entropy in a window, by class.
 LIMITS = {"hex": 3.0, "mixed": 3.6}
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
-#: Strings that are not secrets: without a digit or without a letter, words and
-#: numbers joined by signs, and identifiers of the usual 8-4-4-4-12 form.
+#: What words lack: a capital with one small letter, but for words of two letters, and seven consonants in a row.
+UNLIKE_WORDS = (
+    r"(?!By|Id|Is|To|Of|In|On|Or|As|At|Up|No|If|My|Do|Go|It|An)[A-Z][a-z](?![a-z])|[b-df-hj-np-tv-xzB-DF-HJ-NP-TV-XZ]{7}"
+)
+#: Strings that are not secrets: without a letter, words and numbers joined by
+#: signs or digit-free, and identifiers of the usual 8-4-4-4-12 form.
 ALLOWED = (
-    r"^[^0-9]*$|^[^A-Za-z]*$|^[A-Za-z]*[0-9]{0,4}$|^([A-Za-z]+|[0-9]+)([+/_=-]+([A-Za-z]+|[0-9]+))*[+/_=-]*$"
+    r"^[^A-Za-z]*$|^(?!.*(?:" + UNLIKE_WORDS + r"))(?:[^0-9]*|[A-Za-z]*[0-9]{0,4}|([A-Za-z]+|[0-9]+)([+/_=-]+([A-Za-z]+|[0-9]+))*[+/_=-]*)$"
     r"|^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$"
 )
 
@@ -78,8 +82,10 @@ def find(docs: DataFrame) -> DataFrame:
     """doc_id and ``spans``: (start, rank, kind, end, value, score) by place, then kind.
 
     Base spans are all kept, with score 1. An ``entropy`` span is a candidate of
-    high entropy that no base span touches; its score is the entropy over the
-    highest possible. Kinds are found apart, so base spans may overlap. Places
+    high entropy, or what assignments and access keys leave of it at 20
+    characters or more; one that holds a hex string and more than words beside
+    it stays whole and overlaps it. Its score is the entropy over the highest
+    possible. Kinds are found apart, so base spans may overlap. Places
     are code points, the end exclusive. Null and empty texts have no span;
     repeated rows get equal rows; an empty table gives none. Other columns are
     left behind, whatever their names.
@@ -110,11 +116,29 @@ def _located(docs: DataFrame) -> DataFrame:
     long_enough = lambda s: F.length(F.regexp_extract(s["value"], BASE["assign"], 2)) >= 6
     rows = rows.withColumn("assign", F.filter("assign", long_enough))
     base = F.concat(*(scored(kind, order, lambda s: F.lit(1.0)) for order, kind in enumerate(BASE)))
-    rows = rows.withColumn("base", base).withColumn("entropy", F.filter("entropy", lambda s: ~s["value"].rlike(ALLOWED)))
+    unlike = lambda v: ~v.rlike(ALLOWED)
+    rows = rows.withColumn("base", base).withColumn("entropy", F.filter("entropy", lambda s: unlike(s["value"])))
+    rows = rows.withColumn("cuts", F.array_sort(F.concat("assign", "access")))
+    rows = rows.withColumn("entropy", F.flatten(F.transform("entropy", lambda s: _uncovered(s, F.col("cuts")))))
+    # a hex string is a base span itself; words beside it make no secret
+    beside = lambda s: F.exists(F.split(s["value"], BASE["hex"]), lambda v: (v != "") & unlike(v))
+    rows = rows.withColumn("entropy", F.filter("entropy", lambda s: unlike(s["value"]) & beside(s)))
     most = float(min(WINDOW, len(ALPHABET)))
     added = scored("entropy", len(BASE), lambda s: top_entropy(s["value"]) / F.log2(F.lit(most)))
     limit = lambda s: F.when(s["value"].rlike("^[0-9a-fA-F]+$"), LIMITS["hex"]).otherwise(LIMITS["mixed"])
-    touched = lambda s, b: (b["start"] < s["end"]) & (s["start"] < b["end"])
     rows = rows.withColumn("entropy", F.filter(added, lambda s: s["score"] * F.log2(F.lit(most)) >= limit(s)))
-    alone = F.filter("entropy", lambda s: ~F.exists("base", lambda b: touched(s, b)))
-    return rows.select("row", F.array_sort(F.concat("base", alone)).alias("spans"))
+    return rows.select("row", F.array_sort(F.concat("base", "entropy")).alias("spans"))
+
+
+def _uncovered(s: Column, cuts: Column) -> Column:
+    """The parts of a span that no cut covers, those as long as a window."""
+
+    def parted(so_far: Column, start: Column) -> Column:
+        value = s["value"].substr((so_far["at"] - s["start"] + 1).cast("int"), (start - so_far["at"]).cast("int"))
+        part = F.array(F.struct(so_far["at"].alias("start"), start.alias("end"), value.alias("value")))
+        return F.when(start - so_far["at"] >= WINDOW, F.concat(so_far["parts"], part)).otherwise(so_far["parts"])
+
+    touching = F.filter(cuts, lambda c: (c["start"] < s["end"]) & (s["start"] < c["end"]))
+    first = F.struct(s["start"].alias("at"), F.array().cast(SPAN).alias("parts"))
+    step = lambda so_far, c: F.struct(F.greatest(so_far["at"], c["end"]).alias("at"), parted(so_far, c["start"]).alias("parts"))
+    return F.aggregate(touching, first, step, lambda so_far: parted(so_far, s["end"]))
