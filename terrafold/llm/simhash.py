@@ -26,6 +26,8 @@ from terrafold.llm.components import components
 BITS, PARTS = 64, 4
 #: Pairs that a group holds before they are cut to their forest.
 HELD = 1 << 20
+#: Rows beyond which a spot is cut into blocks that meet in pairs, a task of its own each.
+SPOT = 4096
 
 #: The bits of each byte.
 _BYTE_BITS = (np.arange(256)[:, None] >> np.arange(8)) & 1
@@ -189,12 +191,11 @@ def forest(a, b, weight, n: int):
     return np.concatenate(chosen) if chosen else np.zeros(0, np.int64)
 
 
-def links(rows: DataFrame, distance: int, parts: int = PARTS) -> DataFrame:
-    """(a, b): edges that connect ids whose fingerprints are within the distance.
+def spots(rows: DataFrame, distance: int, parts: int = PARTS) -> DataFrame:
+    """(spot, id, fingerprint): rows within the distance meet in some spot.
 
-    rows: (id, fingerprint). The edges of each group of candidates are a
-    spanning forest of its links, the links of fewest bits first, so ids that
-    links within some number of bits connect are connected by edges within it.
+    A spot of many rows is cut into blocks, and each two blocks make a spot of
+    their own, so that every pair still meets and no spot is large.
     """
     groups = grouped_bits(rows, parts)
     chosen = thresholds(candidate_costs(rows, groups, distance), distance)
@@ -207,18 +208,62 @@ def links(rows: DataFrame, distance: int, parts: int = PARTS) -> DataFrame:
         for k, block in enumerate(blocks):
             plan.append((len(plan), groups[i], (t + 1) // 2, block, len(groups[i])))
 
-    def spread(batches):
-        import pyarrow as pa
+    def spread(large, blocks):
+        def run(batches):
+            import pyarrow as pa
+
+            for batch in batches:
+                ids, prints = batch.column(0).to_numpy(), batch.column(1).to_numpy().view(np.uint64)
+                for number, bits, radius, block, width in plan:
+                    key = _extracted(prints, bits) | (_extracted(prints, block) << np.uint64(width))
+                    for mask in _balls(width, radius):
+                        spot = ((key ^ mask) | np.uint64(number << 58)).view(np.int64)
+                        for found in _in_blocks(spot, ids, prints.view(np.int64), large, blocks):
+                            yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], ["spot", "id", "fingerprint"])
+
+        return run
+
+    schema, rows = "spot long, id long, fingerprint long", rows.select("id", "fingerprint")
+    none = np.zeros(0, np.int64)
+    # at most one large spot for each SPOT rows
+    counted = rows.mapInArrow(spread(none, none), schema).groupBy("spot").count().where(F.col("count") > SPOT).toPandas()
+    counted = counted.sort_values("spot")
+    large, blocks = counted["spot"].to_numpy(np.int64), -(-counted["count"].to_numpy(np.int64) // SPOT)
+    return rows.mapInArrow(spread(large, blocks), schema)
+
+
+def _mixed(values):
+    """64-bit integers scattered over all values."""
+    values = (values ^ (values >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
+    return values ^ (values >> np.uint64(33))
+
+
+def _in_blocks(spot, ids, prints, large, blocks):
+    """Rows by spot; those of a large one under each pair of blocks that has theirs."""
+    if not len(large):
+        yield spot, ids, prints
+        return
+    place = np.minimum(np.searchsorted(large, spot), len(large) - 1)
+    cut = large[place] == spot
+    yield spot[~cut], ids[~cut], prints[~cut]
+    if cut.any():
+        spot, ids, prints, n = spot[cut], ids[cut], prints[cut], blocks[place[cut]]
+        own = (_mixed(ids.view(np.uint64)) % n.astype(np.uint64)).astype(np.int64)
+        of = np.repeat(np.arange(len(spot)), n)
+        other = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
+        low, high = np.minimum(own[of], other), np.maximum(own[of], other)
+        # spots that fall together only meet in vain
+        pair = _mixed(_mixed(spot[of].view(np.uint64)) + (low * (1 << 31) + high).astype(np.uint64))
+        yield pair.view(np.int64), ids[of], prints[of]
 
-        for batch in batches:
-            ids, prints = batch.column(0).to_numpy(), batch.column(1).to_numpy().view(np.uint64)
-            for number, bits, radius, block, width in plan:
-                key = _extracted(prints, bits) | (_extracted(prints, block) << np.uint64(width))
-                for mask in _balls(width, radius):
-                    spot = (key ^ mask) | np.uint64(number << 58)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(spot.view(np.int64)), pa.array(ids), pa.array(prints.view(np.int64))], ["spot", "id", "fingerprint"]
-                    )
+
+def links(rows: DataFrame, distance: int, parts: int = PARTS) -> DataFrame:
+    """(a, b): edges that connect ids whose fingerprints are within the distance.
+
+    rows: (id, fingerprint). The edges of each group of candidates are a
+    spanning forest of its links, the links of fewest bits first, so ids that
+    links within some number of bits connect are connected by edges within it.
+    """
 
     def meet(batches):
         import pyarrow as pa
@@ -261,8 +306,8 @@ def links(rows: DataFrame, distance: int, parts: int = PARTS) -> DataFrame:
         if kept is not None:
             yield found(*kept)
 
-    spots = rows.select("id", "fingerprint").mapInArrow(spread, "spot long, id long, fingerprint long")
-    return spots.repartition("spot").sortWithinPartitions("spot").mapInArrow(meet, "a long, b long")
+    met = spots(rows, distance, parts)
+    return met.repartition("spot").sortWithinPartitions("spot").mapInArrow(meet, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 2) -> DataFrame:

@@ -101,3 +101,23 @@ def test_components_of_paths_and_stars(spark):
 def test_query_on_documents(spark, sf, shared_texts):
     found = sorted((r.doc_id, r.fingerprint, r.component_id) for r in queries.op7_simhash(spark, sf).collect())
     assert found == expected(shared_texts)
+
+
+def test_a_large_spot_is_cut_into_blocks(spark, monkeypatch):
+    rng = random.Random(6)
+    base = rng.getrandbits(63)
+    prints = {base}
+    while len(prints) < 600:
+        prints.add(base ^ sum(1 << b for b in rng.sample(range(63), rng.randint(1, 5))))
+    prints = sorted(prints)
+    monkeypatch.setattr(simhash, "SPOT", 40)
+    rows = spark.createDataFrame(list(enumerate(prints)), "id long, fingerprint long")
+    assert max(r["count"] for r in simhash.spots(rows, 2).groupBy("spot").count().collect()) <= 4 * 40
+    label = list(range(len(prints)))
+    for a in range(len(prints)):
+        for b in range(a):
+            if (prints[a] ^ prints[b]).bit_count() <= 2 and label[a] != label[b]:
+                low, high = sorted((label[a], label[b]))
+                label = [low if v == high else v for v in label]
+    found = {r.node: r.component for r in simhash.components(simhash.links(rows, 2)).collect()}
+    assert [found.get(i, i) for i in range(len(prints))] == label
