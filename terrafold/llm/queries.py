@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from terrafold.llm import bpe, fingerprint, packing, pii, quality, repeats, secret_scan, simhash, topk, warc
+from terrafold.llm import bpe, codes, fingerprint, packing, pii, quality, repeats, runs, secret_scan, simhash, token_counts, topk, warc
 from terrafold.llm.common import text_or_empty
 from terrafold.llm.tokens import default_path
 from terrafold.session import scratch_path
@@ -126,3 +126,31 @@ def op4_repeats(spark: SparkSession, sf: str) -> DataFrame:
         F.floor(F.size("removed") / 2).alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+@query
+def op11_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """Periodic runs of words of every document, and the words that remain, as digests."""
+    return runs.digest(runs.find(runs.with_planted_runs(_documents(spark, sf))))
+
+
+@query
+def op12_vector_codes(spark: SparkSession, sf: str) -> DataFrame:
+    """Every vector's 16 codes of 64 entries, its error, and that of its label."""
+    vectors = spark.read.parquet(f"{sf}/embeddings.parquet")
+    vectors = vectors.select(F.col("vec_id").alias("id"), "label", F.col("embedding").alias("vector"))
+    coded, books = codes.compress(vectors, parts=16, entries=64, rounds=2, scale=256)
+    return codes.with_label_error(coded).select(
+        F.col("id").alias("vec_id"),
+        F.lower(F.hex("code")).alias("code"),
+        "error",
+        "label_error",
+        F.sha2(F.lit(codes.listed(books)), 256).alias("codebooks_sha256"),
+    )
+
+
+@query
+def op13_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Tokens of every document, and whether they are more than 2048."""
+    counted = token_counts.count_tokens(_documents(spark, sf), default_path())
+    return counted.withColumn("over_limit", F.col("n_tokens") > 2048)
