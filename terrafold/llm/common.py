@@ -32,3 +32,11 @@ def use_checkpoints(spark: SparkSession) -> None:
     """Point Spark at the shared folder, unless it already has one."""
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(shared_folder(spark))
+
+
+def with_length(docs: DataFrame) -> DataFrame:
+    """The documents with ``n_chars`` as long as the text, where they have that column."""
+    if "n_chars" not in docs.columns:
+        return docs
+    length = F.length(text_or_empty()).cast(docs.schema["n_chars"].dataType)
+    return docs.select(*(length.alias(n) if n == "n_chars" else F.col(f"`{n}`") for n in docs.columns))

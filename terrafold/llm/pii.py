@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, functions as F
 
 from terrafold.llm.common import text_or_empty
-from terrafold.llm.spans import around, listed, scored, with_places
+from terrafold.llm.spans import around, listed, once, scored, with_places
 
 #: The base patterns, in an order of matching that cannot retry
 #: within a run of letters or digits (possessive repeats, one start per run).
@@ -112,7 +112,7 @@ def find(docs: DataFrame) -> DataFrame:
     for order, kind in enumerate(kinds):
         found = scored(kind, order, _score(kind, near))
         parts.append(found if kind in BASE else F.filter(found, lambda s: s["score"] >= KEEP))
-    return rows.select("doc_id", F.array_sort(F.concat(*parts)).alias("spans"))
+    return rows.select("doc_id", once(F.array_sort(F.concat(*parts))).alias("spans"))
 
 
 def digest(found: DataFrame, base: dict[str, str]) -> DataFrame:

@@ -209,3 +209,14 @@ def score(docs: DataFrame, trees: Trees, column: str = "score") -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(trees.score(x))], [*batch.schema.names, column])
 
     return kept.mapInArrow(run, schema)
+
+
+def kept(docs: DataFrame, trees: Trees, least: float) -> DataFrame:
+    """The documents that score ``least`` or more, with all their columns, whatever their names.
+
+    Null and empty texts have the score of empty statistics; repeated rows fare
+    alike; an empty table gives none.
+    """
+    row = F.struct(*(F.col(f"`{n}`") for n in docs.columns))
+    scored = score(docs.select("text", row.alias("row")), trees, "score")
+    return scored.where(F.col("score") >= least).select("row.*")

@@ -411,3 +411,27 @@ def n_removed(removed: Column) -> Column:
     """Bytes in the removed runs."""
     signed = F.transform(removed, lambda x, i: F.when(i % 2 == 0, -x).otherwise(x))
     return F.aggregate(signed, F.lit(0).cast("long"), lambda a, b: a + b)
+
+
+def without_repeats(docs: DataFrame, length: int = 50) -> DataFrame:
+    """The documents, their texts without what :func:`remove_repeats` removes.
+
+    A run that ends within a character leaves the whole character. Null texts
+    stay null; empty texts, repeated rows and rows without id stay. All other
+    columns stay, whatever their names; an empty table gives none.
+    """
+    row = F.struct(*(F.col(f"`{n}`") for n in docs.columns))
+    found = remove_repeats(docs.select("doc_id", "text", row.alias("row")), length)
+    data = F.coalesce(F.col("text"), F.lit("")).cast("binary")
+    # bytes of a character after its first are 10xxxxxx
+    inner = lambda at: F.hex(data.substr(at + 1, F.lit(1))).rlike("^[89AB]")
+    ahead = lambda at: F.when(inner(at), F.when(inner(at + 1), F.when(inner(at + 2), at + 3).otherwise(at + 2)).otherwise(at + 1)).otherwise(at)
+    back = lambda at: F.when(inner(at), F.when(inner(at - 1), F.when(inner(at - 2), at - 3).otherwise(at - 2)).otherwise(at - 1)).otherwise(at)
+    edges = F.transform("removed", lambda at, i: F.when(i % 2 == 0, ahead(at.cast("int"))).otherwise(back(at.cast("int"))))
+    edges = F.concat(F.array(F.lit(0)), edges, F.array(F.octet_length("text").cast("int")))
+    found = found.withColumn("edges", F.when(F.size("removed") > 0, edges))
+    pairs = F.transform(F.sequence(F.lit(0), F.floor(F.size("edges") / 2).cast("int") - 1), lambda i: i * 2)
+    parts = F.transform(pairs, lambda i: data.substr(F.get("edges", i) + 1, F.greatest(F.get("edges", i + 1) - F.get("edges", i), F.lit(0))))
+    text = F.when(F.col("edges").isNull(), F.col("text")).otherwise(F.array_join(F.transform(parts, lambda p: p.cast("string")), ""))
+    found = found.select("row", text.alias("text"))
+    return found.select(*(F.col("text") if n == "text" else F.col(f"row.`{n}`") for n in docs.columns))

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from terrafold.llm.common import text_or_empty
-from terrafold.llm.spans import SPAN, scored, with_places
+from terrafold.llm.spans import SPAN, once, scored, with_places
 
 #: The base patterns; repeats of one class are possessive, and
 #: least lengths stand in the pattern where that finds the same matches.
@@ -31,9 +31,10 @@ UNLIKE_WORDS = (
     r"(?!By|Id|Is|To|Of|In|On|Or|As|At|Up|No|If|My|Do|Go|It|An)[A-Z][a-z](?![a-z])|[b-df-hj-np-tv-xzB-DF-HJ-NP-TV-XZ]{7}"
 )
 #: Strings that are not secrets: without a letter, words and numbers joined by
-#: signs or digit-free, and identifiers of the usual 8-4-4-4-12 form.
+#: signs or digit-free, and identifiers of the usual 8-4-4-4-12 form. Repeated
+#: groups are possessive: they neither retry nor recurse along a long string.
 ALLOWED = (
-    r"^[^A-Za-z]*$|^(?!.*(?:" + UNLIKE_WORDS + r"))(?:[^0-9]*|[A-Za-z]*[0-9]{0,4}|([A-Za-z]+|[0-9]+)([+/_=-]+([A-Za-z]+|[0-9]+))*[+/_=-]*)$"
+    r"^[^A-Za-z]*$|^(?!.*(?:" + UNLIKE_WORDS + r"))(?:[^0-9]*|[A-Za-z]*[0-9]{0,4}|(?:[A-Za-z]++|[0-9]++)(?:[+/_=-]++(?:[A-Za-z]++|[0-9]++))*+[+/_=-]*+)$"
     r"|^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$"
 )
 
@@ -94,8 +95,16 @@ def find(docs: DataFrame) -> DataFrame:
 
 
 def spans_of(docs: DataFrame, name: str) -> DataFrame:
-    """The documents with a column of their secrets' (start, end), apart and in order."""
-    found = _located(docs)
+    """The documents with a column of their secrets' (start, end), apart and in order.
+
+    A column that already bears the name is replaced; others stay as they are.
+    """
+    found = _apart(_located(docs))
+    return found.select(*(F.col(f"row.`{n}`") for n in docs.columns if n != name), F.col("apart").alias(name))
+
+
+def _apart(found: DataFrame) -> DataFrame:
+    """Adds ``apart``: the spans' places, overlapping ones as one."""
     none = F.array().cast("array<struct<start:bigint,end:bigint>>")
 
     def add(merged: Column, s: Column) -> Column:
@@ -105,8 +114,25 @@ def spans_of(docs: DataFrame, name: str) -> DataFrame:
         overlaps = (F.size(merged) > 0) & (last["end"] > s["start"])
         return F.when(overlaps, F.concat(F.slice(merged, F.lit(1), F.size(merged) - 1), wider)).otherwise(F.concat(merged, own))
 
-    merged = F.aggregate("spans", none, add)
-    return found.select("row.*", merged.alias(name))
+    return found.withColumn("apart", F.aggregate("spans", none, add))
+
+
+def redacted(docs: DataFrame, mark: str) -> DataFrame:
+    """The documents, each secret in the text replaced by a mark; overlapping secrets are one.
+
+    Null and empty texts, repeated rows and all other columns, whatever their
+    names, stay as they are; an empty table gives none.
+    """
+    found = _apart(_located(docs)).withColumn("text", F.col("row.text"))
+    end = lambda i: F.coalesce(F.get("apart", i)["end"], F.lit(0).cast("long"))
+    start = lambda i: F.coalesce(F.get("apart", i)["start"], F.length("text").cast("long"))
+    between = F.transform(
+        F.sequence(F.lit(0), F.size("apart")),
+        lambda i: F.col("text").substr((end(i - 1) + 1).cast("int"), (start(i) - end(i - 1)).cast("int")),
+    )
+    text = F.when(F.size("apart") == 0, F.col("text")).otherwise(F.array_join(between, mark))
+    found = found.select("row", text.alias("text"))
+    return found.select(*(F.col("text") if n == "text" else F.col(f"row.`{n}`") for n in docs.columns))
 
 
 def _located(docs: DataFrame) -> DataFrame:
@@ -127,7 +153,7 @@ def _located(docs: DataFrame) -> DataFrame:
     added = scored("entropy", len(BASE), lambda s: top_entropy(s["value"]) / F.log2(F.lit(most)))
     limit = lambda s: F.when(s["value"].rlike("^[0-9a-fA-F]+$"), LIMITS["hex"]).otherwise(LIMITS["mixed"])
     rows = rows.withColumn("entropy", F.filter(added, lambda s: s["score"] * F.log2(F.lit(most)) >= limit(s)))
-    return rows.select("row", F.array_sort(F.concat("base", "entropy")).alias("spans"))
+    return rows.select("row", once(F.array_sort(F.concat("base", "entropy"))).alias("spans"))
 
 
 def _uncovered(s: Column, cuts: Column) -> Column:

@@ -18,7 +18,7 @@ from __future__ import annotations
 from itertools import combinations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from terrafold.llm.common import checkpointed, text_or_empty
 from terrafold.llm.components import components
@@ -33,15 +33,13 @@ SPOT = 4096
 _BYTE_BITS = (np.arange(256)[:, None] >> np.arange(8)) & 1
 
 
-def fingerprint_of(text: bytes, shingle: int, distinct: bool = False) -> int:
+def fingerprint_of(text: bytes, shingle: int) -> int:
     """The fingerprint of a UTF-8 text: a bit is 1 if set in over half the hashes."""
     import xxhash
 
     words = text.lower().split()
     if not words:
         return 0
-    if distinct:
-        words = list(dict.fromkeys(words))
     if shingle == 1:
         hashes = [xxhash.xxh64_intdigest(w, 42) for w in words]
     elif len(words) <= shingle:
@@ -57,8 +55,8 @@ def fingerprint_of(text: bytes, shingle: int, distinct: bool = False) -> int:
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3, distinct: bool = False) -> DataFrame:
-    """(doc_id, fingerprint as a long) of every whole text.
+def fingerprints(docs: DataFrame, shingle: int = 3, *carried: str) -> DataFrame:
+    """(doc_id, fingerprint as a long, carried columns) of every whole text.
 
     A-Z are lowered; words end at ASCII white space. Fewer words than a shingle
     make one shingle; a text without words (null, empty, blank) has fingerprint
@@ -69,11 +67,13 @@ def fingerprints(docs: DataFrame, shingle: int = 3, distinct: bool = False) -> D
         import pyarrow as pa
 
         for batch in batches:
-            found = np.array([fingerprint_of(t.as_py(), shingle, distinct) for t in batch.column(1)], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], ["doc_id", "fingerprint"])
+            found = np.array([fingerprint_of(t.as_py(), shingle) for t in batch.column(1)], np.uint64)
+            columns = [batch.column(0), pa.array(found.view(np.int64)), *batch.columns[2:]]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "fingerprint", *carried])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().cast("binary").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, fingerprint long")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().cast("binary").alias("text"), *carried)
+    kinds = [f", `{n}` {rows.schema[n].dataType.simpleString()}" for n in carried]
+    return rows.mapInArrow(run, "doc_id long, fingerprint long" + "".join(kinds))
 
 
 def grouped_bits(rows: DataFrame, parts: int = PARTS) -> list[list[int]]:
@@ -208,53 +208,29 @@ def spots(rows: DataFrame, distance: int, parts: int = PARTS) -> DataFrame:
         for k, block in enumerate(blocks):
             plan.append((len(plan), groups[i], (t + 1) // 2, block, len(groups[i])))
 
-    def spread(large, blocks):
-        def run(batches):
-            import pyarrow as pa
-
-            for batch in batches:
-                ids, prints = batch.column(0).to_numpy(), batch.column(1).to_numpy().view(np.uint64)
-                for number, bits, radius, block, width in plan:
-                    key = _extracted(prints, bits) | (_extracted(prints, block) << np.uint64(width))
-                    for mask in _balls(width, radius):
-                        spot = ((key ^ mask) | np.uint64(number << 58)).view(np.int64)
-                        for found in _in_blocks(spot, ids, prints.view(np.int64), large, blocks):
-                            yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], ["spot", "id", "fingerprint"])
-
-        return run
-
-    schema, rows = "spot long, id long, fingerprint long", rows.select("id", "fingerprint")
-    none = np.zeros(0, np.int64)
-    # at most one large spot for each SPOT rows
-    counted = rows.mapInArrow(spread(none, none), schema).groupBy("spot").count().where(F.col("count") > SPOT).toPandas()
-    counted = counted.sort_values("spot")
-    large, blocks = counted["spot"].to_numpy(np.int64), -(-counted["count"].to_numpy(np.int64) // SPOT)
-    return rows.mapInArrow(spread(large, blocks), schema)
-
-
-def _mixed(values):
-    """64-bit integers scattered over all values."""
-    values = (values ^ (values >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
-    return values ^ (values >> np.uint64(33))
-
-
-def _in_blocks(spot, ids, prints, large, blocks):
-    """Rows by spot; those of a large one under each pair of blocks that has theirs."""
-    if not len(large):
-        yield spot, ids, prints
-        return
-    place = np.minimum(np.searchsorted(large, spot), len(large) - 1)
-    cut = large[place] == spot
-    yield spot[~cut], ids[~cut], prints[~cut]
-    if cut.any():
-        spot, ids, prints, n = spot[cut], ids[cut], prints[cut], blocks[place[cut]]
-        own = (_mixed(ids.view(np.uint64)) % n.astype(np.uint64)).astype(np.int64)
-        of = np.repeat(np.arange(len(spot)), n)
-        other = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
-        low, high = np.minimum(own[of], other), np.maximum(own[of], other)
-        # spots that fall together only meet in vain
-        pair = _mixed(_mixed(spot[of].view(np.uint64)) + (low * (1 << 31) + high).astype(np.uint64))
-        yield pair.view(np.int64), ids[of], prints[of]
+    def spread(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            ids, prints = batch.column(0), batch.column(1)
+            values = prints.to_numpy().view(np.uint64)
+            for number, bits, radius, block, width in plan:
+                key = _extracted(values, bits) | (_extracted(values, block) << np.uint64(width))
+                for mask in _balls(width, radius):
+                    spot = ((key ^ mask) | np.uint64(number << 58)).view(np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(spot), ids, prints], ["spot", "id", "fingerprint"])
+
+    met = rows.select("id", "fingerprint").mapInArrow(spread, "spot long, id long, fingerprint long")
+    # at most one row for each SPOT rows; Spark sends it to all tasks only while it is small
+    large = met.groupBy("spot").count().where(F.col("count") > SPOT)
+    large = large.select(F.col("spot").alias("of"), F.ceil(F.col("count") / SPOT).alias("blocks"))
+    met = met.join(large, F.col("spot") == F.col("of"), "left").drop("of")
+    own = F.pmod(F.xxhash64("id"), F.col("blocks"))
+    every = F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)
+    met = met.select("*", F.explode(F.coalesce(every, F.array(F.lit(None).cast("long")))).alias("other"))
+    # spots that fall together by their hashes only meet in vain
+    pair = F.xxhash64("spot", F.least(own, F.col("other")), F.greatest(own, F.col("other")))
+    return met.select(F.when(F.col("blocks").isNull(), F.col("spot")).otherwise(pair).alias("spot"), "id", "fingerprint")
 
 
 def links(rows: DataFrame, distance: int, parts: int = PARTS) -> DataFrame:
@@ -310,205 +286,56 @@ def links(rows: DataFrame, distance: int, parts: int = PARTS) -> DataFrame:
     return met.repartition("spot").sortWithinPartitions("spot").mapInArrow(meet, "a long, b long")
 
 
+def _groups(prints: DataFrame, distance: int) -> DataFrame:
+    """(of, group): each distinct fingerprint, and the least one that links of its group reach."""
+    same = checkpointed(prints.select(F.col("fingerprint").alias("id"), "fingerprint").distinct())
+    found = components(links(same, distance))
+    return same.join(found, F.col("id") == F.col("node"), "left").select(
+        F.col("id").alias("of"), F.coalesce("component", "id").alias("group")
+    )
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 2) -> DataFrame:
     """doc_id, fingerprint (long), component_id: the least doc_id reachable by links.
 
     Two fingerprints that differ in at most ``distance`` bits are linked. Null
-    and empty texts share fingerprint zero. Repeated rows each get their row.
-    Rows without id keep a null component only where no linked row has an id.
+    and empty texts share fingerprint zero. Repeated rows each get their row, as
+    do several texts of one id, which link nothing by their id alone. Rows
+    without id keep a null component only where no linked row has an id. An
+    empty table gives no row; other columns are left behind.
     """
     prints = checkpointed(fingerprints(docs, shingle))
-    same = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("id"))
-    found = components(links(same.where(F.col("id").isNotNull()), distance))
-    named = same.join(found, F.col("id") == F.col("node"), "left").select(
-        F.col("fingerprint").alias("of"), F.coalesce("component", "id").alias("component_id")
-    )
+    # least ids of equal fingerprints, then of groups, so that no hot group moves whole
+    least = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("least"))
+    grouped = least.join(_groups(prints, distance), F.col("fingerprint") == F.col("of")).select("of", "group", "least")
+    grouped = checkpointed(grouped)
+    named = grouped.groupBy("group").agg(F.min("least").alias("component_id"))
+    named = grouped.select("of", "group").join(named, "group").select("of", "component_id")
     return prints.join(named, F.col("fingerprint") == F.col("of")).select("doc_id", "fingerprint", "component_id")
 
 
-def _shingle_set(text: bytes, shingle: int) -> bytes:
-    """The distinct hashes of a text's shingles, ascending, 32 bits each."""
-    import xxhash
-
-    words = text.lower().split()
-    if not words:
-        return b""
-    parts = (b" ".join(words[i : i + shingle]) for i in range(max(1, len(words) - shingle + 1)))
-    return np.unique(np.array([xxhash.xxh32_intdigest(p) for p in parts], "<u4")).tobytes()
-
-
-#: Odd factors of a shingle's words, in turn.
-_FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], np.uint64)
-#: Least hashes of a text for the first pass.
-MINIMA = 6
-#: Documents that the order of shingles is learned from, at least, and its longest list.
-SAMPLE, COMMON = 20_000, 1 << 18
-
-
-def _shingles(text: bytes, shingle: int):
-    """The distinct 64-bit hashes of a text's shingles, ascending; a text without words has one of its own."""
-    import xxhash
-
-    words = text.lower().split()
-    if len(words) <= shingle or shingle > len(_FACTORS):
-        parts = (b" ".join(words[i : i + shingle]) for i in range(max(1, len(words) - shingle + 1)))
-        return np.unique(np.array([xxhash.xxh64_intdigest(p, 7) for p in parts], np.uint64))
-    hashes = np.array([xxhash.xxh64_intdigest(w, 7) for w in words], np.uint64)
-    last = len(words) - shingle + 1
-    mixed = sum(hashes[i : i + last] * _FACTORS[i] for i in range(shingle))
-    return np.unique((mixed ^ (mixed >> np.uint64(32))) * _FACTORS[4])
-
-
-def _prefix(shingles, similarity: float, common, ranks):
-    """The shingles of which any set at least ``similarity`` alike has one in its own prefix.
-
-    Both sets in one order, the rarest first: what is beyond the prefix is too
-    little for the similarity.
-    """
-    place = np.minimum(np.searchsorted(common, shingles), max(len(common) - 1, 0))
-    rank = np.where(common[place] == shingles, ranks[place], -1) if len(common) else np.full(len(shingles), -1)
-    n = len(shingles)
-    return shingles[np.lexsort((shingles, rank))][: n - int(np.ceil(similarity * n - 1e-9)) + 1]
-
-
-def _common_shingles(rows: DataFrame, shingle: int):
-    """Shingles that many texts of a sample hold, ascending, and their rank by that number.
-
-    The sample only sets an order: any order finds all pairs, a good one meets few.
-    """
-    n = rows.count()
-    share = max(1 / 16, min(1.0, SAMPLE / max(n, 1)))
-
-    def run(batches):
-        import pyarrow as pa
-
-        for batch in batches:
-            found = [_shingles(t.as_py(), shingle) for t in batch.column(0)]
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64))], ["token"])
-
-    sample = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20))).select("text")
-    counted = sample.mapInArrow(run, "token long").groupBy("token").count().where("count > 3")
-    found = counted.orderBy(F.desc("count"), "token").limit(COMMON).toPandas()
-    tokens, times = found["token"].to_numpy(np.int64).view(np.uint64), found["count"].to_numpy(np.int64)
-    order = np.argsort(tokens)
-    return tokens[order], times[order]
-
-
-def _alike(rows: DataFrame, edges: DataFrame, similarity: float, shingle: int) -> DataFrame:
-    """The edges (a, b) between documents that hold texts at least ``similarity`` alike."""
+def first_of_groups(docs: DataFrame, shingle: int = 3, distance: int = 2) -> DataFrame:
+    """One document of each group of :func:`near_duplicates`, whole, with all its columns.
 
-    def sets(batches):
-        import pyarrow as pa
-
-        for batch in batches:
-            found = [_shingle_set(t, shingle) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["id", "shingles"])
-
-    def verify(batches):
-        import pyarrow as pa
-
-        for batch in batches:
-            good = []
-            for x, y in zip(batch.column("of_a").to_pylist(), batch.column("of_b").to_pylist()):
-                x, y = np.frombuffer(x, "<u4"), np.frombuffer(y, "<u4")
-                shared = len(np.intersect1d(x, y, assume_unique=True))
-                good.append(shared >= similarity * (len(x) + len(y) - shared) - 1e-9)
-            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
-
-    on_edges = edges.select(F.explode(F.array("a", "b")).alias("of")).distinct()
-    held = rows.join(on_edges, F.col("doc_id") == F.col("of"), "left_semi").mapInArrow(sets, "id long, shingles binary")
-    held = checkpointed(held.distinct())
-    return (
-        edges.join(held.select(F.col("id").alias("a"), F.col("shingles").alias("of_a")), "a")
-        .join(held.select(F.col("id").alias("b"), F.col("shingles").alias("of_b")), "b")
-        .mapInArrow(verify, "a long, b long")
-    )
-
-
-def near_copies(docs: DataFrame, similarity: float = 0.8, shingle: int = 5) -> DataFrame:
-    """doc_id, component_id: documents connected by copies and near copies.
-
-    Two texts are linked if the sets of their shingles are at least
-    ``similarity`` alike (shared over all); every such link counts. A first pass
-    verifies neighbours among texts that share a least hash, which connects
-    large groups without all their pairs. The second finds what is left: texts of
-    different groups that share a shingle of their prefixes, which no linked
-    pair lacks. Only verified edges make groups. Equal texts are linked; no
-    text without words is like one with words. Rows without id are left out;
-    rows of one id count as one document.
+    It is the row of the least doc_id (null ids last); of several with that id
+    the choice is by a hash of their content, so it does not change when a task
+    runs again. Equal rows are copies of each other. Texts without words (null,
+    empty, blank) make one group with what is near them. Any names of other
+    columns are fine. An empty table gives none.
     """
-
-    def run(batches):
-        import pyarrow as pa
-        import xxhash
-
-        factors = _FACTORS[0] * (2 * np.arange(1, MINIMA + 1, dtype=np.uint64) + np.uint64(1))
-        for batch in batches:
-            same, sizes, least, prefixes = [], [], [], []
-            for t in batch.column(1):
-                t = t.as_py()
-                found = _shingles(t, shingle)
-                same.append(xxhash.xxh3_128_digest(t))
-                sizes.append(len(found))
-                least.append(((found[:, None] * factors) ^ (found[:, None] >> np.uint64(29))).min(0).view(np.int64).tolist())
-                prefixes.append(_prefix(found, similarity, common, ranks).tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(same, pa.binary()), pa.array(sizes, pa.int32()), pa.array(least, pa.list_(pa.int64())), pa.array(prefixes, pa.binary())],
-                ["doc_id", "same", "size", "least", "prefix"],
-            )
-
-    def unfold(batches):
-        import pyarrow as pa
-
-        for batch in batches:
-            found = [np.frombuffer(p.as_py(), np.int64) for p in batch.column(2)]
-            times = [len(f) for f in found]
-            if found:
-                at = np.concatenate([np.arange(n, dtype=np.int32) for n in times])
-                of = pa.array(np.repeat(np.arange(len(found)), times))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(found)), pa.array(at), batch.column(0).take(of), batch.column(1).take(of), batch.column(3).take(of)],
-                    ["token", "at", "id", "size", "now"],
-                )
-
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().cast("binary").alias("text"))
-    rows = rows.where(F.col("doc_id").isNotNull())
-    common, ranks = _common_shingles(rows, shingle)
-    known = checkpointed(rows.mapInArrow(run, "doc_id long, same binary, size int, least array<long>, prefix binary"))
-    texts = checkpointed(known.groupBy("same").agg(F.min("doc_id").alias("id"), *(F.first(n).alias(n) for n in ("size", "least", "prefix"))))
-    # first pass: each text and the next under a least hash, in an order of that hash's own
-    least = texts.select("id", F.posexplode("least").alias("turn", "value"))
-    after = Window.partitionBy("turn", "value").orderBy(F.xxhash64("turn", "id"), "id")
-    chain = least.select(F.col("id").alias("a"), F.lead("id").over(after).alias("b")).where("a != b")
-    ordered = (F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    near = checkpointed(_alike(rows, checkpointed(chain.select(*ordered).distinct()), similarity, shingle).distinct())
-    first = components(near)
-    # second pass: prefixes that two groups share
-    whole = texts.join(first, F.col("id") == F.col("node"), "left").select("id", "size", "prefix", F.coalesce("component", "id").alias("now"))
-    of_token = Window.partitionBy("token")
-    shared = whole.mapInArrow(unfold, "token long, at int, id long, size int, now long")
-    shared = shared.select("*", F.min("now").over(of_token).alias("lo"), F.max("now").over(of_token).alias("hi"))
-    shared = checkpointed(shared.where("lo < hi").drop("lo", "hi"))
-    x, y = shared.alias("x"), shared.alias("y")
-    most = F.expr("least(x.size - x.at, y.size - y.at)")
-    enough = most * (1 + similarity) >= similarity * F.expr("x.size + y.size") - 1e-9
-    sizes = F.expr("least(x.size, y.size)") >= similarity * F.expr("greatest(x.size, y.size)") - 1e-9
-    pairs = x.join(y, F.expr("x.token = y.token AND x.now < y.now") & sizes & enough)
-    pairs = checkpointed(pairs.select(F.expr("x.id").alias("a"), F.expr("y.id").alias("b")).select(*ordered).distinct())
-    both = near.unionByName(_alike(rows, pairs, similarity, shingle))
-    # a document of several texts connects them
-    several = known.groupBy("doc_id").agg(F.min("same").alias("one"), F.max("same").alias("other")).where("one != other")
-    named = texts.select(F.col("same").alias("of"), F.col("id"))
-    known = known.select("doc_id", "same")
-    joined = known.join(several.select("doc_id"), "doc_id", "left_semi").join(named, F.col("same") == F.col("of"))
-    own = joined.select(F.col("doc_id").alias("a"), F.col("id").alias("b"))
-    found = components(both.unionByName(own))
-    by_text = known.join(named, F.col("same") == F.col("of")).select("doc_id", "id")
-    return (
-        by_text.join(found, F.col("id") == F.col("node"), "left")
-        .groupBy("doc_id")
-        .agg(F.min(F.coalesce("component", "id")).alias("component_id"))
-    )
+    row = F.struct(*(F.col(f"`{n}`") for n in docs.columns))
+    rows = docs.select(row.alias("row"), "doc_id", "text").withColumn("content", F.xxhash64(F.to_json("row"), F.col("text")))
+    prints = checkpointed(fingerprints(rows, shingle, "content"))
+    # copies collapse before the groups are joined
+    counted = prints.groupBy("fingerprint", "doc_id", "content").agg(F.count(F.lit(1)).alias("times"))
+    grouped = counted.join(_groups(prints, distance), F.col("fingerprint") == F.col("of"))
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "content", "times")
+    first = checkpointed(grouped.groupBy("group").agg(F.min(order).alias("first")))
+    first = first.select(F.col("first.doc_id").alias("first_id"), F.col("first.content").alias("of"), "first.times")
+    chosen = F.col("doc_id").cast("long").eqNullSafe(F.col("first_id")) & (F.col("content") == F.col("of"))
+    found = rows.join(first, chosen).select("row", "doc_id", "content", "times")
+    repeated = found.where("times > 1").dropDuplicates(["doc_id", "content"])
+    return found.where("times = 1").unionByName(repeated).select("row.*")
 
 
 def as_hex(fingerprint: Column) -> Column:

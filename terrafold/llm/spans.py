@@ -30,14 +30,30 @@ def with_places(frame: DataFrame, patterns: dict[str, str], text: str = "text")
             F.col(f"found_{name}"),
             lambda b, f: F.struct(F.length(b).cast("long").alias("gap"), F.length(f).cast("long").alias("long"), f.alias("value")),
         )
-        places = F.aggregate(
-            steps,
-            F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(SPAN).alias("spans")),
-            _next_place,
-            lambda a: a["spans"],
-        )
-        frame = frame.withColumn(name, F.coalesce(places, F.array().cast(SPAN)))
-    return frame.drop(*(f"{p}_{n}" for n in patterns for p in ("found", "between")))
+        frame = frame.withColumn(f"steps_{name}", steps)
+    # a growing list is copied at each step, so it grows within blocks of about the root of the steps
+    for name in patterns:
+        steps, size = F.col(f"steps_{name}"), F.ceil(F.sqrt(F.size(f"steps_{name}"))).cast("int")
+        blocks = F.transform(F.sequence(F.lit(1), F.size(steps), size), _block(steps, size))
+        frame = frame.withColumn(f"blocks_{name}", F.when(steps.isNotNull(), blocks))
+    for name in patterns:
+        blocks = F.col(f"blocks_{name}")
+        later = lambda so_far, b: F.concat(so_far, F.array(F.element_at(so_far, -1) + b["at"]))
+        begins = F.aggregate(blocks, F.array(F.lit(0).cast("long")), later)
+        frame = frame.withColumn(f"begins_{name}", F.slice(begins, F.lit(1), F.size(blocks)))
+    for name in patterns:
+        moved = F.flatten(F.zip_with(f"blocks_{name}", f"begins_{name}", lambda b, at: F.transform(b["spans"], _moved(at))))
+        frame = frame.withColumn(name, F.coalesce(moved, F.array().cast(SPAN)))
+    return frame.drop(*(f"{p}_{n}" for n in patterns for p in ("found", "between", "steps", "blocks", "begins")))
+
+
+def _block(steps: Column, size: Column) -> Callable[[Column], Column]:
+    first = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(SPAN).alias("spans"))
+    return lambda at: F.aggregate(F.slice(steps, at, size), first, _next_place)
+
+
+def _moved(by: Column) -> Callable[[Column], Column]:
+    return lambda s: F.struct((s["start"] + by).alias("start"), (s["end"] + by).alias("end"), s["value"].alias("value"))
 
 
 def _next_place(so_far: Column, step: Column) -> Column:
@@ -48,6 +64,11 @@ def _next_place(so_far: Column, step: Column) -> Column:
     return F.struct(end.alias("at"), spans.alias("spans"))
 
 
+def once(column: Column) -> Column:
+    """A column that is computed once: filters on it stay above, and repeat none of its steps."""
+    return F.explode(F.array(column))
+
+
 def scored(name: str, order: int, score: Callable[[Column], Column]) -> Column:
     """Spans of one kind with their score, in a form that sorts by place, then kind."""
     return F.transform(

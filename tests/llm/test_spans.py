@@ -6,6 +6,7 @@ import random
 import re
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from terrafold.llm import pii, queries, secret_scan
@@ -160,3 +161,19 @@ def test_strings_without_digits_must_look_like_words(make_docs):
 def test_queries_on_documents(spark, sf, shared_texts):
     check(queries.op1_pii(spark, sf).collect(), shared_texts, PII)
     check(queries.op9_secrets(spark, sf).collect(), shared_texts, SECRETS)
+
+
+@pytest.mark.parametrize("unit", ["ab-12-", "ab/", "Zq+", "a1_", "-_=", "Xy", "9a", "+1 (", "1-", "4 4", "a@b.", "1.2.", "ab12 34"])
+def test_a_million_signs_of_one_kind_end(make_docs, unit):
+    text = (unit * (1_000_000 // len(unit)))[:1_000_000]
+    assert pii.find(make_docs([(1, text)])).count() == 1
+    rows = secret_scan.find(make_docs([(1, text)])).collect()
+    assert len(rows) == 1 and all(0 <= s.start < s.end <= len(text) for s in rows[0].spans)
+
+
+def test_many_spans_in_one_text(make_docs):
+    text = "ann@example.org " * 100_000
+    rows = pii.find(make_docs([(1, text), (2, "é " + text[:160])])).collect()
+    places = {r.doc_id: [(s.start, s.end) for s in r.spans if s.kind == "email"] for r in rows}
+    assert places[1] == [(16 * i, 16 * i + 15) for i in range(100_000)]
+    assert places[2] == [(16 * i + 2, 16 * i + 17) for i in range(10)]
