@@ -1,20 +1,20 @@
 """Documents to packed training sequences, in five stages.
 
-Quality, near duplicates, repeats, secrets, packing: each stage works on all
-that the one before kept, and its decisions take effect. ``run`` applies them
-in turn, each result written to the shared folder and read again, so that a
-lost executor costs a read. No SQL states a stage; tests compare each with
+Quality, SimHash near duplicates, repeats, secrets, packing: each stage works on
+all that the one before kept, and its decisions take effect. ``run`` applies
+them in turn, each result written to the shared folder and read again, so that
+a lost executor costs a read. No SQL states a stage; tests compare each with
 brute force.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from terrafold.llm import packing, quality, repeats, secret_scan, simhash
-from terrafold.llm.common import text_or_empty
 from terrafold.llm.tokens import default_path
-from terrafold.session import scratch_path
+from terrafold.llm.common import with_length
+from terrafold.session import drop_path, scratch_path
 
 #: Documents that score below it go.
 LEAST_QUALITY = 0.3
@@ -23,81 +23,53 @@ ORACLE_SQL = None
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose quality score is 0.3 or more.
+    """Documents whose quality score is 0.3 or more, with all their columns.
 
     The trees learn from the labels of documents that are not held out. Null
-    and empty texts have the score of empty statistics.
+    and empty texts have the score of empty statistics; repeated rows fare
+    alike; an empty table gives none.
     """
     trees = quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return quality.score(docs, trees, "_quality").where(F.col("_quality") >= LEAST_QUALITY).select(*_names(docs))
+    return quality.kept(docs, trees, LEAST_QUALITY)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of copies and near copies: that of the least id.
+    """One document of each SimHash group (shingles of three words, two bits): the one of least id.
 
-    Of rows that repeat an id, one stays; rows without id all stay.
+    Null, empty and blank texts make one group with what is near them. Of rows
+    that repeat an id or have none, whole rows are compared, so texts that
+    differ stay where their groups do. An empty table gives none; other columns
+    stay, whatever their names.
     """
-    groups = simhash.near_copies(docs)
-    least = groups.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_least"))
-    kept = docs.join(least, F.col("doc_id") == F.col("_least"), "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where(F.col("doc_id").isNull()))
+    return simhash.first_of_groups(docs, shingle=3, distance=2)
 
 
 def remove_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the strings of 50 bytes that an earlier document has.
 
     A run that ends within a character leaves the whole character. Documents
-    stay, with the text that remains and its length.
+    stay, with the text that remains and its length; null texts stay null; rows
+    without id neither remove nor lose anything; an empty table gives none.
     """
-    found = repeats.remove_repeats(docs.withColumnRenamed("kept", "_kept").withColumnRenamed("removed", "_removed"))
-    data = F.coalesce(F.col("text"), F.lit("")).cast("binary")
-    # bytes of a character after its first are 10xxxxxx
-    inner = lambda at: F.hex(data.substr(at + 1, F.lit(1))).rlike("^[89AB]")
-    ahead = lambda at: F.when(inner(at), F.when(inner(at + 1), F.when(inner(at + 2), at + 3).otherwise(at + 2)).otherwise(at + 1)).otherwise(at)
-    back = lambda at: F.when(inner(at), F.when(inner(at - 1), F.when(inner(at - 2), at - 3).otherwise(at - 2)).otherwise(at - 1)).otherwise(at)
-    edges = F.transform("removed", lambda at, i: F.when(i % 2 == 0, ahead(at.cast("int"))).otherwise(back(at.cast("int"))))
-    edges = F.concat(F.array(F.lit(0)), edges, F.array(F.octet_length("text").cast("int")))
-    found = found.withColumn("_edges", F.when(F.size("removed") > 0, edges))
-    pairs = F.transform(F.sequence(F.lit(0), F.floor(F.size("_edges") / 2).cast("int") - 1), lambda i: i * 2)
-    parts = F.transform(pairs, lambda i: data.substr(F.get("_edges", i) + 1, F.greatest(F.get("_edges", i + 1) - F.get("_edges", i), F.lit(0))))
-    text = F.when(F.col("_edges").isNull(), F.col("text")).otherwise(F.array_join(F.transform(parts, lambda p: p.cast("string")), ""))
-    found = found.withColumn("text", text).drop("removed", "kept", "_edges")
-    return _counted(found, docs).withColumnsRenamed({"_kept": "kept", "_removed": "removed"}).select(*_names(docs))
+    return with_length(repeats.without_repeats(docs, length=50))
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts with each secret replaced by a mark; overlapping spans are one."""
-    spans = secret_scan.spans_of(docs, "_spans")
-    starts = F.sequence(F.lit(0), F.size("_spans"))
-    text = F.when(F.size("_spans") == 0, F.col("text")).otherwise(
-        F.array_join(
-            F.transform(
-                starts,
-                lambda i: F.col("text").substr(
-                    (F.coalesce(F.get("_spans", i - 1)["end"], F.lit(0)) + 1).cast("int"),
-                    (F.coalesce(F.get("_spans", i)["start"], F.length("text").cast("long")) - F.coalesce(F.get("_spans", i - 1)["end"], F.lit(0))).cast("int"),
-                ),
-            ),
-            REDACTED,
-        )
-    )
-    return _counted(spans.withColumn("text", text).drop("_spans"), docs).select(*_names(docs))
-
-
-def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of sequences of 4096 ids that hold every document."""
-    return packing.pack(docs, default_path())
+    """Texts with each secret replaced by a mark, and their length; overlapping secrets are one.
 
+    Null and empty texts, repeated rows and other columns stay as they are; an
+    empty table gives none.
+    """
+    return with_length(secret_scan.redacted(docs, REDACTED))
 
-def _names(docs: DataFrame) -> list[str]:
-    return [f"`{n}`" for n in docs.columns]
 
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of sequences of 4096 ids that hold every document.
 
-def _counted(changed: DataFrame, docs: DataFrame) -> DataFrame:
-    """The length column follows the text, where there is one."""
-    if "n_chars" not in docs.columns:
-        return changed
-    return changed.withColumn("n_chars", F.length(text_or_empty()).cast(docs.schema["n_chars"].dataType))
+    A null or empty text holds the end alone; repeated rows and rows without id
+    are packed too; an empty table gives no piece; other columns are left behind.
+    """
+    return packing.pack(docs, default_path())
 
 
 STAGES = [
@@ -111,9 +83,12 @@ STAGES = [
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages in turn over the documents below ``sf_dir``."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
         path = scratch_path(spark, f"pipeline-{name}")
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:
+            drop_path(spark, before)
+        before = path
     return docs
