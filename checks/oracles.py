@@ -473,11 +473,15 @@ def all_oracles() -> dict[str, str]:
             """SELECT id FROM tagged WHERE n >= 2
             AND id NOT IN (SELECT id FROM refs WHERE ref % 501 = 0)""",
         ),
-        "unresolved_refs": _from(
-            _WAY,
-            """SELECT refs.id, (CASE WHEN pos = 1000000 THEN n ELSE pos END - 1)::INTEGER AS pos, ref
-            FROM refs JOIN tagged USING (id) WHERE ref % 501 = 0""",
-        ),
+        "unresolved_refs": """
+            WITH item AS (
+              SELECT l_orderkey AS id, l_partkey AS ref, count(*) OVER (PARTITION BY l_orderkey) AS n,
+                row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey) AS pos
+              FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders)
+            )
+            SELECT id, CAST(pos - 1 AS INTEGER) AS pos, ref FROM item WHERE ref % 501 = 0
+            UNION ALL
+            SELECT id, CAST(n AS INTEGER), ref FROM item WHERE pos = 1 AND id % 4 = 0 AND ref % 501 = 0""",
         # joins and set operations
         "new_only": _from(
             _FEAT,

@@ -13,8 +13,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from terrafold.functions.geometry import plain_numbers
 from terrafold.functions.rings import assemble_multipolygon
+from terrafold.operators.membership import maybe_among
 from terrafold.operators.relational import unique_keys
-from terrafold.session import shared_folder
+from terrafold.session import scratch_path, shared_folder
 
 # --- Fixed values -----------------------------------------------------------
 # Values of a relation's "type" tag that make it an area.
@@ -93,6 +94,22 @@ def _located(nodes: DataFrame, unique_ids: bool) -> DataFrame:
     )
 
 
+def wanted_nodes(nodes: DataFrame, features: DataFrame) -> DataFrame:
+    """All versions of the nodes that features refer to, and few others.
+
+    A Bloom filter over the references, in the scan of the nodes: nodes that
+    no feature needs are not compared by version and not shuffled.
+    """
+    return maybe_among(nodes, features.select(F.explode("node_refs").alias("ref")), "id", "ref")
+
+
+def stored(rows: DataFrame, label: str) -> DataFrame:
+    """Rows written once in the shared folder and read from there."""
+    path = scratch_path(rows.sparkSession, label)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def locate(
     features: DataFrame, nodes: DataFrame, keys: Sequence[str] = ("id",), unique_ids: bool = False
 ) -> DataFrame:
@@ -263,13 +280,15 @@ def line_and_area_features(
     nodes: DataFrame,
     line_keys: Sequence[str] = (),
     unique_ids: bool = False,
+    prune: bool = True,
 ) -> DataFrame:
     """Geometries of ways and of area relations, with one pass over the nodes.
 
     The same rows as :func:`way_geometries` and :func:`relation_areas`, which
     would each move the node table. ``tagged_ways`` and ``tagged_relations``
     hold one row per id; ``ways`` are all versions of all ways a relation may
-    refer to. Adds ``src_type`` and ``osm_type``.
+    refer to. Adds ``src_type`` and ``osm_type``. With ``prune`` the features are
+    written first, and only nodes that they may refer to are looked at.
     """
     lines = _drawable_ways(tagged_ways, line_keys)
     shared = ["id", "node_refs", "tags", "version", "timestamp", "user", "changeset"]
@@ -279,6 +298,9 @@ def line_and_area_features(
             *shared, "sizes", F.lit(True).alias("is_area"), F.lit("relation").alias("src_type")
         )
     )
+    if prune:
+        features = stored(features, "features")
+        nodes = wanted_nodes(nodes, features)
     coords = locate(features, nodes, ["src_type", "id"], unique_ids)
     relation = F.col("src_type") == "relation"
     area = assemble_multipolygon(*[F.when(relation, F.col(c)) for c in ("xs", "ys", "sizes")])

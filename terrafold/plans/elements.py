@@ -58,11 +58,13 @@ def element_records(
     line_keys: Sequence[str] = (),
     unique_ids: bool = False,
     wanted: Mapping[str, Sequence[str]] | None = None,
+    prune: bool = True,
 ) -> DataFrame:
     """Records of every wanted (element, key) pair, geometry assembled.
 
     Only elements whose latest version has a wanted value enter the joins; the
-    coordinates of nodes serve ways and relations together.
+    coordinates of nodes serve ways and relations together. ``prune`` keeps
+    nodes that nothing wanted refers to out of every shuffle.
     """
     wanted = wanted if wanted is not None else wanted_values(tags, subtags)
     node = F.lit("node")
@@ -76,6 +78,7 @@ def element_records(
         nodes,
         line_keys,
         unique_ids,
+        prune,
     )
     features = union_parts(points.drop("lon", "lat"), shapes).select(
         _props().alias("props"), "geometry_wkt", "osm_type", F.lit(source).alias("source")
