@@ -231,3 +231,48 @@ def listing(spark: SparkSession, sf: str) -> DataFrame:
         "CASE id % 3 WHEN 0 THEN '.parquet' WHEN 1 THEN '.geojson' ELSE '.db' END AS extension",
         "user_id * 20 + id % 1500 AS bytes",
     )
+
+
+def all_elements(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(nodes, ways, relations) of both kinds; ids of areas' nodes and ways begin at ten million."""
+    far = 10_000_000
+    all_nodes = nodes(spark, sf).unionByName(area_nodes(spark, sf).withColumn("id", F.col("id") + far))
+    all_ways = ways(spark, sf).unionByName(
+        area_ways(spark, sf)
+        .withColumn("id", F.col("id") + far)
+        .withColumn("node_refs", F.transform("node_refs", lambda r: r + far))
+    )
+    relations = area_relations(spark, sf).withColumn(
+        "members", F.transform("members", lambda m: m.withField("ref", m["ref"] + far))
+    )
+    return all_nodes, all_ways, relations
+
+
+def element_changes(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """New versions of some elements: moved, deleted, re-tagged, with other references; some are too old to count."""
+    all_nodes, all_ways, relations = all_elements(spark, sf)
+    edit = ["int(5) AS version", "timestamp", "user", "changeset"]
+    moved = "if(id < 10000000, id % 7 = 1, (id - 10000000) div 10 % 4 = 0)"
+    changed_nodes = all_nodes.filter(f"{moved} OR id < 10000000 AND (id % 501 = 0 OR id % 97 = 3)").selectExpr(
+        "id",
+        f"if({moved}, lon + 1, lon) AS lon",
+        "lat",
+        "if(id < 10000000 AND id % 97 = 3, map('power', 'plant'), tags) AS tags",
+        *edit,
+        "id < 10000000 AND id % 501 = 0 AS deleted",
+    )
+    old = all_nodes.filter("id < 10000000 AND id % 11 = 5 AND id % 7 <> 1").selectExpr(
+        "id", "lon + 50 AS lon", "lat", "tags", "int(0) AS version", "timestamp", "user", "changeset", "false AS deleted"
+    )
+    changed_ways = all_ways.filter("id < 10000000 AND id % 9 < 3").selectExpr(
+        "id",
+        "if(id % 9 = 2, slice(node_refs, 1, 2), node_refs) AS node_refs",
+        "if(id % 9 = 1, map('highway', 'trunk'), tags) AS tags",
+        *edit,
+        "id % 9 = 0 AS deleted",
+    )
+    changed_relations = relations.filter("id % 5 < 2").selectExpr(
+        "id", "members", "if(id % 5 = 1, map_concat(map_filter(tags, (k, v) -> k <> 'landuse'), map('landuse', 'quarry')), tags) AS tags",
+        *edit, "id % 5 = 0 AS deleted",
+    )
+    return changed_nodes.unionByName(old), changed_ways, changed_relations

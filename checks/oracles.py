@@ -597,6 +597,13 @@ def all_oracles() -> dict[str, str]:
         "stream_dedupe": _stream_pairs("DISTINCT category, osm_id, osm_type"),
         "stream_upsert_replay": _stream_pairs("DISTINCT category, osm_id, osm_type"),
         "stream_resume": _stream_pairs(_KEY),
+        "stream_upsert_versions": _from(
+            _FEAT,
+            f"""SELECT {_KEY}, CASE WHEN osm_id % 3 = 0 AND osm_id % 4 = 0 AND osm_id <> 0 THEN 'new' || osm_id ELSE name END AS name,
+              CASE WHEN osm_id % 3 = 0 AND osm_id <> 0 THEN '7' ELSE '5' END AS version, geometry_wkt
+            FROM (SELECT *, row_number() OVER (PARTITION BY category, osm_id, osm_type
+              ORDER BY geometry_wkt, sub_cat, tags, timestamp, "user", changeset) AS rn FROM rec) WHERE rn = 1""",
+        ),
         # whole jobs
         "profile_selection": _from(
             _FEAT,
@@ -654,6 +661,45 @@ def all_oracles() -> dict[str, str]:
               'polygons', 'relation'
             FROM area""",
         ),
+        "element_changes": """
+            WITH nd AS (
+              SELECT p_partkey AS id, p_partkey % 360 - 180 + CASE WHEN p_partkey % 7 = 1 THEN 1 ELSE 0 END AS lon, p_size AS lat,
+                CASE WHEN p_partkey % 97 = 3 THEN 'plant' WHEN p_partkey % 5 = 0 THEN 'tower' END AS power
+              FROM part WHERE p_partkey % 501 <> 0
+            ), item AS (
+              SELECT l_orderkey AS id, l_partkey AS ref, count(*) OVER (PARTITION BY l_orderkey) AS n,
+                row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey) AS pos
+              FROM lineitem
+            ), refs AS (
+              SELECT id, pos, ref FROM item UNION ALL SELECT id, n + 1, ref FROM item WHERE pos = 1 AND id % 4 = 0
+            ), way AS (
+              SELECT refs.id, count(*) AS n, count(nd.id) AS located, arg_min(ref, pos) = arg_max(ref, pos) AS closed,
+                string_agg(nd.lon || ' ' || nd.lat, ',' ORDER BY pos) AS body
+              FROM refs LEFT JOIN nd ON nd.id = refs.ref
+              WHERE refs.id % 9 <> 0 AND (refs.id % 9 <> 2 OR pos <= 2) GROUP BY refs.id
+            ), tagged AS (
+              SELECT way.*, CASE WHEN id % 9 = 1 THEN 'trunk' ELSE CASE substring(o_orderpriority, 1, 1) WHEN '1' THEN 'motorway'
+                WHEN '2' THEN 'trunk' WHEN '3' THEN 'primary' END END AS road
+              FROM way JOIN orders ON o_orderkey = id WHERE located = n
+            ), sq AS (
+              SELECT s_suppkey AS id, s_suppkey % 30 * 10 - 150 + CASE WHEN s_suppkey % 4 = 0 THEN 1 ELSE 0 END AS x,
+                s_suppkey % 15 * 10 - 75 AS y FROM supplier WHERE s_suppkey % 5 <> 0
+            )
+            SELECT id AS osm_id, 'node' AS osm_type, 'power' AS category, power AS sub_cat, 'node' AS src_type,
+              'POINT (' || lon || ' ' || lat || ')' AS geometry_wkt FROM nd WHERE power IS NOT NULL
+            UNION ALL
+            SELECT id, 'way', 'highway', road, 'way', 'LINESTRING (' || body || ')' FROM tagged
+            WHERE NOT closed AND n >= 2 AND road IS NOT NULL
+            UNION ALL
+            SELECT id, 'area', 'highway', road, 'way', 'MULTIPOLYGON (((' || body || ')))' FROM tagged
+            WHERE closed AND n >= 4 AND road IS NOT NULL
+            UNION ALL
+            SELECT id, 'area', 'landuse', CASE WHEN id % 5 = 1 THEN 'quarry' ELSE 'forest' END, 'relation',
+              'MULTIPOLYGON (((' || x || ' ' || y || ',' || (x + 8) || ' ' || y || ',' || (x + 8) || ' ' || (y + 8) || ',' ||
+              x || ' ' || (y + 8) || ',' || x || ' ' || y || ')' ||
+              CASE WHEN id % 3 = 0 THEN ',(' || (x + 2) || ' ' || (y + 2) || ',' || (x + 2) || ' ' || (y + 4) || ',' ||
+                (x + 4) || ' ' || (y + 4) || ',' || (x + 4) || ' ' || (y + 2) || ',' || (x + 2) || ' ' || (y + 2) || ')' ELSE '' END || '))'
+            FROM sq""",
         "extract_elements_clean": _from(
             _WAY + "," + _AREA,
             """SELECT id + 10000000 AS osm_id, 'node' AS osm_type, 'power' AS category,

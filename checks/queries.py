@@ -14,13 +14,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from checks import adapters as A
 from terrafold.functions import geometry, rings, text
 from terrafold.operators import assemble, filters, planning, project, quality, relational
-from terrafold.plans import elements as element_plan
+from terrafold.plans import changes, elements as element_plan
 from terrafold.plans.extract import extract, feature_records, run, run_elements
 from terrafold.plans.merge import merge
 from terrafold.plans.profiles import RunConfig, profile_tags
 from terrafold.schema import ALL_TAGS, FEATURE_COLUMNS, MIN_INPUT_BYTES
 from terrafold.session import scratch_path
 from terrafold.sinks import writers
+from terrafold.sinks.store import Store
 from terrafold.sources import elements, files, lines, parts
 from terrafold.sources.whitelist import whitelist
 from terrafold.streaming import ingest
@@ -1157,3 +1158,36 @@ def scan_element_kinds(spark, sf):
                 )
             )
     return relational.union_parts(*read)
+
+
+# --- changes and versions ------------------------------------------------------------
+
+
+@query
+def element_changes(spark, sf):
+    """Records after changed elements, only what refers to a change being built again."""
+    tags = ["power", "highway", "landuse"]
+    store = Store(spark, scratch_path(spark, "elements"), bucket_rows=2000)
+    changes.load_elements(store, *A.all_elements(spark, sf))
+    before = element_plan.element_records(*A.all_elements(spark, sf), tags)
+    delta = changes.apply_changes(store, *A.element_changes(spark, sf), tags)
+    return changes.updated_records(before, delta).select(*_KEY, "src_type", "geometry_wkt")
+
+
+@query
+def stream_upsert_versions(spark, sf):
+    """A stream, then higher and lower versions of some features, then all again from the start: the highest stay."""
+    root, first, later = (scratch_path(spark, n) for n in ("versions", "first", "later"))
+    versioned = lambda by: F.regexp_replace("value", r'"@id":', f'"@version":{by},"@id":')
+    plain = A.event_lines(spark, sf).withColumn("value", F.regexp_replace("value", r'"@version":\d+,', ""))
+    plain = plain.withColumn("id", F.regexp_extract("value", r'"@id":(\d+)', 1).try_cast("long"))
+    plain.select(versioned(5).alias("value")).coalesce(1).write.text(first)
+    higher = plain.filter("id % 3 = 0").select(F.regexp_replace(versioned(7), r'"name":"n', '"name":"new').alias("value"))
+    lower = plain.filter("id % 3 = 1").select(F.regexp_replace(versioned(2), r'"name":"n', '"name":"old').alias("value"))
+    for rows in (higher, lower):
+        rows.coalesce(1).write.mode("append").text(later)
+    for source, checkpoint in ((first, "a"), (later, "b"), (first, "c")):
+        records = ingest.stream_features(spark, source, A.EVENT_TAGS, max_files_per_trigger=1)
+        ingest.stream_versions(records, root, f"{root}-{checkpoint}", bucket_rows=1000).awaitTermination()
+    store = Store(spark, root)
+    return store.read("records").select(*_KEY, "name", "version", "geometry_wkt")

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from terrafold.functions.geometry import wkt_to_geojson
 from terrafold.functions.rings import to_wkb
@@ -66,17 +66,20 @@ def write_table(
 
 def geojson_lines(records: DataFrame) -> DataFrame:
     """Folder columns and ``value``, one GeoJSON feature per record."""
-    hidden = {"geometry_wkt", "sub_cat_dir"}
     rows = with_folders(records)
-    properties = F.to_json(F.struct(*[c for c in records.columns if c not in hidden]))
-    value = F.concat(
+    return rows.select(*FOLDERS, geojson_value(records.columns).alias("value"))
+
+
+def geojson_value(columns: Sequence[str]) -> Column:
+    """One GeoJSON feature, with the columns as its properties."""
+    hidden = {"geometry_wkt", "sub_cat_dir"}
+    return F.concat(
         F.lit('{"type":"Feature","geometry":'),
         wkt_to_geojson(F.col("geometry_wkt")),
         F.lit(',"properties":'),
-        properties,
+        F.to_json(F.struct(*[c for c in columns if c not in hidden])),
         F.lit("}"),
     )
-    return rows.select(*FOLDERS, value.alias("value"))
 
 
 def write_geojson_lines(

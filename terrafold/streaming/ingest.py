@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from terrafold.plans.extract import earlier_output, feature_records
 from terrafold.plans.merge import MERGE_KEYS, merge
+from terrafold.operators.assemble import stored
+from terrafold.operators.relational import unique_keys
 from terrafold.schema import MAX_LINE_BYTES
-from terrafold.sinks.writers import write_parquet
+from terrafold.sinks.store import BUCKET_ROWS, Content, Store
+from terrafold.sinks.writers import geojson_value, write_parquet
 from terrafold.sources.lines import clean_lines, line_reader
 
 
@@ -92,3 +96,81 @@ def stream_to_parquet(records: DataFrame, output: str, checkpoint: str) -> Strea
         .trigger(availableNow=True)
         .start()
     )
+
+
+def _version() -> Column:
+    return F.coalesce(F.col("version").try_cast("bigint"), F.lit(-1))
+
+
+def merge_versions(store: Store, batch: DataFrame, keys: Sequence[str] = MERGE_KEYS, notes: str = "") -> int:
+    """Take records into a store: new keys are added, higher versions replace; rows written.
+
+    The stored keys and versions stand in a narrow table of their own, of which
+    only the batch's buckets are read. Of the records, only buckets with a
+    change are read and written, and with them their GeoJSON form; keys, records
+    and GeoJSON appear in one commit. An equal or lower version changes nothing,
+    and a version that is no number is the lowest, so a batch that comes again
+    writes nothing.
+    """
+    keys = list(keys)
+    rows = stored(merge(batch, keys=keys), "batch")
+    sidecar = store.read("keys", store.buckets_of("keys", rows, keys))
+    fresh = rows
+    if sidecar is not None:
+        held = sidecar.withColumnRenamed("held_version", "_held")
+        fresh = rows.join(held, keys, "left").filter(F.col("_held").isNull() | (_version() > F.col("_held"))).select(*rows.columns)
+        fresh = stored(fresh, "fresh")
+    written = fresh.count()
+    if not written:
+        return 0
+    touched = store.buckets_of("records", fresh, keys)
+    own = unique_keys(fresh, keys)
+
+    def replaced(name: str, new: DataFrame) -> DataFrame:
+        before = store.read(name, touched)
+        return new if before is None else before.join(own, keys, "left_anti").select(*new.columns).unionByName(new)
+
+    records = replaced("records", fresh)
+    geojson = lambda placed: placed.select("d", "p", geojson_value(fresh.columns).alias("value"))
+    # both tables hold the same keys, so their buckets are the same
+    store.commit(
+        {
+            "records": Content(records, keys, touched, {"geojson": ("text", geojson)}),
+            "keys": Content(replaced("keys", fresh.select(*keys, _version().alias("held_version"))), keys, touched, {}),
+        },
+        notes,
+    )
+    return written
+
+
+def stream_versions(
+    records: DataFrame,
+    root: str,
+    checkpoint: str,
+    keys: Sequence[str] = MERGE_KEYS,
+    bucket_rows: int = BUCKET_ROWS,
+    keep: int | None = None,
+) -> StreamingQuery:
+    """Upsert the stream into a store of versions, then stop when caught up.
+
+    Each micro-batch is one commit of :func:`merge_versions`; the number of the
+    last batch is noted with it, so a batch whose commit came through is not
+    looked at again after a failure. A replay from the start changes nothing.
+    ``keep`` removes what older versions than that many hold; readers of those
+    would lose them.
+    """
+
+    def upsert(batch: DataFrame, batch_id: int) -> None:
+        store = Store(batch.sparkSession, root, bucket_rows)
+        done = json.loads(store.notes() or "{}")
+        if done.get(checkpoint, -1) < batch_id:
+            merge_versions(store, batch, keys, json.dumps(done | {checkpoint: batch_id}))
+            if keep:
+                store.vacuum(keep)
+
+    return (
+        records.writeStream.foreachBatch(upsert)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
