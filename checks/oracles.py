@@ -597,6 +597,12 @@ def all_oracles() -> dict[str, str]:
         "stream_dedupe": _stream_pairs("DISTINCT category, osm_id, osm_type"),
         "stream_upsert_replay": _stream_pairs("DISTINCT category, osm_id, osm_type"),
         "stream_resume": _stream_pairs(_KEY),
+        "stream_dedupe_ttl": _from(
+            _FEAT,
+            """SELECT category, osm_id, osm_type, CASE WHEN osm_id % 3 = 0 AND osm_id <> 0 THEN 7 ELSE 5 END::BIGINT AS version,
+              (count(*) - 1 + CASE WHEN osm_id % 3 = 1 THEN 1 ELSE 0 END)::BIGINT AS late
+            FROM rec GROUP BY category, osm_id, osm_type""",
+        ),
         "stream_upsert_versions": _from(
             _FEAT,
             f"""SELECT {_KEY}, CASE WHEN osm_id % 3 = 0 AND osm_id % 4 = 0 AND osm_id <> 0 THEN 'new' || osm_id ELSE name END AS name,

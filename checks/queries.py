@@ -1191,3 +1191,22 @@ def stream_upsert_versions(spark, sf):
         ingest.stream_versions(records, root, f"{root}-{checkpoint}", bucket_rows=1000).awaitTermination()
     store = Store(spark, root)
     return store.read("records").select(*_KEY, "name", "version", "geometry_wkt")
+
+
+@query
+def stream_dedupe_ttl(spark, sf):
+    """The highest version of each key accepted by a stream, and how many copies came late."""
+    source, out = scratch_path(spark, "stream"), scratch_path(spark, "out")
+    plain = A.event_lines(spark, sf).withColumn("value", F.regexp_replace("value", r'"@version":\d+,', ""))
+    plain = plain.withColumn("id", F.regexp_extract("value", r'"@id":(\d+)', 1).try_cast("long"))
+    versioned = lambda by: F.regexp_replace("value", r'"@id":', f'"@version":{by},"@id":').alias("value")
+    checkpoint = scratch_path(spark, "checkpoint")
+    later = plain.filter("id % 3 = 0").select(versioned(7)).unionByName(plain.filter("id % 3 = 1").select(versioned(2)))
+    for rows in (plain.select(versioned(5)), later):
+        rows.coalesce(1).write.mode("append").text(source)
+        records = ingest.stream_features(spark, source, A.EVENT_TAGS)
+        latest = ingest.stream_latest(records, ["category", "osm_id", "osm_type"])
+        ingest.stream_to_parquet(latest, out, checkpoint).awaitTermination()
+    found = spark.read.parquet(out).groupBy("category", "osm_id", "osm_type")
+    version = F.max(F.when(~F.col("late"), F.col("version").cast("long")))
+    return found.agg(version.alias("version"), F.sum(F.col("late").cast("long")).alias("late"))

@@ -18,6 +18,10 @@ from terrafold.sinks.writers import geojson_value, write_parquet
 from terrafold.sources.lines import clean_lines, line_reader
 
 
+#: The state store whose keys can end one by one.
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def stream_lines(
     spark: SparkSession,
     path: str,
@@ -174,3 +178,67 @@ def stream_versions(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def stream_latest(records: DataFrame, keys: Sequence[str] = MERGE_KEYS, ttl: str = "7 days") -> DataFrame:
+    """Each record that is the first of its key or a higher version, with ``late``.
+
+    The state is one number a key, the highest version seen, and it ends when
+    its key has not been written for ``ttl``: its size is bounded by the keys
+    that come in that time, whatever the length of the stream. Copies and lower
+    versions come out as late rows, so that they can be counted, and change no
+    state. Of the versions of a key in one micro-batch the highest is kept (ties:
+    by content); a version that is no number is the lowest. A copy that comes
+    after its key's state has ended counts as new; :func:`stream_versions`
+    has no such limit.
+
+    The session's state store becomes the one that can drop single keys, and
+    its streams stop when no input is left, as state with an end would have
+    them look again for ever.
+    """
+    from pyspark.sql import types as T
+
+    settings = records.sparkSession.conf
+    settings.set("spark.sql.streaming.stateStore.providerClass", ROCKS)
+    settings.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
+    schema = T.StructType([*records.schema.fields, T.StructField("late", T.BooleanType())])
+    return records.groupBy(*keys).transformWithStateInPandas(
+        statefulProcessor=_latest_processor(list(records.columns), _milliseconds(ttl)),
+        outputStructType=schema,
+        outputMode="Append",
+        timeMode="ProcessingTime",
+    )
+
+
+def _milliseconds(duration: str) -> int:
+    number, unit = duration.split()
+    return int(number) * {"second": 1000, "minute": 60_000, "hour": 3_600_000, "day": 86_400_000}[unit.rstrip("s")]
+
+
+def _latest_processor(columns: list[str], ttl: int):
+    """The processor, made here so that it travels with the query by value."""
+    from pyspark.sql.streaming import StatefulProcessor
+
+    class Latest(StatefulProcessor):
+        def init(self, handle):
+            self.seen = handle.getValueState("seen", "version long", ttl)
+
+        def handleInputRows(self, key, rows, timerValues):
+            import pandas as pd
+
+            table = pd.concat(list(rows), ignore_index=True)[columns]
+            number = pd.to_numeric(table["version"], errors="coerce").fillna(-1).astype("int64")
+            order = table.assign(_number=-number, _text=table.astype(str).agg("|".join, axis=1)).sort_values(["_number", "_text"]).index
+            table, number = table.loc[order], number.loc[order]
+            best = int(number.iloc[0])
+            before = self.seen.get()[0] if self.seen.exists() else None
+            late = pd.Series(True, index=table.index)
+            if before is None or best > before:
+                self.seen.update((best,))
+                late.iloc[0] = False
+            yield table.assign(late=late)
+
+        def close(self):
+            pass
+
+    return Latest()
