@@ -411,15 +411,15 @@ def all_oracles() -> dict[str, str]:
         "wkt_to_coords": _from(
             _FEAT,
             """SELECT osm_id, upper(geometry_type) AS wkt_type,
-            CASE kind WHEN 3 THEN 2 ELSE 1 END::BIGINT AS rings,
-            CASE kind WHEN 0 THEN 1 WHEN 1 THEN 2 WHEN 3 THEN 4 ELSE 5 END::BIGINT AS points,
-            CASE kind WHEN 0 THEN x WHEN 1 THEN 2 * x + 1 WHEN 3 THEN 4 * x + 2 ELSE 5 * x + 4
+            CASE WHEN kind IN (3, 5) THEN 2 ELSE 1 END::BIGINT AS rings,
+            CASE kind WHEN 0 THEN 1 WHEN 1 THEN 2 WHEN 3 THEN 4 WHEN 5 THEN 3 ELSE 5 END::BIGINT AS points,
+            CASE kind WHEN 0 THEN x WHEN 1 THEN 2 * x + 1 WHEN 3 THEN 4 * x + 2 WHEN 5 THEN 3 * x + 1 ELSE 5 * x + 4
               END::BIGINT AS sum_x,
-            CASE kind WHEN 0 THEN y WHEN 1 THEN 2 * y + 1 WHEN 3 THEN 4 * y + 2 ELSE 5 * y + 4
+            CASE kind WHEN 0 THEN y WHEN 1 THEN 2 * y + 1 WHEN 3 THEN 4 * y + 2 WHEN 5 THEN 3 * y + 1 ELSE 5 * y + 4
               END::BIGINT AS sum_y
-            FROM feat WHERE kind <> 5""",
+            FROM feat""",
         ),
-        "encode_wkt": _from(_FEAT, "SELECT osm_id, geometry_wkt FROM feat WHERE kind <> 5"),
+        "encode_wkt": _from(_FEAT, "SELECT osm_id, geometry_wkt FROM feat"),
         "encode_wkb": _from(
             _FEAT,
             """SELECT osm_id, geometry_wkt, CASE kind WHEN 0 THEN 21 WHEN 1 THEN 41 WHEN 2 THEN 93
@@ -543,6 +543,8 @@ def all_oracles() -> dict[str, str]:
             FROM (SELECT least(n - 1, floor((x + 180) / (360.0::DOUBLE / n)))::INTEGER AS slice_id,
               count(*)::BIGINT AS rows FROM ev, n GROUP BY 1) WHERE rows >= 40""",
         ),
+        "plan_slices_balanced": """SELECT count(*)::BIGINT AS rows, 0::BIGINT AS wrong, 0::BIGINT AS over, 0::BIGINT AS repeated
+            FROM events""",
         "output_manifest": _from(
             _LISTING,
             """SELECT category, sub_cat_dir, string_agg(DISTINCT extension, ' ' ORDER BY extension)

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from checks import adapters as A
-from terrafold.functions import geometry, rings, text
+from terrafold.functions import flat, geometry, rings, text
 from terrafold.operators import assemble, filters, planning, project, quality, relational
 from terrafold.plans import changes, elements as element_plan
 from terrafold.plans.extract import extract, feature_records, run, run_elements
@@ -391,19 +391,17 @@ def geojson_to_wkt(spark, sf):
 
 @query
 def wkt_to_coords(spark, sf):
-    """Points, rings and ordinates counted and summed after parsing the text."""
-    features = _features(spark, sf).filter("geometry_type <> 'GeometryCollection'")
-    parsed = features.select(
-        _id(features), "geometry_wkt", geometry.wkt_to_coords(F.col("geometry_wkt")).alias("g")
-    )
-    ring = F.flatten("g.coords")
-    points = F.flatten(ring)
-    total = lambda i: F.aggregate(points, F.lit(0.0), lambda a, p: a + p[i]).cast("bigint")
+    """Lists of points, points and ordinates of every geometry, counted and summed after parsing the text."""
+    features = _features(spark, sf)
+    parsed = features.select(_id(features), "geometry_wkt", flat.wkt_to_flat(F.col("geometry_wkt")).alias("g"))
+    ordinates = F.col("g.ordinates")
+    total = lambda i: F.aggregate(F.filter(ordinates, lambda v, k: k % 2 == i), F.lit(0.0), lambda a, v: a + v).cast("bigint")
+    names = F.create_map(*[F.lit(v) for name, code in flat.CODES.items() for v in (code, name)])
     return parsed.select(
         "osm_id",
-        F.col("g.type").alias("wkt_type"),
-        F.size(ring).cast("bigint").alias("rings"),
-        F.size(points).cast("bigint").alias("points"),
+        F.element_at(names, F.get("g.codes", F.lit(0))).alias("wkt_type"),
+        F.size(F.filter("g.codes", lambda c: c <= 2)).cast("bigint").alias("rings"),
+        F.floor(F.size(ordinates) / 2).alias("points"),
         total(0).alias("sum_x"),
         total(1).alias("sum_y"),
     )
@@ -411,20 +409,20 @@ def wkt_to_coords(spark, sf):
 
 @query
 def encode_wkt(spark, sf):
-    features = _features(spark, sf).filter("geometry_type <> 'GeometryCollection'")
-    coords = geometry.wkt_to_coords(F.col("geometry_wkt"))
-    return features.select(_id(features), geometry.to_wkt(coords).alias("geometry_wkt"))
+    """Text of every geometry, collections included, written from its flat form."""
+    features = _features(spark, sf)
+    return features.select(_id(features), flat.flat_to_wkt(flat.wkt_to_flat(F.col("geometry_wkt"))).alias("geometry_wkt"))
 
 
 @query
 def encode_wkb(spark, sf):
     """Binary form, read back as text, with its length."""
     features = _features(spark, sf)
-    coded = features.select(_id(features), rings.to_wkb(F.col("geometry_wkt")).alias("wkb"))
+    coded = features.select(_id(features), flat.to_wkb(F.col("geometry_wkt")).alias("wkb"))
     return coded.select(
         "osm_id",
         F.octet_length("wkb").cast("bigint").alias("bytes"),
-        rings.from_wkb(F.col("wkb")).alias("geometry_wkt"),
+        flat.from_wkb(F.col("wkb")).alias("geometry_wkt"),
     )
 
 
@@ -705,7 +703,7 @@ def write_parquet(spark, sf):
     writers.write_parquet(_records(spark, sf), path)
     back = spark.read.parquet(path)
     return back.select(
-        *_KEY, "name", "geom_group", rings.from_wkb(F.col("geometry")).alias("geometry_wkt")
+        *_KEY, "name", "geom_group", flat.from_wkb(F.col("geometry")).alias("geometry_wkt")
     )
 
 
@@ -1078,7 +1076,7 @@ def unidentified_two_runs(spark, sf):
         A.event_lines(spark, sf, where).select("value").write.text(f"{path}/{name}")
         run(spark, f"{path}/{name}", out, config)
     written = spark.read.parquet(f"{out}/parquet")
-    text = written.select("category", rings.from_wkb(F.col("geometry")).alias("geometry_wkt"))
+    text = written.select("category", flat.from_wkb(F.col("geometry")).alias("geometry_wkt"))
     return text.groupBy("category", "geometry_wkt").agg(F.count("*").alias("n"))
 
 
@@ -1181,13 +1179,12 @@ def stream_upsert_versions(spark, sf):
     versioned = lambda by: F.regexp_replace("value", r'"@id":', f'"@version":{by},"@id":')
     plain = A.event_lines(spark, sf).withColumn("value", F.regexp_replace("value", r'"@version":\d+,', ""))
     plain = plain.withColumn("id", F.regexp_extract("value", r'"@id":(\d+)', 1).try_cast("long"))
-    plain.select(versioned(5).alias("value")).coalesce(1).write.text(first)
+    plain.select(versioned(5).alias("value")).write.text(first)
     higher = plain.filter("id % 3 = 0").select(F.regexp_replace(versioned(7), r'"name":"n', '"name":"new').alias("value"))
     lower = plain.filter("id % 3 = 1").select(F.regexp_replace(versioned(2), r'"name":"n', '"name":"old').alias("value"))
-    for rows in (higher, lower):
-        rows.coalesce(1).write.mode("append").text(later)
+    higher.unionByName(lower).write.text(later)
     for source, checkpoint in ((first, "a"), (later, "b"), (first, "c")):
-        records = ingest.stream_features(spark, source, A.EVENT_TAGS, max_files_per_trigger=1)
+        records = ingest.stream_features(spark, source, A.EVENT_TAGS)
         ingest.stream_versions(records, root, f"{root}-{checkpoint}", bucket_rows=1000).awaitTermination()
     store = Store(spark, root)
     return store.read("records").select(*_KEY, "name", "version", "geometry_wkt")
@@ -1203,10 +1200,26 @@ def stream_dedupe_ttl(spark, sf):
     checkpoint = scratch_path(spark, "checkpoint")
     later = plain.filter("id % 3 = 0").select(versioned(7)).unionByName(plain.filter("id % 3 = 1").select(versioned(2)))
     for rows in (plain.select(versioned(5)), later):
-        rows.coalesce(1).write.mode("append").text(source)
+        rows.write.mode("append").text(source)
         records = ingest.stream_features(spark, source, A.EVENT_TAGS)
         latest = ingest.stream_latest(records, ["category", "osm_id", "osm_type"])
         ingest.stream_to_parquet(latest, out, checkpoint).awaitTermination()
     found = spark.read.parquet(out).groupBy("category", "osm_id", "osm_type")
     version = F.max(F.when(~F.col("late"), F.col("version").cast("long")))
     return found.agg(version.alias("version"), F.sum(F.col("late").cast("long")).alias("late"))
+
+
+@query
+def plan_slices_balanced(spark, sf):
+    """Slices of skewed places, a third of them on one meridian: each row in one, none over twice the target."""
+    rows = A.events(spark, sf).select("id", F.expr("double(if(id % 3 = 0, 7, x))").alias("lon"), F.expr("y + id % 97 / 100.0D").alias("lat"))
+    planned = planning.plan_slices_balanced(rows, target_rows=60)
+    placed = planning.in_slices(rows, planned)
+    counted = placed.groupBy("slice_id").agg(F.count("*").alias("own"), F.count_distinct("id").alias("ids"))
+    both = planned.join(counted, "slice_id", "left")
+    return both.agg(
+        F.sum("own").alias("rows"),
+        F.sum((F.coalesce("own", F.lit(0)) != F.col("rows")).cast("bigint")).alias("wrong"),
+        F.sum((F.col("rows") > 120).cast("bigint")).alias("over"),
+        F.sum((F.col("own") != F.col("ids")).cast("bigint")).alias("repeated"),
+    )

@@ -6,7 +6,6 @@ Spark hands over Arrow batches; each function works on one geometry at a time.
 from __future__ import annotations
 
 import re
-import struct
 import sys
 from collections.abc import Iterator
 
@@ -15,19 +14,6 @@ import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column, functions as F, types as T
 
-# --- Fixed values -----------------------------------------------------------
-# Type codes of the binary geometry format.
-WKB_CODES = {
-    "POINT": 1,
-    "LINESTRING": 2,
-    "POLYGON": 3,
-    "MULTILINESTRING": 5,
-    "MULTIPOLYGON": 6,
-    "GEOMETRYCOLLECTION": 7,
-}
-# --- End of fixed values ----------------------------------------------------
-_WKB_NAMES = {code: name for name, code in WKB_CODES.items()}
-
 # A type name, or one list of points with the number of brackets before it.
 _TOKEN = re.compile(r"([A-Z]{2,})|(\(*)\(([^()]*)\)")
 
@@ -325,92 +311,6 @@ def geometry_issue(wkt: Column) -> Column:
     )
 
 
-def _wkb(wkt: str) -> bytes | None:
-    head = lambda name: struct.pack("<BI", 1, WKB_CODES[name])
-    count = lambda n: struct.pack("<I", n)
-    points = lambda a: count(len(a)) + a.tobytes()
-
-    def simple(kind: str, parts: list[list[np.ndarray]]) -> bytes:
-        if kind == "POINT":
-            return head(kind) + parts[0][0][0].tobytes()
-        if kind == "LINESTRING":
-            return head(kind) + points(parts[0][0])
-        if kind == "POLYGON":
-            return head(kind) + count(len(parts[0])) + b"".join(map(points, parts[0]))
-        single = kind.removeprefix("MULTI")
-        return head(kind) + count(len(parts)) + b"".join(simple(single, [p]) for p in parts)
-
-    def collection(text: str) -> bytes:
-        # members are found by bracket depth, so collections may nest
-        members, depth, start = [], 0, 0
-        for at, char in enumerate(text):
-            depth += (char == "(") - (char == ")")
-            if char == "," and depth == 0:
-                members.append(text[start:at])
-                start = at + 1
-        members.append(text[start:])
-        encoded = [encode(m.strip()) for m in members]
-        return head("GEOMETRYCOLLECTION") + count(len(encoded)) + b"".join(encoded)
-
-    def encode(text: str) -> bytes:
-        kind, _, rest = text.partition(" ")
-        if kind == "GEOMETRYCOLLECTION":
-            return collection(rest[1:-1])
-        return simple(*next(_simple_parts(text)))
-
-    try:
-        return encode(wkt)
-    except (ValueError, KeyError, IndexError, StopIteration):
-        return None
-
-
-def _wkt(wkb: bytes) -> str:
-    number = lambda v: repr(float(v)).removesuffix(".0")
-    at = 0
-
-    def take(fmt: str):
-        nonlocal at
-        value = struct.unpack_from("<" + fmt, wkb, at)
-        at += struct.calcsize("<" + fmt)
-        return value
-
-    def listed(one, n: int) -> str:
-        return "(" + ",".join(one() for _ in range(n)) + ")"
-
-    point = lambda: " ".join(map(number, take("dd")))
-    line = lambda: listed(point, take("I")[0])
-    polygon = lambda: listed(line, take("I")[0])
-
-    def body(name: str) -> str:
-        if name == "POINT":
-            return f"({point()})"
-        if name == "LINESTRING":
-            return line()
-        if name == "POLYGON":
-            return polygon()
-        if name == "GEOMETRYCOLLECTION":
-            return listed(geometry, take("I")[0])
-        return listed(lambda: body(_WKB_NAMES[take("BI")[1]]), take("I")[0])
-
-    def geometry() -> str:
-        name = _WKB_NAMES[take("BI")[1]]
-        return f"{name} {body(name)}"
-
-    return geometry()
-
-
-@F.pandas_udf(T.BinaryType())
-def to_wkb(wkt: pd.Series) -> pd.Series:
-    """Little-endian WKB of WKT; null when it cannot be read."""
-    return wkt.map(_wkb, na_action="ignore")
-
-
-@F.pandas_udf(T.StringType())
-def from_wkb(wkb: pd.Series) -> pd.Series:
-    """WKT of the WKB that :func:`to_wkb` writes."""
-    return wkb.map(_wkt, na_action="ignore")
-
-
 def _close_up(lines: list[np.ndarray]) -> list[np.ndarray] | None:
     """Join lines end to end into rings; null when one stays open."""
     rings = [a for a in lines if (a[0] == a[-1]).all()]

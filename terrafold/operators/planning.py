@@ -123,3 +123,81 @@ def plan_slices(
     width = F.lit(360.0) / slices
     low = F.col("slice_id") * width - 180.0
     return counted.select("slice_id", low.alias("min_lon"), (low + width).alias("max_lon"), "rows")
+
+
+#: Cells in a degree that slices are cut at, in both directions.
+CELLS = 64
+_SLICES = "slice_id int, min_lon double, max_lon double, min_lat double, max_lat double, rows long"
+
+
+def _cell(value: Column, low: int, high: int) -> Column:
+    """Number of the cell of an ordinate; what lies outside counts to the first or last."""
+    raw = F.floor((value - low) * CELLS)
+    return F.greatest(F.lit(0), F.least(F.lit((high - low) * CELLS - 1), raw)).cast("int")
+
+
+def _cut(counts: list[tuple[int, int]], end: int, target: int) -> list[tuple[int, int, int]]:
+    """(first cell, end cell, rows): stretches of about ``target`` rows that cover all cells to ``end``.
+
+    counts: (cell, rows) ascending. None holds more than twice the target but
+    for a cell that alone does, which has a stretch of its own. Stretches of
+    less than half the target join the one before where both fit.
+    """
+    found, start, held = [], 0, 0
+    for cell, rows in counts:
+        if held and held + rows > target and (held >= target / 2 or held + rows > 2 * target):
+            found.append((start, cell, held))
+            start, held = cell, 0
+        held += rows
+        if held >= target:
+            found.append((start, cell + 1, held))
+            start, held = cell + 1, 0
+    if found and (held == 0 or held < target / 2 and found[-1][2] + held <= 2 * target):
+        first, _, rows = found.pop()
+        start, held = first, rows + held
+    return [*found, (start, end, held)]
+
+
+def plan_slices_balanced(rows: DataFrame, target_rows: int, lon: str = "lon", lat: str = "lat") -> DataFrame:
+    """(slice_id, min_lon, max_lon, min_lat, max_lat, rows): boxes of about ``target_rows`` each.
+
+    Longitudes are cut by their counts, not by equal widths. A cell of one
+    longitude that alone holds more than twice the target is cut in latitude in
+    the same way. No box holds more than twice the target, unless one cell of
+    1/64 degree does; the boxes cover the whole map, so no row is left out, but
+    rows without a place have no box. Counts are added up in tasks; the driver
+    gets one for each cell of longitude, and of latitude within the heavy ones.
+    """
+    cells = rows.select(_cell(F.col(lon), -180, 180).alias("x"), _cell(F.col(lat), -90, 90).alias("y"))
+    cells = cells.filter(F.col("x").isNotNull() & F.col("y").isNotNull())
+    by_x = [tuple(r) for r in cells.groupBy("x").count().orderBy("x").collect()]
+    stretches = _cut(by_x, 360 * CELLS, target_rows)
+    heavy = [x for x, n in by_x if n > 2 * target_rows]
+    by_y: dict[int, list[tuple[int, int]]] = {}
+    if heavy:
+        for x, y, n in cells.filter(F.col("x").isin(heavy)).groupBy("x", "y").count().orderBy("x", "y").collect():
+            by_y.setdefault(x, []).append((y, n))
+    boxes = []
+    for low, high, n in stretches:
+        # a heavy cell stands alone but for empty ones around it
+        inner = [x for x in by_y if low <= x < high]
+        if inner:
+            boxes += [(low, high, *part) for part in _cut(by_y[inner[0]], 180 * CELLS, target_rows)]
+        else:
+            boxes.append((low, high, 0, 180 * CELLS, n))
+    table = [(i, a / CELLS - 180, b / CELLS - 180, c / CELLS - 90, d / CELLS - 90, n) for i, (a, b, c, d, n) in enumerate(boxes)]
+    return rows.sparkSession.createDataFrame(table, _SLICES)
+
+
+def in_slices(rows: DataFrame, slices: DataFrame, lon: str = "lon", lat: str = "lat") -> DataFrame:
+    """Rows with the ``slice_id`` of their box; rows without a place are left out."""
+    first, last = ((F.round((F.col(c) + 180) * CELLS)).cast("int") for c in ("min_lon", "max_lon"))
+    own = slices.select(
+        "slice_id",
+        F.explode(F.sequence(first, last - 1)).alias("_x"),
+        F.round((F.col("min_lat") + 90) * CELLS).cast("int").alias("_low"),
+        F.round((F.col("max_lat") + 90) * CELLS).cast("int").alias("_high"),
+    )
+    placed = rows.withColumn("_x", _cell(F.col(lon), -180, 180)).withColumn("_y", _cell(F.col(lat), -90, 90))
+    found = placed.join(own, "_x").filter((F.col("_y") >= F.col("_low")) & (F.col("_y") < F.col("_high")))
+    return found.drop("_x", "_y", "_low", "_high")

@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from terrafold.functions.rings import to_wkb
+from terrafold.functions.flat import to_wkb
 from terrafold.schema import FEATURE, FEATURE_COLUMNS
 
 

@@ -11,7 +11,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from terrafold.functions.geometry import wkt_to_geojson
-from terrafold.functions.rings import to_wkb
+from terrafold.functions.flat import to_wkb
 from terrafold.operators.project import short_names, with_folders
 from terrafold.schema import OUTPUT_ROWS, PART_ROWS
 from terrafold.session import scratch_path

@@ -9,7 +9,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from terrafold.functions import geometry, rings
+from terrafold.functions import flat, geometry, rings
 from terrafold.sources.lines import geometry_schema, parse_features, rejected_lines
 
 
@@ -151,13 +151,13 @@ def _same(a, b):
 
 def test_wkb_round_trip(spark):
     df = spark.createDataFrame([(w,) for w in WKTS], "w string")
-    back = df.select("w", rings.from_wkb(rings.to_wkb("w")).alias("b")).collect()
+    back = df.select("w", flat.from_wkb(flat.to_wkb("w")).alias("b")).collect()
     assert all(_same(r["w"], r["b"]) for r in back)
 
 
 def test_wkb_is_read_by_spark(spark):
     spark.conf.set("spark.sql.geospatial.enabled", "true")
-    df = spark.createDataFrame([(w,) for w in WKTS], "w string").select(rings.to_wkb("w").alias("b"))
+    df = spark.createDataFrame([(w,) for w in WKTS], "w string").select(flat.to_wkb("w").alias("b"))
     row = df.select(
         F.sum((F.expr("st_asbinary(st_geomfromwkb(b))") == F.col("b")).cast("int")).alias("n")
     ).first()
@@ -166,7 +166,7 @@ def test_wkb_is_read_by_spark(spark):
 
 def test_text_that_is_no_wkt_has_no_wkb(spark):
     df = spark.createDataFrame([("POINT (a b)",), ("HOUSE (1 2)",), (None,)], "w string")
-    assert [r[0] for r in df.select(rings.to_wkb("w")).collect()] == [None, None, None]
+    assert [r[0] for r in df.select(flat.to_wkb("w")).collect()] == [None, None, None]
 
 
 def test_coords_round_trip(spark):
@@ -324,3 +324,31 @@ def test_shells_and_holes_by_nesting():
         "((4 4,5 4,5 5,4 5,4 4)),((20 0,22 0,22 2,20 2,20 0)))"
     )
     assert math.isclose(rings.signed_area(square(0, 0, 2)), 4)
+
+
+BAD = [
+    "POINT (1)", "POINT 1 2", "POINT (1 2", "POINT (1 2))", "POINT (a b)", "LINESTRING (1 2,,3 4)", "LINESTRING ((1 2,3 4))",
+    "POLYGON (0 0,1 1)", "FOOO (1 2)", "POINT (1 2)POINT (1 2)", "POINT (1 2) x", "MULTIPOLYGON ((0 0,1 1))", "POINT EMPTY",
+    "GEOMETRYCOLLECTION ((1 2))", "(1 2)", "POINT (1 2,3 4)", "POINT (1 2 3)", "POLYGON ((0 0),1 1)", "POLYGON (POINT (1 2))",
+]
+
+
+def test_flat_form_holds_any_shape_and_leaves_bad_rows_out():
+    both = [w for pair in zip(WKTS, BAD * 9) for w in pair] + [None, ""]
+    found = [None if g is None else flat.wkt_of(g) for g in flat.parsed(both)]
+    good = [w.replace(".0 ", " ") for w in WKTS]
+    assert found[0 : 2 * len(good) : 2] == good and set(found[1 : 2 * len(good) : 2]) == {None} and found[-2:] == [None, None]
+
+
+def test_nesting_has_no_limit(spark):
+    n = 100_000
+    deep = "GEOMETRYCOLLECTION (" * n + "POINT (3 4)" + ",POINT (1 2))" * n
+    df = spark.createDataFrame([(deep,), ("POINT (1 2)",)], "w string").repartition(1)
+    back = df.select("w", flat.from_wkb(flat.to_wkb("w")).alias("b"), flat.flat_to_wkt(flat.wkt_to_flat("w")).alias("t")).collect()
+    assert all(r.w == r.b == r.t for r in back)
+
+
+def test_binary_form_of_a_batch_is_that_of_its_rows():
+    many = WKTS * 50
+    whole = flat.wkb_of(flat.parsed(many))
+    assert whole == [flat.wkb_of(flat.parsed([w]))[0] for w in WKTS] * 50

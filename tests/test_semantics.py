@@ -1,6 +1,7 @@
 """Rules of extraction and merging that are easy to get wrong, case by case."""
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -414,3 +415,25 @@ def test_listing_reads_folder_names(spark, tmp_path):
     writers.write_parquet(records, str(tmp_path / "parquet"))
     row = files.list_outputs(spark, str(tmp_path)).filter("extension = '.parquet'").first()
     assert (row["category"], row["sub_cat_dir"]) == ("power", "ä_b_c") and row["bytes"] > 1000
+
+
+def test_balanced_slices_cover_all_cells(spark):
+    rng = random.Random(1)
+    for _ in range(3000):
+        counts = [(x, rng.choice([1, 2, 5, 9, 10, 11, 19, 20, 21, 50])) for x in sorted(rng.sample(range(40), rng.randint(0, 12)))]
+        parts = planning._cut(counts, 40, 10)
+        assert parts[0][0] == 0 and parts[-1][1] == 40 and all(a[1] == b[0] for a, b in zip(parts, parts[1:]))
+        for low, high, rows in parts:
+            inside = [n for x, n in counts if low <= x < high]
+            assert sum(inside) == rows and (rows <= 20 or len(inside) == 1)
+
+
+def test_balanced_slices_with_one_heavy_place_and_none(spark):
+    rows = spark.sql("SELECT double(7) AS lon, double(id % 90) AS lat FROM range(900) UNION ALL SELECT 180D, 90D UNION ALL SELECT NULL, 1D UNION ALL SELECT double(id), 0D FROM range(20)")
+    planned = planning.plan_slices_balanced(rows, 100)
+    total, most = planned.agg(F.sum("rows"), F.max("rows")).first()
+    assert total == 921 and most <= 200
+    placed = planning.in_slices(rows, planned).groupBy("slice_id").count()
+    assert sorted(map(tuple, placed.collect())) == sorted((r.slice_id, r.rows) for r in planned.collect() if r.rows)
+    empty = planning.plan_slices_balanced(rows.limit(0), 100).collect()
+    assert [tuple(r)[1:] for r in empty] == [(-180.0, 180.0, -90.0, 90.0, 0)]
