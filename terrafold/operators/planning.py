@@ -131,9 +131,10 @@ _SLICES = "slice_id int, min_lon double, max_lon double, min_lat double, max_lat
 
 
 def _cell(value: Column, low: int, high: int) -> Column:
-    """Number of the cell of an ordinate; what lies outside counts to the first or last."""
-    raw = F.floor((value - low) * CELLS)
-    return F.greatest(F.lit(0), F.least(F.lit((high - low) * CELLS - 1), raw)).cast("int")
+    """Number of the cell of an ordinate, null without one; what lies outside counts to the first or last."""
+    inside = F.greatest(F.lit(float(low)), F.least(F.lit(float(high)), value))
+    cell = F.least(F.lit((high - low) * CELLS - 1), F.floor((inside - low) * CELLS))
+    return F.when(value.isNotNull() & ~F.isnan(value), cell.cast("int"))
 
 
 def _cut(counts: list[tuple[int, int]], end: int, target: int) -> list[tuple[int, int, int]]:
