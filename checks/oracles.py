@@ -543,6 +543,17 @@ def all_oracles() -> dict[str, str]:
             FROM (SELECT least(n - 1, floor((x + 180) / (360.0::DOUBLE / n)))::INTEGER AS slice_id,
               count(*)::BIGINT AS rows FROM ev, n GROUP BY 1) WHERE rows >= 40""",
         ),
+        "geometry_interior_split": """SELECT event_id AS id, CASE WHEN event_id % 2 = 0 THEN 'interior_split' ELSE 'ok' END AS issue
+            FROM events""",
+        "relation_faults": """
+            WITH s AS (SELECT s_suppkey AS id, s_suppkey * 10 AS b FROM supplier)
+            SELECT id, 'open_end' AS fault, b + 1 AS point, '' || b AS members FROM s WHERE id % 7 = 0
+            UNION ALL SELECT id, 'open_end', b + 2, '' || (b + 1) FROM s WHERE id % 7 = 0
+            UNION ALL SELECT id, 'open_end', b + 4, '' || (b + 2) FROM s WHERE id % 7 = 1 AND id % 3 = 0
+            UNION ALL SELECT id, 'open_end', b + 7, '' || (b + 2) FROM s WHERE id % 7 = 1 AND id % 3 = 0
+            UNION ALL SELECT id, 'missing_way', NULL, '' || (b + 1) FROM s WHERE id % 7 = 2
+            UNION ALL SELECT id, 'open_end', b, '' || b FROM s WHERE id % 7 = 2
+            UNION ALL SELECT id, 'open_end', b + 2, '' || b FROM s WHERE id % 7 = 2""",
         "plan_slices_balanced": """SELECT count(*)::BIGINT AS rows, 0::BIGINT AS wrong, 0::BIGINT AS over, 0::BIGINT AS repeated
             FROM events""",
         "output_manifest": _from(

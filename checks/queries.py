@@ -1223,3 +1223,23 @@ def plan_slices_balanced(spark, sf):
         F.sum((F.col("rows") > 120).cast("bigint")).alias("over"),
         F.sum((F.col("own") != F.col("ids")).cast("bigint")).alias("repeated"),
     )
+
+
+@query
+def geometry_interior_split(spark, sf):
+    """Three holes that touch in a circle or in a row, at the place of each event."""
+    corners = lambda *at: ",".join(f"', x + {a}, ' ', y + {b}, '" for a, b in at)
+    fixed = "),(".join(corners(*r) for r in (((0, 0), (12, 0), (12, 12), (0, 12), (0, 0)), ((2, 2), (6, 2), (4, 1), (2, 2)), ((6, 2), (4, 6), (7, 5), (6, 2))))
+    third = [corners((2, 2), (k, 6), (1, 5), (2, 2)) for k in (4, 3)]
+    wkt = "if(id % 2 = 0, concat('POLYGON ((" + fixed + "),(" + third[0] + "))'), concat('POLYGON ((" + fixed + "),(" + third[1] + "))'))"
+    rows = A.events(spark, sf).select("id", F.expr(wkt).alias("geometry_wkt"))
+    return filters.with_issue(rows).select("id", "issue")
+
+
+@query
+def relation_faults(spark, sf):
+    """Areas of which a member is cut short, left open or gone: at which nodes they stay open, and by which members."""
+    ways = A.area_ways(spark, sf).withColumn("s", F.expr("id div 10")).filter("NOT (s % 7 = 2 AND id % 10 = 1)")
+    cut = "CASE WHEN s % 7 = 0 AND id % 10 = 0 THEN slice(node_refs, 1, 2) WHEN s % 7 = 1 AND id % 10 = 2 THEN slice(node_refs, 1, 4) ELSE node_refs END"
+    found = assemble.relation_faults(A.area_relations(spark, sf), ways.withColumn("node_refs", F.expr(cut)).drop("s"))
+    return found.select("id", "fault", "point", F.array_join("members", " ").alias("members"))

@@ -8,6 +8,7 @@ from __future__ import annotations
 import re
 import sys
 from collections.abc import Iterator
+from fractions import Fraction
 
 import numpy as np
 import pandas as pd
@@ -82,8 +83,51 @@ def _meeting(a: np.ndarray, b: np.ndarray, group: np.ndarray) -> Iterator[tuple[
         step += 1
 
 
+#: Rounding of a turn's sum, as a part of its two products.
+_ROUNDING = (3 + 16 * np.finfo(float).eps) * np.finfo(float).eps
+
+
 def _side(p, q, r):
-    return np.sign((q[:, 0] - p[:, 0]) * (r[:, 1] - p[:, 1]) - (q[:, 1] - p[:, 1]) * (r[:, 0] - p[:, 0]))
+    """On which side of the line p-q the points r lie: exact, by rational numbers where rounding could decide."""
+    left, right = (q[:, 0] - p[:, 0]) * (r[:, 1] - p[:, 1]), (q[:, 1] - p[:, 1]) * (r[:, 0] - p[:, 0])
+    turn = left - right
+    side = np.sign(turn)
+    unsure = np.abs(turn) <= _ROUNDING * (np.abs(left) + np.abs(right))
+    # ends of the line, and points in line with an axis, are on it without rounding
+    unsure &= ~((r == p).all(axis=1) | (r == q).all(axis=1)) & ((left != 0) | (right != 0))
+    places = np.flatnonzero(unsure)
+    if len(places):
+        corners = np.concatenate([x[places] for x in (p, q, r)], axis=1)
+        small = (np.abs(corners) < 1 << 25).all(axis=1) & (corners == np.rint(corners)).all(axis=1)
+        side[places[~small]] = [_exact_side(*row) for row in corners[~small].tolist()]
+    return side
+
+
+def _exact_side(px, py, qx, qy, rx, ry) -> int:
+    px, py, qx, qy, rx, ry = map(Fraction, (px, py, qx, qy, rx, ry))
+    turn = (qx - px) * (ry - py) - (qy - py) * (rx - px)
+    return (turn > 0) - (turn < 0)
+
+
+def _closes_a_chain(touches: np.ndarray) -> bool:
+    """Whether rings and the points where they touch hold a circle: the inside then falls apart.
+
+    touches: (ring, ring, x, y). Rings that share one point are no circle.
+    """
+    above: dict = {}
+
+    def top(node):
+        while node in above:
+            node = above[node]
+        return node
+
+    links = {(ring, (x, y)) for a, b, x, y in touches.tolist() for ring in (a, b)}
+    for ring, point in links:
+        one, other = top(ring), top(point)
+        if one == other:
+            return True
+        above[one] = other
+    return False
 
 
 def _meetings(a, b, i, j):
@@ -104,19 +148,19 @@ def _meetings(a, b, i, j):
     return cross, flat, touch & ~cross, where
 
 
-def _ring_faults(points, ring, polygon, geometry) -> tuple[set[int], set[int], set[int]]:
-    """(rings that cross themselves, that touch themselves, geometries whose rings cross or part the inside).
+def _ring_faults(points, ring, polygon, geometry) -> tuple[set[int], set[int], set[int], set[int]]:
+    """(rings that cross themselves, that touch themselves, geometries whose rings cross or meet twice, whose inside is parted).
 
     points: corners of rings in a row; ring: the ring of each; polygon and
     geometry: by ring. Rings of a polygon may touch in one point, polygons in
     any number of points; no two rings may cross or share a stretch.
     """
-    crossed, touched, between, touches = set(), set(), set(), []
+    crossed, touched, between, split, touches = set(), set(), set(), set(), []
     if len(points) < 2:
-        return crossed, touched, between
+        return crossed, touched, between, split
     a, b, owner, place, count = _edges(points, ring)
     if not len(a):
-        return crossed, touched, between
+        return crossed, touched, between, split
     for i, j in _meeting(a, b, geometry[owner]):
         cross, flat, touch, where = _meetings(a, b, i, j)
         same = owner[i] == owner[j]
@@ -132,7 +176,12 @@ def _ring_faults(points, ring, polygon, geometry) -> tuple[set[int], set[int], s
         spots = np.unique(np.concatenate(touches), axis=0)
         pairs, times = np.unique(spots[:, :2], axis=0, return_counts=True)
         between.update(geometry[pairs[times > 1, 0].astype(int)].tolist())
-    return crossed, touched, between
+        of = polygon[spots[:, 0].astype(int)]
+        shared, times = np.unique(of, return_counts=True)
+        for shell in shared[times > 2]:  # two touches close no circle of rings that meet once
+            if _closes_a_chain(spots[of == shell]):
+                split.add(int(geometry[int(spots[of == shell][0, 0])]))
+    return crossed, touched, between, split
 
 
 def inner_point(ring: np.ndarray) -> np.ndarray:
@@ -234,7 +283,7 @@ def _issues(wkts: list[str | None]) -> list[str | None]:
     turns[:-1] = local[:-1, 0] * local[1:, 1] - local[1:, 0] * local[:-1, 1]
     turns[last] = 0
     in_ring = ring[number]
-    crossed, touched, between = _ring_faults(points[in_ring], number[in_ring], np.array(shell), np.array(owner))
+    crossed, touched, between, split = _ring_faults(points[in_ring], number[in_ring], np.array(shell), np.array(owner))
     marked = lambda rings: np.isin(np.arange(len(size)), list(rings))
     defects = {
         "nonfinite": infinite,
@@ -260,7 +309,7 @@ def _issues(wkts: list[str | None]) -> list[str | None]:
             rings_of.setdefault(owner[r], {}).setdefault(shell[r], []).append(flat[r])
     for n, polygons in rings_of.items():
         if len(polygons) > 1 or any(len(p) > 1 for p in polygons.values()):
-            found[n] = _misplaced(list(polygons.values())) or "ok"
+            found[n] = _misplaced(list(polygons.values())) or ("interior_split" if n in split else "ok")
     return found
 
 

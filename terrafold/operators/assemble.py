@@ -273,6 +273,36 @@ def relation_areas(
     )
 
 
+def relation_faults(relations: DataFrame, ways: DataFrame, unique_ids: bool = False) -> DataFrame:
+    """(id, fault, point, members): why the member ways of an area relation do not close.
+
+    ``missing_way``: a member that is not among the ways, or has fewer than two
+    references. ``open_end``: a node at which an odd number of ends of member
+    ways meet, with the members that end there; ways that end where they start
+    have no ends. A relation without way members has ``no_ways``. Relations
+    whose members all close give no row. One group is one node of one relation,
+    so members of many relations and ways of many members spread.
+    """
+    relations = area_relations(relations if unique_ids else latest(relations))
+    listed = relations.select("id", F.filter("members", lambda m: m["type"].isin("way", "w")).alias("_ways"))
+    none = listed.filter(F.coalesce(F.size("_ways"), F.lit(0)) <= 0).select("id", F.lit("no_ways").alias("fault"))
+    members = listed.select("id", F.posexplode("_ways").alias("pos", "m")).select("id", "pos", F.col("m.ref").alias("ref"))
+    narrow = ways.select("id", "node_refs", *[c for c in _EDIT if c in ways.columns])
+    known = min_vertices(narrow if unique_ids else latest(narrow)).select(
+        F.col("id").alias("ref"), F.get("node_refs", F.lit(0)).alias("first"), F.element_at("node_refs", -1).alias("last")
+    )
+    found = members.join(known, "ref", "left")
+    lacking = found.filter(F.col("first").isNull()).groupBy("id").agg(F.sort_array(F.collect_set("ref")).alias("members"))
+    ends = found.filter(F.col("first") != F.col("last")).select("id", "ref", F.explode(F.array("first", "last")).alias("point"))
+    odd = ends.groupBy("id", "point").agg(F.count("*").alias("n"), F.sort_array(F.collect_set("ref")).alias("members"))
+    rows = [
+        none.select("id", "fault", F.lit(None).cast("bigint").alias("point"), F.array().cast("array<bigint>").alias("members")),
+        lacking.select("id", F.lit("missing_way").alias("fault"), F.lit(None).cast("bigint").alias("point"), "members"),
+        odd.filter(F.col("n") % 2 == 1).select("id", F.lit("open_end").alias("fault"), "point", "members"),
+    ]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])
+
+
 def line_and_area_features(
     tagged_ways: DataFrame,
     tagged_relations: DataFrame,

@@ -259,7 +259,7 @@ def test_crossings_equal_all_pairs(shapes):
         if any(_proper(*e, *f) for i, e in enumerate(edges) for f in edges[i + 1 :]):
             expected.append(n)
     each = np.arange(len(loops))
-    crossed, _, _ = rings._ring_faults(np.concatenate(loops), number, each, each)
+    crossed, *_ = rings._ring_faults(np.concatenate(loops), number, each, each)
     assert sorted(crossed) == expected
 
 
@@ -352,3 +352,33 @@ def test_binary_form_of_a_batch_is_that_of_its_rows():
     many = WKTS * 50
     whole = flat.wkb_of(flat.parsed(many))
     assert whole == [flat.wkb_of(flat.parsed([w]))[0] for w in WKTS] * 50
+
+
+_CHAIN = "POLYGON ((0 0,12 0,12 12,0 12,0 0),(2 2,6 2,4 1,2 2),(6 2,4 6,7 5,6 2),{})"
+_APART = {
+    # three holes that touch in a circle, and in a row
+    _CHAIN.format("(2 2,4 6,1 5,2 2)"): "interior_split",
+    _CHAIN.format("(2 2,3 6,1 5,2 2)"): "ok",
+    # three holes in one point
+    "POLYGON ((0 0,9 0,9 9,0 9,0 0),(4 4,5 5,5 4,4 4),(4 4,4 5,3 5,4 4),(4 4,3 3,4 3,4 4))": "ok",
+    # two holes that close a circle with the shell
+    "POLYGON ((0 0,9 0,9 9,0 9,0 0),(0 4,3 5,4 4,0 4),(4 4,6 5,9 4,4 4))": "interior_split",
+    "POLYGON ((0 0,9 0,9 9,0 9,0 0),(0 4,3 5,4 4,0 4),(4 4,6 5,8 4,4 4))": "ok",
+}
+
+
+def test_an_inside_that_holes_part():
+    assert rings._issues(list(_APART)) == list(_APART.values())
+    both = "MULTIPOLYGON (" + ",".join(w.removeprefix("POLYGON ") for w in (list(_APART)[1], "POLYGON ((20 0,29 0,29 9,20 9,20 0),(20 4,23 5,24 4,20 4),(24 4,26 5,29 4,24 4))")) + ")"
+    assert rings._issues([both]) == ["interior_split"]
+
+
+def test_sides_agree_with_rational_numbers():
+    rng = np.random.default_rng(3)
+    p, q = rng.uniform(-180, 180, (2, 4000, 2))
+    t = rng.uniform(-1, 2, (4000, 1))
+    r = p + t * (q - p) + rng.choice([0, 1e-12, -1e-12, 1e-16, 1e-9], (4000, 2))
+    whole = rng.integers(-9, 9, (3, 4000, 2)).astype(float)
+    for a, b, c in ((p, q, r), tuple(whole), (p, q, q), (p * 1e7, q * 1e7, r * 1e7)):
+        exact = [rings._exact_side(*x) for x in np.concatenate([a, b, c], axis=1).tolist()]
+        assert rings._side(a, b, c).tolist() == exact

@@ -437,3 +437,19 @@ def test_balanced_slices_with_one_heavy_place_and_none(spark):
     assert sorted(map(tuple, placed.collect())) == sorted((r.slice_id, r.rows) for r in planned.collect() if r.rows)
     empty = planning.plan_slices_balanced(rows.limit(0), 100).collect()
     assert [tuple(r)[1:] for r in empty] == [(-180.0, 180.0, -90.0, 90.0, 0)]
+
+
+def test_faults_of_relations(spark):
+    ways = spark.createDataFrame([(1, [1, 2, 3]), (2, [3, 4, 1]), (3, [5, 6, 7, 5]), (4, [1, 9]), (5, [8])], "id long, node_refs array<long>")
+    member = lambda *refs: [("way", r, "") for r in refs]
+    relations = [(1, member(1, 2, 3)), (2, member(1, 2, 4)), (3, member(1, 77, 5)), (4, []), (5, None), (6, [("node", 1, "")]), (7, member(1, 1))]
+    rows = spark.createDataFrame(
+        [(i, m, {"type": "boundary"}) for i, m in relations] + [(8, member(4), {"type": "route"})],
+        "id long, members array<struct<type:string,ref:long,role:string>>, tags map<string,string>",
+    )
+    found = sorted((r.id, r.fault, r.point or 0, list(r.members)) for r in assemble.relation_faults(rows, ways, True).collect())
+    assert found == [
+        (2, "open_end", 1, [1, 2, 4]), (2, "open_end", 9, [4]),
+        (3, "missing_way", 0, [5, 77]), (3, "open_end", 1, [1]), (3, "open_end", 3, [1]),
+        (4, "no_ways", 0, []), (5, "no_ways", 0, []), (6, "no_ways", 0, []),
+    ]
