@@ -9,17 +9,17 @@ def all_oracles() -> dict[str, str]:
     return dict(_ORACLES)
 
 _ORACLES["op5_topk"] = """
-WITH vectors AS (
-  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 64) AS BIGINT)) AS e
+WITH vectors AS MATERIALIZED (
+  SELECT row_number() OVER () AS place, vec_id, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 64) AS BIGINT)) AS e
   FROM embeddings
   WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), scores AS (
-  SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+  SELECT q.place, q.vec_id AS query_id, c.vec_id AS vec_id,
     CAST(list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2])) AS BIGINT) AS score
-  FROM vectors q JOIN vectors c ON q.vec_id <> c.vec_id
+  FROM vectors q JOIN vectors c ON q.place <> c.place
   WHERE q.vec_id % 20 = 0
 ), ranked AS (
-  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS "rank"
+  SELECT *, CAST(row_number() OVER (PARTITION BY place ORDER BY score DESC, vec_id) AS INTEGER) AS "rank"
   FROM scores
 )
 SELECT query_id, vec_id, score, "rank" FROM ranked WHERE "rank" <= 20

@@ -10,16 +10,16 @@ from terrafold.llm import queries, topk, warc
 def brute_top(rows, is_query, k=20, scale=64):
     import math
 
-    usable = {}
+    usable = []
     for i, x in rows:
         if i is None or x is None or any(c is None or not math.isfinite(c) for c in x):
             continue
-        whole = [max(-topk.LARGEST, min(topk.LARGEST, math.floor(c * scale))) for c in x]
-        usable[i] = min(usable.get(i, whole), whole)
+        usable.append((i, [math.floor(c * scale) for c in x]))
     out = []
-    for q, v in usable.items():
+    for at, (q, v) in enumerate(usable):
         if is_query(q):
-            scores = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w in usable.items() if i != q)
+            product = lambda w: max(-(2**63), min(2**63 - 1, sum(a * b for a, b in zip(v, w))))
+            scores = sorted((-product(w), i) for other, (i, w) in enumerate(usable) if other != at)
             out += [(q, rank, i, -s) for rank, (s, i) in enumerate(scores[:k], 1)]
     return sorted(out)
 
@@ -45,6 +45,42 @@ def test_edge_rows(spark):
     assert topk.top_k(vectors(spark, []), F.col("id") % 20 == 0).count() == 0
 
 
+def test_rows_that_repeat_an_id(spark):
+    rows = [(0, [1.0, 0.0]), (1, [2.0, 0.0]), (1, [3.0, 0.0]), (2, [9.0, 1.0])]
+    found = topk.top_k(vectors(spark, rows), F.col("id") == 0, k=20)
+    assert read(found) == [(0, 1, 2, 9 * 64**2), (0, 2, 1, 3 * 64**2), (0, 3, 1, 2 * 64**2)]
+    # two queries of one id, equal and unequal, meet each other
+    rows += [(20, [1.0, 1.0])] * 3 + [(20, [1.0]), (20, [1.0, 0.0])] + [(7, [0.5, 0.5])] * 9
+    for k in (2, 6, 30):
+        assert read(topk.top_k(vectors(spark, rows), F.col("id") % 20 == 0, k=k)) == brute_top(rows, lambda i: i % 20 == 0, k=k)
+
+
+def test_copies_are_made_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(topk, "COPIES", 4)
+    rows = [(20, [1.0, 2.0])] * 9 + [(3, [1.0, 1.0]), (4, [-1.0, 1.0])]
+    assert read(topk.top_k(vectors(spark, rows), F.col("id") == 20, k=9)) == brute_top(rows, lambda i: i == 20, k=9)
+
+
+def test_large_components_are_exact(spark, monkeypatch):
+    monkeypatch.setattr(topk, "CANDIDATES", 30)
+    rows = [(0, [1.0, 0.0]), (1, [1e12, 1.0]), (2, [1e11, 1.0]), (3, [float(2**54), 1.0]), (20, [1e30, -1e30]), (21, [1e30, 1e30])]
+    rows += [(22, [float(2**40), 3.0]), (23, [float(2**40), 2.0]), (40, [float(2**-6), 1.0]), (60, [-1.0, float(2**41)]), (61, [3e38, 3e38])]
+    found = read(topk.top_k(vectors(spark, rows), F.col("id") % 20 == 0, k=6))
+    # as floats, since that is what the table holds
+    import numpy as np
+
+    rows = [(i, np.array(x, np.float32).astype(float).tolist()) for i, x in rows]
+    assert found == brute_top(rows, lambda i: i % 20 == 0, k=6)
+    # doubles whose masses overflow, small rests behind large components
+    import random
+
+    rng = random.Random(3)
+    rows = [(i, [rng.choice([1e12, -1e12, 1e15, 1.0]), rng.choice([1e160, 0.0, 0.0, 0.0]), rng.uniform(-2, 2), rng.uniform(-2, 2), 0.0, *[rng.uniform(-1, 1) for _ in range(15)]]) for i in range(120)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert read(topk.top_k(frame, F.col("id") % 20 == 0, k=7)) == brute_top(rows, lambda i: i % 20 == 0, k=7)
+    assert topk.top_k(spark.createDataFrame([(0, [1e307]), (20, [1.0])], frame.schema), F.col("id") % 20 == 0).count() == 0
+
+
 def test_many_blocks_and_ties(spark, monkeypatch):
     import random
 
