@@ -7,7 +7,13 @@ another document has too. Only windows of such keys go on, as segments (runs of
 neighbouring windows of one key), each distinct one once a chunk. Segments of
 one key meet in a shard; the shard's suffix array and permuted common prefixes
 group its equal windows, and each group's least document goes back to the
-chunks, which then remove what an earlier document has.
+chunks, which then remove what an earlier document has. Only a key of several
+distinct segments needs sorting: where all segments of a key are one string,
+its windows are known to be equal.
+
+A key of many segments, such as that of a signature line in documents that
+differ around it, is split: its windows go on one by one, each by the hash of
+all its bytes, to shards of their own.
 
 Chunks number about the square root of the bytes, so that a key that every
 document holds comes once from each chunk; shards of segments grow with the
@@ -30,6 +36,9 @@ from terrafold.llm.suffix import permuted_common_prefixes, suffix_array
 #: bytes that are hashed at a time; the number of chunks for a root of bytes;
 #: chunks for one shard of segments, and the most bytes of documents for one.
 PART, RUN, STRIP, CHUNKS_PER_ROOT, CHUNKS_PER_SHARD, SHARD_BYTES = 24, 256, 1 << 17, 1 / 32, 4, 1 << 23
+#: Distinct segments, summed over chunks, beyond which a key is split by windows;
+#: windows that are hashed at a time.
+SPLIT, WINDOWS = 4096, 1 << 15
 
 _STEP = 0x9E3779B97F4A7C15
 _NO_DOC = np.iinfo(np.int64).max
@@ -54,8 +63,12 @@ def _hashes(data, values, powers, inverse):
     n = len(data)
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum(values[data] * powers[:n], out=sums[1:])
-    found = (sums[PART:] - sums[:-PART]) * inverse[: n - PART + 1]
-    found ^= found >> np.uint64(31)
+    return _mixed((sums[PART:] - sums[:-PART]) * inverse[: n - PART + 1])
+
+
+def _mixed(found):
+    """Hashes whose bits depend on all bits."""
+    found = found ^ (found >> np.uint64(31))
     found *= np.uint64(0xBF58476D1CE4E5B9)
     found ^= found >> np.uint64(29)
     return found
@@ -117,6 +130,16 @@ def _strip_windows(texts: list[bytes], length: int):
     return keys[heads], heads, run + length - 1, number[heads]
 
 
+def _hashes_at(data: bytes, starts, length: int):
+    """A hash of the ``length`` bytes from each start."""
+    values, powers, _ = _tables(length)
+    data, found = np.frombuffer(data, np.uint8), np.zeros(len(starts), np.uint64)
+    for at in range(0, len(starts), WINDOWS):
+        part = starts[at : at + WINDOWS, None] + np.arange(length)
+        found[at : at + WINDOWS] = (values[data[part]] * powers[:length]).sum(axis=1, dtype=np.uint64)
+    return _mixed(found)
+
+
 class _Chunk:
     """A chunk's documents in a fixed order, and their segments by shard."""
 
@@ -134,7 +157,8 @@ class _Chunk:
         shard = ((key >> np.uint64(40)) % np.uint64(shards)).astype(np.int64)
         rest = key & np.uint64((1 << 40) - 1)
         by = np.lexsort((rest, shard))
-        self.shard, self.rest, self.start, self.wide = shard[by], rest[by], start[by], wide[by]
+        self.length, self.many_slots = length, slots
+        self.shard, self.rest, self.start, self.wide, self.key = shard[by], rest[by], start[by], wide[by], key[by]
         self.slot = ((key[by] >> np.uint64(17)) % np.uint64(slots)).astype(np.int64)
         doc = np.array([d if d is not None else _NO_DOC for d in self.ids], np.int64)
         self.doc = doc[number[by]]
@@ -150,13 +174,42 @@ class _Chunk:
         for a, b in zip(cuts, np.append(cuts[1:], len(held))):
             yield int(held[a]), int(a), int(b)
 
-    def shared(self, replies: dict[int, bytes]):
-        """Whether another document has the key of each segment, too."""
+    def flags(self, replies: dict[int, bytes]):
+        """A bit for each distinct key, from the bits of each shard."""
         found = np.zeros(len(self.head), bool)
         for shard, a, b in self.shards():
-            if shard in replies:
+            if replies.get(shard):
                 found[a:b] = np.unpackbits(np.frombuffer(replies[shard], np.uint8))[: b - a]
-        return found[self.group]
+        return found
+
+    def counts(self):
+        """Distinct segments of each distinct key; those that agree in both ends and width count as one."""
+        ends = self.start + self.wide - PART
+        content = _hashes_at(self.data, np.concatenate([self.start, ends]), PART)
+        n = len(self.start)
+        content = _mixed(content[:n] * np.uint64(_STEP) + content[n:] + self.wide.astype(np.uint64))
+        by = np.lexsort((content, self.group))
+        group, content = self.group[by], content[by]
+        fresh = np.ones(n, bool)
+        fresh[1:] = (group[1:] != group[:-1]) | (content[1:] != content[:-1])
+        return np.bincount(group[fresh], minlength=len(self.head))
+
+    def split(self, numbers):
+        """Replace the segments of these distinct keys by their windows, whose key is the hash of their bytes."""
+        if not len(numbers):
+            return
+        hot = np.zeros(len(self.head), bool)
+        hot[numbers] = True
+        hot = hot[self.group]
+        times = self.wide[hot] - self.length + 1
+        turn = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+        start = np.repeat(self.start[hot], times) + turn
+        key = _hashes_at(self.data, start, self.length)
+        slot = ((key >> np.uint64(17)) % np.uint64(self.many_slots)).astype(np.int64)
+        both = lambda old, new: np.concatenate([old[~hot], new])
+        self.doc, self.group = both(self.doc, np.repeat(self.doc[hot], times)), both(self.group, np.repeat(self.group[hot], times))
+        self.start, self.wide = both(self.start, start), both(self.wide, np.full(len(start), self.length))
+        self.key, self.slot = both(self.key, key), both(self.slot, slot)
 
     def slots(self):
         """(slot, numbers of its segments): where segments meet those of other chunks."""
@@ -186,8 +239,8 @@ def _unpacked_40(data: bytes):
     return wide.reshape(-1).view("<u8")
 
 
-KEYS = "shard long, chunk long, keys binary, twice binary"
-SHARED = "chunk long, shard long, shared binary"
+KEYS = "shard long, chunk long, keys binary, twice binary, counts binary"
+SHARED = "chunk long, shard long, shared binary, split binary"
 SEGMENTS = "slot long, chunk long, used binary, n long, packed binary"
 VERDICTS = "chunk long, slot long, used binary, runs binary"
 _RUN = np.dtype([("text", "<i4"), ("start", "<i4"), ("end", "<i4"), ("doc", "<i8")])
@@ -210,9 +263,12 @@ def _report_keys(length: int, shards: int):
         if len(chunk.head):
             least = np.minimum.reduceat(chunk.doc, chunk.head)
             most = np.maximum.reduceat(chunk.doc, chunk.head)
-        twice = least != most
-        rest = chunk.rest[chunk.head] if len(chunk.head) else chunk.rest
-        return _table(KEYS, [(s, number, _packed_40(rest[a:b]), np.packbits(twice[a:b]).tobytes()) for s, a, b in chunk.shards()])
+        several, rest = least != most, chunk.rest[chunk.head] if len(chunk.head) else chunk.rest
+        counts = np.minimum(chunk.counts(), 65535).astype("<u2")
+        return _table(
+            KEYS,
+            [(s, number, _packed_40(rest[a:b]), np.packbits(several[a:b]).tobytes(), counts[a:b].tobytes()) for s, a, b in chunk.shards()],
+        )
 
     return run
 
@@ -224,12 +280,14 @@ def _find_shared(table):
     shared = times > 1
     twice = np.concatenate([np.unpackbits(np.frombuffer(r["twice"], np.uint8))[: len(k)] for r, k in zip(rows, keys)])
     np.logical_or.at(shared, back, twice.astype(bool))
-    flags, at, out = shared[back], 0, []
+    counts = np.concatenate([np.frombuffer(r["counts"], "<u2") for r in rows])
+    split = np.bincount(back, counts) > SPLIT
+    flags, splits, at, out = shared[back], (shared & split)[back], 0, []
     for r, k in zip(rows, keys):
-        own = flags[at : at + len(k)]
+        own, hot = flags[at : at + len(k)], splits[at : at + len(k)]
         at += len(k)
         if own.any():
-            out.append((r["chunk"], r["shard"], np.packbits(own).tobytes()))
+            out.append((r["chunk"], r["shard"], np.packbits(own).tobytes(), np.packbits(hot).tobytes() if hot.any() else b""))
     return _table(SHARED, out)
 
 
@@ -239,8 +297,12 @@ def _send_segments(length: int, shards: int, slots: int):
             return _table(SEGMENTS, [])
         chunk = _Chunk(left, length, shards, slots)
         number = left.column("chunk")[0].as_py()
-        shared = chunk.shared(dict(zip(right.column("shard").to_pylist(), right.column("shared").to_pylist())))
-        out = []
+        reply = lambda name: chunk.flags(dict(zip(right.column("shard").to_pylist(), right.column(name).to_pylist())))
+        shared, hot = reply("shared"), np.flatnonzero(reply("split"))
+        chunk.split(hot)
+        shared = shared[chunk.group]
+        # what was split comes back to the chunk as it is
+        out = [(-1 - number, number, b"", 0, zlib.compress(hot.tobytes(), 1))] if len(hot) else []
         for slot, numbers in chunk.slots():
             used = shared[numbers]
             if not used.any():
@@ -251,7 +313,9 @@ def _send_segments(length: int, shards: int, slots: int):
             np.minimum.at(least, which, chunk.doc[own])
             np.maximum.at(most, which, chunk.doc[own])
             widths = np.fromiter(map(len, texts), "<i4", len(texts))
-            packed = zlib.compress(b"".join([least.tobytes(), most.tobytes(), widths.tobytes(), *texts]), 1)
+            key = np.zeros(len(texts), np.uint64)
+            key[which] = chunk.key[own]
+            packed = zlib.compress(b"".join([least.tobytes(), most.tobytes(), key.tobytes(), widths.tobytes(), *texts]), 1)
             out.append((slot, number, np.packbits(used).tobytes(), len(texts), packed))
         return _table(SEGMENTS, out)
 
@@ -259,11 +323,11 @@ def _send_segments(length: int, shards: int, slots: int):
 
 
 def _unpacked(n: int, packed: bytes):
-    """(least documents, highest documents, texts) of one chunk's segments."""
+    """(least documents, highest documents, keys, texts) of one chunk's segments."""
     data = zlib.decompress(packed)
     least, most = np.frombuffer(data, np.int64, n), np.frombuffer(data, np.int64, n, 8 * n)
-    ends = (np.cumsum(np.frombuffer(data, "<i4", n, 16 * n)) + 20 * n).tolist()
-    return least, most, [data[s:e] for s, e in zip([20 * n, *ends[:-1]], ends)]
+    ends = (np.cumsum(np.frombuffer(data, "<i4", n, 24 * n)) + 28 * n).tolist()
+    return least, most, np.frombuffer(data, np.uint64, n, 16 * n), [data[s:e] for s, e in zip([28 * n, *ends[:-1]], ends)]
 
 
 def least_documents(texts: list[bytes], docs, length: int):
@@ -272,6 +336,8 @@ def least_documents(texts: list[bytes], docs, length: int):
     docs: the least document of each text. Returns (documents, first window of
     each text and the end).
     """
+    if not texts:
+        return docs[:0], np.zeros(1, np.int64)
     data = np.frombuffer(b"\0".join(texts) + b"\0", np.uint8).astype(np.uint16) + 2
     ends = np.cumsum(np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts))) - 1
     data[ends] = 1
@@ -291,30 +357,49 @@ def least_documents(texts: list[bytes], docs, length: int):
     return found[window], np.append(0, np.cumsum(counts))
 
 
+def runs_of_least(texts: list[bytes], keys, docs, length: int):
+    """(text, first window, window after the last, least document) of runs of windows, by text.
+
+    Distinct texts of one key each; a key's only text has its own least document.
+    """
+    _, back, times = np.unique(keys, return_inverse=True, return_counts=True)
+    windows_of = np.fromiter((len(t) - length + 1 for t in texts), np.int64, len(texts))
+    several = np.flatnonzero(times[back] > 1)
+    alone = np.flatnonzero(times[back] == 1)
+    least, first = least_documents([texts[i] for i in several], docs[several], length)
+    head = np.ones(len(least), bool)
+    head[1:] = least[1:] != least[:-1]
+    head[first[:-1]] = True
+    at = np.flatnonzero(head)
+    owner = np.searchsorted(first, at, side="right") - 1
+    begin, stop = at - first[owner], np.append(at[1:], len(least))[: len(at)] - first[owner]
+    text = np.concatenate([several[owner], alone])
+    begin = np.concatenate([begin, np.zeros(len(alone), np.int64)])
+    stop = np.concatenate([stop, windows_of[alone]])
+    doc = np.concatenate([least[at], docs[alone]])
+    by = np.argsort(text, kind="stable")
+    return text[by], begin[by], stop[by], doc[by]
+
+
 def _judge(length: int):
     def run(table):
         rows = table.to_pylist()
+        if rows[0]["slot"] < 0:
+            return _table(VERDICTS, [(r["chunk"], r["slot"], b"", r["packed"]) for r in rows])
         known: dict[bytes, int] = {}
         places = []
         for r in rows:
-            own_least, own_most, texts = _unpacked(r["n"], r.pop("packed"))
+            own_least, own_most, key, texts = _unpacked(r["n"], r.pop("packed"))
             which = np.fromiter((known.setdefault(t, len(known)) for t in texts), np.int64, len(texts))
-            places.append((which, own_least, own_most))
-        docs = np.full(len(known), _NO_DOC)
-        for which, own_least, _ in places:
+            places.append((which, own_least, own_most, key))
+        docs, keys = np.full(len(known), _NO_DOC), np.zeros(len(known), np.uint64)
+        for which, own_least, _, key in places:
             np.minimum.at(docs, which, own_least)
-        least, first = least_documents(list(known), docs, length)
-        # runs of neighbouring windows with one least document, per distinct text
-        head = np.ones(len(least), bool)
-        head[1:] = least[1:] != least[:-1]
-        head[first[:-1]] = True
-        at = np.flatnonzero(head)
-        owner = np.searchsorted(first, at, side="right") - 1
-        begin, stop = at - first[owner], np.append(at[1:], len(least)) - first[owner]
-        doc = least[at]
+            keys[which] = key
+        owner, begin, stop, doc = runs_of_least(list(known), keys, docs, length)
         run_first = np.searchsorted(owner, np.arange(len(known) + 1))
         out = []
-        for r, (which, _, most) in zip(rows, places):
+        for r, (which, _, most, _) in zip(rows, places):
             times = run_first[which + 1] - run_first[which]
             text = np.repeat(np.arange(len(which)), times)
             index = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times) + np.repeat(run_first[which], times)
@@ -336,6 +421,8 @@ def _remove(length: int, shards: int, slots: int):
         chunk = _Chunk(left, length, shards, slots)
         cover = np.zeros(len(chunk.data) + 1, np.int32)
         verdicts = {r["slot"]: r for r in right.to_pylist()}
+        for slot in [x for x in verdicts if x < 0]:
+            chunk.split(np.frombuffer(zlib.decompress(verdicts.pop(slot)["runs"]), np.int64))
         for slot, numbers in chunk.slots() if verdicts else ():
             if slot not in verdicts:
                 continue
@@ -388,12 +475,16 @@ def remove_repeats(docs: DataFrame, length: int = 50) -> DataFrame:
     chunks = max(1, math.ceil(math.sqrt(size) * CHUNKS_PER_ROOT))
     others = [n for n in rest.columns if n not in ("doc_id", "text")]
     rows = rest.select(
-        F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(chunks)).alias("chunk"),
+        F.pmod(F.xxhash64(F.col("doc_id").cast("long"), "text"), F.lit(chunks)).alias("chunk"),
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("text").cast("binary").alias("bytes"),
         F.struct(F.lit(None).cast("int").alias("none"), *(F.col(f"`{n}`") for n in others)).alias("rest"),
     )
-    by_chunk = rows.groupBy("chunk")
+    # rows without id lose nothing and stay where they are
+    apart = rows.where(F.col("doc_id").isNull())
+    apart = apart.select("rest", "doc_id", F.coalesce("bytes", F.lit(b"")).alias("bytes"))
+    apart = apart.withColumns({"removed": F.array().cast("array<long>"), "kept": F.col("bytes")})
+    by_chunk = rows.where(F.col("doc_id").isNotNull()).groupBy("chunk")
     slots = max(1, chunks // CHUNKS_PER_SHARD, size // SHARD_BYTES)
     keys = by_chunk.applyInArrow(_report_keys(length, chunks), KEYS)
     shared = keys.groupBy("shard").applyInArrow(_find_shared, SHARED)
@@ -403,6 +494,7 @@ def remove_repeats(docs: DataFrame, length: int = 50) -> DataFrame:
     fields += [StructField("removed", ArrayType(LongType())), StructField("kept", BinaryType())]
     remove = _remove(length, chunks, slots)
     found = by_chunk.cogroup(verdicts.groupBy("chunk")).applyInArrow(remove, StructType(fields))
+    found = found.unionByName(apart)
     own = {"doc_id": F.col("doc_id"), "text": F.col("bytes").cast("string").alias("text")}
     return found.select(*(own[n] if n in own else F.col(f"rest.`{n}`") for n in rest.columns), "removed", "kept")
 

@@ -9,9 +9,10 @@ import pytest
 from terrafold.llm import queries, repeats, suffix
 
 
-@pytest.mark.parametrize("few", [2, 512])
-def test_suffix_array_and_prefixes(monkeypatch, few):
-    monkeypatch.setattr(suffix, "FEW_NAMES", few)
+@pytest.mark.parametrize("few, held", [(2, 4), (2, 30), (2, 4096), (512, 4096)])
+def test_suffix_array_and_prefixes(monkeypatch, few, held):
+    monkeypatch.setattr(suffix, "FEW_SIGNS", few)
+    monkeypatch.setattr(suffix, "RANGE", held)
     rng = random.Random(few)
     for turn in range(300):
         size, top = rng.choice([0, 1, 2, 5, 20, 150]), rng.choice([2, 3, 6, 60])
@@ -78,6 +79,37 @@ def test_random_repeats(make_docs, monkeypatch, length):
     assert read(repeats.remove_repeats(make_docs(docs), length)) == brute(docs, length)
 
 
+@pytest.mark.parametrize("split", [0, 3])
+def test_split_keys(make_docs, monkeypatch, split):
+    monkeypatch.setattr(repeats, "CHUNKS_PER_ROOT", 1 / 8)
+    monkeypatch.setattr(repeats, "SPLIT", split)
+    rng = random.Random(split)
+    other = lambda n: "".join(rng.choice("abcdefghijklmnop ") for _ in range(n))
+    line = "a line that stands in all documents here, "
+    docs = [(d, other(rng.randint(0, 60)) + line + other(rng.choice([3, 60]))) for d in rng.sample(range(999), 80)]
+    docs += [(2000 + d, other(20) + rng.choice(docs)[1][5:] + "x" * rng.choice([0, 90])) for d in range(20)]
+    assert read(repeats.remove_repeats(make_docs(docs))) == brute(docs, 50)
+
+
+def test_one_line_in_all_documents_is_dealt_to_all_shards():
+    import pyarrow as pa
+
+    rng = random.Random(5)
+    other = lambda n: bytes(rng.randrange(97, 123) for _ in range(n))
+    texts = [other(60) + b"a line that stands in all documents here, " + other(60) for _ in range(400)]
+    table = pa.table({"doc_id": list(range(400)), "bytes": texts})
+    slots = lambda c: [len(c.distinct(n)[0]) for _, n in c.slots()]
+    chunk = repeats._Chunk(table, 50, 1, 16)
+    counts = chunk.counts()
+    # windows around the line whose least part lies in the line
+    assert counts.max() > 200 and max(slots(chunk)) > 1.7 * sum(slots(chunk)) / 16
+    chunk.split(np.flatnonzero(counts > 100))
+    dealt = slots(chunk)
+    assert len(dealt) == 16 and max(dealt) < 1.25 * sum(dealt) / 16
+    same = np.unique(chunk.start)
+    assert len(same) == len(chunk.start)
+
+
 def test_query_on_documents(spark, sf, shared_texts):
     found = sorted((str(r.doc_id), r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in queries.op4_repeats(spark, sf).collect())
     assert found == [(*r[:4], hashlib.sha256(r[4]).hexdigest()) for r in brute(shared_texts, 50)]
