@@ -6,7 +6,8 @@ step a candidate's product so far, plus the product of what remains of both
 masses, bounds its score; candidates whose bound is below the k-th best lower
 bound are compacted away. A block of queries first meets one block of
 candidates; the k-th best score of this meeting is the floor that candidates of
-all other blocks have to reach, so the other meetings return few rows. Vectors
+all other blocks have to reach, from their first step on. Blocks of like vectors
+still return about k rows a query each. Vectors
 with large components lie in blocks of their own, whose products are counted in
 Python integers where 64 bits do not hold them.
 """
