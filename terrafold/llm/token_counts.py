@@ -44,7 +44,7 @@ def whole_tokens(tokenizer) -> dict[bytes, str]:
     only if each step of the tokenizer is seen to leave it whole.
     """
     normal, cut, model = tokenizer.normalizer, tokenizer.pre_tokenizer, tokenizer.model
-    signs = {piece: byte for byte, piece in _signs(tokenizer).items()}
+    signs = {piece: byte for byte, piece in byte_signs(tokenizer).items()}
     proven = {}
     for name, number in tokenizer.get_vocab(with_added_tokens=False).items():
         piece = name.removesuffix(END)
@@ -61,7 +61,7 @@ def whole_tokens(tokenizer) -> dict[bytes, str]:
     return proven
 
 
-def _signs(tokenizer) -> dict[int, str]:
+def byte_signs(tokenizer) -> dict[int, str]:
     """The sign that stands for each byte in the vocabulary's names."""
     from tokenizers.pre_tokenizers import ByteLevel
 
@@ -87,7 +87,7 @@ class Counter:
         # proven strings count one without a merge
         self.pieces.update(dict.fromkeys(self.proven, 1))
         self.pieces.limit += len(self.proven)
-        signs = _signs(self.tokenizer)
+        signs = byte_signs(self.tokenizer)
         self.signs = [signs.get(b) for b in range(256)]
 
     def _merged(self, piece: bytes) -> int:

@@ -2,8 +2,10 @@
 
 The tokenizer drops white space between words and merges within a word only,
 so ids of a text are the ids of its words in turn. Words that a worker has met
-are looked up; the tokenizers library encodes the others. The table of words
-is bounded; beyond its bound words are encoded each time they come.
+are looked up. Others are cut as the tokenizer cuts them, if they are ASCII or
+Latin-1, and their pieces looked up or merged by the library's model; the rest
+goes through the whole library. The table of words is bounded; beyond its bound
+words are encoded each time they come.
 """
 
 from __future__ import annotations
@@ -13,13 +15,19 @@ import re
 import unicodedata
 
 from terrafold.llm.common import worker_store
+from terrafold.llm.token_counts import byte_signs
 
-#: Words kept by a worker, and the longest that is kept (bytes).
-WORDS, WORD_BYTES = 250_000, 48
+#: Words kept by a worker, the longest that is kept, and the longest that is cut here (bytes).
+WORDS, WORD_BYTES, CUT_BYTES = 250_000, 48, 1000
 
 _STOP_AFTER_SYMBOL = re.compile(rb"[^a-z0-9 \n][.,][ \n]")
 _STOP = re.compile(rb"(?<=[a-z0-9])([.,])(?=[ \n])")
 
+#: Words whose composed and small forms need no tables beyond
+#: Latin-1, and how the tokenizer cuts them once they are small.
+_LATIN = re.compile("[\x00-\x7fÀ-ÖØ-öø-ÿ]*+")
+_PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\x09-\x0D\x20a-z0-9ß-öø-ÿ]+")
+
 
 def default_path() -> str:
     """The vocabulary the queries use, where the box keeps it."""
@@ -40,18 +48,28 @@ class _Words(dict):
 
     def __init__(self, tokenizer):
         super().__init__({b"": b""})
-        self.tokenizer, self.model = tokenizer, tokenizer.model
+        self.tokenizer, self.merge = tokenizer, tokenizer.model.tokenize
+        self.signs = byte_signs(tokenizer)
 
     def __missing__(self, word: bytes) -> bytes:
-        if word.isalpha() and word.islower() and len(word) < 1000:
-            found = _packed([token.id for token in self.model.tokenize(word.decode())])
+        if word.isalpha() and word.islower() and len(word) < CUT_BYTES:
+            found = _packed([token.id for token in self.merge(word.decode())])
         else:
-            text = word.decode("utf-8", "replace")
-            found = _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
+            found = self._cut(word)
         if len(self) < WORDS and len(word) <= WORD_BYTES:
             self[word] = found
         return found
 
+    def _cut(self, word: bytes) -> bytes:
+        """Ids of a word that may be of several pieces."""
+        text = word.decode("utf-8", "replace")
+        if len(word) >= CUT_BYTES or "<|" in text or not _LATIN.fullmatch(text):
+            return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        pieces = [piece.encode() for piece in _PIECES.findall(text.lower())]
+        if len(pieces) == 1:
+            return _packed([token.id for token in self.merge(pieces[0].decode("latin-1").translate(self.signs))])
+        return b"".join(map(self.__getitem__, pieces))
+
 
 class Encoder:
     """Encodes whole texts as the tokenizer does, and decodes ids."""

@@ -37,6 +37,26 @@ def test_word_table_gives_the_ids_of_the_library(coder):
         assert coder.encode(text.encode()) == expected(coder, text), text
 
 
+def test_words_of_several_pieces_are_cut_without_the_library(coder):
+    class Counted:
+        calls = 0
+
+        def encode(self, text, **options):
+            Counted.calls += 1
+            return coder.tokenizer.encode(text, **options)
+
+    rng = random.Random(8)
+    alphabet = "aabeo'sl19.,!?-_\x00\x1f\x7f\t\r\x0b %ÀÉÖØÞßàéöøþÿñü"
+    fresh = Encoder(default_path())
+    fresh.words.tokenizer = Counted()
+    for _ in range(4000):
+        text = "".join(rng.choice(alphabet) for _ in range(rng.choice([4, 12, 60])))
+        assert fresh.encode(text.encode()) == expected(coder, text), text
+    assert Counted.calls == 0
+    for text in ("a×b ª·º x² ½", "ŒUVRE İ ς", "<|x a<|endoftext|>É É", "é́", "é" * 2000):
+        assert fresh.encode(text.encode()) == expected(coder, text), text
+
+
 def test_tree_concatenation_gives_the_ids_of_the_whole(coder):
     for k, text in enumerate(random_texts(900)):
         assert bpe.encode_text(coder, text, leaf=(8, 40, 200)[k % 3]).tobytes() == expected(coder, text), text
