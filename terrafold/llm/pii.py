@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, functions as F
 
 from terrafold.llm.common import text_or_empty
-from terrafold.llm.spans import around, listed, once, scored, with_places
+from terrafold.llm.spans import around, chunked, listed, once, scored, with_places
 
 #: The base patterns, in an order of matching that cannot retry
 #: within a run of letters or digits (possessive repeats, one start per run).
@@ -106,8 +106,10 @@ def find(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.col("doc_id").alias("doc_id"), text_or_empty().alias("text"))
     kinds = BASE | ADDED
     rows = with_places(rows, kinds)
-    near = around("text", BEFORE, AFTER)
+    near = around("chunks", BEFORE, AFTER)
     rows = rows.withColumns({kind: F.filter(kind, _check(kind)) for kind in kinds})
+    some = F.greatest(*(F.size(kind) for kind in kinds)) > 0
+    rows = rows.withColumn("chunks", F.when(some, chunked(F.col("text"))))
     parts = []
     for order, kind in enumerate(kinds):
         found = scored(kind, order, _score(kind, near))

@@ -11,6 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, functions as F
 
 SPAN = "array<struct<start:bigint,end:bigint,value:string>>"
+#: Characters of a text's chunk.
+CHUNK = 1024
 
 
 def with_places(frame: DataFrame, patterns: dict[str, str], text: str = "text") -> DataFrame:
@@ -84,14 +86,25 @@ def scored(name: str, order: int, score: Callable[[Column], Column]) -> Column:
     )
 
 
-def around(text: str, before: int, after: int) -> Callable[[Column], Column]:
-    """The text near a span, in small letters, without the span itself."""
+def chunked(text: Column) -> Column:
+    """A text cut into CHUNK characters each, so that a place in it is found without counting from its start."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0))
+
+
+def around(chunks: str, before: int, after: int) -> Callable[[Column], Column]:
+    """The text near a span, in small letters, without the span itself.
+
+    chunks: the name of a column of :func:`chunked`; no side is longer than a chunk.
+    """
+
+    def part(first: Column, size: Column) -> Column:
+        at = F.floor(first / CHUNK).cast("int")
+        both = F.concat_ws("", F.get(chunks, at), F.get(chunks, at + 1))
+        return both.substr((first - at * CHUNK + 1).cast("int"), size.cast("int"))
 
     def near(s: Column) -> Column:
         first = F.greatest(s["start"] - before, F.lit(0))
-        left = F.col(text).substr((first + 1).cast("int"), (s["start"] - first).cast("int"))
-        right = F.col(text).substr((s["end"] + 1).cast("int"), F.lit(after))
-        return F.lower(F.concat_ws(" ", left, right))
+        return F.lower(F.concat_ws(" ", part(first, s["start"] - first), part(s["end"], F.lit(after))))
 
     return near
 

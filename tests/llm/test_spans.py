@@ -177,3 +177,25 @@ def test_many_spans_in_one_text(make_docs):
     places = {r.doc_id: [(s.start, s.end) for s in r.spans if s.kind == "email"] for r in rows}
     assert places[1] == [(16 * i, 16 * i + 15) for i in range(100_000)]
     assert places[2] == [(16 * i + 2, 16 * i + 17) for i in range(10)]
+
+
+def test_context_does_not_count_from_the_start_of_the_text(make_docs):
+    plan = pii.find(make_docs([(1, "x")]))._jdf.queryExecution().analyzed().toString()
+    assert not re.search(r"substr(ing)?\(text", plan) and "regexp_extract_all(text" in plan
+
+
+def test_context_reaches_over_the_ends_of_chunks(make_docs):
+    number = "555-123-4567"
+    docs = []
+    for fill in ("x", "\n", "😀"):
+        # the word, the number and what follows lie around each end of a chunk
+        docs += [f"{fill * n} phone {number} {'-' * 30}" for n in range(985, 1030, 4)]
+        docs += [f"{fill * n} {number}\nphone" for n in range(1000, 1030, 3)]
+        docs += [f"{fill * (1024 - n)} phone{' ' * n}{number}" for n in (1, 42, 43, 44)]
+        docs += [f"{fill * (1023 - n)} {number}{' ' * n}phone" for n in (1, 19, 20)]
+    found = {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans] for r in pii.find(make_docs(list(enumerate(docs)))).collect()}
+    for i, text in enumerate(docs):
+        at = text.index(number)
+        near = text[max(0, at - 48) : at] + " " + text[at + 12 : at + 36]
+        assert found[i] == ([("national_phone", at, at + 12)] if "phone" in near else []), text[-90:]
+    assert {bool(spans) for spans in found.values()} == {True, False}
