@@ -1,8 +1,8 @@
 """Exact search for the highest inner products, by columnar branch and bound.
 
 Vectors lie in blocks, one row of a block's matrix per dimension. For a query,
-dimensions are taken in the order of its own mass, a few at a time. After each
-step a candidate's product so far, plus the product of what remains of both
+dimensions are taken in the order of its own mass, at first those that hold most
+of it, then a few at a time. After each step a candidate's product so far, plus the product of what remains of both
 masses, bounds its score; candidates whose bound is below the k-th best lower
 bound are compacted away. A block of queries first meets one block of
 candidates; the k-th best score of this meeting is the floor that candidates of
@@ -18,8 +18,10 @@ from pyspark.sql import Column, DataFrame, functions as F, Window
 
 from terrafold.llm.common import checkpointed
 
-#: Vectors in a block, on average; dimensions in a step.
-CANDIDATES, QUERIES, STEP = 4096, 512, 8
+#: Vectors in a block, on average; dimensions in a step; the share of a query's
+#: mass that its first step may leave; the share of candidates from which on
+#: they are compacted.
+CANDIDATES, QUERIES, STEP, FIRST, SPARSE = 4096, 512, 8, 0.125, 0.5
 #: Components from which on a vector lies in a block of wide ones.
 WIDE = 1 << 20
 #: Partitions for a block of candidates, so that few blocks share one, and the most of them.
@@ -45,12 +47,13 @@ def whole_of(name: str, scale: int) -> Column:
     return F.transform(F.col(name), lambda c: floor(c.cast("double") * scale))
 
 
-def search_block(query, own: int | None, ids, columns, masses, copies, k: int, floor: int):
+def search_block(query, own: int | None, ids, columns, masses, copies, k: int, floor: int, rows=None, squares=None):
     """(score, place in the block, copies) of the block's best k for one query, ties to smaller ids.
 
     columns: dimension by candidate. masses: each candidate's squared mass.
     own: the query's place in the block, of which one copy takes no part.
     floor: a score that k candidates elsewhere are known to reach.
+    rows, squares: ``columns`` by candidate, and its squares, if they are kept.
     """
     import numpy as np
 
@@ -59,38 +62,49 @@ def search_block(query, own: int | None, ids, columns, masses, copies, k: int, f
         copies[own] -= 1
     q_float = query.astype(np.float64)
     order = np.argsort(-np.abs(q_float), kind="stable")
+    query = query[order]
+    parts = q_float[order] ** 2
     whole_q = rest_q = float(np.dot(q_float, q_float))
     bounded = np.isfinite(whole_q) and bool(np.isfinite(masses).all())
     # what rounding may add to a mass that was reached by subtraction
     blur = len(query) * 1e-15
-    alive = copies > 0
-    if bounded:
-        alive &= np.sqrt(masses * whole_q) * (1 + 1e-9) + 1 >= float(floor)
-    alive = np.flatnonzero(alive)
-    score = np.zeros(len(alive), columns.dtype)
-    whole_x = masses[alive]
-    rest_x = whole_x.copy()
-    for at in range(0, len(order) if len(alive) else 0, STEP):
-        dims = order[at : at + STEP]
-        part = columns[dims] if len(alive) == columns.shape[1] else columns[np.ix_(dims, alive)]
-        q = query[dims]
-        score = score + q @ part
-        if at + STEP >= len(order) or not bounded:
-            continue
-        seen = part.astype(np.float64)
-        rest_x = rest_x - np.einsum("ij,ij->j", seen, seen)
-        rest_q -= float(np.dot(q_float[dims], q_float[dims]))
-        open_x = np.maximum(rest_x, 0) + whole_x * blur
-        slack = np.sqrt(open_x * (max(rest_q, 0.0) + whole_q * blur)) * (1 + 1e-9) + 1
-        known = score.astype(np.float64)
-        slack += np.abs(known) * 1e-14
-        least = float(floor)
-        if len(alive) > k:
-            low = known - slack
-            least = max(least, np.partition(low, len(low) - k)[len(low) - k])
-        keep = known + slack >= min(least, float(_MOST))
-        if np.count_nonzero(keep) < 0.75 * len(keep):
+    keep = copies > 0
+    if bounded and floor > _LEAST:
+        keep &= np.sqrt(masses * whole_q) * (1 + 1e-9) + 1 >= float(floor)
+    # until few are left all candidates go on, and ``keep`` says which count; then
+    # those left, at ``alive``, are held by candidate, with the dimensions from ``base`` on
+    alive, held, base, at = np.arange(len(ids)), None, 0, 0
+    score, whole_x, rest_x = np.zeros(len(ids), columns.dtype), masses, masses
+    while True:
+        left = np.count_nonzero(keep)
+        if left < SPARSE * len(keep):
             alive, score, rest_x, whole_x = alive[keep], score[keep], rest_x[keep], whole_x[keep]
+            held = (columns.T if rows is None else rows).take(alive, axis=0)[:, order[at:]] if held is None else held[keep, at - base :]
+            base, keep = at, np.ones(left, bool)
+        if at == len(order) or not left:
+            break
+        to = _step(parts, at, rest_q, whole_q) if bounded else len(order)
+        part = columns.take(order[at:to], axis=0) if held is None else held[:, at - base : to - base].T
+        score = score + query[at:to] @ part
+        if to < len(order):
+            if held is None and squares is not None:
+                gone = np.ones(to - at, squares.dtype) @ squares.take(order[at:to], axis=0)
+            else:
+                seen = part.astype(np.float64, copy=False)
+                gone = np.einsum("ij,ij->j", seen, seen)
+            rest_x = rest_x - gone
+            rest_q -= float(parts[at:to].sum())
+            open_x = np.maximum(rest_x, 0) + whole_x * blur
+            slack = np.sqrt(open_x * (max(rest_q, 0.0) + whole_q * blur)) * (1 + 1e-9) + 1
+            known = score.astype(np.float64)
+            slack += np.abs(known) * 1e-14
+            least = float(floor)
+            if left > k:
+                low = np.where(keep, known - slack, -np.inf)
+                least = max(least, np.partition(low, len(low) - k)[len(low) - k])
+            keep &= known + slack >= min(least, float(_MOST))
+        at = to
+    alive, score = alive[keep], score[keep]
     if score.dtype == object:
         score = np.array([max(_LEAST, min(_MOST, int(s))) for s in score], np.int64)
     score = score.astype(np.int64)
@@ -102,6 +116,17 @@ def search_block(query, own: int | None, ids, columns, masses, copies, k: int, f
     return score[best], alive[best], copies[alive[best]]
 
 
+def _step(parts, at: int, rest: float, whole: float) -> int:
+    """Where a step from ``at`` ends: the first goes on until it holds most of the query's mass."""
+    to = min(at + STEP, len(parts))
+    if at == 0:
+        rest -= float(parts[:to].sum())
+        while to < len(parts) and rest > FIRST * whole:
+            rest -= float(parts[to : to + STEP].sum())
+            to = min(to + STEP, len(parts))
+    return to
+
+
 def _packed(rows: DataFrame, key: str, dims: int) -> DataFrame:
     """A row per block: ids, numbers of copies and matrix, dimension by vector, as bytes."""
 
@@ -151,12 +176,16 @@ def _meeting(row, dims: int, k: int):
         masses = np.einsum("ij,ij->j", columns, columns)
         widest = float(np.abs(columns).max(initial=0)) * float(np.abs(queries).max(initial=0)) * dims
     kind = np.float64 if widest < 2**52 else np.int64 if widest < 2**62 else object
+    if max(widest, masses.max(initial=0)) < 2**24:
+        kind = np.float32  # whole numbers up to 2**24 are exact in it
     wholes, asked = _exact(columns, kind), _exact(queries, kind)
+    by_row = np.ascontiguousarray(wholes.T)
+    squares = wholes * wholes if kind is np.float32 else None
     starts, ends = np.searchsorted(ids, q_ids, "left"), np.searchsorted(ids, q_ids, "right")
     for i in range(len(q_ids)):
         same = np.flatnonzero((columns[:, starts[i] : ends[i]] == queries[:, i : i + 1]).all(axis=0))
         own = int(starts[i] + same[0]) if len(same) else None
-        score, near, times = search_block(asked[:, i], own, ids, wholes, masses, copies, k, int(floors[i]))
+        score, near, times = search_block(asked[:, i], own, ids, wholes, masses, copies, k, int(floors[i]), by_row, squares)
         yield i, score, ids[near], times
 
 
@@ -230,17 +259,16 @@ def top_k(
     first = checkpointed(first.hint("merge").join(held, "block", "left").mapInPandas(pilot, _PILOT))
 
     def meet(batches):
+        import numpy as np
         import pandas as pd
 
         for batch in batches:
             for row in batch.itertuples():
-                found = [
-                    pd.DataFrame({"asked": row.asked, "query_id": q, "times": t, "place": i, "vec_id": ids, "score": score, "copies": copies})
-                    for (i, score, ids, copies), q, t in zip(_meeting(row, dims, k), _longs(row.q_ids), _longs(row.q_times))
-                    if len(score)
-                ]
-                if found:
-                    yield pd.concat(found, ignore_index=True)
+                places, scores, ids, copies = zip(*_meeting(row, dims, k))
+                sizes = [len(x) for x in scores]
+                each = {"query_id": _longs(row.q_ids), "times": _longs(row.q_times), "place": places}
+                out = {"asked": row.asked, **{n: np.repeat(x, sizes) for n, x in each.items()}}
+                yield pd.DataFrame(out | {"vec_id": np.concatenate(ids), "score": np.concatenate(scores), "copies": np.concatenate(copies)})
 
     others = F.filter(F.sequence(F.lit(0), F.lit(sum(blocks) - 1)).cast("array<long>"), lambda b: b != F.col("home"))
     rest = first.select(

@@ -92,6 +92,33 @@ def test_many_blocks_and_ties(spark, monkeypatch):
     assert read(found) == brute_top(rows, lambda i: i % 10 == 0, k=5)
 
 
+def test_small_products_take_the_short_form_and_stay_exact(monkeypatch):
+    """Also where few of a block's candidates count, and where floors are given."""
+    from types import SimpleNamespace
+
+    import numpy as np
+
+    forms, search = [], topk.search_block
+    monkeypatch.setattr(topk, "search_block", lambda *a: (forms.append(a[3].dtype), search(*a))[1])
+    rng = np.random.default_rng(6)
+    for largest, form in ((30, np.float32), (1023, np.float32), (1024, np.float64), (1 << 19, np.float64), (1 << 28, np.int64), (1 << 40, object)):
+        for k, spread in ((3, 1), (40, 1), (5, 30)):
+            weights = largest / spread ** np.linspace(0, 1, 16)
+            x = np.floor(rng.uniform(-1, 1, (300, 16)) * weights)
+            x[7, 0] = x[8, 0] = largest
+            ids, own = np.arange(300), [[int(c) for c in v] for v in x]
+            q = np.array([0, 7, 8, 250])
+            floors = np.array([topk._LEAST, 0, topk._LEAST, min(2**60, int(x[250] @ x[250]) // 8)], np.int64)
+            fields = {"ids": ids, "matrix": x.T.copy(), "times": np.ones(300, np.int64), "q_ids": q, "q_matrix": x[q].T.copy(), "floors": floors}
+            row = SimpleNamespace(**{n: v.tobytes() for n, v in fields.items()})
+            for i, score, near, _ in topk._meeting(row, 16, k):
+                wanted = ((-max(-(2**63), min(2**63 - 1, sum(a * b for a, b in zip(own[q[i]], own[j])))), j) for j in range(300) if j != q[i])
+                wanted = [(j, -s) for s, j in sorted(wanted) if -s >= floors[i]][:k]
+                assert list(zip(near.tolist(), score.tolist())) == wanted
+            assert {np.dtype(f) for f in forms} == {np.dtype(form)}
+            forms.clear()
+
+
 def brute_warc(pages):
     payloads = [(i, (h or "").encode()) for i, h in pages]
     out = []
