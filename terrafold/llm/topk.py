@@ -20,8 +20,8 @@ from terrafold.llm.common import checkpointed
 
 #: Vectors in a block, on average; dimensions in a step; the share of a query's
 #: mass that its first step may leave; the share of candidates from which on
-#: they are compacted.
-CANDIDATES, QUERIES, STEP, FIRST, SPARSE = 4096, 512, 8, 0.125, 0.5
+#: they are compacted; components that are sooner multiplied than bounded.
+CANDIDATES, QUERIES, STEP, FIRST, SPARSE, FEW = 4096, 512, 8, 0.08, 0.5, 1 << 15
 #: Components from which on a vector lies in a block of wide ones.
 WIDE = 1 << 20
 #: Partitions for a block of candidates, so that few blocks share one, and the most of them.
@@ -83,7 +83,8 @@ def search_block(query, own: int | None, ids, columns, masses, copies, k: int, f
             base, keep = at, np.ones(left, bool)
         if at == len(order) or not left:
             break
-        to = _step(parts, at, rest_q, whole_q) if bounded else len(order)
+        few = held is not None and left * (len(order) - at) <= FEW
+        to = _step(parts, at, rest_q, whole_q) if bounded and not few else len(order)
         part = columns.take(order[at:to], axis=0) if held is None else held[:, at - base : to - base].T
         score = score + query[at:to] @ part
         if to < len(order):

@@ -102,7 +102,8 @@ def test_small_products_take_the_short_form_and_stay_exact(monkeypatch):
     monkeypatch.setattr(topk, "search_block", lambda *a: (forms.append(a[3].dtype), search(*a))[1])
     rng = np.random.default_rng(6)
     for largest, form in ((30, np.float32), (1023, np.float32), (1024, np.float64), (1 << 19, np.float64), (1 << 28, np.int64), (1 << 40, object)):
-        for k, spread in ((3, 1), (40, 1), (5, 30)):
+        for k, spread, few in ((3, 1, 0), (40, 1, 1 << 15), (5, 30, 0), (5, 30, 1 << 15)):
+            monkeypatch.setattr(topk, "FEW", few, raising=False)
             weights = largest / spread ** np.linspace(0, 1, 16)
             x = np.floor(rng.uniform(-1, 1, (300, 16)) * weights)
             x[7, 0] = x[8, 0] = largest
