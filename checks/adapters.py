@@ -67,6 +67,11 @@ def events(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """The same rows in as many tasks as a shuffle has; the rows of a small file are one task otherwise."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def event_lines(spark: SparkSession, sf: str, where: str = "true") -> DataFrame:
     """(value, source): one feature line per event."""
     return (
