@@ -180,17 +180,36 @@ def stream_versions(
     )
 
 
-def stream_latest(records: DataFrame, keys: Sequence[str] = MERGE_KEYS, ttl: str = "7 days") -> DataFrame:
+#: Groups that the keys of a stream are dealt into by hash; each is a state of its own.
+SLOTS = 1024
+#: Keys of a page of state beyond which the pages of its slot are halved.
+PAGE_KEYS = 1000
+#: Key columns as text that differs where the keys do, nulls among them.
+_KEY_TEXT = {
+    "ignoreNullFields": "false",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
+
+def stream_latest(
+    records: DataFrame, keys: Sequence[str] = MERGE_KEYS, ttl: str = "7 days", slots: int = SLOTS
+) -> DataFrame:
     """Each record that is the first of its key or a higher version, with ``late``.
 
     The state is one number a key, the highest version seen, and it ends when
     its key has not been written for ``ttl``: its size is bounded by the keys
-    that come in that time, whatever the length of the stream. Copies and lower
-    versions come out as late rows, so that they can be counted, and change no
-    state. Of the versions of a key in one micro-batch the highest is kept (ties:
-    by content); a version that is no number is the lowest. A copy that comes
-    after its key's state has ended counts as new; :func:`stream_versions`
-    has no such limit.
+    that come in twice that time, whatever the length of the stream. Copies and
+    lower versions come out as late rows, so that they can be counted, and
+    change no state. Of the versions of a key in one micro-batch the highest is
+    kept (ties: by content); a version that is no number is the lowest. A copy
+    that comes after its key's state has ended counts as new;
+    :func:`stream_versions` has no such limit.
+
+    Keys are dealt into ``slots`` by hash, and a micro-batch's rows of a slot are
+    compared at once. A slot's state lies in pages of some hundred keys, of which
+    only those of the rows are read and written, so a batch costs by its rows,
+    however many keys are held. No more tasks than slots have work.
 
     The session's state store becomes the one that can drop single keys, and
     its streams stop when no input is left, as state with an end would have
@@ -202,8 +221,12 @@ def stream_latest(records: DataFrame, keys: Sequence[str] = MERGE_KEYS, ttl: str
     settings.set("spark.sql.streaming.stateStore.providerClass", ROCKS)
     settings.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
     schema = T.StructType([*records.schema.fields, T.StructField("late", T.BooleanType())])
-    return records.groupBy(*keys).transformWithStateInPandas(
-        statefulProcessor=_latest_processor(list(records.columns), _milliseconds(ttl)),
+    text = F.to_json(F.struct(*[F.col(k) for k in keys]), _KEY_TEXT)
+    placed = records.withColumn("key_text", text).withColumn("key_hash", F.xxhash64("key_text"))
+    placed = placed.withColumn("key_slot", F.pmod("key_hash", F.lit(slots)).cast("int"))
+    placed = placed.withColumn("key_spot", F.shiftrightunsigned("key_hash", 24)).drop("key_hash")
+    return placed.groupBy("key_slot").transformWithStateInPandas(
+        statefulProcessor=_latest_processor(list(records.columns), _milliseconds(ttl), PAGE_KEYS),
         outputStructType=schema,
         outputMode="Append",
         timeMode="ProcessingTime",
@@ -215,28 +238,86 @@ def _milliseconds(duration: str) -> int:
     return int(number) * {"second": 1000, "minute": 60_000, "hour": 3_600_000, "day": 86_400_000}[unit.rstrip("s")]
 
 
-def _latest_processor(columns: list[str], ttl: int):
+def _latest_processor(columns: list[str], ttl: int, page_keys: int):
     """The processor, made here so that it travels with the query by value."""
     from pyspark.sql.streaming import StatefulProcessor
 
+    def whole(version):
+        """Versions as numbers; what is none is -1."""
+        import numpy as np
+        import pandas as pd
+
+        number = pd.to_numeric(version, errors="coerce")
+        found = number.where(np.isfinite(number), -1).astype("int64").to_numpy().copy()
+        if number.dtype.kind == "f":  # a float among them rounds the large ones
+            for place in np.flatnonzero(np.isfinite(number) & (number.abs() >= 2**53)):
+                found[place] = pd.to_numeric(version.iloc[place : place + 1], errors="coerce").astype("int64").iloc[0]
+        return found
+
+    def leaders(table, number, code, count):
+        """(highest version, place of the row that has it) of each key; ties by content."""
+        import numpy as np
+
+        best = np.full(count, np.iinfo("int64").min)
+        np.maximum.at(best, code, number)
+        top = np.flatnonzero(number == best[code])
+        place = np.full(count, -1)
+        place[code[top[::-1]]] = top[::-1]
+        tied = top[np.bincount(code[top], minlength=count)[code[top]] > 1]
+        if len(tied):
+            texts = ["|".join(row) for row in zip(*(table[c].iloc[tied].astype(str) for c in columns))]
+            order = sorted(range(len(tied)), key=texts.__getitem__, reverse=True)
+            place[code[tied[order]]] = tied[order]
+        return best, place
+
     class Latest(StatefulProcessor):
         def init(self, handle):
-            self.seen = handle.getValueState("seen", "version long", ttl)
+            self.depth = handle.getValueState("depth", "depth int")
+            self.pages = handle.getMapState("pages", "page long", "seen string", ttl)
+
+        def _page(self, number: int, now: int) -> dict:
+            """Key -> [version, when it was written, place of the key] of a page, without those that ended."""
+            held = self.pages.getValue((number,))
+            seen = json.loads(held[0]) if held else {}
+            return {k: v for k, v in seen.items() if v[1] + ttl > now}
 
         def handleInputRows(self, key, rows, timerValues):
+            import numpy as np
             import pandas as pd
 
-            table = pd.concat(list(rows), ignore_index=True)[columns]
-            number = pd.to_numeric(table["version"], errors="coerce").fillna(-1).astype("int64")
-            order = table.assign(_number=-number, _text=table.astype(str).agg("|".join, axis=1)).sort_values(["_number", "_text"]).index
-            table, number = table.loc[order], number.loc[order]
-            best = int(number.iloc[0])
-            before = self.seen.get()[0] if self.seen.exists() else None
-            late = pd.Series(True, index=table.index)
-            if before is None or best > before:
-                self.seen.update((best,))
-                late.iloc[0] = False
-            yield table.assign(late=late)
+            table = pd.concat(list(rows), ignore_index=True)
+            code, unique = pd.factorize(table["key_text"])
+            spots = np.empty(len(unique), "int64")
+            spots[code] = table["key_spot"].to_numpy()
+            best, place = leaders(table, whole(table["version"]), code, len(unique))
+            now = timerValues.getCurrentProcessingTimeInMs()
+            before = self.depth.get()
+            depth = before[0] if before is not None else 0
+            pages, changed, late = {}, set(), np.ones(len(table), bool)
+            numbers = (spots & ((1 << depth) - 1)).tolist()
+            for text, number, spot, version, leader in zip(unique, numbers, spots.tolist(), best.tolist(), place.tolist()):
+                if number not in pages:
+                    pages[number] = self._page(number, now)
+                seen = pages[number].get(text)
+                if seen is None or version > seen[0]:
+                    pages[number][text] = [version, now, spot]
+                    changed.add(number)
+                    late[leader] = False
+            deeper = depth
+            while max(map(len, pages.values())) > page_keys and deeper < 32:
+                pages |= {n: self._page(n, now) for n in range(1 << depth) if deeper == depth and n not in pages}
+                deeper += 1
+                halves = {n: {} for n in range(1 << deeper)}
+                for page in pages.values():
+                    for text, seen in page.items():
+                        halves[seen[2] & ((1 << deeper) - 1)][text] = seen
+                pages = halves
+                changed = set(pages)
+            if deeper != depth or before is None:
+                self.depth.update((deeper,))
+            for number in changed:
+                self.pages.updateValue((number,), (json.dumps(pages[number]),))
+            yield table[columns].assign(late=late)
 
         def close(self):
             pass
