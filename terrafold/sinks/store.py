@@ -3,7 +3,8 @@
 A row belongs to a bucket by the low bits of its key's hash. Buckets are bounded:
 one that has grown too large is split by further bits when it is next written,
 so a change of a few keys reads and writes a few buckets, however large the
-table is. Nothing is changed in place: new contents of buckets go to a new
+table is. Small buckets lie together in a folder, in order, so that a table has
+as many files as its rows need, however small its buckets are. Nothing is changed in place: new contents of buckets go to a new
 folder, and a manifest then names the folder of every bucket. It appears under
 its number by one rename, for all tables and forms at once, so a reader sees
 all of a commit or nothing, and what a failed commit left is never read.
@@ -15,6 +16,7 @@ import json
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -22,8 +24,12 @@ from terrafold.session import drop_path
 
 #: Rows of a bucket beyond which it is split.
 BUCKET_ROWS = 1_000_000
+#: Rows up to which buckets are written into one folder.
+FOLDER_ROWS = 500_000
 _DEPTH_SHIFT = 48
-_MANIFEST = "name string, depth int, prefix long, folder string, rows long, schema string, form string, notes string"
+#: together: how many of a bucket's last bits its folder leaves out, null if each bucket has a folder of its own;
+#: held: buckets with rows that the folder was written with.
+_MANIFEST = "name string, depth int, prefix long, folder string, rows long, schema string, form string, notes string, together int, held long"
 
 
 @dataclass(frozen=True)
@@ -44,6 +50,7 @@ class Store:
 
     def __init__(self, spark: SparkSession, root: str, bucket_rows: int = BUCKET_ROWS):
         self.spark, self.root, self.bucket_rows = spark, root.rstrip("/"), bucket_rows
+        self._last: tuple[str, list] = ("", [])  # the manifest read last; none is ever changed
 
     # --- manifests ---
 
@@ -65,11 +72,16 @@ class Store:
         if not found:
             return []
         path = f"{self.root}/_versions/v{found[-1] if version is None else version:012d}"
-        # one row for each bucket
-        return self.spark.read.schema(_MANIFEST).json(path).collect()
+        if self._last[0] != path:
+            # one row for each bucket
+            self._last = path, self.spark.read.schema(_MANIFEST).json(path).collect()
+        return self._last[1]
 
     def _publish(self, entries: list[dict], version: int) -> None:
         draft, final = f"{self.root}/_versions/_{uuid.uuid4().hex}", f"{self.root}/_versions/v{version:012d}"
+        # a table's schema stands with its first bucket only
+        schemas = {e["name"]: e["schema"] for e in entries if e["schema"]}
+        entries = [e | {"schema": schemas.pop(e["name"], None)} for e in entries]
         self.spark.createDataFrame(entries, _MANIFEST).coalesce(1).write.json(draft)
         source, files = self._files(draft)
         target, _ = self._files(final)
@@ -84,14 +96,30 @@ class Store:
         if not entries:
             return None
         wanted = None if buckets is None else set(buckets)
-        paths = [self._path(e) for e in entries if e["folder"] and (wanted is None or _code(e["depth"], e["prefix"]) in wanted)]
-        schema = T.StructType.fromJson(json.loads(entries[0]["schema"]))
-        if not paths:
+        chosen = [e for e in entries if e["folder"] and (wanted is None or _code(e["depth"], e["prefix"]) in wanted)]
+        schema = T.StructType.fromJson(json.loads(next(e["schema"] for e in entries if e["schema"])))
+        if not chosen:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).format(entries[0]["form"]).load(paths)
+        parts = []
+        if apart := [self._path(e) for e in chosen if e["together"] is None]:
+            parts.append(self.spark.read.schema(schema).format(chosen[0]["form"]).load(apart))
+        folders: dict[str, list] = {}
+        for e in chosen:
+            if e["together"] is not None:
+                folders.setdefault(e["folder"], []).append(e)
+        for held in folders.values():
+            found = self.spark.read.schema(_placed(schema)).format(held[0]["form"]).load(sorted({self._path(e) for e in held}))
+            if len(held) < held[0]["held"]:  # others lie beside them, or did before later commits
+                found = found.filter(_one_of(held))
+            parts.append(found.select(*[F.col(f"`{c}`") for c in schema.names]))
+        return reduce(DataFrame.unionByName, parts)
 
     def _path(self, entry) -> str:
-        return f"{self.root}/{entry['name']}/{entry['folder']}/d={entry['depth']}/p={entry['prefix']}"
+        place = f"{self.root}/{entry['name']}/{entry['folder']}"
+        if entry["together"] is None:
+            return f"{place}/d={entry['depth']}/p={entry['prefix']}"
+        depth = max(0, entry["depth"] - entry["together"])
+        return f"{place}/part_of={depth}-{entry['prefix'] & ((1 << depth) - 1)}"
 
     def notes(self, version: int | None = None) -> str:
         """What the writer noted with a commit."""
@@ -159,9 +187,14 @@ class Store:
         placed = rows.withColumn("d", depth.cast("int"))
         placed = placed.withColumn("p", hashed.bitwiseAND(F.expr("shiftleft(1L, d) - 1"))).drop("_code")
         path = f"{self.root}/{name}/{folder}"
-        # Spark splits a bucket that is too large for one task
-        placed.hint("rebalance", F.col("d"), F.col("p")).write.partitionBy("d", "p").parquet(path)
-        written = self.spark.read.schema(T.StructType([*content.rows.schema.fields, T.StructField("d", T.IntegerType()), T.StructField("p", T.LongType())])).parquet(path)
+        together = max(0, (FOLDER_ROWS // self.bucket_rows).bit_length() - 1)
+        shared = F.greatest(F.lit(0), F.col("d") - together)
+        group = F.concat(shared.cast("string"), F.lit("-"), hashed.bitwiseAND(F.expr(f"shiftleft(1L, greatest(0, d - {together})) - 1")).cast("string"))
+        # Spark splits a folder that is too large for one task; buckets in order, so that a scan skips those not asked for
+        placed = placed.withColumn("part_of", group).hint("rebalance", F.col("part_of")).sortWithinPartitions("part_of", "d", "p")
+        placed.write.partitionBy("part_of").parquet(path)
+        columns = [*content.rows.columns, "d", "p"]
+        written = self.spark.read.schema(_placed(content.rows.schema)).parquet(path).select(*[F.col(f"`{c}`") for c in columns])
         held = {(r["d"], r["p"]): r["count"] for r in written.groupBy("d", "p").count().collect()}
         renditions = {name: ("parquet", content.rows.schema.json())}
         for form, (kind, make) in content.forms.items():
@@ -176,7 +209,11 @@ class Store:
                 p = prefix | child << depth
                 n = held.get((depth_after, p), 0)
                 for own, (kind, schema) in renditions.items():
-                    entries.append(dict(name=own, depth=depth_after, prefix=p, folder=folder if n else None, rows=n, schema=schema, form=kind, notes=notes))
+                    beside = (together, len(held)) if own == name else (None, None)
+                    entries.append(
+                        dict(name=own, depth=depth_after, prefix=p, folder=folder if n else None, rows=n, schema=schema, form=kind, notes=notes)
+                        | dict(zip(("together", "held"), beside))
+                    )
         return entries
 
     def vacuum(self, keep: int = 2) -> None:
@@ -197,5 +234,18 @@ def _hash(keys: Sequence[str]) -> Column:
     return F.xxhash64(*[F.col(k) for k in keys])
 
 
+def _placed(schema: T.StructType) -> T.StructType:
+    """A table's columns and the bucket of each row, as they are written."""
+    return T.StructType([*schema.fields, T.StructField("d", T.IntegerType()), T.StructField("p", T.LongType())])
+
+
+def _one_of(entries: Sequence) -> Column:
+    """Whether a row belongs to one of the buckets."""
+    prefixes: dict[int, list[str]] = {}
+    for e in entries:
+        prefixes.setdefault(e["depth"], []).append(str(e["prefix"]))
+    return F.expr(" OR ".join(f"(d = {depth} AND p IN ({'L,'.join(held)}L))" for depth, held in prefixes.items()))
+
+
 def _code(depth: int, prefix: int) -> int:
     return depth << _DEPTH_SHIFT | prefix

@@ -146,3 +146,23 @@ def test_stream_versions_replay_and_batch_cost(spark, tmp_path, monkeypatch):
     assert store.versions() == versions
     lines = [json.loads(r.value) for r in store.read("records.geojson").collect()]
     assert {x["properties"]["osm_id"]: x["geometry"]["coordinates"] for x in lines}[7] == [53, 2] and len(lines) == 400
+
+
+def test_small_buckets_share_files(spark, tmp_path):
+    """Thousands of buckets lie in few files; before, each was a folder that every reader listed."""
+    store = Store(spark, str(tmp_path), bucket_rows=10)
+    store.commit({"t": Content(spark.range(20_000).selectExpr("id", "string(id) AS value"), ["id"], [0], {})})
+    assert len({(e["depth"], e["prefix"]) for e in store.manifest()}) == 2048
+    assert len(list((tmp_path / "t").rglob("*.parquet"))) <= 16
+    assert store.read("t").count() == 20_000 and store.read("t").columns == ["id", "value"]
+    asked = spark.createDataFrame([(5,), (77,)], "id long")
+    some = store.read("t", store.buckets_of("t", asked, ["id"]))
+    assert {5, 77} <= {r.id for r in some.collect()} and some.count() < 60
+    # what a later commit replaced is not read again from the files it shares
+    touched = store.buckets_of("t", asked, ["id"])
+    stay = store.read("t", touched).join(asked, "id", "left_anti")
+    store.commit({"t": Content(stay, ["id"], touched, {})})
+    assert store.read("t").count() == 19_998
+    assert store.read("t", version=1).count() == 20_000
+    again = Store(spark, str(tmp_path), bucket_rows=10)
+    assert {r.id for r in again.read("t").collect()} == set(range(20_000)) - {5, 77}
