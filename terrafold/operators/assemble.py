@@ -130,7 +130,7 @@ def locate(
         .repartition(*keys)  # lists shrink nothing, so they are built after the shuffle
         .groupBy(*keys)
         .agg(
-            F.array_sort(F.collect_list(F.struct("pos", "lon", "lat"))).alias("points"),
+            F.sort_array(F.collect_list(F.struct("pos", "lon", "lat"))).alias("points"),
             F.first("feature", ignorenulls=True).alias("feature"),
         )
     )
@@ -241,7 +241,7 @@ def relation_refs(
         .repartition("id")
         .groupBy("id")
         .agg(
-            F.array_sort(F.collect_list(F.struct("pos", "node_refs"))).alias("lines"),
+            F.sort_array(F.collect_list(F.struct("pos", "node_refs"))).alias("lines"),
             F.first("relation", ignorenulls=True).alias("relation"),
         )
         .filter(F.size("lines") == F.col("relation._n"))
@@ -333,7 +333,9 @@ def line_and_area_features(
         nodes = wanted_nodes(nodes, features)
     coords = locate(features, nodes, ["src_type", "id"], unique_ids)
     relation = F.col("src_type") == "relation"
-    area = assemble_multipolygon(*[F.when(relation, F.col(c)) for c in ("xs", "ys", "sizes")])
+    # empty lists for the others: Spark's writer goes over all nulls before a list again at each row
+    empty = {"xs": "array<double>", "ys": "array<double>", "sizes": "array<int>"}
+    area = assemble_multipolygon(*[F.when(relation, F.col(c)).otherwise(F.array().cast(t)) for c, t in empty.items()])
     text = F.when(relation, area).otherwise(plain_numbers(_way_text()))
     return (
         coords.withColumn("geometry_wkt", text)

@@ -51,8 +51,11 @@ def _value_lists(wanted: Mapping[str, Sequence[str]]) -> Column:
 
 def value_test(category: Column, sub_cat: Column, wanted: Mapping[str, Sequence[str]]) -> Column:
     """Whether a normalised value is wanted for its key."""
-    values = F.try_element_at(_value_lists(wanted), category)
-    return F.coalesce((F.size(values) == 0) | F.array_contains(values, sub_cat), F.lit(False))
+    free = [tag for tag, values in wanted.items() if not values]
+    # the length first, so that no other key and value read the same; many literals become one look-up
+    pair = F.concat(F.length(category).cast("string"), F.lit(":"), category, sub_cat)
+    pairs = [f"{len(tag)}:{tag}{value}" for tag, values in wanted.items() for value in values]
+    return F.coalesce(category.isin(free), F.lit(False)) | F.coalesce(pair.isin(pairs), F.lit(False))
 
 
 def chosen_values(props: Column, wanted: Mapping[str, Sequence[str]]) -> Column:
